@@ -34,26 +34,57 @@ def spelled_out(pattern: str) -> list[str]:
     return list(dict.fromkeys(out))
 
 
-def _with_words(text: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` over a (lowered, words) struct: the text is lowered and split once, and the
-    lexicons are then looked up as sets of words instead of scanning the text for each."""
+def _terms(patterns) -> tuple[list[str], list[str]]:
+    """Single words and phrases (anything with a blank or a hyphen) of some patterns."""
+    terms = dict.fromkeys(t for p in patterns for t in spelled_out(p))
+    words = [t for t in terms if re.fullmatch(r"\w+", t)]
+    return words, [t for t in terms if t not in words]
+
+
+def _first_words(phrases) -> list[str]:
+    return list(dict.fromkeys(re.match(r"\w+", p)[0] for p in phrases))
+
+
+def _constant(words) -> Column:
+    return F.split(F.lit(" ".join(words)), " ")
+
+
+def _with_hits(text: Column, lexicon: dict, body: Callable[[Column], Column]) -> Column:
+    """``body`` over a (lowered, hits) struct. The text is lowered and split once; ``hits`` are
+    its words that occur in the lexicon at all, found by one hash lookup per word. What follows
+    works on that usually short list instead of scanning the text for every aspect."""
+    words, phrases = _terms([p for patterns in lexicon.values() for p in patterns])
+    known = list(dict.fromkeys(words + _first_words(phrases)))
     lowered = F.lower(F.coalesce(text, F.lit("")))
-    words = F.array_distinct(F.regexp_extract_all(lowered, F.lit(_EDGE + "+"), F.lit(0)))
-    bound = F.array(F.struct(lowered.alias("lowered"), words.alias("words")))
-    return F.element_at(F.transform(bound, body), 1)
+
+    def narrow(low):
+        found = F.regexp_extract_all(low, F.lit(_EDGE + "+"), F.lit(0))
+        return F.struct(
+            low.alias("lowered"), F.filter(found, lambda w: w.isin(known)).alias("hits"))
+
+    return _bind(_bind(lowered, narrow), body)
+
+
+def _no_aspects() -> Column:
+    return F.array().cast("array<string>")
+
+
+def _bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with the value computed once, however often the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
 
 
 def _mentions(w: Column, patterns) -> Column:
     """True when a word or phrase of the patterns occurs as whole words."""
-    terms = [t for p in patterns for t in spelled_out(p)]
-    single = [t for t in terms if re.fullmatch(r"\w+", t)]
+    words, phrases = _terms(patterns)
     conditions = []
-    if single:
-        conditions.append(F.arrays_overlap(
-            w["words"], F.split(F.lit(" ".join(dict.fromkeys(single))), " ")))
-    for phrase in dict.fromkeys(t for t in terms if t not in single):
+    if words:
+        conditions.append(F.arrays_overlap(w["hits"], _constant(words)))
+    if phrases:
+        written = reduce(lambda a, b: a | b, [F.contains(w["lowered"], F.lit(p)) for p in phrases])
         conditions.append(
-            F.contains(w["lowered"], F.lit(phrase)) & w["lowered"].rlike(whole_words([phrase])))
+            F.arrays_overlap(w["hits"], _constant(_first_words(phrases)))
+            & written & w["lowered"].rlike(whole_words(phrases)))
     return reduce(lambda a, b: a | b, conditions)
 
 
@@ -103,6 +134,7 @@ def tag_aspects(text: Column, domain: Column) -> Column:
         found = F.array_compact(F.array(*[
             F.when(allowed(a, domain, "Electronics") & _mentions(w, L.REVIEW_LEXICON[a]), F.lit(a))
             for a in L.ASPECTS]))
+        found = F.when(F.size(w["hits"]) > 0, found).otherwise(_no_aspects())
         return F.struct(found.alias("found"), w["lowered"].alias("lowered"))
 
     def fall_back(t):
@@ -110,7 +142,7 @@ def tag_aspects(text: Column, domain: Column) -> Column:
             (F.size(t["found"]) == 0) & _contains_any(t["lowered"], L.REVIEW_FALLBACK_WORDS),
             F.array(F.lit("quality"))).otherwise(t["found"])
 
-    return F.element_at(F.transform(F.array(_with_words(text, tag)), fall_back), 1)
+    return _bind(_with_hits(text, L.REVIEW_LEXICON, tag), fall_back)
 
 
 def annotate_aspects(text: Column, domain: Column) -> Column:
@@ -124,7 +156,7 @@ def annotate_aspects(text: Column, domain: Column) -> Column:
     def default(found):
         return F.when(F.size(found) == 0, F.array(F.lit("quality"))).otherwise(found)
 
-    return F.element_at(F.transform(F.array(_with_words(text, tag)), default), 1)
+    return _bind(_with_hits(text, L.ANNOTATION_LEXICON, tag), default)
 
 
 def lexicon_scores(text: Column, domain: Column) -> Column:
@@ -140,7 +172,7 @@ def lexicon_scores(text: Column, domain: Column) -> Column:
                    F.struct(F.lit(a).alias("aspect"), score(w, a).alias("score")))
             for a in L.ASPECTS]))
 
-    return F.map_from_entries(_with_words(text, entries))
+    return F.map_from_entries(_with_hits(text, L.REVIEW_LEXICON, entries))
 
 
 def select_by_threshold(scores: Column, threshold: float) -> Column:

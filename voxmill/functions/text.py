@@ -13,6 +13,9 @@ from voxmill.config import MAX_CHARS
 
 # Unicode whitespace written out, so the meaning does not depend on the regex engine's flags.
 WHITESPACE = r"[\t-\r\x1c-\x20\x{85}\p{Z}]"
+WHITESPACE_CHARS = "".join(
+    chr(n) for n in (*range(0x9, 0xE), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680,
+                     *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))
 NON_WHITESPACE = r"[^\t-\r\x1c-\x20\x{85}\p{Z}]"
 WORD_CHAR = r"[\p{L}\p{N}_]"
 
@@ -82,7 +85,7 @@ def normalize_whitespace(text: Column) -> Column:
 
 
 def cap_length(text: Column, max_chars: int = MAX_CHARS) -> Column:
-    cut = F.regexp_replace(F.substring(text, 1, max_chars), WHITESPACE + "+$", "")
+    cut = F.rtrim(F.substring(text, 1, max_chars), F.lit(WHITESPACE_CHARS))
     text = F.coalesce(text, F.lit(""))
     return F.when(F.length(text) > max_chars, cut).otherwise(text)
 
@@ -98,8 +101,7 @@ def is_blank(text: Column) -> Column:
 
 
 def strip(text: Column) -> Column:
-    return F.regexp_replace(
-        F.coalesce(text, F.lit("")), f"^{WHITESPACE}+|{WHITESPACE}+$", "")
+    return F.btrim(F.coalesce(text, F.lit("")), F.lit(WHITESPACE_CHARS))
 
 
 def char_count(text: Column) -> Column:

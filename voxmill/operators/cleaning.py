@@ -23,23 +23,30 @@ def text_key(column: Column) -> Column:
     return F.sha2(column, 256)
 
 
+def computed_once(df: DataFrame, values: dict[str, Column]) -> DataFrame:
+    """Adds or replaces columns whose expressions are costly. They come out of a generator,
+    which later filters are not pushed through: a filter on the value then reads it instead of
+    evaluating the expression a second time below."""
+    made = F.inline(F.array(F.struct(*[c.alias(name) for name, c in values.items()])))
+    return df.select(*[c for c in df.columns if c not in values], made)
+
+
 def checked_reviews(
     raw: DataFrame, min_words: int = MIN_WORDS, min_chars: int = MIN_CHARS,
     max_chars: int | None = MAX_CHARS,
 ) -> DataFrame:
     """Raw rows with cleaned text, numeric rating and what is wrong with the text, if anything."""
-    cleaned = tx.clean_text(F.col("text"), max_chars)
-    out = raw.withColumns({
+    values = {
         "_missing": tx.is_blank(F.col("text")),
-        "text": cleaned,
+        "text": tx.clean_text(F.col("text"), max_chars),
         "rating": labels.to_number(F.col("rating")),
-    })
+    }
     if "title" in raw.columns:
-        out = out.withColumn("title", tx.clean_text(F.col("title"), max_chars))
+        values["title"] = tx.clean_text(F.col("title"), max_chars)
+    out = computed_once(raw, values)
     short = (tx.word_count(F.col("text")) < min_words) | (tx.char_count(F.col("text")) < min_chars)
-    return out.withColumn(
-        "_reason", F.when(F.col("_missing"), "missing").when(short, "short").otherwise("ok")
-    ).drop("_missing")
+    reason = F.when(F.col("_missing"), "missing").when(short, "short").otherwise("ok")
+    return out.withColumn("_reason", reason).drop("_missing")
 
 
 def clean_reviews(

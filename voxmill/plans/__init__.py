@@ -1,6 +1,6 @@
 """Importing the query modules fills the registry."""
 
-from voxmill.plans import cleaning, products, profile  # noqa: F401
+from voxmill.plans import cleaning, complaints, insights, products, profile  # noqa: F401
 from voxmill.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

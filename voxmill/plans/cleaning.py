@@ -83,7 +83,7 @@ SELECT doc_id AS row_id, {S.clean('text', 1000)} AS capped,
   length({S.clean('text')}) > 1000 AS was_long FROM documents""")
 def length_cap(spark, sf):
     whole = tx.clean_text(F.col("text"), None)
-    return views.table(spark, sf, "documents").select(
+    return views.text_table(spark, sf, "documents").select(
         F.col("doc_id").alias("row_id"), whole.alias("_whole")).select(
         "row_id", tx.cap_length(F.col("_whole"), 1000).alias("capped"),
         (F.length("_whole") > 1000).alias("was_long"))

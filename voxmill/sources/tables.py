@@ -67,6 +67,13 @@ def write_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) ->
     return path
 
 
+def spread_small(df: DataFrame) -> DataFrame:
+    """For a plain scan ahead of costly text work: when the files give fewer splits than there
+    are cores, spread the rows. Larger inputs have more splits than cores and stay as read."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """The schema's columns in order; columns the table lacks are null."""
     have = set(df.columns)

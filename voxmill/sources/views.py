@@ -6,12 +6,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxmill.functions import labels, text as tx
+from voxmill.sources.tables import spread_small
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def text_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table whose texts are about to be cleaned, tagged or split into words."""
+    return spread_small(table(spark, sf_dir, name))
+
+
 def doc_ratings(documents: DataFrame, ratings: DataFrame) -> DataFrame:
     rating = (
         F.when(F.col("toxic") == 1, 1.0).when(F.col("quality") == 0, 2.0)
@@ -25,13 +31,14 @@ def doc_ratings(documents: DataFrame, ratings: DataFrame) -> DataFrame:
 
 def doc_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as reviews of their source, rated by the quality and toxicity labels."""
-    return doc_ratings(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return doc_ratings(text_table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
                        ).withColumn("sentiment", labels.rating_label(F.col("rating")))
 
 
-def item_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+def item_reviews(spark: SparkSession, sf_dir: str, for_text: bool = False) -> DataFrame:
     """Order lines as reviews of their part."""
-    lines, parts = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part")
+    lines = (text_table if for_text else table)(spark, sf_dir, "lineitem")
+    parts = table(spark, sf_dir, "part")
     rating = 1 + (F.col("l_orderkey") + 3 * F.col("l_linenumber")) % 5
     asin = F.concat(F.lit("P"), F.col("l_partkey").cast("string"))
     return lines.join(parts, lines["l_partkey"] == parts["p_partkey"]).select(
@@ -86,7 +93,7 @@ def user_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def page_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Web pages as reviews with markup in their text."""
-    return table(spark, sf_dir, "pages").select(
+    return text_table(spark, sf_dir, "pages").select(
         F.col("page_id").alias("row_id"), F.col("html").alias("text"), "url")
 
 
