@@ -80,8 +80,10 @@ def top_matches(
     returns k rows per query, not its pairs; the last step ranks those.
     """
     wish = F.col("intent") if prioritize else F.lit("general")
-    queries = queries.select(
-        "query_id", key, "vec", wish.alias("wish"), F.col("top_k").cast("int").alias("top_k"))
+    # Fresh column names: the queries may have been derived from the reviews themselves.
+    queries = queries.select(*[
+        F.col(c).alias(c) for c in ("query_id", key, "vec")],
+        wish.alias("wish"), F.col("top_k").cast("int").alias("top_k"))
     asked = queries.select(key).distinct()
     reviews = reviews.select(key, "row_id", "vec", "is_negative", "is_positive").join(
         asked, key, "left_semi")

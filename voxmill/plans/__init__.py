@@ -1,6 +1,8 @@
 """Importing the query modules fills the registry."""
 
-from voxmill.plans import cleaning, complaints, insights, products, profile  # noqa: F401
+from voxmill.plans import (  # noqa: F401
+    cleaning, complaints, evaluation, insights, products, profile, retrieval,
+)
 from voxmill.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
