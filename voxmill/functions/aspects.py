@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxmill.functions import lexicons as L
+from voxmill.functions.binding import bind
 
 _EDGE = r"[\p{L}\p{N}_]"
 
@@ -62,18 +63,13 @@ def _with_hits(text: Column, lexicon: dict, body: Callable[[Column], Column]) ->
         return F.struct(
             low.alias("lowered"), F.filter(found, lambda w: w.isin(known)).alias("hits"))
 
-    return _bind(_bind(lowered, narrow), body)
+    return bind(bind(lowered, narrow), body)
 
 
 def _no_aspects() -> Column:
     return F.array().cast("array<string>")
 
 
-def _bind(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body(value)`` with the value computed once, however often the body names it."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def _mentions(w: Column, patterns) -> Column:
     """True when a word or phrase of the patterns occurs as whole words."""
     words, phrases = _terms(patterns)
@@ -142,7 +138,7 @@ def tag_aspects(text: Column, domain: Column) -> Column:
             (F.size(t["found"]) == 0) & _contains_any(t["lowered"], L.REVIEW_FALLBACK_WORDS),
             F.array(F.lit("quality"))).otherwise(t["found"])
 
-    return _bind(_with_hits(text, L.REVIEW_LEXICON, tag), fall_back)
+    return bind(_with_hits(text, L.REVIEW_LEXICON, tag), fall_back)
 
 
 def annotate_aspects(text: Column, domain: Column) -> Column:
@@ -156,7 +152,7 @@ def annotate_aspects(text: Column, domain: Column) -> Column:
     def default(found):
         return F.when(F.size(found) == 0, F.array(F.lit("quality"))).otherwise(found)
 
-    return _bind(_with_hits(text, L.ANNOTATION_LEXICON, tag), default)
+    return bind(_with_hits(text, L.ANNOTATION_LEXICON, tag), default)
 
 
 def lexicon_scores(text: Column, domain: Column) -> Column:

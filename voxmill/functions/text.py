@@ -10,6 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from voxmill.config import MAX_CHARS
+from voxmill.functions.binding import bind
 
 # Unicode whitespace written out, so the meaning does not depend on the regex engine's flags.
 WHITESPACE = r"[\t-\r\x1c-\x20\x{85}\p{Z}]"
@@ -85,9 +86,12 @@ def normalize_whitespace(text: Column) -> Column:
 
 
 def cap_length(text: Column, max_chars: int = MAX_CHARS) -> Column:
-    cut = F.rtrim(F.substring(text, 1, max_chars), F.lit(WHITESPACE_CHARS))
-    text = F.coalesce(text, F.lit(""))
-    return F.when(F.length(text) > max_chars, cut).otherwise(text)
+    def cap(t):
+        return F.when(
+            F.length(t) > max_chars,
+            F.rtrim(F.substring(t, 1, max_chars), F.lit(WHITESPACE_CHARS))).otherwise(t)
+
+    return bind(F.coalesce(text, F.lit("")), cap)
 
 
 def clean_text(text: Column, max_chars: int | None = MAX_CHARS) -> Column:
@@ -114,8 +118,8 @@ def word_count(text: Column) -> Column:
 
 def full_text(title: Column, text: Column) -> Column:
     """``title. text``; an empty title adds nothing."""
-    title, text = strip(title), strip(text)
-    return F.concat(F.when(title != "", F.concat(title, F.lit(". "))).otherwise(""), text)
+    lead = bind(strip(title), lambda t: F.when(t != "", F.concat(t, F.lit(". "))).otherwise(""))
+    return F.concat(lead, strip(text))
 
 
 def full_text_once(title: Column, text: Column) -> Column:

@@ -141,14 +141,15 @@ def catalog(info: DataFrame) -> DataFrame:
 
 def quadrants(insights: DataFrame) -> DataFrame:
     """Each product against the catalog's mean rating and mean negative share."""
-    mean_rating = insights.select(F.avg("average_rating")).scalar()
-    mean_negative = insights.select(F.avg("negative_percentage")).scalar()
+    means = insights.select(F.struct(
+        F.avg("average_rating").alias("rating"), F.avg("negative_percentage").alias("negative"),
+    )).scalar()
     good = F.col("average_rating") >= F.col("mean_rating")
     calm = F.col("negative_percentage") <= F.col("mean_negative_pct")
     return insights.select(
         "parent_asin", "average_rating", "negative_percentage", "total_reviews",
-        F.round(mean_rating, 6).alias("mean_rating"),
-        F.round(mean_negative, 6).alias("mean_negative_pct")).withColumn(
+        F.round(means["rating"], 6).alias("mean_rating"),
+        F.round(means["negative"], 6).alias("mean_negative_pct")).withColumn(
         "quadrant",
         F.when(good & calm, "High Satisfaction").when(~good & ~calm, "High Friction")
         .when(good, "Well Rated, Many Complaints").otherwise("Low Rated, Few Complaints"))

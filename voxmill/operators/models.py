@@ -9,12 +9,13 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from voxmill.config import COMBINED, MAX_CHARS, SEED
 from voxmill.functions import labels, numbers, text as tx
+from voxmill.functions.binding import bind
 from voxmill.operators import evaluation, sampling
 from voxmill.session import cut
 
@@ -41,31 +42,44 @@ def check_labels(rows: DataFrame) -> None:
         raise UnknownLabel(f"unknown sentiment values: {sorted(str(r[0]) for r in unknown)}")
 
 
+def term_counts(text: Column) -> Column:
+    """A row's distinct words and word pairs with their counts, found inside the row: the terms
+    are sorted and the lengths of their runs taken, so nothing is shuffled to count them."""
+    grams = F.sort_array(tx.one_and_two_grams(tx.word_tokens(text)))
+
+    def runs(terms):
+        starts = F.filter(F.sequence(F.lit(1), F.size(terms)), lambda i: (i == 1) | (
+            F.element_at(terms, i) != F.element_at(terms, F.greatest(i - 1, F.lit(1)))))
+        ends = F.concat(F.slice(starts, 2, F.size(starts)), F.array(F.size(terms) + 1))
+        return F.zip_with(starts, ends, lambda a, b: F.struct(
+            F.element_at(terms, a).alias("term"), (b - a).cast("long").alias("tf")))
+
+    return bind(grams, lambda t: F.when(F.size(t) > 0, runs(t)))
+
+
+def row_terms(rows: DataFrame, text: str = "features_text") -> DataFrame:
+    """(row_id, term, tf)."""
+    return rows.select("row_id", F.inline(term_counts(F.col(text))))
+
+
 def vocabulary(rows: DataFrame, text: str = "features_text", size: int = 5000) -> DataFrame:
     """The ``size`` most frequent words and word pairs: (term, total, df)."""
-    grams = tx.one_and_two_grams(tx.word_tokens(F.col(text)))
-    # One entry per distinct term of a row, with its count, so a row's repeats are not shuffled.
-    terms = rows.select("row_id", F.explode(grams).alias("term")).groupBy("row_id", "term").agg(
-        F.count("*").alias("tf"))
-    return terms.groupBy("term").agg(F.sum("tf").alias("total"), F.count("*").alias("df")).orderBy(
+    return row_terms(rows, text).groupBy("term").agg(
+        F.sum("tf").alias("total"), F.count("*").alias("df")).orderBy(
         F.desc("total"), "term").limit(size)
 
 
 def tfidf_weights(rows: DataFrame, text: str = "features_text", size: int = 5000) -> DataFrame:
     """(row_id, term, weight): sublinear counts, smooth idf, unit length per row."""
-    grams = tx.one_and_two_grams(tx.word_tokens(F.col(text)))
-    terms = rows.select("row_id", F.explode(grams).alias("term")).groupBy("row_id", "term").agg(
-        F.count("*").alias("tf"))
     # The vocabulary has ``size`` rows by definition.
     vocab = F.broadcast(vocabulary(rows, text, size).select("term", "df"))
     total = rows.select(F.count("*")).scalar()
     idf = F.log((1.0 + total) / (1.0 + F.col("df"))) + 1.0
-    weighted = terms.join(vocab, "term").select(
-        "row_id", "term", ((1.0 + F.log("tf")) * idf).alias("raw"))
-    # A row's terms: at most the vocabulary.
-    lengths = weighted.groupBy("row_id").agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("len"))
-    return weighted.join(lengths, "row_id").select(
-        "row_id", "term", (F.col("raw") / F.col("len")).alias("weight"))
+    weighted = row_terms(rows, text).join(vocab, "term").select(
+        "row_id", "term", ((1.0 + F.log("tf")) * idf).alias("_raw"))
+    # A window holds one row's terms, at most the vocabulary.
+    length = F.sqrt(F.sum(F.col("_raw") * F.col("_raw")).over(Window.partitionBy("row_id")))
+    return weighted.select("row_id", "term", (F.col("_raw") / length).alias("weight"))
 
 
 class WordGrams(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable,

@@ -32,7 +32,9 @@ def value_histogram(df: DataFrame, groups: list[str], value: str) -> DataFrame:
 def value_counts(df: DataFrame, column: str, groups: list[str] = ()) -> DataFrame:
     """Counts and shares within the group; nulls are left out."""
     counts = value_histogram(df, list(groups), column)
-    return counts.withColumn("pct", F.round(share(F.col("n"), list(groups)) * 100, 6))
+    total = (F.sum("n").over(Window.partitionBy(*groups)) if groups
+             else counts.select(F.sum("n")).scalar())
+    return counts.withColumn("pct", F.round(F.col("n") / total * 100, 6))
 
 
 def share(value: Column, groups: list[str]) -> Column:
@@ -53,47 +55,51 @@ def quantiles(df: DataFrame, groups: list[str], value: str, points: dict[str, fl
         *groups, *[F.round(F.col("_q")[i], 6).alias(n) for i, n in enumerate(points)])
 
 
-def adjusted_skewness(value: Column | str) -> Column:
-    """Sample skewness, null below three values or without spread."""
-    n = F.count(value)
-    return F.when(
-        n > 2, F.skewness(value) * F.sqrt(n * (n - 1)) / (n - 2))
+def _summary(hist: DataFrame, groups: list[str], value: str, points: list[float]) -> DataFrame:
+    """n, mean, std, skew, min, max and quantiles of the values of a histogram.
+
+    The raw table is read once, for the histogram; centring it takes a second pass over its few
+    rows, which share one shuffle.
+    """
+    x, n = F.col(value).cast("double"), F.col("n")
+    first = hist.groupBy(*groups).agg(
+        F.sum(n).alias("count"), (F.sum(x * n) / F.sum(n)).alias("_mean"),
+        F.min(value).alias("min"), F.max(value).alias("max"),
+        F.percentile(value, points, n).alias("_q"))
+    off = x - F.col("_mean")
+    sums = [F.sum(off * off * n).alias("_m2"), F.sum(off * off * off * n).alias("_m3")]
+    if groups:
+        centred = hist.join(first.select(*groups, "_mean"), groups).groupBy(*groups).agg(*sums)
+        both = first.join(centred, groups)
+    else:
+        mean = first.select("_mean").scalar()
+        both = first.withColumn("_c", hist.withColumn("_mean", mean).agg(*sums).select(
+            F.struct("_m2", "_m3")).scalar()).select("*", "_c.*")
+    count, m2, m3 = F.col("count"), F.col("_m2"), F.col("_m3")
+    std = F.when(count > 1, F.sqrt(m2 / (count - 1)))
+    # Bias-corrected sample skewness, null below three values or without spread.
+    skew = F.when((count > 2) & (m2 > 0), (m3 / count) / F.pow(m2 / count, F.lit(1.5))
+                  * F.sqrt(count * (count - 1)) / (count - 2))
+    return both.withColumns({"mean": F.col("_mean"), "std": std, "skew": skew})
 
 
 def moments(df: DataFrame, value: str, groups: list[str] = ()) -> DataFrame:
     """mean, median, std and skew of a column."""
     groups = list(groups)
-    hist = value_histogram(df, groups, value)
-    plain = df.groupBy(*groups).agg(
-        F.count(value).alias("n"),
-        F.round(F.avg(value), 6).alias("mean"),
-        F.round(F.stddev_samp(value), 6).alias("std"),
-        F.round(adjusted_skewness(value), 6).alias("skew"),
-    )
-    median = hist.groupBy(*groups).agg(F.percentile(value, 0.5, F.col("n")).alias("median"))
-    return plain.join(median, groups) if groups else plain.withColumn(
-        "median", median.scalar())
+    stats = _summary(value_histogram(df, groups, value), groups, value, [0.5])
+    return stats.select(
+        *groups, F.col("count").alias("n"), F.col("_q")[0].alias("median"),
+        *[F.round(c, 6).alias(c) for c in ("mean", "std", "skew")])
 
 
 def describe(df: DataFrame, value: str, points: tuple[float, ...], groups: list[str] = ()
              ) -> DataFrame:
-    """count, mean, std, min, max and the given percentiles, from one histogram pass."""
+    """count, mean, std, min, max and the given percentiles."""
     groups = list(groups)
-    hist = value_histogram(df, groups, value)
-    x, n = F.col(value).cast("double"), F.col("n")
-    total = F.sum(n)
-    mean = F.sum(x * n) / total
-    variance = (F.sum(x * x * n) - F.sum(x * n) * mean) / F.nullif(total - 1, F.lit(0))
-    out = hist.groupBy(*groups).agg(
-        total.alias("count"),
-        F.round(mean, 6).alias("mean"),
-        F.round(F.sqrt(variance), 6).alias("std"),
-        F.min(value).alias("min"),
-        F.max(value).alias("max"),
-        F.percentile(value, list(points), n).alias("_q"),
-    )
-    return out.select(
-        *groups, "count", "mean", "std", "min", "max",
+    stats = _summary(value_histogram(df, groups, value), groups, value, list(points))
+    return stats.select(
+        *groups, "count", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"),
+        "min", "max",
         *[F.round(F.col("_q")[i], 6).alias(f"p{int(round(p * 100))}")
           for i, p in enumerate(points)])
 
@@ -116,36 +122,38 @@ def length_by(df: DataFrame, group: str, with_q75: bool = False) -> DataFrame:
     return wide
 
 
-def conditional_pct(condition: Column) -> Column:
-    return F.round(F.avg(F.when(condition, 100.0).otherwise(0.0)), 6)
+def _pct_of(condition: Column, n: Column) -> Column:
+    return F.round(F.sum(F.when(condition, n).otherwise(0)) / F.sum(n) * 100, 6)
 
 
 def by_verification(df: DataFrame) -> DataFrame:
-    rows = df.withColumn("word_count", tx.word_count(F.col("text")))
-    ratings = value_histogram(rows, ["verified_purchase"], "rating").groupBy(
-        "verified_purchase").agg(F.percentile("rating", 0.5, F.col("n")).alias("median_rating"))
-    stats = rows.groupBy("verified_purchase").agg(
-        F.round(F.avg("rating"), 6).alias("mean_rating"),
-        F.round(F.stddev_samp("rating"), 6).alias("std_rating"),
-        conditional_pct(F.col("sentiment") == "positive").alias("pct_positive"),
-        conditional_pct(F.col("sentiment") == "negative").alias("pct_negative"),
-        F.round(F.avg("word_count"), 6).alias("avg_words"),
-    )
-    return stats.join(ratings, "verified_purchase")
+    """Rating, sentiment and length per verification status. One pass reduces the reviews to
+    (status, rating, sentiment) cells; the rest is read off the cells."""
+    cells = df.withColumn("_words", tx.word_count(F.col("text"))).groupBy(
+        "verified_purchase", "rating", "sentiment").agg(
+        F.count("*").alias("n"), F.sum("_words").alias("_words"))
+    n = F.col("n")
+    ratings = cells.where("rating is not null").groupBy("verified_purchase", "rating").agg(
+        F.sum("n").alias("n"))
+    rated = _summary(ratings, ["verified_purchase"], "rating", [0.5]).select(
+        "verified_purchase", F.round("mean", 6).alias("mean_rating"),
+        F.col("_q")[0].alias("median_rating"), F.round("std", 6).alias("std_rating"))
+    shares = cells.groupBy("verified_purchase").agg(
+        _pct_of(F.col("sentiment") == "positive", n).alias("pct_positive"),
+        _pct_of(F.col("sentiment") == "negative", n).alias("pct_negative"),
+        F.round(F.sum("_words") / F.sum(n), 6).alias("avg_words"))
+    return shares.join(rated, "verified_purchase", "left")
 
 
 def votes_by_domain(df: DataFrame) -> DataFrame:
-    v = F.col("helpful_vote")
-    medians = value_histogram(df, ["domain"], "helpful_vote").groupBy("domain").agg(
-        F.percentile("helpful_vote", 0.5, F.col("n")).alias("median_votes"))
-    stats = df.groupBy("domain").agg(
-        F.round(F.avg(v), 6).alias("mean_votes"),
+    v, n = F.col("helpful_vote"), F.col("n")
+    return value_histogram(df, ["domain"], "helpful_vote").groupBy("domain").agg(
+        F.round(F.sum(v * n) / F.sum(n), 6).alias("mean_votes"),
+        F.percentile(v, 0.5, n).alias("median_votes"),
         F.max(v).alias("max_votes"),
-        conditional_pct(v == 0).alias("zero_pct"),
-        conditional_pct(v >= 1).alias("at_least_1_pct"),
-        conditional_pct(v >= 5).alias("at_least_5_pct"),
-    )
-    return stats.join(medians, "domain")
+        _pct_of(v == 0, n).alias("zero_pct"),
+        _pct_of(v >= 1, n).alias("at_least_1_pct"),
+        _pct_of(v >= 5, n).alias("at_least_5_pct"))
 
 
 def crosstab(df: DataFrame, rows: str, columns: str, normalize: str) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from voxmill.functions import aspects as asp, labels, numbers
-from voxmill.operators.skew import broadcast_if_small, rank_in_group
+from voxmill.operators.skew import broadcast_if_small, rank_in_group, semi_join
 
 REVIEW_BLOCK = 50_000
 QUERY_BLOCK = 2_000
@@ -84,9 +84,8 @@ def top_matches(
     queries = queries.select(*[
         F.col(c).alias(c) for c in ("query_id", key, "vec")],
         wish.alias("wish"), F.col("top_k").cast("int").alias("top_k"))
-    asked = queries.select(key).distinct()
-    reviews = reviews.select(key, "row_id", "vec", "is_negative", "is_positive").join(
-        asked, key, "left_semi")
+    reviews = semi_join(
+        reviews.select(key, "row_id", "vec", "is_negative", "is_positive"), queries, key)
     counts = broadcast_if_small(_block_counts(
         reviews.select(key), queries.select(key), key, review_block, query_block))
 

@@ -48,6 +48,15 @@ def broadcast_if_small(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
     return F.broadcast(stored) if stored.limit(max_rows + 1).count() <= max_rows else stored
 
 
+def semi_join(large: DataFrame, keys: DataFrame, key: str, max_rows: int = 200_000) -> DataFrame:
+    """Rows of ``large`` whose key is listed: the list is broadcast when it is counted to be
+    small, otherwise both sides are shuffled and hot keys spread."""
+    listed = cut(keys.select(key).distinct())
+    if listed.limit(max_rows + 1).count() <= max_rows:
+        return large.join(F.broadcast(listed), key, "left_semi")
+    return salted_join(large, listed, key, "left_semi")
+
+
 def rank_in_group(
     df: DataFrame, groups: list[str], order: list[Column], bucket: Column, out: str = "rank",
 ) -> DataFrame:
