@@ -50,8 +50,9 @@ def _constant(words) -> Column:
     return F.split(F.lit(" ".join(words)), " ")
 
 
-def _with_hits(text: Column, lexicon: dict, body: Callable[[Column], Column]) -> Column:
-    """``body`` over a (lowered, hits) struct. The text is lowered and split once; ``hits`` are
+def _with_hits(text: Column, domain: Column, lexicon: dict,
+               body: Callable[[Column], Column]) -> Column:
+    """``body`` over a (lowered, hits, domain) struct. The text is lowered and split once; ``hits`` are
     its words that occur in the lexicon at all, found by one hash lookup per word. What follows
     works on that usually short list instead of scanning the text for every aspect."""
     words, phrases = _terms([p for patterns in lexicon.values() for p in patterns])
@@ -61,7 +62,8 @@ def _with_hits(text: Column, lexicon: dict, body: Callable[[Column], Column]) ->
     def narrow(low):
         found = F.regexp_extract_all(low, F.lit(_EDGE + "+"), F.lit(0))
         return F.struct(
-            low.alias("lowered"), F.filter(found, lambda w: w.isin(known)).alias("hits"))
+            low.alias("lowered"), F.filter(found, lambda w: w.isin(known)).alias("hits"),
+            domain.alias("domain"))
 
     return bind(bind(lowered, narrow), body)
 
@@ -109,14 +111,21 @@ def candidate_aspects(domain: Column, unknown: str = "union") -> Column:
     )
 
 
-def allowed(aspect: str, domain: Column, unknown: str) -> Column:
+def _domain_flags(domain: Column, unknown: str) -> Column:
+    """(elec, fash): which list a review's aspects come from; unknown domains use ``unknown``."""
     name = F.initcap(F.coalesce(domain, F.lit("")))
+    if unknown == "Electronics":
+        fash = name == "Fashion"
+    else:
+        fash = name != "Electronics"
+    return F.struct((~fash).alias("elec"), fash.alias("fash"))
+
+
+def _allowed(aspect: str, w: Column) -> Column:
     in_elec, in_fash = (aspect in L.TAXONOMY[d] for d in ("Electronics", "Fashion"))
     if in_elec and in_fash:
         return F.lit(True)
-    if unknown == "Electronics":
-        return name != "Fashion" if in_elec else name == "Fashion"
-    return name.isin("Electronics") if in_elec else name != "Electronics"
+    return w["domain"]["elec"] if in_elec else w["domain"]["fash"]
 
 
 def _contains_any(lowered: Column, words) -> Column:
@@ -128,7 +137,7 @@ def tag_aspects(text: Column, domain: Column) -> Column:
     but holds a strongly negative word counts as ``quality``."""
     def tag(w):
         found = F.array_compact(F.array(*[
-            F.when(allowed(a, domain, "Electronics") & _mentions(w, L.REVIEW_LEXICON[a]), F.lit(a))
+            F.when(_allowed(a, w) & _mentions(w, L.REVIEW_LEXICON[a]), F.lit(a))
             for a in L.ASPECTS]))
         found = F.when(F.size(w["hits"]) > 0, found).otherwise(_no_aspects())
         return F.struct(found.alias("found"), w["lowered"].alias("lowered"))
@@ -138,13 +147,13 @@ def tag_aspects(text: Column, domain: Column) -> Column:
             (F.size(t["found"]) == 0) & _contains_any(t["lowered"], L.REVIEW_FALLBACK_WORDS),
             F.array(F.lit("quality"))).otherwise(t["found"])
 
-    return bind(_with_hits(text, L.REVIEW_LEXICON, tag), fall_back)
+    return bind(_with_hits(text, _domain_flags(domain, "Electronics"), L.REVIEW_LEXICON, tag), fall_back)
 
 
 def annotate_aspects(text: Column, domain: Column) -> Column:
     """First labels for an annotation set: never empty, ``quality`` by default."""
     def tag(w):
-        hit = {a: allowed(a, domain, "Fashion") & _mentions(w, L.ANNOTATION_LEXICON[a])
+        hit = {a: _allowed(a, w) & _mentions(w, L.ANNOTATION_LEXICON[a])
                for a in L.ASPECTS}
         hit["quality"] = hit["quality"] | _contains_any(w["lowered"], L.ANNOTATION_QUALITY_WORDS)
         return F.array_compact(F.array(*[F.when(hit[a], F.lit(a)) for a in L.ASPECTS]))
@@ -152,7 +161,7 @@ def annotate_aspects(text: Column, domain: Column) -> Column:
     def default(found):
         return F.when(F.size(found) == 0, F.array(F.lit("quality"))).otherwise(found)
 
-    return bind(_with_hits(text, L.ANNOTATION_LEXICON, tag), default)
+    return bind(_with_hits(text, _domain_flags(domain, "Fashion"), L.ANNOTATION_LEXICON, tag), default)
 
 
 def lexicon_scores(text: Column, domain: Column) -> Column:
@@ -164,11 +173,11 @@ def lexicon_scores(text: Column, domain: Column) -> Column:
 
     def entries(w):
         return F.array_compact(F.array(*[
-            F.when(allowed(a, domain, "Electronics"),
+            F.when(_allowed(a, w),
                    F.struct(F.lit(a).alias("aspect"), score(w, a).alias("score")))
             for a in L.ASPECTS]))
 
-    return F.map_from_entries(_with_hits(text, L.REVIEW_LEXICON, entries))
+    return F.map_from_entries(_with_hits(text, _domain_flags(domain, "Electronics"), L.REVIEW_LEXICON, entries))
 
 
 def select_by_threshold(scores: Column, threshold: float) -> Column:

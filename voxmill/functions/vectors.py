@@ -7,7 +7,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voxmill.functions.text import one_and_two_grams, word_tokens
+from voxmill.functions.text import word_tokens
 
 
 def inner_product(a: Column, b: Column) -> Column:
@@ -24,9 +24,9 @@ def unit(a: Column) -> Column:
 
 
 def text_vectors(df: DataFrame, text: str, out: str = "vec", dims: int = 256) -> DataFrame:
-    """Hashed word and word-pair counts, scaled to length one."""
-    hashed = HashingTF(numFeatures=dims, inputCol="_grams", outputCol="_tf")
+    """Hashed word counts, scaled to length one."""
+    hashed = HashingTF(numFeatures=dims, inputCol="_words", outputCol="_tf")
     scaled = Normalizer(p=2.0, inputCol="_tf", outputCol="_unit")
-    with_grams = df.withColumn("_grams", one_and_two_grams(word_tokens(F.col(text))))
-    vectors = scaled.transform(hashed.transform(with_grams))
-    return vectors.withColumn(out, vector_to_array("_unit")).drop("_grams", "_tf", "_unit")
+    with_words = df.withColumn("_words", word_tokens(F.col(text)))
+    vectors = scaled.transform(hashed.transform(with_words))
+    return vectors.withColumn(out, vector_to_array("_unit")).drop("_words", "_tf", "_unit")

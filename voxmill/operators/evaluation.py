@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from voxmill.config import COMBINED, LABELS
 from voxmill.functions import numbers, text as tx
+from voxmill.functions.labels import decode_label, encode_label
 
 
 def confusion_counts(
@@ -126,10 +127,12 @@ def class_weights(df: DataFrame, groups: list[str], label: str = "sentiment") ->
 
 
 def aligned_predictions(predictions: DataFrame, models: list[str], keys: list[str]) -> DataFrame:
-    """One row per sample with a column per model."""
-    wide = predictions.groupBy(*keys, "y_true").pivot("model", models).agg(F.min("y_pred"))
-    return wide.select(
-        *keys, "y_true", *[F.col(f"`{m}`").alias(f"pred_{m}") for m in models])
+    """One row per sample with a column per model. Labels travel as codes, which a hash
+    aggregation can hold and combine before the shuffle."""
+    code = encode_label(F.col("y_pred"))
+    wide = predictions.groupBy(*keys, "y_true").agg(*[
+        F.min(F.when(F.col("model") == m, code)).alias(f"pred_{m}") for m in models])
+    return wide.withColumns({f"pred_{m}": decode_label(F.col(f"pred_{m}")) for m in models})
 
 
 def error_analysis(aligned: DataFrame, baseline: str, tuned: str, other: str) -> DataFrame:

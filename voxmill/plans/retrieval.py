@@ -6,7 +6,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import functions as F
 
-from voxmill.functions import vectors
+from voxmill.functions import text as tx, vectors
 from voxmill.functions.lexicons import ASPECTS
 from voxmill.operators import answers, insights, retrieval
 from voxmill.plans import sql as S
@@ -140,7 +140,8 @@ def cosine_to_mean(spark, sf):
 
 def _text_case(spark, sf):
     """All user questions, each about the product its conversation falls to."""
-    docs = insights.enrich_reviews(views.doc_reviews(spark, sf), only_negative=False)
+    docs = insights.with_predictions(views.doc_reviews(spark, sf)).withColumn(
+        "full_text", tx.full_text(F.col("title"), F.col("text")))
     reviews = vectors.text_vectors(docs, "full_text")
     questions = views.user_questions(spark, sf).withColumn(
         "parent_asin", F.concat(F.lit("src"), F.col("conv_id") % 20))

@@ -19,6 +19,8 @@ def build_session(app: str = "voxmill", master: str | None = None, **conf) -> Sp
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.showConsoleProgress": "false",
+        # Recording the Python call site of every column doubles the time to build large plans.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
     settings.update({key: str(value) for key, value in conf.items()})
     for key, value in settings.items():
