@@ -101,7 +101,7 @@ def test_join_never_multiplies(spark):
     joined = products.join_reviews_with_products(reviews(spark), meta(spark))
     assert joined.count() == 3
     assert rows(products.unmatched_reviews(reviews(spark), meta(spark)), "row_id") == [(4,)]
-    assert rows(products.unmatched_products(reviews(spark), meta(spark))) == [("P3",)]
+    assert rows(products.unmatched_products(reviews(spark), meta(spark)), "parent_asin") == [("P3",)]
     check = products.join_validation(reviews(spark), meta(spark)).first().asDict()
     assert check == {
         "domain": "Electronics", "reviews_count_before_join": 4, "metadata_count_before_join": 4,
@@ -135,6 +135,20 @@ def test_minimum_reviews(spark):
     assert twenty.count() == 1
 
 
+def test_products_are_kept_per_domain(spark):
+    data = [(i, "P", "Electronics" if i < 25 else "Fashion") for i in range(30)]
+    df = spark.createDataFrame(data, "row_id long, parent_asin string, domain string")
+    catalog = spark.createDataFrame(
+        [(1, "P", "Electronics", "e"), (2, "P", "Fashion", "f")],
+        "row_id long, parent_asin string, domain string, title string")
+    kept, meta_kept = products.filter_by_min_reviews(df, catalog)
+    assert kept.count() == 25 and rows(meta_kept, "domain") == [("Electronics",)]
+    joined = products.join_reviews_with_products(df, catalog)
+    assert dict(joined.groupBy("product_title").count().collect()) == {"e": 25, "f": 5}
+    fewer = products.unmatched_reviews(df, catalog.where("domain = 'Fashion'"))
+    assert fewer.count() == 25
+
+
 def test_prices(spark):
     df = spark.createDataFrame([("$1,299.50",), (" None ",), (None,)], "p string")
     got = df.select(products.price_text(F.col("p")), products.price_number(F.col("p"))).collect()

@@ -1,3 +1,4 @@
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -13,9 +14,9 @@ def hot(spark, n=9000):
 
 
 def test_hot_keys_are_found_and_few(spark):
-    found = skew.hot_keys(hot(spark), "key", max_keys=10)
-    assert found == ["hot"]
-    assert len(skew.hot_keys(hot(spark), "key", max_keys=1000)) < 1000
+    assert rows(skew.hot_keys(hot(spark), "key", 1000)) == [("hot", 3)]
+    assert skew.hot_keys(hot(spark), "key").isEmpty()
+    assert skew.hot_keys(hot(spark), "key", 10).count() <= 900
 
 
 def test_salted_join_equals_plain_join(spark):
@@ -24,21 +25,22 @@ def test_salted_join_equals_plain_join(spark):
         "value", F.length("key"))
     for how in ("inner", "left", "left_semi", "left_anti"):
         plain = left.join(right, "key", how)
-        salted = skew.salted_join(left, right, "key", how, salts=8, identity=["row_id"])
-        assert rows(salted, *plain.columns) == rows(plain) if how != "left" else (
-            salted.exceptAll(plain.select(*salted.columns)).isEmpty())
-        assert salted.count() == plain.count()
+        for limits in ({"rows_per_task": 500}, {"rows_per_task": 5, "max_hot": 3}, {}):
+            salted = skew.salted_join(left, right, "key", how, identity=["row_id"], **limits)
+            assert salted.exceptAll(plain.select(*salted.columns)).isEmpty()
+            assert salted.count() == plain.count()
+    with pytest.raises(ValueError):
+        skew.salted_join(left, right, "key", "full")
 
 
 def test_salting_spreads_the_hot_key(spark):
     left = hot(spark)
     right = left.select("key").distinct()
-    spread = skew.salted_join(left, right, "key", salts=8, identity=["row_id"], hot=["hot"])
-    plan = spread._jdf.queryExecution().optimizedPlan().toString()
-    assert "_salt" in plan
-    salt = F.pmod(F.xxhash64("row_id"), F.lit(8))
+    spread = skew.salted_join(left, right, "key", rows_per_task=500, identity=["row_id"])
+    assert "_salt" in spread._jdf.queryExecution().optimizedPlan().toString()
+    salt = F.pmod(F.xxhash64("row_id"), F.lit(6))
     sizes = [r[1] for r in left.where("key = 'hot'").groupBy(salt).count().collect()]
-    assert len(sizes) == 8 and max(sizes) < 3000 / 4
+    assert len(sizes) == 6 and max(sizes) < 2 * 500
 
 
 def test_semi_join_both_ways(spark):
@@ -60,6 +62,15 @@ def test_rank_in_group_is_exact(spark):
         seen[key] = seen.get(key, 0) + 1
 
 
+def test_ranking_shuffles_the_rows_once(spark):
+    df = hot(spark, 3000).withColumn("payload", F.repeat(F.lit("x"), 20))
+    ranked = skew.rank_in_group(df, ["key"], [F.col("row_id")], F.shiftright("row_id", 5), "n")
+    plan = ranked._jdf.queryExecution().executedPlan().toString()
+    carrying = [line for line in plan.split("\n") if "Exchange" in line and "_bucket" in line]
+    # One for the rows, two for the counts (made, and sent back to the rows).
+    assert len(carrying) <= 3
+
+
 def test_rank_in_group_keeps_null_groups(spark):
     df = spark.createDataFrame([(1, None), (2, None), (3, "a")], "row_id long, key string")
     ranked = skew.rank_in_group(df, ["key"], [F.col("row_id")], F.shiftright("row_id", 1), "place")

@@ -79,7 +79,14 @@ def complaints_summary(ranked: Column, top: int = 4) -> Column:
 
 def product_insights(reviews: DataFrame, products: DataFrame, order: str = "row_id") -> DataFrame:
     """One row per product: volumes, shares, ratings, metadata and ranked complaints."""
-    totals = product_totals(enrich_reviews(reviews), order)
+    return insights_from_enriched(enrich_reviews(reviews), products, order)
+
+
+def insights_from_enriched(
+    enriched: DataFrame, products: DataFrame, order: str = "row_id",
+) -> DataFrame:
+    """As :func:`product_insights`, from reviews that already carry predictions and aspects."""
+    totals = product_totals(enriched, order)
     meta = unique_products(products).select(
         "parent_asin", F.col("title").alias("_title"), "price",
         F.col("average_rating").alias("meta_average_rating"))

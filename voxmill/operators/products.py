@@ -12,6 +12,7 @@ from voxmill.operators.skew import salted_join
 
 # Spellings of a missing price.
 NULL_PRICES = ("none", "nan", "null")
+KEYS = ("domain", "parent_asin")
 JOINED_COLUMNS = ("title", "average_rating", "price", "description", "categories", "store")
 
 
@@ -78,12 +79,21 @@ def metadata_quality(meta: DataFrame) -> DataFrame:
 def product_columns(meta: DataFrame) -> DataFrame:
     """The metadata columns a joined review carries, the title under its own name."""
     present = [c for c in JOINED_COLUMNS if c in meta.columns]
-    return meta.select("parent_asin", *[
+    keys = [c for c in KEYS if c in meta.columns]
+    return meta.select(*keys, *[
         F.col(c).alias("product_title" if c == "title" else c) for c in present])
 
 
-def unique_products(meta: DataFrame) -> DataFrame:
-    return keep_first(with_trimmed_key(meta), [F.col("parent_asin")], "row_id")
+def shared_keys(a: DataFrame, b: DataFrame) -> list[str]:
+    """A product is known by its key within a domain, or by the key alone where one of the
+    tables does not name the domain."""
+    return [c for c in KEYS if c in a.columns and c in b.columns]
+
+
+def unique_products(meta: DataFrame, keys: list[str] = ("parent_asin",)) -> DataFrame:
+    """One row per key: the first by ``row_id``, or by title where the table has no row order."""
+    order = F.col("row_id") if "row_id" in meta.columns else F.col("title")
+    return keep_first(with_trimmed_key(meta), [F.col(k) for k in keys], order)
 
 
 def join_reviews_with_products(
@@ -92,20 +102,24 @@ def join_reviews_with_products(
 ) -> DataFrame:
     """Reviews of known products. The product side is unique per key, so no review multiplies;
     hot products are spread over several tasks. ``counted`` receives the joined row count."""
-    left = with_trimmed_key(reviews)
-    joined = salted_join(
-        left, product_columns(unique_products(meta)), "parent_asin", identity=identity)
+    left, keys = with_trimmed_key(reviews), shared_keys(reviews, meta)
+    right = product_columns(unique_products(meta, keys))
+    right = right.drop(*[c for c in KEYS if c not in keys])
+    joined = salted_join(left, right, keys, identity=identity)
     return joined.observe(counted, F.count("*").alias("joined")) if counted else joined
 
 
 def unmatched_reviews(reviews: DataFrame, meta: DataFrame) -> DataFrame:
-    keys = with_trimmed_key(meta).select("parent_asin").distinct()
-    return salted_join(with_trimmed_key(reviews), keys, "parent_asin", "left_anti")
+    keys = shared_keys(reviews, meta)
+    known = with_trimmed_key(meta).select(*keys).distinct()
+    return salted_join(with_trimmed_key(reviews), known, keys, "left_anti")
 
 
 def unmatched_products(reviews: DataFrame, meta: DataFrame) -> DataFrame:
-    keys = with_trimmed_key(reviews).select("parent_asin").distinct()
-    return keys.join(with_trimmed_key(meta).select("parent_asin"), "parent_asin", "left_anti")
+    """Keys that have reviews but no metadata."""
+    keys = shared_keys(reviews, meta)
+    return with_trimmed_key(reviews).select(*keys).distinct().join(
+        with_trimmed_key(meta).select(*keys), keys, "left_anti")
 
 
 def join_validation(reviews: DataFrame, meta: DataFrame) -> DataFrame:
@@ -163,10 +177,11 @@ def filter_by_min_reviews(
     reviews: DataFrame, meta: DataFrame, min_reviews: int = MIN_REVIEWS_PER_PRODUCT,
 ) -> tuple[DataFrame, DataFrame]:
     """Reviews and metadata of the products that have enough reviews."""
-    kept = products_with_min_reviews(reviews, min_reviews).select("parent_asin").distinct()
+    kept = products_with_min_reviews(reviews, min_reviews)
+    keys = shared_keys(meta, kept)
     return (
-        salted_join(reviews, kept, "parent_asin", "left_semi"),
-        meta.join(kept, "parent_asin", "left_semi"),
+        salted_join(reviews, kept.select(*KEYS), list(KEYS), "left_semi"),
+        meta.join(kept.select(*keys), keys, "left_semi"),
     )
 
 
@@ -224,11 +239,11 @@ def sample_metadata(
     meta: DataFrame, targets: DataFrame | None = None, sample_size: int | None = None,
 ) -> DataFrame:
     """First row per key, restricted to wanted keys, at most ``sample_size`` in file order."""
-    keyed = meta.where(has_key())
+    keyed, keys = meta.where(has_key()), [c for c in KEYS if c in meta.columns]
     if targets is not None:
-        keyed = keyed.join(
-            targets.select("parent_asin").distinct(), "parent_asin", "left_semi")
-    unique = keep_first(keyed, [F.col("parent_asin")], "row_id")
+        wanted = shared_keys(meta, targets)
+        keyed = keyed.join(targets.select(*wanted).distinct(), wanted, "left_semi")
+    unique = keep_first(keyed, [F.col(k) for k in keys], "row_id")
     return unique if sample_size is None else unique.orderBy("row_id").limit(sample_size)
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voxmill.config import SEED
-from voxmill.operators.skew import rank_in_group
+from voxmill.operators.skew import broadcast_if_small, rank_in_group
 
 
 def seeded_order(identity: str, seed: int = SEED) -> Column:
@@ -81,7 +81,8 @@ def stratified_split(
     ranked = rank_in_group(
         keyed, strata + [label], [F.col("_order"), F.col(identity)],
         F.substring("_order", 1, bucket_digits), out="_rank")
-    sizes = split_sizes(df, strata, label, test_size, val_size)
+    # One row per stratum and label. Joined by shuffle, the rows of a label would meet in one task.
+    sizes = broadcast_if_small(split_sizes(df, strata, label, test_size, val_size))
     joined = ranked.join(sizes, strata + [label])
     split = (
         F.when(F.col("_rank") < F.col("n_train"), "train")

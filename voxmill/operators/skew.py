@@ -7,38 +7,48 @@ from pyspark.sql import functions as F
 
 from voxmill.session import cut
 
-MAX_HOT_KEYS = 1000
+ROWS_PER_TASK = 2_000_000
 
 
-def hot_keys(df: DataFrame, key: str, max_keys: int = MAX_HOT_KEYS) -> list:
-    """Keys holding more than ``1/max_keys`` of all rows: fewer than ``max_keys`` by arithmetic,
-    so the list is safe to bring to the driver. Reads one column, pre-aggregated."""
-    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
-    total = df.select(F.count("*").alias("_total"))
-    hot = counts.where(F.col("_n") * max_keys > total.scalar())
-    return [row[0] for row in hot.select(key).limit(max_keys).collect()]
+def hot_keys(
+    df: DataFrame, on: str | list[str], rows_per_task: int = ROWS_PER_TASK,
+) -> DataFrame:
+    """(key columns, _salts): keys with more rows than one task should hold and the number of tasks they
+    need. There are at most rows / ``rows_per_task`` of them. Reads the key only; counts are
+    combined before the shuffle."""
+    keys = [on] if isinstance(on, str) else list(on)
+    n = F.col("_n")
+    return (
+        df.select(*keys).na.drop().groupBy(*keys).agg(F.count("*").alias("_n"))
+        .where(n > rows_per_task)
+        .select(*keys, F.ceil(n / rows_per_task).cast("int").alias("_salts")))
 
 
 def salted_join(
-    left: DataFrame, right: DataFrame, key: str, how: str = "inner",
-    salts: int = 64, identity: list[str] | None = None, hot: list | None = None,
+    left: DataFrame, right: DataFrame, on: str | list[str], how: str = "inner",
+    rows_per_task: int = ROWS_PER_TASK, identity: list[str] | None = None,
+    max_hot: int = 200_000,
 ) -> DataFrame:
     """Equi-join of a large ``left`` with a ``right`` that is unique per key.
 
-    Rows of a hot key are spread over ``salts`` tasks and the one matching right row is copied
-    to each. The salt comes from the row itself, so a recomputed task repeats it.
+    The rows of a hot key are spread over as many tasks as they need and the one matching right
+    row is copied to each. The salt comes from the row itself, so a recomputed task repeats it.
+    Without hot keys, or with more of them than may be broadcast, this is a plain join, where
+    adaptive execution splits what is left of the skew.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"salting cannot serve a {how} join")
-    hot = hot_keys(left, key) if hot is None else hot
-    if not hot:
-        return left.join(right, key, how)
-    spread = F.col(key).isin(hot)
-    salt = F.pmod(F.xxhash64(*(identity or left.columns)), F.lit(salts)).cast("int")
-    salted = left.withColumn("_salt", F.when(spread, salt).otherwise(0))
-    copies = F.when(spread, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    copied = right.withColumn("_salt", F.explode(copies))
-    return salted.join(copied, [key, "_salt"], how).drop("_salt")
+    keys = [on] if isinstance(on, str) else list(on)
+    hot = cut(hot_keys(left, keys, rows_per_task))
+    found = hot.limit(max_hot + 1).count()
+    if found == 0 or found > max_hot:
+        return left.join(right, keys, how)
+    salts = F.coalesce("_salts", F.lit(1))
+    number = F.pmod(F.xxhash64(*(identity or left.columns)), salts).cast("int")
+    copies = F.sequence(F.lit(0), salts - 1)
+    salted = left.join(F.broadcast(hot), keys, "left").withColumn("_salt", number)
+    copied = right.join(F.broadcast(hot), keys, "left").withColumn("_salt", F.explode(copies))
+    return salted.drop("_salts").join(copied.drop("_salts"), keys + ["_salt"], how).drop("_salt")
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
@@ -65,19 +75,16 @@ def rank_in_group(
     ``bucket`` must not decrease along ``order``. Rows are numbered inside (group, bucket); the
     rows of earlier buckets are added from a table of counts.
     """
-    keyed = df.withColumn("_bucket", bucket)
-    keys = groups + ["_bucket"]
-    earlier = Window.partitionBy(*groups).orderBy("_bucket").rowsBetween(
+    # A struct of the group columns: equal also where a column is null, and one partitioning
+    # serves the counts, the numbering and the join.
+    keyed = df.withColumns({"_group": F.struct(*groups), "_bucket": bucket})
+    earlier = Window.partitionBy("_group").orderBy("_bucket").rowsBetween(
         Window.unboundedPreceding, -1)
     offsets = (
-        keyed.groupBy(*keys).agg(F.count("*").alias("_n"))
+        keyed.groupBy("_group", "_bucket").agg(F.count("*").alias("_n"))
         .withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).drop("_n")
     )
-    inner = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    ranked = keyed.withColumn("_inner", inner)
-    condition = [ranked[k].eqNullSafe(offsets[k]) for k in keys]
-    joined = ranked.join(offsets, condition, "inner")
-    for k in keys:
-        joined = joined.drop(offsets[k])
+    inner = F.row_number().over(Window.partitionBy("_group", "_bucket").orderBy(*order))
+    joined = keyed.withColumn("_inner", inner).join(offsets, ["_group", "_bucket"])
     return joined.withColumn(out, F.col("_before") + F.col("_inner") - 1).drop(
-        "_before", "_inner", "_bucket")
+        "_before", "_inner", "_bucket", "_group")

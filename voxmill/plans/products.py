@@ -82,8 +82,8 @@ SELECT review_key, parent_asin FROM item_reviews
 WHERE parent_asin NOT IN (SELECT parent_asin FROM metadata)""")
 def unmatched_reviews(spark, sf):
     return products.unmatched_reviews(
-        views.item_reviews(spark, sf).select("review_key", "parent_asin"),
-        views.raw_metadata(spark, sf))
+        views.item_reviews(spark, sf).select("review_key", "domain", "parent_asin"),
+        views.raw_metadata(spark, sf)).select("review_key", "parent_asin")
 
 
 @query(S.with_(S.ITEM, S.META) + """
@@ -91,7 +91,7 @@ SELECT DISTINCT parent_asin FROM item_reviews
 EXCEPT SELECT parent_asin FROM metadata""")
 def unmatched_products(spark, sf):
     return products.unmatched_products(
-        views.item_reviews(spark, sf), views.raw_metadata(spark, sf))
+        views.item_reviews(spark, sf), views.raw_metadata(spark, sf)).select("parent_asin")
 
 
 @query(S.with_(S.ITEM, S.META, _DIRTY) + """,
