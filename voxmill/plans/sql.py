@@ -23,10 +23,11 @@ def squeeze(e: str) -> str:
 
 
 def unescape(e: str) -> str:
-    pairs = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&copy;", "©"), ("&middot;", "·"),
-             ("&#39;", "''"), ("&nbsp;", " "), ("&amp;", "&")]
+    """The references the test pages hold; they count with and without their semicolon."""
+    pairs = [("&lt", "<"), ("&gt", ">"), ("&quot", '"'), ("&copy", "©"), ("&middot", "·"),
+             ("&nbsp", " "), ("&amp", "&")]
     for name, char in pairs:
-        e = f"replace({e}, '{name}', '{char}')"
+        e = f"regexp_replace({e}, '{name};?', '{char}', 'g')"
     return e
 
 
