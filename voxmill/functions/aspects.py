@@ -147,7 +147,8 @@ def tag_aspects(text: Column, domain: Column) -> Column:
             (F.size(t["found"]) == 0) & _contains_any(t["lowered"], L.REVIEW_FALLBACK_WORDS),
             F.array(F.lit("quality"))).otherwise(t["found"])
 
-    return bind(_with_hits(text, _domain_flags(domain, "Electronics"), L.REVIEW_LEXICON, tag), fall_back)
+    flags = _domain_flags(domain, "Electronics")
+    return bind(_with_hits(text, flags, L.REVIEW_LEXICON, tag), fall_back)
 
 
 def annotate_aspects(text: Column, domain: Column) -> Column:
@@ -161,7 +162,8 @@ def annotate_aspects(text: Column, domain: Column) -> Column:
     def default(found):
         return F.when(F.size(found) == 0, F.array(F.lit("quality"))).otherwise(found)
 
-    return bind(_with_hits(text, _domain_flags(domain, "Fashion"), L.ANNOTATION_LEXICON, tag), default)
+    flags = _domain_flags(domain, "Fashion")
+    return bind(_with_hits(text, flags, L.ANNOTATION_LEXICON, tag), default)
 
 
 def lexicon_scores(text: Column, domain: Column) -> Column:
@@ -177,7 +179,8 @@ def lexicon_scores(text: Column, domain: Column) -> Column:
                    F.struct(F.lit(a).alias("aspect"), score(w, a).alias("score")))
             for a in L.ASPECTS]))
 
-    return F.map_from_entries(_with_hits(text, _domain_flags(domain, "Electronics"), L.REVIEW_LEXICON, entries))
+    flags = _domain_flags(domain, "Electronics")
+    return F.map_from_entries(_with_hits(text, flags, L.REVIEW_LEXICON, entries))
 
 
 def select_by_threshold(scores: Column, threshold: float) -> Column:
