@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxmill.llm import mixing, rules, sharding
+from voxmill.llm import exact, mixing, packing, rules, sharding
 from voxmill.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,11 +24,25 @@ def query(sql: str | None = None):
     return register
 
 
+@query("""
+SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
+  doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))""")
+def op1_radix_dedup(spark, sf):
+    docs = documents(spark, sf).select("doc_id", "text")
+    return exact.exact_groups(docs, carry_text=False)
+
+
 def _draw(key: str, salt: str) -> str:
     return (f"((('0x' || substr(md5({key} || ':' || {salt}), 1, 13))::BIGINT)::DOUBLE + 0.5)"
             " / 4503599627370496.0")
 
 
+@query()
+def op2_best_fit_packing(spark, sf):
+    return packing.packed_placements(documents(spark, sf))
+
+
 #: The hot source is brought down to the share of each other one.
 MIX_WEIGHTS: dict[str, float] = {}
 
