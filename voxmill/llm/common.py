@@ -56,3 +56,29 @@ def without(columns: list[str], *names: str) -> list[str]:
 
 def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
+
+
+#: Parts a hot key is split into where the parts that occur are held as bits of one long.
+BITS = 64
+
+
+def bit_salt(*columns: Column | str) -> Column:
+    return F.pmod(F.xxhash64(*columns), F.lit(BITS)).cast("int")
+
+
+def salt_bits(column: str = "_salt") -> Column:
+    """Aggregate: the salts of a group as bits, a fixed-size state that combines before the shuffle."""
+    return F.bit_or(F.expr(f"shiftleft(1L, {column})"))
+
+
+def each_salt(column: str = "_bits") -> Column:
+    return F.explode(F.expr(f"filter(sequence(0, {BITS - 1}), i -> (shiftright({column}, i) & 1L) = 1L)"))
+
+
+def spread_join(left: DataFrame, right: DataFrame, on: list[str], by: str, how: str = "inner") -> DataFrame:
+    """``left`` joined with ``right``, which is unique by ``on``. A key that fills many rows of
+    ``left`` is dealt to up to BITS tasks by the column ``by``; the right row is copied to those."""
+    salted = left.withColumn("_salt", bit_salt(by))
+    wanted = salted.groupBy(*on).agg(salt_bits().alias("_bits"))
+    copied = right.join(wanted, on).withColumn("_salt", each_salt()).drop("_bits")
+    return salted.join(copied, [*on, "_salt"], how).drop("_salt")

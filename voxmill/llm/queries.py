@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxmill.llm import exact, mixing, packing, rules, sharding
+from voxmill.llm import exact, minhash, mixing, packing, rules, sharding
 from voxmill.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -138,3 +138,9 @@ FROM dealt, remainders""")
 def op5_rendezvous_shards(spark, sf):
     docs = documents(spark, sf).select("doc_id", "text")
     return sharding.shard(docs).withColumn("law", F.lit("key"))
+
+
+@query()
+def op8_minhash_near_dedup(spark, sf):
+    found = minhash.near_duplicates(documents(spark, sf), size=4)
+    return found.withColumnRenamed("_id", "doc_id").drop("_key")
