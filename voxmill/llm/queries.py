@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxmill.llm import exact, minhash, mixing, packing, rules, sharding
+from voxmill.llm import classifier, exact, minhash, mixing, packing, rules, secrets, sharding
 from voxmill.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -140,7 +140,37 @@ def op5_rendezvous_shards(spark, sf):
     return sharding.shard(docs).withColumn("law", F.lit("key"))
 
 
+def _span_list(spans):
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(
+        ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+
+@query()
+def op6_secret_scan(spark, sf):
+    found = secrets.find_secrets(documents(spark, sf))
+    of = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    base = F.filter("spans", lambda s: s["kind"].isin([r.kind for r in secrets.BASE_RULES]))
+    return found.select(
+        "doc_id", *[of(r.kind).alias(f"n_{r.kind}") for r in secrets.BASE_RULES],
+        F.sha2(_span_list(base), 256).alias("base_sha256"), _span_list("spans").alias("spans"))
+
+
 @query()
 def op8_minhash_near_dedup(spark, sf):
     found = minhash.near_duplicates(documents(spark, sf), size=4)
     return found.withColumnRenamed("_id", "doc_id").drop("_key")
+
+
+def _fold(column: str, folds: int):
+    return F.crc32(F.col(column).cast("string")) % folds
+
+
+@query()
+def op10_quality_classifier(spark, sf):
+    """Learned from labelled rows outside fold 2 of 4, applied to all."""
+    docs = documents(spark, sf)
+    labels = spark.read.parquet(f"{sf}/labels.parquet").where(_fold("doc_id", 4) != 2)
+    scored = classifier.score(docs, classifier.fit(docs, labels))
+    return scored.select(
+        "doc_id", F.coalesce(_fold("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"))
