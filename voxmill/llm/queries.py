@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxmill.llm import classifier, exact, minhash, mixing, packing, rules, secrets, sharding
+from voxmill.llm import classifier, exact, minhash, mixing, packing, rules, secrets, sharding, suffixtree
 from voxmill.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -165,6 +165,14 @@ def _fold(column: str, folds: int):
     return F.crc32(F.col(column).cast("string")) % folds
 
 
+@query()
+def op9_suffix_tree_scores(spark, sf):
+    """Learned from fold 1 to 9 of 10, applied to all."""
+    scored = suffixtree.score(documents(spark, sf), train=_fold("doc_id", 10) != 0)
+    return scored.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known",
+                         "train_tokens", "base_score", "score")
+
+
 @query()
 def op10_quality_classifier(spark, sf):
     """Learned from labelled rows outside fold 2 of 4, applied to all."""
