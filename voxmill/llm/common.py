@@ -82,3 +82,11 @@ def spread_join(left: DataFrame, right: DataFrame, on: list[str], by: str, how:
     wanted = salted.groupBy(*on).agg(salt_bits().alias("_bits"))
     copied = right.join(wanted, on).withColumn("_salt", each_salt()).drop("_bits")
     return salted.join(copied, [*on, "_salt"], how).drop("_salt")
+
+
+def release(spark: SparkSession) -> None:
+    """Ask the driver to collect garbage: shuffle files of finished jobs are deleted only then."""
+    import gc
+
+    gc.collect()
+    spark._jvm.System.gc()

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxmill.llm import classifier, exact, minhash, mixing, packing, rules, secrets, sharding, suffixtree
+from voxmill.llm import classifier, exact, minhash, mixing, packing, repeats, rules, secrets, sharding, suffixtree
 from voxmill.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -155,6 +155,11 @@ def op6_secret_scan(spark, sf):
         F.sha2(_span_list(base), 256).alias("base_sha256"), _span_list("spans").alias("spans"))
 
 
+@query()
+def op7_repeated_passages(spark, sf):
+    return repeats.repeated_bytes(documents(spark, sf))
+
+
 @query()
 def op8_minhash_near_dedup(spark, sf):
     found = minhash.near_duplicates(documents(spark, sf), size=4)
