@@ -90,3 +90,10 @@ def release(spark: SparkSession) -> None:
 
     gc.collect()
     spark._jvm.System.gc()
+
+
+def keeping(docs: DataFrame, operator, *named: str) -> DataFrame:
+    """``operator(docs)`` with the columns of ``docs`` only, whatever the others are called: columns
+    besides ``named`` have other names while the operator runs."""
+    safe = [c if c in named else f"_c{i}" for i, c in enumerate(docs.columns)]
+    return operator(docs.toDF(*safe)).select(*safe).toDF(*docs.columns)

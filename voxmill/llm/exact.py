@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voxmill.llm.common import quoted, salt, stored, without
+from voxmill.llm.common import keeping, quoted, salt, stored, without
 
 #: Bytes of the first digit; each later digit is WIDEN times as wide as all before it, so a text of
 #: n bytes takes about log(n) rounds and every byte is compared once.
@@ -91,5 +91,4 @@ def exact_groups(
 
 def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with the columns of ``docs``; see ``exact_groups``."""
-    safe = [f"_c{i}" if c not in (key, text) else c for i, c in enumerate(docs.columns)]
-    return exact_groups(docs.toDF(*safe), key, text).where("kept").select(*safe).toDF(*docs.columns)
+    return keeping(docs, lambda d: exact_groups(d, key, text).where("kept"), key, text)
