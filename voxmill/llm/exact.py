@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from voxmill.llm.common import keeping, quoted, salt, stored, without
 
 #: Bytes of the first digit; each later digit is WIDEN times as wide as all before it, so a text of
-#: n bytes takes about log(n) rounds and every byte is compared once.
+#: n bytes takes about log(n) rounds.
 FIRST_BYTES = 64
 WIDEN = 7
 
@@ -62,7 +62,8 @@ def exact_groups(
     done = [rows.where("_done").select(
         "_row", "_text", "_sha", F.col("_id").alias("keep_id"),
         F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"))]
-    active, depth, width = rows.where("not _done"), FIRST_BYTES, FIRST_BYTES * WIDEN
+    # The first round only told which rows are alone; the next digit begins anew with its bytes.
+    active, depth, width = rows.where("not _done"), 0, FIRST_BYTES * (1 + WIDEN)
     while active.limit(1).count():
         digits = active.withColumn("_digit", F.substring(_bytes(), depth + 1, width))
         groups = _split(
