@@ -98,15 +98,12 @@ def _classes(texts: DataFrame, length: int) -> DataFrame:
             for at in range(0, whole.num_rows, 1000):
                 batch = whole.slice(at, 1000)
                 values = batch.column(3).to_pylist()
-                lists = []
-                for parts in anchors(values, length):
-                    g, c, pos = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (np.empty(0),) * 3
-                    lists.append((g, c, pos))
-                offsets = np.cumsum([0, *[len(g) for g, _, _ in lists]])
-                g, c, pos = (np.concatenate([x[k] for x in lists]) for k in range(3))
+                found = anchors(values, length)
+                offsets = np.cumsum([0, *[sum(len(g) for g, _, _ in parts) for parts in found]])
+                g, c, pos = (np.concatenate([np.empty(0, kind), *[part[k] for parts in found for part in parts]])
+                             for k, kind in enumerate((np.uint64, np.uint64, np.int64)))
                 items = pa.StructArray.from_arrays(
-                    [pa.array(g.astype(np.uint64).view(np.int64)), pa.array(c.astype(np.uint64).view(np.int64)),
-                     pa.array(pos.astype(np.int64))], ["g", "c", "pos"])
+                    [pa.array(g.view(np.int64)), pa.array(c.view(np.int64)), pa.array(pos)], ["g", "c", "pos"])
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), batch.column(1), batch.column(2), pa.array([len(v) for v in values], pa.int64()),
                      pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), items)],
