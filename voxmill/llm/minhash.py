@@ -17,8 +17,8 @@ from voxmill.llm.words import blocks, hashed_words, mixed
 BANDS, ROWS = 28, 4
 #: A candidate whose signatures agree by less cannot reach 0.8: that is six standard deviations off.
 LEAST_AGREEMENT = 0.8 - 6 * (0.8 * 0.2 / (BANDS * ROWS)) ** 0.5
-#: Members of an unresolved bucket that are compared with each other in one step.
-BLOCK_MEMBERS = 512
+#: Classes, and shingles, of a block of an unresolved family; columns of a matrix.
+BLOCK_MEMBERS, BLOCK_ITEMS, COLUMNS = 512, 1 << 20, 4096
 
 _draw = np.random.Generator(np.random.PCG64(20240607))
 _A = _draw.integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -182,42 +182,73 @@ def components(links: DataFrame) -> DataFrame:
         edges = after
 
 
-def _across(members: DataFrame) -> DataFrame:
-    """Pairs (a, b, agreement) of one bucket and different components whose signatures agree.
+def _across(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between the components that meet in a unit: a spanning forest of each block pair.
 
-    ``members``: _b, node, root, sig, _n (the bucket's size). A bucket is cut into blocks; each pair
-    of blocks is compared as two matrices, so work is bounded per task and only agreeing pairs
-    leave it.
+    ``members``: unit, node, root, items (how many shingles). A unit is cut into blocks; the full
+    sets of each pair of blocks are multiplied as two matrices, so work is bounded per task, all
+    intersections are exact, and a pair of blocks returns fewer rows than it has members.
     """
-    many = F.ceil(F.col("_n") / BLOCK_MEMBERS).cast("int")
-    own = F.pmod(F.xxhash64("node"), F.col("_m")).cast("int")
-    dealt = members.withColumn("_m", many).withColumn("_own", own).withColumn(
-        "_pair", F.explode(F.expr("transform(sequence(0, _m - 1), j -> struct(least(_own, j) as i, greatest(_own, j) as j))")))
+    sizes = members.groupBy("unit").agg(salt_bits().alias("_bits"), F.greatest(
+        F.ceil(F.count("*") / BLOCK_MEMBERS), F.ceil(F.sum("items") / BLOCK_ITEMS)).cast("int").alias("_m"))
+    dealt = members.join(sizes.withColumn("_salt", each_salt()).drop("_bits"), ["unit", "_salt"]).withColumn(
+        "_own", F.pmod(F.xxhash64("node"), F.col("_m")).cast("int"))
+    pairs = F.expr("transform(sequence(0, _m - 1), j -> struct(least(_own, j) as i, greatest(_own, j) as j))")
+    dealt = dealt.join(sets, "node").withColumn("_pair", F.explode(pairs))
 
     def compare(group: pa.Table) -> pa.Table:
-        node, root, block = (group.column(c).to_numpy() for c in ("node", "root", "_own"))
-        sig = np.frombuffer(b"".join(group.column("sig").to_pylist()), np.uint32).reshape(-1, BANDS * ROWS)
+        root, block = group.column("root").to_numpy(), group.column("_own").to_numpy()
         pair = group.column("_pair")[0].as_py()
-        left, right = np.flatnonzero(block == pair["i"]), np.flatnonzero(block == pair["j"])
-        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        for i in left:
-            share = (sig[right] == sig[i]).mean(axis=1)
-            good = (share >= LEAST_AGREEMENT) & (root[right] != root[i])
-            if pair["i"] == pair["j"]:
-                good &= right > i
-            hits = right[good]
-            found.append((np.full(len(hits), node[i]), node[hits], share[good]))
-        a, b, share = (np.concatenate(x) if found else np.empty(0) for x in zip(*found, strict=True)) if found else (
-            np.empty(0), np.empty(0), np.empty(0))
-        return pa.table({"a": pa.array(np.minimum(a, b).astype(np.int64)), "b": pa.array(
-            np.maximum(a, b).astype(np.int64)), "agreement": pa.array(share.astype(float))})
-
-    return dealt.select("_b", "node", "root", "sig", "_own", "_pair").groupBy("_b", "_pair").applyInArrow(
-        compare, "a long, b long, agreement double").groupBy("a", "b").agg(F.max("agreement").alias("agreement"))
+        found = [np.frombuffer(x, np.uint64) for x in group.column("items").to_pylist()]
+        links = linked_roots(found, root, np.flatnonzero(block == pair["i"]), np.flatnonzero(block == pair["j"]), percent)
+        return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
+
+    return dealt.select("unit", "node", "root", "_own", "_pair", sets["items"]).groupBy("unit", "_pair").applyInArrow(
+        compare, "a long, b long")
+
+
+def linked_roots(
+    sets: list[np.ndarray], root: np.ndarray, left: np.ndarray, right: np.ndarray, percent: int,
+) -> list[tuple[int, int]]:
+    """A spanning forest over components, of the links between sets ``left`` and sets ``right``."""
+    sizes = np.array([len(s) for s in sets])
+    _, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    member = np.repeat(np.arange(len(sets)), sizes)
+    # Items of a single set are in no intersection; the others get consecutive columns.
+    number = np.cumsum(count > 1) - 1
+    shared = count[column] > 1
+    column, member = number[column[shared]], member[shared]
+    common = np.zeros((len(left), len(right)), np.float32)
+    order = np.argsort(column, kind="stable")
+    column, member = column[order], member[order]
+    for first in range(0, int(number[-1]) + 1 if len(number) else 0, COLUMNS):
+        part = slice(*np.searchsorted(column, [first, first + COLUMNS]))
+        matrix = np.zeros((len(sets), COLUMNS), np.float32)
+        matrix[member[part], column[part] - first] = 1
+        common += matrix[left] @ matrix[right].T
+    either = sizes[left][:, None] + sizes[right][None, :] - common
+    names, place = np.unique(root, return_inverse=True)
+    i, j = np.nonzero((100 * common >= percent * either) & (root[left][:, None] != root[right][None, :]))
+    near = np.zeros((len(names), len(names)), bool)
+    near[place[left[i]], place[right[j]]] = True
+    near |= near.T
+    new, forest = np.ones(len(names), bool), []
+    for start in range(len(names)):
+        if not new[start]:
+            continue
+        new[start], reached = False, [start]
+        while reached:
+            at = reached.pop()
+            for other in np.flatnonzero(near[at] & new).tolist():
+                new[other] = False
+                forest.append((int(names[at]), int(names[other])))
+                reached.append(other)
+    return forest
 
 
 def near_duplicates(
     docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80,
+    max_family: int = 20_000,
 ) -> DataFrame:
     """(_id, _key, n_shingles, component_id, kept) of every row of ``docs``.
 
@@ -228,9 +259,10 @@ def near_duplicates(
     Rows with equal sets are one class, and classes are what is compared. Classes that agree in a
     band share a bucket. A bucket first gives each member's pair with the smallest one; of those
     with agreeing signatures a member's best is confirmed on the full sets, and components are
-    found. Buckets whose members lie in several components are then compared in blocks, across
-    components only, and what agrees is confirmed too. So no bucket is expanded into all its
-    pairs, and none is capped: two classes that share a band end up compared or connected.
+    found. Buckets whose members lie in several components stay open: those that share members
+    are one family, whose full sets are compared in blocks, across components. In a family of over
+    ``max_family`` classes each bucket is compared by itself. So no bucket is expanded into pairs,
+    and none is capped: two classes that share a band end up compared or connected.
 
     A null or empty text has no shingles and links with nothing. Rows that share an id are kept or
     dropped together; a null id never names a component that has another one. An empty table gives
@@ -264,14 +296,24 @@ def near_duplicates(
     found = components(links)
 
     root = F.coalesce("root", "node")
-    placed = members.select("_b", "node", "_n").join(found, "node", "left").withColumn("root", root)
-    placed = stored(placed, "placed")
+    placed = stored(members.join(found, "node", "left").withColumn("root", root).join(
+        colliding.select("node", F.col("n").alias("items")), "node"), "placed")
     mixed_up = placed.groupBy("_b").agg(F.min("root").alias("_low"), F.max("root").alias("_high")).where(
         "_low <> _high").select("_b")
-    open_rows = spread_join(placed, mixed_up, ["_b"], "node").join(sigs, "node")
-    left_over = _across(open_rows).join(tried, ["a", "b"], "left_anti")
-    more = stored(_confirmed(stored(left_over, "across"), sets, percent), "links")
-    found = components(links.unionByName(more)) if more.limit(1).count() else found
+    open_rows = stored(spread_join(placed, mixed_up, ["_b"], "node"), "open")
+    if open_rows.limit(1).count():
+        family = components(open_rows.select(F.col("_pivot").alias("a"), F.col("node").alias("b"))).withColumnRenamed(
+            "root", "family")
+        in_family = open_rows.join(family, "node")
+        large = in_family.select("family", "node").distinct().groupBy("family").count().where(
+            F.col("count") > max_family).select("family", F.lit(True).alias("large"))
+        in_family = spread_join(in_family, large, ["family"], "node", "left")
+        unit = F.when(F.col("large"), F.struct(F.lit(1).alias("kind"), F.col("_b").alias("name"))).otherwise(
+            F.struct(F.lit(0).alias("kind"), F.col("family").alias("name")))
+        units = in_family.select(unit.alias("unit"), "node", "root", "items").distinct().withColumn(
+            "_salt", bit_salt("node"))
+        more = stored(_across(units, sets, percent), "links")
+        found = components(links.unionByName(more))
 
     of_class = classes.join(found, "node", "left").withColumn("root", root)
     lowest = of_class.groupBy("root").agg(F.min("_id").alias("component_id"))
