@@ -42,7 +42,8 @@ def test_funnel_counts_unlabeled_rows(spark):
 def test_cap_decides_duplicates(spark):
     long = "word " * 300
     data = [(1, long + "one", "5", "P"), (2, long + "two", "5", "P")]
-    assert cleaning.clean_reviews(raw(spark, data)).count() == 1
+    assert cleaning.clean_reviews(raw(spark, data), max_chars=1000).count() == 1
+    assert cleaning.clean_reviews(raw(spark, data)).count() == 2
     assert cleaning.clean_reviews(raw(spark, data), max_chars=None).count() == 2
 
 

@@ -174,6 +174,6 @@ def test_generators_by_name(spark):
     assert answers.generator(" Grounded ") is answers.grounded_answers
     prompt = answered(spark, "Why unhappy?", generate="prompt",
                       extra={"prompt": answers.prompt_rows})[1].prompt
-    assert prompt.startswith("Product: Headphones (ASIN: P)\nContext Reviews (4 retrieved):")
-    assert "- Review 3 [Rating: 5.0/5, Sentiment: positive, Aspects: Performance" in prompt
+    assert '"id":"P","title":"Headphones","records":4' in prompt
+    assert '{"id":3,"stars":5.0,"sentiment":"positive","aspects":["Performance' in prompt
     assert "x" * 300 in prompt  # whole texts, not snippets

@@ -25,7 +25,7 @@ def test_salted_join_equals_plain_join(spark):
         "value", F.length("key"))
     for how in ("inner", "left", "left_semi", "left_anti"):
         plain = left.join(right, "key", how)
-        for limits in ({"rows_per_task": 500}, {"rows_per_task": 5, "max_hot": 3}, {}):
+        for limits in ({"rows_per_task": 500}, {"rows_per_task": 5, "max_broadcast": 3}, {}):
             salted = skew.salted_join(left, right, "key", how, identity=["row_id"], **limits)
             assert salted.exceptAll(plain.select(*salted.columns)).isEmpty()
             assert salted.count() == plain.count()

@@ -1,11 +1,12 @@
 import pytest
 from conftest import rows
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from voxmill import schemas
 from voxmill.config import REVIEW_OUTPUT_COLUMNS
 from voxmill.functions import labels
-from voxmill.operators import cleaning
+from voxmill.operators import cleaning, products
 from voxmill.session import build_session, new_path, work_folder
 from voxmill.sources import tables
 from voxmill.streaming import reviews as stream
@@ -95,16 +96,67 @@ def test_annotations_and_reports(spark, tmp_path):
         ("E-1", "Electronics", 'A "b", c', "battery; price")]
     table = spark.createDataFrame([("a", 1.5), ("b", None)], "m string, v double")
     assert tables.markdown_table(table) == "| m | v |\n| :--- | :--- |\n| a | 1.5 |\n| b |  |"
-    with pytest.raises(ValueError):
-        tables.markdown_table(table, limit=1)
+    many = spark.range(300)
+    assert tables.markdown_table(many).count("\n") == 301
     assert rows(tables.json_rows(table))[0][0] == '{"m":"a","v":1.5}'
 
 
-def test_spread_small(spark):
+def test_spread_small(spark, monkeypatch):
     cores = spark.sparkContext.defaultParallelism
     assert tables.spread_small(spark.range(10).coalesce(1)).rdd.getNumPartitions() == cores
-    wide = spark.range(0, 100, 1, cores * 2)
-    assert tables.spread_small(wide) is wide
+    monkeypatch.setattr(tables, "SPREAD_BYTES", 1)
+    large = spark.range(10)
+    assert tables.spread_small(large) is large
+
+
+def test_loaders_give_stable_ids(spark, tmp_path):
+    base = str(tmp_path)
+    reviews = [("good sound and bass", 5.0, "P1"), ("bad sound and bass", 1.0, "P1"), (None, None, None)]
+    spark.createDataFrame(reviews, "text string, rating double, parent_asin string").write.json(
+        f"{base}/{tables.source_folder('Fashion')}")
+    spark.createDataFrame([("P1", "T", ["a"]), ("P2", None, None)], "parent_asin string, title string, "
+                          "description array<string>").write.json(f"{base}/{tables.source_folder('Fashion', 'metadata')}")
+    first = {r.text: r.row_id for r in tables.load_reviews(spark, base, "Fashion").collect()}
+    again = {r.text: r.row_id for r in tables.load_reviews(spark, base, "Fashion").repartition(3).collect()}
+    assert first == again and len(set(first.values())) == 3 and None not in first.values()
+    assert products.clean_metadata(tables.load_metadata(spark, base, "Fashion")).count() == 2
+
+
+def test_only_a_missing_path_counts_as_no_table(spark, tmp_path):
+    (tmp_path / "empty").mkdir()
+    with pytest.raises(AnalysisException):
+        tables.read_table(spark, str(tmp_path / "empty"))
+    with pytest.raises(FileNotFoundError):
+        tables.read_table(spark, str(tmp_path / "none"))
+
+
+def test_padded_keys_reach_the_stored_tables(spark, tmp_path):
+    from voxmill import jobs
+
+    data = [(i, "Fashion", f"review number {i} is fine", "t", 5.0, "P1") for i in range(30)]
+    raw = spark.createDataFrame(data, "row_id long, domain string, text string, title string, rating double, "
+                                "parent_asin string")
+    meta = spark.createDataFrame([(1, "Fashion", "  P1 ", "Shoe", 4.0, "5", ["d"], ["c"], "s")],
+                                 "row_id long, domain string, parent_asin string, title string, average_rating double, "
+                                 "price string, description array<string>, categories array<string>, store string")
+    paths = jobs.build_review_tables(raw, meta, str(tmp_path))
+    stored = tables.read_table(spark, paths["reviews"])
+    assert stored.count() == 30 and stored.select("row_id").distinct().count() == 30
+    built = jobs.build_insights(spark, stored, tables.read_table(spark, paths["products"]), str(tmp_path))
+    assert built.first()["title"] == "Shoe"
+
+
+def test_streams_read_files_and_folders_alike(spark, tmp_path):
+    df = spark.range(40).select("id", F.col("id").cast("string").alias("text"))
+    df.coalesce(1).write.parquet(str(tmp_path / "one"))
+    file = next(str(p) for p in (tmp_path / "one").iterdir() if p.name.startswith("part"))
+    df.repartition(4).write.parquet(str(tmp_path / "many.parquet"))
+    got = []
+    for k, source in enumerate((file, str(tmp_path / "many.parquet"))):
+        out = str(tmp_path / f"out{k}")
+        stream.ingest(stream.read_stream(spark, source, df.schema), out, str(tmp_path / f"state{k}")).awaitTermination()
+        got.append(rows(spark.read.parquet(out)))
+    assert got[0] == got[1] == rows(df)
 
 
 def test_work_folder_comes_from_the_session(spark):
@@ -154,4 +206,4 @@ def test_stream_dedup_and_counts(spark, tmp_path):
     labelled = live.withColumn("sentiment", labels.rating_label(F.col("rating")))
     stream.keep_latest(stream.running_counts(labelled, ["domain", "sentiment"]), counts,
                        str(tmp_path / "s2")).awaitTermination()
-    assert spark.read.parquet(counts).agg(F.sum("n")).first()[0] == 6
+    assert stream.read_latest(spark, counts).agg(F.sum("n")).first()[0] == 6

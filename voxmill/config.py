@@ -3,7 +3,6 @@
 DOMAINS = ("Electronics", "Fashion")
 COMBINED = "Combined"
 
-SAMPLE_SIZE = 50000
 MIN_REVIEWS_PER_PRODUCT = 20
 SEED = 42
 
@@ -14,7 +13,6 @@ MAX_CHARS = 1000
 LABELS = ("negative", "neutral", "positive")
 LABEL_REPORT_ORDER = ("positive", "neutral", "negative")
 
-DEFAULT_ASPECT_THRESHOLD = 0.40
 RUN_ASPECT_THRESHOLD = 0.35
 
 REVIEW_COLUMNS = (
@@ -25,7 +23,7 @@ METADATA_COLUMNS = (
     "parent_asin", "title", "average_rating", "price", "description", "categories", "store",
 )
 REVIEW_OUTPUT_COLUMNS = (
-    "domain", "parent_asin", "asin", "rating", "sentiment", "title", "text",
+    "row_id", "domain", "parent_asin", "asin", "rating", "sentiment", "title", "text",
     "timestamp", "helpful_vote", "verified_purchase",
 )
 PRODUCT_OUTPUT_COLUMNS = (

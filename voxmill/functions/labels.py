@@ -8,10 +8,15 @@ from pyspark.sql import functions as F
 from voxmill.config import LABELS
 
 
+#: Fixed value: the spellings of a number.
+NUMBER = r"(?i)^\s*[+-]?(\d+\.?\d*([eE][+-]?\d+)?|\.\d+([eE][+-]?\d+)?|inf(inity)?)\s*$"
+
+
 def to_number(value: Column) -> Column:
-    """Numeric coercion: unreadable values and NaN become null."""
+    """Numeric coercion: unreadable values and NaN become null. Only decimal numbers and infinity are
+    readable, not the suffixes and hexadecimal forms a cast takes."""
     number = value.try_cast("double")
-    return F.when(~F.isnan(number), number)
+    return F.when(~F.isnan(number) & value.cast("string").rlike(NUMBER), number)
 
 
 def rating_label(rating: Column) -> Column:
@@ -33,7 +38,7 @@ def encode_label(label: Column) -> Column:
 
 
 def decode_label(code: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(name) for name in LABELS]), code + 1)
+    return F.get(F.array(*[F.lit(name) for name in LABELS]), code)
 
 
 def _true(condition: Column) -> Column:

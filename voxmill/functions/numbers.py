@@ -5,10 +5,30 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from voxmill.functions.binding import bind
+
 
 def rounded(value: Column, places: int) -> Column:
-    """Half-even rounding of the shown decimal value."""
-    return F.bround(value, places)
+    """Half-even rounding of the exact binary value: 2.675 is a little less, so it gives 2.67.
+
+    The scaled value and its rounding error (by splitting both factors) tell on which side of a
+    tie the value lies; only an exact tie goes to the even neighbour.
+    """
+    scale = float(10**places)
+
+    def decide(x: Column) -> Column:
+        scaled, split = x * scale, float(2**27 + 1)
+        high = x * split - (x * split - x)
+        scale_high = scale * split - (scale * split - scale)
+        low, scale_low = x - high, scale - scale_high
+        error = ((high * scale_high - scaled) + high * scale_low + low * scale_high) + low * scale_low
+        floor = F.floor(scaled).cast("double")
+        side = (scaled - floor - 0.5) + error
+        even = floor + F.pmod(floor, F.lit(2.0))
+        up = F.when(side > 0, floor + 1).when(side < 0, floor).otherwise(even)
+        return F.when(F.abs(scaled) < 2.0**52, up / scale).otherwise(x)
+
+    return bind(value.cast("double"), decide)
 
 
 def percent(part: Column, whole: Column, places: int = 1) -> Column:

@@ -94,8 +94,8 @@ def cap_length(text: Column, max_chars: int = MAX_CHARS) -> Column:
     return bind(F.coalesce(text, F.lit("")), cap)
 
 
-def clean_text(text: Column, max_chars: int | None = MAX_CHARS) -> Column:
-    """Unescape, strip tags, collapse whitespace; cap unless ``max_chars`` is None."""
+def clean_text(text: Column, max_chars: int | None = None) -> Column:
+    """Unescape, strip tags, collapse whitespace; cap only where ``max_chars`` is given."""
     cleaned = normalize_whitespace(strip_html(text))
     return cleaned if max_chars is None else cap_length(cleaned, max_chars)
 

@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from voxmill import schemas
-from voxmill.config import MAX_CHARS, MIN_REVIEWS_PER_PRODUCT
+from voxmill.config import MIN_REVIEWS_PER_PRODUCT
 from voxmill.operators import cleaning, insights, products
 from voxmill.sources import tables
 
 
 def build_review_tables(
     raw_reviews: DataFrame, raw_metadata: DataFrame, folder: str,
-    min_reviews: int = MIN_REVIEWS_PER_PRODUCT, max_chars: int | None = MAX_CHARS,
+    min_reviews: int = MIN_REVIEWS_PER_PRODUCT, max_chars: int | None = None,
 ) -> dict[str, str]:
     """Clean, validate, join and filter; write reviews, products and their reports.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from voxmill.config import LABELS, MAX_CHARS, MIN_CHARS, MIN_WORDS
+from voxmill.config import LABELS, MIN_CHARS, MIN_WORDS
 from voxmill.functions import labels, numbers, text as tx
 
 
@@ -33,7 +33,7 @@ def computed_once(df: DataFrame, values: dict[str, Column]) -> DataFrame:
 
 def checked_reviews(
     raw: DataFrame, min_words: int = MIN_WORDS, min_chars: int = MIN_CHARS,
-    max_chars: int | None = MAX_CHARS,
+    max_chars: int | None = None,
 ) -> DataFrame:
     """Raw rows with cleaned text, numeric rating and what is wrong with the text, if anything."""
     values = {
@@ -51,7 +51,7 @@ def checked_reviews(
 
 def clean_reviews(
     raw: DataFrame, min_words: int = MIN_WORDS, min_chars: int = MIN_CHARS,
-    max_chars: int | None = MAX_CHARS, subset: tuple[str, ...] = ("text",),
+    max_chars: int | None = None, subset: tuple[str, ...] = ("text",),
 ) -> DataFrame:
     """Cleaned, unique, labelled reviews. ``row_id`` decides which duplicate is the first."""
     kept = checked_reviews(raw, min_words, min_chars, max_chars).where("_reason = 'ok'")
@@ -66,7 +66,7 @@ def clean_reviews(
 
 def cleaning_funnel(
     raw: DataFrame, min_words: int = MIN_WORDS, min_chars: int = MIN_CHARS,
-    max_chars: int | None = MAX_CHARS,
+    max_chars: int | None = None,
 ) -> DataFrame:
     """Per domain: rows before, removed for each cause, after, and label counts and shares.
 

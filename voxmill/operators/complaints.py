@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from voxmill.config import RUN_ASPECT_THRESHOLD
 from voxmill.functions import aspects as asp, labels, numbers, text as tx
 from voxmill.operators.sampling import sample_per_group
+from voxmill.operators.skew import broadcast_if_small
 
 
 def aspect_frequencies(df: DataFrame, aspects: str = "aspects") -> DataFrame:
@@ -143,8 +144,8 @@ def multilabel_evaluation(
     groups = list(groups)
     counts = label_counts(df, truth, predicted, groups)
     if targets is not None:
-        # The label table is a taxonomy: a few dozen rows.
-        counts = F.broadcast(targets).join(counts, groups + ["label"], "left").na.fill(
+        # Both sides are small: the taxonomy, and one row per group and label.
+        counts = targets.join(broadcast_if_small(counts), groups + ["label"], "left").na.fill(
             0, ["tp", "fp", "fn"])
     per_label = label_metrics(counts, groups)
     sums = {c: F.sum(c) for c in ("tp", "fp", "fn")}

@@ -127,17 +127,17 @@ def class_weights(df: DataFrame, groups: list[str], label: str = "sentiment") ->
 
 
 def aligned_predictions(predictions: DataFrame, models: list[str], keys: list[str]) -> DataFrame:
-    """One row per sample with a column per model. Labels travel as codes, which a hash
-    aggregation can hold and combine before the shuffle."""
-    code = encode_label(F.col("y_pred"))
-    wide = predictions.groupBy(*keys, "y_true").agg(*[
-        F.min(F.when(F.col("model") == m, code)).alias(f"pred_{m}") for m in models])
-    return wide.withColumns({f"pred_{m}": decode_label(F.col(f"pred_{m}")) for m in models})
+    """One row per sample with a column per model. A label outside the three is kept as it is; the
+    known ones are written in their normal form."""
+    label = F.coalesce(decode_label(encode_label(F.col("y_pred"))), F.col("y_pred"))
+    return predictions.groupBy(*keys, "y_true").agg(*[
+        F.min(F.when(F.col("model") == m, label)).alias(f"pred_{m}") for m in models])
 
 
 def error_analysis(aligned: DataFrame, baseline: str, tuned: str, other: str) -> DataFrame:
-    """Samples at least one model gets wrong, with the kinds of error."""
-    wrong = {m: F.col(f"pred_{m}") != F.col("y_true") for m in (baseline, tuned, other)}
+    """Samples at least one model gets wrong, with the kinds of error. A model without a prediction,
+    or with a label nobody knows, is wrong."""
+    wrong = {m: ~F.col(f"pred_{m}").eqNullSafe(F.col("y_true")) for m in (baseline, tuned, other)}
     all_wrong = wrong[baseline] & wrong[tuned] & wrong[other]
     only_tuned_side = ~all_wrong & wrong[tuned] & ~wrong[other]
     tuned_better = ~all_wrong & ~only_tuned_side & ~wrong[tuned] & wrong[baseline]
@@ -153,3 +153,8 @@ def error_analysis(aligned: DataFrame, baseline: str, tuned: str, other: str) ->
 
 def text_snippet(text: Column) -> Column:
     return tx.ellipsize(text, 120, 120)
+
+
+def with_snippets(errors: DataFrame, texts: DataFrame, keys: list[str]) -> DataFrame:
+    """The errors with the beginning of their text; only that is shuffled."""
+    return errors.join(texts.select(*keys, text_snippet(F.col("text")).alias("text_snippet")), keys, "left")

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from voxmill.config import COMBINED, MAX_CHARS, SEED
+from voxmill.config import COMBINED, SEED
 from voxmill.functions import labels, numbers, text as tx
 from voxmill.functions.binding import bind
 from voxmill.operators import evaluation, sampling
@@ -24,11 +24,11 @@ class UnknownLabel(ValueError):
     pass
 
 
-def feature_text(max_chars: int | None = MAX_CHARS) -> Column:
+def feature_text(max_chars: int | None = None) -> Column:
     return tx.clean_text(tx.full_text(F.col("title"), F.col("text")), max_chars)
 
 
-def training_rows(reviews: DataFrame, max_chars: int | None = MAX_CHARS) -> DataFrame:
+def training_rows(reviews: DataFrame, max_chars: int | None = None) -> DataFrame:
     """Feature text, normalised label and its code."""
     label = F.lower(F.trim("sentiment"))
     return reviews.select(
@@ -172,7 +172,7 @@ def load_model(folder: str, domain: str) -> PipelineModel:
 
 def train_and_evaluate(
     reviews: DataFrame, domains=("Electronics", "Fashion", COMBINED), size: int = 5000,
-    seed: int = SEED, max_chars: int | None = MAX_CHARS, max_iter: int = 1000,
+    seed: int = SEED, max_chars: int | None = None, max_iter: int = 1000,
     folder: str | None = None,
 ) -> DataFrame:
     """Per domain: stratified split, fit on train, metrics of validation and test.

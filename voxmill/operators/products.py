@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from voxmill.config import MIN_REVIEWS_PER_PRODUCT
 from voxmill.functions import labels, text as tx
 from voxmill.operators.cleaning import keep_first
-from voxmill.operators.skew import salted_join
+from voxmill.operators.skew import hot_from_counts, salted_join
+from voxmill.session import cut
 
 # Spellings of a missing price.
 NULL_PRICES = ("none", "nan", "null")
@@ -25,7 +26,7 @@ def with_trimmed_key(df: DataFrame, key: str = "parent_asin") -> DataFrame:
     return df.where(has_key(key)).withColumn(key, tx.strip(F.col(key)))
 
 
-def description_text(value: Column, is_array: bool, max_chars: int | None = 1000) -> Column:
+def description_text(value: Column, is_array: bool, max_chars: int | None = None) -> Column:
     joined = F.array_join(F.array_compact(value), " ") if is_array else value
     return tx.clean_text(joined, max_chars)
 
@@ -42,10 +43,10 @@ def price_text(price: Column) -> Column:
 
 
 def price_number(price: Column) -> Column:
-    return F.regexp_replace(price, "[$,]", "").try_cast("double")
+    return labels.to_number(F.regexp_replace(price, "[$,]", ""))
 
 
-def clean_metadata(meta: DataFrame, max_chars: int | None = 1000) -> DataFrame:
+def clean_metadata(meta: DataFrame, max_chars: int | None = None) -> DataFrame:
     """One row per product key, the first by ``row_id``, with tidied fields."""
     types = dict(meta.dtypes)
     unique = keep_first(with_trimmed_key(meta), [F.col("domain"), F.col("parent_asin")], "row_id")
@@ -177,12 +178,24 @@ def filter_by_min_reviews(
     reviews: DataFrame, meta: DataFrame, min_reviews: int = MIN_REVIEWS_PER_PRODUCT,
 ) -> tuple[DataFrame, DataFrame]:
     """Reviews and metadata of the products that have enough reviews."""
+    return reviews_with_min(reviews, min_reviews), metadata_with_min(reviews, meta, min_reviews)
+
+
+def reviews_with_min(reviews: DataFrame, min_reviews: int = MIN_REVIEWS_PER_PRODUCT) -> DataFrame:
+    """The counts that find the kept products also tell which of them are hot."""
+    sizes = cut(reviews_per_product(reviews))
+    kept = sizes.where(F.col("n_reviews") >= min_reviews).select(*KEYS)
+    return salted_join(reviews, kept, list(KEYS), "left_semi",
+                       hot=hot_from_counts(sizes, list(KEYS), "n_reviews"))
+
+
+def metadata_with_min(
+    reviews: DataFrame, meta: DataFrame, min_reviews: int = MIN_REVIEWS_PER_PRODUCT,
+) -> DataFrame:
+    """Only the review counts are needed; the reviews are read once."""
     kept = products_with_min_reviews(reviews, min_reviews)
     keys = shared_keys(meta, kept)
-    return (
-        salted_join(reviews, kept.select(*KEYS), list(KEYS), "left_semi"),
-        meta.join(kept.select(*keys), keys, "left_semi"),
-    )
+    return meta.join(kept.select(*keys).distinct(), keys, "left_semi")
 
 
 def catalog_density(reviews: DataFrame, thresholds: tuple[int, ...] = (5, 20)) -> DataFrame:
@@ -239,10 +252,10 @@ def sample_metadata(
     meta: DataFrame, targets: DataFrame | None = None, sample_size: int | None = None,
 ) -> DataFrame:
     """First row per key, restricted to wanted keys, at most ``sample_size`` in file order."""
-    keyed, keys = meta.where(has_key()), [c for c in KEYS if c in meta.columns]
+    keyed, keys = with_trimmed_key(meta), [c for c in KEYS if c in meta.columns]
     if targets is not None:
         wanted = shared_keys(meta, targets)
-        keyed = keyed.join(targets.select(*wanted).distinct(), wanted, "left_semi")
+        keyed = keyed.join(with_trimmed_key(targets).select(*wanted).distinct(), wanted, "left_semi")
     unique = keep_first(keyed, [F.col(k) for k in keys], "row_id")
     return unique if sample_size is None else unique.orderBy("row_id").limit(sample_size)
 
@@ -260,7 +273,8 @@ def top_products(reviews: DataFrame, meta: DataFrame | None = None, n: int = 10)
     if meta is None:
         return ranked.withColumn("title", F.col("parent_asin"))
     titles = unique_products(meta).select("parent_asin", "title", "store")
-    # ``ranked`` has n rows, the report's own limit.
-    return titles.join(F.broadcast(ranked), "parent_asin", "right").withColumn(
+    # ``ranked`` has n rows, the report's own limit; the titles wanted are at most as many.
+    wanted = titles.join(F.broadcast(ranked.select("parent_asin")), "parent_asin", "left_semi")
+    return ranked.join(F.broadcast(wanted), "parent_asin", "left").withColumn(
         "title", F.concat(
             F.substring(F.coalesce("title", "parent_asin"), 1, 45), F.lit("...")))

@@ -16,19 +16,19 @@ def seeded_order(identity: str, seed: int = SEED) -> Column:
 
 def sample_per_group(
     df: DataFrame, groups: list[str], n: int, seed: int = SEED, identity: str = "row_id",
-    position: str | None = None,
+    position: str | None = None, bucket_digits: int = 3,
 ) -> DataFrame:
-    """Exactly n rows per group (all of a smaller one). Every map task keeps its n best before
-    the shuffle."""
-    window = Window.partitionBy(*groups).orderBy(seeded_order(identity, seed), identity)
-    ranked = df.withColumn("_rank", F.row_number().over(window)).where(F.col("_rank") <= n)
+    """Exactly n rows per group (all of a smaller one), whatever n: rows are ranked in buckets of
+    their digest, so no task holds a group, and rows beyond the bucket that reaches n are never
+    ranked. A null identity counts as the empty text; ties are broken by all other columns."""
+    keyed = df.withColumn("_order", F.coalesce(seeded_order(identity, seed), F.lit("")))
+    ranked = rank_in_group(
+        keyed, groups, [F.col("_order"), F.col(identity)], F.substring("_order", 1, bucket_digits),
+        out="_rank").where(F.col("_rank") < n).drop("_order")
+    ranked = ranked.withColumn("_rank", (F.col("_rank") + 1).cast("int"))
     return ranked.withColumnRenamed("_rank", position) if position else ranked.drop("_rank")
 
 
-def first_rows(df: DataFrame, n: int, order: str = "row_id") -> DataFrame:
-    return df.orderBy(order).limit(n)
-
-
 def _allocated(size: Column, wanted: Column, strata: list[str], label: str) -> Column:
     """Largest-remainder share of ``wanted`` for each label of a stratum (small table)."""
     everyone = Window.partitionBy(*strata)
@@ -77,19 +77,22 @@ def stratified_split(
     Rows are ranked within (stratum, label) along a digest. The first digits of the digest are
     the rank's buckets, so even a label that holds most rows is spread over thousands of tasks.
     """
-    keyed = df.withColumn("_order", seeded_order(identity, seed))
+    keyed = df.withColumn("_order", F.coalesce(seeded_order(identity, seed), F.lit("")))
     ranked = rank_in_group(
         keyed, strata + [label], [F.col("_order"), F.col(identity)],
         F.substring("_order", 1, bucket_digits), out="_rank")
     # One row per stratum and label. Joined by shuffle, the rows of a label would meet in one task.
     sizes = broadcast_if_small(split_sizes(df, strata, label, test_size, val_size))
-    joined = ranked.join(sizes, strata + [label])
+    keys = strata + [label]
+    sizes = sizes.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "n_train", "n_val")
+    same = [ranked[k].eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
+    joined = ranked.join(sizes, same).drop(*[f"_k{i}" for i in range(len(keys))])
     split = (
         F.when(F.col("_rank") < F.col("n_train"), "train")
         .when(F.col("_rank") < F.col("n_train") + F.col("n_val"), "validation")
         .otherwise("test"))
     return joined.withColumn("split", split).drop(
-        "_order", "_rank", "n_train", "n_val", "n_test")
+        "_order", "_rank", "n_train", "n_val")
 
 
 def split_summary(split: DataFrame, strata: list[str]) -> DataFrame:

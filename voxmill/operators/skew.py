@@ -24,45 +24,73 @@ def hot_keys(
         .select(*keys, F.ceil(n / rows_per_task).cast("int").alias("_salts")))
 
 
+def hot_from_counts(
+    counts: DataFrame, on: str | list[str], n: str, rows_per_task: int = ROWS_PER_TASK,
+) -> DataFrame:
+    """The table of ``hot_keys`` from counts that are already there."""
+    keys = [on] if isinstance(on, str) else list(on)
+    return counts.na.drop(subset=keys).where(F.col(n) > rows_per_task).select(
+        *keys, F.ceil(F.col(n) / rows_per_task).cast("int").alias("_salts"))
+
+
 def salted_join(
     left: DataFrame, right: DataFrame, on: str | list[str], how: str = "inner",
     rows_per_task: int = ROWS_PER_TASK, identity: list[str] | None = None,
-    max_hot: int = 200_000,
+    hot: DataFrame | None = None, max_broadcast: int = 200_000,
 ) -> DataFrame:
     """Equi-join of a large ``left`` with a ``right`` that is unique per key.
 
     The rows of a hot key are spread over as many tasks as they need and the one matching right
     row is copied to each. The salt comes from the row itself, so a recomputed task repeats it.
-    Without hot keys, or with more of them than may be broadcast, this is a plain join, where
-    adaptive execution splits what is left of the skew.
+    ``hot`` is the table of ``hot_keys`` where it is known, which saves reading ``left`` for it.
+    There are at most rows / ``rows_per_task`` hot keys; up to ``max_broadcast`` are broadcast,
+    more come to the rows by a join of their own. Without hot keys this is a plain join.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"salting cannot serve a {how} join")
     keys = [on] if isinstance(on, str) else list(on)
-    hot = cut(hot_keys(left, keys, rows_per_task))
-    found = hot.limit(max_hot + 1).count()
-    if found == 0 or found > max_hot:
+    hot = cut(hot_keys(left, keys, rows_per_task) if hot is None else hot)
+    found = hot.limit(max_broadcast + 1).count()
+    if found == 0:
         return left.join(right, keys, how)
+    # Beyond the limit hot keys are many, so no single one stands out in a shuffle of their list.
+    hot = F.broadcast(hot) if found <= max_broadcast else hot
     salts = F.coalesce("_salts", F.lit(1))
     number = F.pmod(F.xxhash64(*(identity or left.columns)), salts).cast("int")
     copies = F.sequence(F.lit(0), salts - 1)
-    salted = left.join(F.broadcast(hot), keys, "left").withColumn("_salt", number)
-    copied = right.join(F.broadcast(hot), keys, "left").withColumn("_salt", F.explode(copies))
+    salted = left.join(hot, keys, "left").withColumn("_salt", number)
+    copied = right.join(hot, keys, "left").withColumn("_salt", F.explode(copies))
     return salted.drop("_salts").join(copied.drop("_salts"), keys + ["_salt"], how).drop("_salt")
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
-    """Broadcast after counting; a larger table stays a shuffled side. ``df`` is stored first,
-    so counting it and joining it do not compute it twice."""
+def text_bytes(df: DataFrame) -> Column:
+    """The bytes of a row: its texts and nested values as JSON, eight for any other column."""
+    sized = [F.coalesce(F.octet_length(F.col(f"`{c}`") if t == "string" else F.to_json(
+        F.struct(F.col(f"`{c}`")))), F.lit(0)) if t == "string" or "<" in t else F.lit(8) for c, t in df.dtypes]
+    return sum(sized, F.lit(8))
+
+
+def is_small(df: DataFrame, max_rows: int, max_bytes: int) -> bool:
+    """Whether a stored table holds at most so many rows and bytes; reads no more than decides it."""
+    head = df.limit(max_rows + 1)
+    n, size = head.agg(F.count("*"), F.coalesce(F.sum(text_bytes(head)), F.lit(0))).first()
+    return n <= max_rows and size <= max_bytes
+
+
+def broadcast_if_small(
+    df: DataFrame, max_rows: int = 200_000, max_bytes: int = 64 << 20,
+) -> DataFrame:
+    """Broadcast after counting rows and bytes; a larger table stays a shuffled side. ``df`` is
+    stored first, so counting it and joining it do not compute it twice."""
     stored = cut(df)
-    return F.broadcast(stored) if stored.limit(max_rows + 1).count() <= max_rows else stored
+    return F.broadcast(stored) if is_small(stored, max_rows, max_bytes) else stored
 
 
 def semi_join(large: DataFrame, keys: DataFrame, key: str, max_rows: int = 200_000) -> DataFrame:
     """Rows of ``large`` whose key is listed: the list is broadcast when it is counted to be
     small, otherwise both sides are shuffled and hot keys spread."""
     listed = cut(keys.select(key).distinct())
-    if listed.limit(max_rows + 1).count() <= max_rows:
+    if is_small(listed, max_rows, 64 << 20):
         return large.join(F.broadcast(listed), key, "left_semi")
     return salted_join(large, listed, key, "left_semi")
 
@@ -72,12 +100,14 @@ def rank_in_group(
 ) -> DataFrame:
     """Exact 0-based position of each row in its group without one task per group.
 
-    ``bucket`` must not decrease along ``order``. Rows are numbered inside (group, bucket); the
-    rows of earlier buckets are added from a table of counts.
+    ``bucket`` must not decrease along ``order``; null is the first bucket. Rows are numbered inside
+    (group, bucket); the rows of earlier buckets are added from a table of counts. Rows with null
+    groups, buckets or orders are numbered too.
     """
     # A struct of the group columns: equal also where a column is null, and one partitioning
     # serves the counts, the numbering and the join.
-    keyed = df.withColumns({"_group": F.struct(*groups), "_bucket": bucket})
+    # A struct around the bucket keeps rows whose bucket is null; it sorts first.
+    keyed = df.withColumns({"_group": F.struct(*groups), "_bucket": F.struct(bucket.alias("b"))})
     earlier = Window.partitionBy("_group").orderBy("_bucket").rowsBetween(
         Window.unboundedPreceding, -1)
     offsets = (

@@ -135,12 +135,17 @@ SELECT domain, count(*) AS reviews_before,
   {counts}, {shares} FROM ranked GROUP BY domain"""
 
 
-@query(_funnel(1000))
+@query(_funnel(None))
 def cleaning_funnel(spark, sf):
-    """With the length cap, which decides what counts as a duplicate."""
     return cleaning.cleaning_funnel(views.doc_reviews(spark, sf))
 
 
+@query(_funnel(1000))
+def capped_funnel(spark, sf):
+    """With the length cap, which here decides what counts as a duplicate."""
+    return cleaning.cleaning_funnel(views.doc_reviews(spark, sf), max_chars=1000)
+
+
 @query(_funnel(None))
 def cleaning_funnel_whole_text(spark, sf):
     return cleaning.cleaning_funnel(views.doc_reviews(spark, sf), max_chars=None)
@@ -262,7 +267,7 @@ _DOCUMENTS = "doc_id bigint, text string, lang string, source string, n_chars bi
 
 
 def _document_stream(spark, sf):
-    return stream.read_stream(spark, sf, _DOCUMENTS, "documents.parquet")
+    return stream.read_stream(spark, f"{sf}/documents.parquet", _DOCUMENTS)
 
 
 def _stream_reviews(spark, sf):
@@ -292,17 +297,17 @@ def stream_unique_texts(spark, sf):
 @query("SELECT event_type, count(*) AS n FROM events GROUP BY 1")
 def stream_running_counts(spark, sf):
     path = new_path(spark, "counts")
-    events = stream.read_stream(spark, sf, _EVENTS, "events.parquet")
+    events = stream.read_stream(spark, f"{sf}/events.parquet", _EVENTS)
     stream.keep_latest(stream.running_counts(events, ["event_type"]), path,
                        new_path(spark, "counts-state")).awaitTermination()
-    return spark.read.parquet(path)
+    return stream.read_latest(spark, path)
 
 
 @query("SELECT DISTINCT user_id, event_type FROM events")
 def stream_unique_within_delay(spark, sf):
     """Bounded state: a key is forgotten once it is older than the delay."""
     path = new_path(spark, "recent")
-    events = stream.read_stream(spark, sf, _EVENTS, "events.parquet")
+    events = stream.read_stream(spark, f"{sf}/events.parquet", _EVENTS)
     unique = stream.unique_stream(
         events, ["user_id", "event_type"], event_time="ts", delay="60 days")
     stream.ingest(unique.select("user_id", "event_type"), path,

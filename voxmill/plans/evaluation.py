@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from voxmill.config import LABELS
 from voxmill.operators import evaluation, models, sampling
 from voxmill.plans import sql as S
 from voxmill.plans.registry import query
+from voxmill.session import cut, new_path
 from voxmill.sources import views
 
 _CELLS = S.with_(S.PRED, """cells AS (
@@ -164,6 +166,18 @@ def error_analysis(spark, sf):
     return evaluation.error_analysis(_aligned(spark, sf), "flag", "votes", "near")
 
 
+@query(_WIDE + """
+SELECT domain, sample_id, CASE WHEN length(text) > 120 THEN left(text, 120) || '...' ELSE text END
+  AS text_snippet
+FROM wide JOIN (SELECT review_key AS sample_id, text FROM item_reviews) USING (sample_id)
+WHERE pred_flag <> y_true OR pred_votes <> y_true OR pred_near <> y_true""")
+def error_snippets(spark, sf):
+    errors = evaluation.error_analysis(_aligned(spark, sf), "flag", "votes", "near")
+    texts = views.item_reviews(spark, sf).select("domain", F.col("review_key").alias("sample_id"), "text")
+    return evaluation.with_snippets(errors, texts, ["domain", "sample_id"]).select(
+        "domain", "sample_id", "text_snippet")
+
+
 @query(S.with_(S.DOC) + """
 SELECT domain, sentiment, count(*) AS n, round(sum(count(*)) OVER (PARTITION BY domain)
   / (count(*) OVER (PARTITION BY domain) * count(*)), 6) AS weight
@@ -221,6 +235,23 @@ def trained_model_metrics(spark, sf):
     return models.train_and_evaluate(reviews, max_chars=None, max_iter=100)
 
 
+@query(S.with_(S.DOC) + """
+SELECT row_id, domain, true AS label_known, true AS confident, true AS as_before FROM doc_reviews
+WHERE sentiment IS NOT NULL""")
+def stored_model_scores(spark, sf):
+    """A model is stored, loaded and used: labels and confidences are in range and as before."""
+    rows = cut(_rows(spark, sf).where("sentiment is not null"))
+    model = models.fit_classifier(rows.select("features_text", "label"), max_iter=20)
+    folder = new_path(spark, "models")
+    models.save_model(model, folder, "Fashion")
+    before = models.score(model, rows).select("row_id", F.col("predicted_sentiment").alias("_before"))
+    scored = models.score(models.load_model(folder, "Fashion"), rows).join(before, "row_id")
+    return scored.select(
+        "row_id", "domain", F.col("predicted_sentiment").isin(*LABELS).alias("label_known"),
+        F.col("predicted_confidence").between(0.333, 1.0).alias("confident"),
+        (F.col("predicted_sentiment") == F.col("_before")).alias("as_before"))
+
+
 @query()
 def scored_reviews(spark, sf):
     """Every review scored by a classifier fitted to the training split."""

@@ -18,8 +18,8 @@ _DIRTY = f"""dirty AS (
       'other ' || title AS title), row_id + 1000000000 AS rid FROM metadata)"""
 
 
-def _dirty_metadata(spark, sf):
-    meta = views.raw_metadata(spark, sf)
+def _dirty_metadata(spark, sf, source=views.raw_metadata):
+    meta = source(spark, sf)
     again = meta.withColumns({
         "parent_asin": F.when(F.col("row_id") % 7 == 0, "  ").when(
             F.col("row_id") % 7 == 1, F.lit(None)).otherwise(
@@ -78,23 +78,34 @@ def reviews_with_products(spark, sf):
 
 
 @query(S.with_(S.ITEM, S.META) + """
+SELECT domain, count(*) AS reviews, count(*) AS joined FROM item_reviews GROUP BY 1""")
+def join_keeps_row_count(spark, sf):
+    """Metadata that lists products twice, under padded keys, does not multiply reviews."""
+    reviews = views.item_reviews(spark, sf).select("review_key", "parent_asin", "domain")
+    joined = products.join_reviews_with_products(
+        reviews, _dirty_metadata(spark, sf), identity=["review_key"])
+    counts = joined.groupBy("domain").agg(F.count("*").alias("joined"))
+    return reviews.groupBy("domain").agg(F.count("*").alias("reviews")).join(counts, "domain")
+
+
+@query(S.with_(S.ITEM, S.GAPS) + """
 SELECT review_key, parent_asin FROM item_reviews
 WHERE parent_asin NOT IN (SELECT parent_asin FROM metadata)""")
 def unmatched_reviews(spark, sf):
     return products.unmatched_reviews(
         views.item_reviews(spark, sf).select("review_key", "domain", "parent_asin"),
-        views.raw_metadata(spark, sf)).select("review_key", "parent_asin")
+        views.catalog_with_gaps(spark, sf)).select("review_key", "parent_asin")
 
 
-@query(S.with_(S.ITEM, S.META) + """
+@query(S.with_(S.ITEM, S.GAPS) + """
 SELECT DISTINCT parent_asin FROM item_reviews
 EXCEPT SELECT parent_asin FROM metadata""")
 def unmatched_products(spark, sf):
     return products.unmatched_products(
-        views.item_reviews(spark, sf), views.raw_metadata(spark, sf)).select("parent_asin")
+        views.item_reviews(spark, sf), views.catalog_with_gaps(spark, sf)).select("parent_asin")
 
 
-@query(S.with_(S.ITEM, S.META, _DIRTY) + """,
+@query(S.with_(S.ITEM, S.GAPS, _DIRTY) + """,
 r AS (SELECT domain, parent_asin AS k, count(*) AS n FROM item_reviews GROUP BY 1, 2),
 m AS (SELECT domain, nullif(trim(coalesce(parent_asin, '')), '') AS k, count(*) AS n
       FROM dirty GROUP BY 1, 2)
@@ -114,7 +125,7 @@ SELECT d.domain,
      SELECT 1 FROM m WHERE m.domain = r.domain AND m.k = r.k))::BIGINT AS joined_reviews_count
 FROM (SELECT DISTINCT domain FROM item_reviews) d""")
 def join_validation(spark, sf):
-    return products.join_validation(views.item_reviews(spark, sf), _dirty_metadata(spark, sf))
+    return products.join_validation(views.item_reviews(spark, sf), _dirty_metadata(spark, sf, views.catalog_with_gaps))
 
 
 _SIZES = """sizes AS (
@@ -130,20 +141,17 @@ def products_with_min_reviews(spark, sf):
 SELECT review_key, parent_asin FROM item_reviews
 WHERE parent_asin IN (SELECT parent_asin FROM sizes WHERE n >= 20)""")
 def reviews_of_kept_products(spark, sf):
-    reviews, _ = products.filter_by_min_reviews(
-        views.item_reviews(spark, sf).select("review_key", "domain", "parent_asin"),
-        views.raw_metadata(spark, sf))
-    return reviews.select("review_key", "parent_asin")
+    return products.reviews_with_min(views.item_reviews(spark, sf).select(
+        "review_key", "domain", "parent_asin")).select("review_key", "parent_asin")
 
 
 @query(S.with_(S.ITEM, S.META, _SIZES) + """
 SELECT parent_asin, title, store FROM metadata
 WHERE parent_asin IN (SELECT parent_asin FROM sizes WHERE n >= 20)""")
 def metadata_of_kept_products(spark, sf):
-    _, meta = products.filter_by_min_reviews(
-        views.item_reviews(spark, sf).select("review_key", "domain", "parent_asin"),
-        views.raw_metadata(spark, sf))
-    return meta.select("parent_asin", "title", "store")
+    return products.metadata_with_min(
+        views.item_reviews(spark, sf).select("domain", "parent_asin"),
+        views.raw_metadata(spark, sf)).select("parent_asin", "title", "store")
 
 
 @query(S.with_(S.ITEM, _SIZES) + """

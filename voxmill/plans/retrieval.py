@@ -147,8 +147,7 @@ def _text_case(spark, sf):
         "parent_asin", F.concat(F.lit("src"), F.col("conv_id") % 20))
     queries = vectors.text_vectors(questions, "question").select(
         "query_id", "parent_asin", "question", "vec")
-    no_products = views.raw_metadata(spark, sf).where("parent_asin is null")
-    return queries, reviews, insights.product_info(docs, no_products)
+    return queries, reviews, insights.product_info(docs, views.source_metadata(spark, sf))
 
 
 @query()

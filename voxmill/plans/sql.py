@@ -129,7 +129,10 @@ META = f"""metadata AS (
     p_name AS title, (1 + p_size % 5)::DOUBLE AS average_rating,
     p_retailprice::VARCHAR AS price, p_name || ' ' || p_brand AS description,
     p_type || '|' || p_brand AS categories, p_brand AS store
-  FROM part WHERE p_size <= 40)"""
+  FROM part)"""
+
+#: Without the largest sizes, so that some products have no metadata.
+GAPS = META.replace("FROM part)", "FROM part WHERE p_size <= 40)")
 
 VEC = f"""vec_reviews AS (
   SELECT *, {label('rating')} AS sentiment FROM (

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from voxmill import jobs
+from voxmill import jobs, schemas
+from voxmill.config import DOMAINS
 from voxmill.functions import aspects as asp
 from voxmill.operators import evaluation
 from voxmill.plans import sql as S
 from voxmill.plans.cleaning import _kept
 from voxmill.plans.evaluation import _CLASSES, _TABLE, _counts
+from voxmill.plans.insights import _INSIGHTS
 from voxmill.plans.registry import query
 from voxmill.session import new_path
 from voxmill.sources import tables, views
@@ -57,25 +59,14 @@ sizes AS (SELECT domain, parent_asin, count(*) AS n FROM final GROUP BY 1, 2),
 kept AS (SELECT domain, parent_asin FROM sizes WHERE n >= 20)""")
 
 
-def _sources(spark, sf):
-    """Document sources as products of each domain, described by their first document there."""
-    return views.table(spark, sf, "documents").select(
-        F.col("doc_id").alias("row_id"), F.col("source").alias("parent_asin"),
-        F.when(F.col("lang") == "en", "Electronics").otherwise("Fashion").alias("domain"),
-        F.concat(F.lit("Source "), "source").alias("title"),
-        F.lit(4.0).alias("average_rating"), F.lit(" none ").alias("price"),
-        F.array("lang", F.lit(None).cast("string"), "source").alias("description"),
-        F.array("lang").alias("categories"), F.lit("  A   store ").alias("store"))
-
-
 def _built(spark, sf):
     return jobs.build_review_tables(
-        views.doc_reviews(spark, sf).drop("sentiment"), _sources(spark, sf),
+        views.doc_reviews(spark, sf).drop("sentiment"), views.source_metadata(spark, sf),
         new_path(spark, "tables"), max_chars=None)
 
 
 @query(_FINAL + """
-SELECT domain, parent_asin, NULL::VARCHAR AS asin, rating, sentiment, title, text,
+SELECT row_id, domain, parent_asin, NULL::VARCHAR AS asin, rating, sentiment, title, text,
   NULL::BIGINT AS "timestamp", NULL::BIGINT AS helpful_vote, NULL::BOOLEAN AS verified_purchase
 FROM final JOIN kept USING (domain, parent_asin)""")
 def stored_reviews(spark, sf):
@@ -108,11 +99,60 @@ def stored_product_report(spark, sf):
     return tables.read_table(spark, _built(spark, sf)["product_report"])
 
 
+_RAW = _INSIGHTS.replace("item_reviews AS (", "all_items AS (", 1).replace("bodies AS (", """
+item_reviews AS (
+  SELECT * REPLACE (sentiment AS predicted_sentiment) FROM all_items
+  WHERE (domain, parent_asin) IN (
+    SELECT (domain, parent_asin) FROM all_items GROUP BY domain, parent_asin HAVING count(*) >= 20)),
+bodies AS (""", 1)
+
+
+@query(_RAW + "SELECT * FROM insights")
+def raw_to_insights(spark, sf):
+    """From raw JSON lines as files hold them, without row ids, to the stored insights table."""
+    base = new_path(spark, "raw")
+    fields = [c for c in schemas.RAW_REVIEW.names if c not in ("row_id", "domain")]
+    reviews = views.item_reviews(spark, sf).withColumns({
+        "text": F.concat_ws(" ", "text", "review_key"), "timestamp": F.unix_timestamp("timestamp"),
+        "user_id": F.lit(None).cast("string")})
+    padded = F.concat(F.lit(" "), "parent_asin", F.lit("  "))
+    meta = views.raw_metadata(spark, sf).drop("row_id").withColumn("parent_asin", padded)
+    for domain in DOMAINS:
+        reviews.where(F.col("domain") == domain).select(*fields).write.json(
+            f"{base}/{tables.source_folder(domain)}")
+        meta.where(F.col("domain") == domain).drop("domain").write.json(
+            f"{base}/{tables.source_folder(domain, 'metadata')}")
+    paths = jobs.build_review_tables(
+        tables.union_domains([tables.load_reviews(spark, base, d) for d in DOMAINS]),
+        tables.union_domains([tables.load_metadata(spark, base, d) for d in DOMAINS]), f"{base}/tables")
+    reviews, products = (tables.read_table(spark, paths[n]) for n in ("reviews", "products"))
+    return jobs.build_insights(spark, reviews, products, f"{base}/insights").drop("top_complaint_aspects")
+
+
+@query("SELECT doc_id AS row_id, source, 'neutral' AS predicted_sentiment FROM documents")
+def scored_or_plain(spark, sf):
+    """No scored table is there, so the plain one serves, its label for the prediction."""
+    plain = views.table(spark, sf, "documents").select(
+        F.col("doc_id").alias("row_id"), "source", F.lit("neutral").alias("sentiment"))
+    path = tables.write_table(plain, new_path(spark, "plain"))
+    return tables.load_scored_reviews(spark, new_path(spark, "scored"), path).select(
+        "row_id", "source", "predicted_sentiment")
+
+
+@query("SELECT lang, count(*) AS n, count(*) AS verified FROM documents GROUP BY lang")
+def verified_tables(spark, sf):
+    """A table is read back with its columns checked before its rows are counted."""
+    docs = views.table(spark, sf, "documents").withColumn("domain", F.col("lang"))
+    path = tables.save_by_domain(docs, new_path(spark, "verified"))
+    verified = tables.verify_table(spark, path, ("doc_id", "text", "domain"))
+    stored = tables.read_table(spark, path).groupBy("lang").agg(F.count("*").alias("n"))
+    total = stored.agg(F.sum("n")).first()[0]
+    return stored.withColumn("verified", F.when(F.lit(verified == total), F.col("n")))
+
+
 @query()
 def stored_insights(spark, sf):
     """Insights built from the stored tables and read back."""
     paths = _built(spark, sf)
     reviews, products = (tables.read_table(spark, paths[n]) for n in ("reviews", "products"))
-    # The stored reviews carry no row order; any review's domain names its product.
-    ordered = reviews.withColumn("row_id", F.xxhash64("text"))
-    return jobs.load_insights(spark, new_path(spark, "insights"), ordered, products)
+    return jobs.load_insights(spark, new_path(spark, "insights"), reviews, products)

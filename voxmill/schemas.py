@@ -16,7 +16,7 @@ RAW_REVIEW = _struct(
 )
 
 REVIEW = _struct(
-    ("domain", _STR), ("parent_asin", _STR), ("asin", _STR), ("rating", _DBL),
+    ("row_id", _LNG), ("domain", _STR), ("parent_asin", _STR), ("asin", _STR), ("rating", _DBL),
     ("sentiment", _STR), ("title", _STR), ("text", _STR), ("timestamp", _LNG),
     ("helpful_vote", _LNG), ("verified_purchase", _BOOL),
 )

@@ -51,6 +51,9 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     try:
         return (reader.schema(schema) if schema else reader).load(path)
     except AnalysisException as error:
+        # Only a missing path means "no table"; an empty folder or a damaged file is an error.
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         raise FileNotFoundError(f"No table at '{path}'.") from error
 
 
@@ -67,11 +70,16 @@ def write_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) ->
     return path
 
 
+#: A table of up to this many bytes may be one file of one row group, which cannot be split.
+SPREAD_BYTES = 256 << 20
+
+
 def spread_small(df: DataFrame) -> DataFrame:
-    """For a plain scan ahead of costly text work: when the files give fewer splits than there
-    are cores, spread the rows. Larger inputs have more splits than cores and stay as read."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    """For a plain scan ahead of costly text work: the rows of a small table are dealt out, which
+    shuffles SPREAD_BYTES at most, whatever the cluster. A larger table is read as its files split."""
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    small = int(str(size)) <= SPREAD_BYTES
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if small else df
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -82,16 +90,24 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
         for f in schema.fields])
 
 
+def with_row_id(df: DataFrame) -> DataFrame:
+    """``row_id`` where the file has none: a digest of all fields. It depends on the row alone, not on
+    files, splits or retries; rows equal in all fields share it and are the same review."""
+    fields = [c for c in df.columns if c != "row_id"]
+    digest = F.xxhash64(*[F.to_json(F.struct(c)) if "<" in t else F.col(c) for c, t in df.dtypes if c in fields])
+    return df.withColumn("row_id", F.coalesce("row_id", digest) if "row_id" in df.columns else digest)
+
+
 def load_reviews(spark: SparkSession, base: str, domain: str, fmt: str = "json") -> DataFrame:
     path = f"{base.rstrip('/')}/{source_folder(domain)}"
-    return spark.read.schema(schemas.RAW_REVIEW).format(fmt).load(path).withColumn(
-        "domain", F.lit(domain))
+    return with_row_id(spark.read.schema(schemas.RAW_REVIEW).format(fmt).load(path).withColumn(
+        "domain", F.lit(domain)))
 
 
 def load_metadata(spark: SparkSession, base: str, domain: str, fmt: str = "json") -> DataFrame:
     path = f"{base.rstrip('/')}/{source_folder(domain, 'metadata')}"
-    return spark.read.schema(schemas.RAW_METADATA).format(fmt).load(path).withColumn(
-        "domain", F.lit(domain))
+    return with_row_id(spark.read.schema(schemas.RAW_METADATA).format(fmt).load(path).withColumn(
+        "domain", F.lit(domain)))
 
 
 def sample_reviews(df: DataFrame, domain: str, n: int, fields=REVIEW_COLUMNS,
@@ -148,15 +164,20 @@ def load_summary(df: DataFrame) -> DataFrame:
         F.count("*").alias("reviews_loaded"), F.lit(len(df.columns)).alias("n_columns"))
 
 
-def markdown_table(df: DataFrame, limit: int = 200) -> str:
-    """A small report table as markdown. Meant for metric tables; larger ones are refused."""
-    rows = df.limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"a markdown report holds at most {limit} rows")
-    head = "| " + " | ".join(df.columns) + " |"
-    rule = "| " + " | ".join(":---" for _ in df.columns) + " |"
-    body = ["| " + " | ".join("" if v is None else str(v) for v in row) + " |" for row in rows]
-    return "\n".join([head, rule, *body])
+def markdown_head(columns: list[str]) -> list[str]:
+    return ["| " + " | ".join(columns) + " |", "| " + " | ".join(":---" for _ in columns) + " |"]
+
+
+def markdown_rows(df: DataFrame) -> DataFrame:
+    """Each row as a line of a markdown table, made on the executors; ``markdown_head`` goes above."""
+    cells = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in df.columns]
+    return df.select(F.concat(F.lit("| "), F.concat_ws(" | ", *cells), F.lit(" |")).alias("value"))
+
+
+def markdown_table(df: DataFrame) -> str:
+    """A report table as one markdown text, its rows fetched partition by partition."""
+    lines = (row["value"] for row in markdown_rows(df).toLocalIterator())
+    return "\n".join([*markdown_head(df.columns), *lines])
 
 
 def json_rows(df: DataFrame) -> DataFrame:

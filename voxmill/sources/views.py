@@ -61,8 +61,8 @@ def item_reviews(spark: SparkSession, sf_dir: str, for_text: bool = False) -> Da
 
 
 def raw_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parts as product metadata; larger sizes are not in the catalog."""
-    return table(spark, sf_dir, "part").where("p_size <= 40").select(
+    """Parts as product metadata."""
+    return table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("row_id"),
         F.when(F.col("p_type").isin("SMALL", "MEDIUM", "LARGE"), "Fashion")
         .otherwise("Electronics").alias("domain"),
@@ -75,6 +75,23 @@ def raw_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_brand").alias("store"))
 
 
+def source_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Document sources as products of each domain, described by their documents there."""
+    return table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("row_id"), F.col("source").alias("parent_asin"),
+        F.when(F.col("lang") == "en", "Electronics").otherwise("Fashion").alias("domain"),
+        F.concat(F.lit("Source "), "source").alias("title"),
+        F.lit(4.0).alias("average_rating"), F.lit(" none ").alias("price"),
+        F.array("lang", F.lit(None).cast("string"), "source").alias("description"),
+        F.array("lang").alias("categories"), F.lit("  A   store ").alias("store"))
+
+
+def catalog_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The metadata without the largest sizes, for queries about products that lack theirs."""
+    sizes = table(spark, sf_dir, "part").where("p_size <= 40").select(F.col("p_partkey").alias("row_id"))
+    return raw_metadata(spark, sf_dir).join(sizes, "row_id", "left_semi")
+
+
 def vector_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored vectors as reviews of their label."""
     rating = (1 + F.col("vec_id") % 5).cast("double")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from voxmill.config import MAX_CHARS, MIN_CHARS, MIN_WORDS
+from voxmill.config import MIN_CHARS, MIN_WORDS
 from voxmill.functions import labels
 from voxmill.operators.cleaning import checked_reviews, text_key
 
@@ -16,8 +16,13 @@ def read_stream(
     spark: SparkSession, folder: str, schema: T.StructType, pattern: str | None = None,
     files_per_trigger: int | None = None,
 ) -> DataFrame:
-    """New parquet files of a folder, read with a fixed schema."""
+    """New parquet files of a table's folder (or its one file), read with a fixed schema."""
     reader = spark.readStream.schema(schema).format("parquet")
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.exists(place) and files.getFileStatus(place).isFile():
+        # A stream watches a folder: the file's own, for its name.
+        folder, pattern = place.getParent().toString(), place.getName()
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
     if files_per_trigger:
@@ -27,7 +32,7 @@ def read_stream(
 
 def clean_stream(
     raw: DataFrame, min_words: int = MIN_WORDS, min_chars: int = MIN_CHARS,
-    max_chars: int | None = MAX_CHARS,
+    max_chars: int | None = None,
 ) -> DataFrame:
     """The row-wise part of cleaning: works on a stream and on a table alike."""
     return (
@@ -68,9 +73,24 @@ def ingest(stream: DataFrame, path: str, checkpoint: str,
 
 
 def keep_latest(counts: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Write the complete counts after each batch; the table holds the newest state."""
-    def replace(batch: DataFrame, _batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+    """Write the complete counts after each batch to a folder of its own. A batch is written aside and
+    takes its name in one step, so ``read_latest`` sees a whole state at any time; a repeated batch
+    replaces itself."""
+    def replace(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        aside = f"{path}/_aside-{batch_id}"
+        batch.write.mode("overwrite").parquet(aside)
+        source, target = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (aside, f"{path}/batch={batch_id}"))
+        files = source.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.delete(target, True)
+        files.rename(source, target)
 
     return counts.writeStream.outputMode("complete").option(
         "checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(replace).start()
+
+
+def read_latest(spark: SparkSession, path: str) -> DataFrame:
+    """The newest complete state that ``keep_latest`` has written."""
+    states = spark.read.parquet(path)
+    newest = states.agg(F.max("batch")).first()[0]
+    return states.where(F.col("batch") == newest).drop("batch")
