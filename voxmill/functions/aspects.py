@@ -10,7 +10,7 @@ from itertools import chain
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxmill.functions import lexicons as L
+from voxmill.functions import lexicons as L, numbers
 from voxmill.functions.binding import bind
 
 _EDGE = r"[\p{L}\p{N}_]"
@@ -189,7 +189,7 @@ def select_by_threshold(scores: Column, threshold: float) -> Column:
 
 
 def rounded_scores(scores: Column) -> Column:
-    return F.transform_values(scores, lambda _, v: F.bround(v, 4))
+    return F.transform_values(scores, lambda _, v: numbers.rounded(v, 4))
 
 
 def parse_aspects(value: Column, is_array: bool = False) -> Column:

@@ -227,7 +227,7 @@ def summary_text() -> Column:
         F.concat(F.lit("Product: "), tx.ellipsize(F.col("title"), 80, 77)),
         F.concat(
             F.lit("Domain: "), F.col("domain"), F.lit(" | ASIN: "), F.col("parent_asin"),
-            F.lit(" | Rating: "), F.bround("average_rating", 1).cast("string"), F.lit(" / 5.0")),
+            F.lit(" | Rating: "), numbers.rounded(F.col("average_rating"), 1).cast("string"), F.lit(" / 5.0")),
         F.lit(""),
         F.concat(F.lit("Total Reviews: "), F.col("total_reviews").cast("string")),
         F.lit(""),

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from voxmill.functions import numbers
+
 # A scorer maps a batch of (text, domain) to one {label: score} dict per row.
 Scorer = Callable[[pd.Series, pd.Series], "list[dict[str, float]]"]
 
@@ -38,7 +40,7 @@ def best_label(scores: str = "scores"):
     entries = F.transform(F.map_entries(scores), lambda e: F.struct(
         (-e["value"]).alias("minus"), e["key"].alias("label")))
     top = F.array_min(entries)
-    return top["label"], F.bround(-top["minus"], 4)
+    return top["label"], numbers.rounded(-top["minus"], 4)
 
 
 def score_where(

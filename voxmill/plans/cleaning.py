@@ -119,8 +119,8 @@ ranked AS (
 def _funnel(cap: int | None) -> str:
     shares = ", ".join(
         f"""CASE WHEN count(*) FILTER (reason = 'ok' AND place = 1 AND sentiment IS NOT NULL) > 0
-        THEN round_even(count(*) FILTER (reason = 'ok' AND place = 1 AND sentiment = '{s}')
-          / count(*) FILTER (reason = 'ok' AND place = 1 AND sentiment IS NOT NULL) * 100.0, 4)
+        THEN printf('%.4f', (count(*) FILTER (reason = 'ok' AND place = 1 AND sentiment = '{s}')
+          / count(*) FILTER (reason = 'ok' AND place = 1 AND sentiment IS NOT NULL) * 100.0)::DOUBLE)::DOUBLE
         ELSE 0.0 END AS {s}_pct""" for s in ("negative", "neutral", "positive"))
     counts = ", ".join(
         f"count(*) FILTER (reason = 'ok' AND place = 1 AND sentiment = '{s}') AS {s}_count"

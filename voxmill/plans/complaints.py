@@ -80,7 +80,7 @@ totals AS (SELECT domain, count(*) AS total_reviews FROM tagged GROUP BY domain
            UNION ALL SELECT 'All', count(*) FROM tagged),
 counted AS (SELECT domain, aspect, count(*) AS n FROM cells GROUP BY 1, 2
             UNION ALL SELECT 'All', aspect, count(*) FROM cells GROUP BY 2)
-SELECT domain, aspect, n, total_reviews, round_even(n / total_reviews * 100.0, 2) AS frequency_pct
+SELECT domain, aspect, n, total_reviews, printf('%.2f', (n / total_reviews * 100.0)::DOUBLE)::DOUBLE AS frequency_pct
 FROM counted JOIN totals USING (domain)""")
 def aspect_frequencies(spark, sf):
     return complaints.aspect_frequencies(_tagged_items(spark, sf))
@@ -89,7 +89,7 @@ def aspect_frequencies(spark, sf):
 @query(_DISTINCT_TAGS + """,
 totals AS (SELECT domain, count(*) AS total_reviews FROM tagged GROUP BY domain),
 counted AS (SELECT domain, aspect, count(*) AS n FROM cells GROUP BY 1, 2)
-SELECT domain, aspect, n, total_reviews, round_even(n / total_reviews * 100.0, 1) AS pct,
+SELECT domain, aspect, n, total_reviews, printf('%.1f', (n / total_reviews * 100.0)::DOUBLE)::DOUBLE AS pct,
   repeat('=', floor(n / total_reviews * 100.0 / 4)::INTEGER) AS bar
 FROM counted JOIN totals USING (domain)""")
 def annotation_statistics(spark, sf):
@@ -101,7 +101,7 @@ def annotation_statistics(spark, sf):
 @query(_DISTINCT_TAGS + """,
 totals AS (SELECT domain, count(*) AS total_reviews FROM tagged GROUP BY domain),
 counted AS (SELECT domain, aspect, count(*) AS n FROM cells GROUP BY 1, 2)
-SELECT domain, aspect, repeat('█', floor(round_even(n / total_reviews * 100.0, 2) / 3)::INTEGER)
+SELECT domain, aspect, repeat('█', floor(printf('%.2f', (n / total_reviews * 100.0)::DOUBLE)::DOUBLE / 3)::INTEGER)
   AS bar FROM counted JOIN totals USING (domain)""")
 def frequency_bars(spark, sf):
     freq = complaints.aspect_frequencies(_tagged_items(spark, sf)).where("domain <> 'All'")
@@ -128,7 +128,7 @@ counted AS (
     SELECT parent_asin, unnest(aspects) AS aspect FROM neg) GROUP BY 1, 2),
 totals AS (SELECT parent_asin, count(*) AS total_negatives FROM neg GROUP BY 1)
 SELECT parent_asin, aspect, n, total_negatives, rank, {names} AS display_name,
-  round_even(n / total_negatives * 100.0, 1) AS percentage
+  printf('%.1f', (n / total_negatives * 100.0)::DOUBLE)::DOUBLE AS percentage
 FROM (SELECT *, row_number() OVER (PARTITION BY parent_asin ORDER BY n DESC, aspect)::INTEGER
         AS rank FROM counted JOIN totals USING (parent_asin)) {limit}"""
 
@@ -185,7 +185,7 @@ SELECT 'DOC-' || CASE WHEN row_id < 1000 THEN lpad(row_id::VARCHAR, 3, '0')
   array_to_string(truth, '; ') AS ground_truth_aspects,
   array_to_string(detected, '; ') AS detected_aspects,
   '{' || array_to_string(list_transform(scores, lambda c:
-    '"' || c.a || '":' || round_even(c.s, 4)::VARCHAR), ',') || '}' AS confidence
+    '"' || c.a || '":' || printf('%.4f', (c.s)::DOUBLE)::DOUBLE::VARCHAR), ',') || '}' AS confidence
 FROM predicted""")
 def aspect_predictions(spark, sf):
     return _predictions(spark, sf).select(
@@ -227,14 +227,14 @@ _PRF = """
 def _summary(group: str) -> str:
     return f"""
 SELECT {group}count(*) AS aspect_count,
-  round_even(CASE WHEN sum(tp + fp) > 0 THEN sum(tp) / sum(tp + fp) ELSE 0.0 END, 4)
+  printf('%.4f', (CASE WHEN sum(tp + fp) > 0 THEN sum(tp) / sum(tp + fp) ELSE 0.0 END)::DOUBLE)::DOUBLE
     AS micro_precision,
-  round_even(CASE WHEN sum(tp + fn) > 0 THEN sum(tp) / sum(tp + fn) ELSE 0.0 END, 4)
+  printf('%.4f', (CASE WHEN sum(tp + fn) > 0 THEN sum(tp) / sum(tp + fn) ELSE 0.0 END)::DOUBLE)::DOUBLE
     AS micro_recall,
-  round_even(CASE WHEN sum(2 * tp + fp + fn) > 0 THEN 2 * sum(tp) / sum(2 * tp + fp + fn)
-    ELSE 0.0 END, 4) AS micro_f1,
-  round_even(avg(precision), 4) AS macro_precision, round_even(avg(recall), 4) AS macro_recall,
-  round_even(avg(f1), 4) AS macro_f1, any_value(sample_count) AS sample_count FROM metrics"""
+  printf('%.4f', (CASE WHEN sum(2 * tp + fp + fn) > 0 THEN 2 * sum(tp) / sum(2 * tp + fp + fn)
+    ELSE 0.0 END)::DOUBLE)::DOUBLE AS micro_f1,
+  printf('%.4f', (avg(precision))::DOUBLE)::DOUBLE AS macro_precision, printf('%.4f', (avg(recall))::DOUBLE)::DOUBLE AS macro_recall,
+  printf('%.4f', (avg(f1))::DOUBLE)::DOUBLE AS macro_f1, any_value(sample_count) AS sample_count FROM metrics"""
 
 
 @query(_SCORED + _cells("") + f""",
@@ -266,8 +266,8 @@ def multilabel_summary_by_domain(spark, sf):
 
 
 @query(_TARGET_METRICS + """
-SELECT domain, label, round_even(precision, 4) AS precision, round_even(recall, 4) AS recall,
-  round_even(f1, 4) AS f1, support FROM metrics""")
+SELECT domain, label, printf('%.4f', (precision)::DOUBLE)::DOUBLE AS precision, printf('%.4f', (recall)::DOUBLE)::DOUBLE AS recall,
+  printf('%.4f', (f1)::DOUBLE)::DOUBLE AS f1, support FROM metrics""")
 def multilabel_per_aspect(spark, sf):
     return _by_domain(spark, sf)[1].orderBy("domain", F.desc("f1"), "label")
 
@@ -345,7 +345,7 @@ s AS (
        + """
 SELECT row_id, CASE WHEN doing >= done AND doing >= many THEN 'doing'
     WHEN done >= many THEN 'done' ELSE 'many' END AS label,
-  round_even(greatest(doing, done, many), 4) AS confidence FROM s""")
+  printf('%.4f', (greatest(doing, done, many))::DOUBLE)::DOUBLE AS confidence FROM s""")
 def batch_scores(spark, sf):
     scored = scoring.score_texts(_docs(spark, sf), _word_share_factory)
     label, confidence = scoring.best_label()

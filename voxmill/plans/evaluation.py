@@ -41,10 +41,10 @@ overall AS (
 """
 
 _TABLE = """
-SELECT model, domain, round_even(accuracy, 4) AS accuracy,
-  round_even(weighted_precision, 4) AS precision, round_even(weighted_recall, 4) AS recall,
-  round_even(weighted_f1, 4) AS f1, round_even(macro_f1, 4) AS macro_f1,
-  round_even(neutral_f1, 4) AS neutral_f1 FROM overall"""
+SELECT model, domain, printf('%.4f', (accuracy)::DOUBLE)::DOUBLE AS accuracy,
+  printf('%.4f', (weighted_precision)::DOUBLE)::DOUBLE AS precision, printf('%.4f', (weighted_recall)::DOUBLE)::DOUBLE AS recall,
+  printf('%.4f', (weighted_f1)::DOUBLE)::DOUBLE AS f1, printf('%.4f', (macro_f1)::DOUBLE)::DOUBLE AS macro_f1,
+  printf('%.4f', (neutral_f1)::DOUBLE)::DOUBLE AS neutral_f1 FROM overall"""
 
 _GROUPS = ["model", "domain"]
 

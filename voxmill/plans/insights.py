@@ -17,7 +17,7 @@ def _insights(spark, sf):
 
 
 def _pct(condition: str, whole: str = "count(*)") -> str:
-    return f"round_even(count(*) FILTER ({condition}) / {whole} * 100.0, 1)"
+    return f"printf('%.1f', (count(*) FILTER ({condition}) / {whole} * 100.0)::DOUBLE)::DOUBLE"
 
 
 _INSIGHTS = _ITEM_TAGS.rstrip() + f""",
@@ -27,13 +27,13 @@ neg AS (
     SELECT parent_asin, unnest(aspects) AS aspect FROM tagged WHERE sentiment = 'negative')
   GROUP BY 1, 2),
 totals AS (
-  SELECT parent_asin, any_value(domain) AS domain, round_even(avg(rating), 2) AS average_rating,
+  SELECT parent_asin, any_value(domain) AS domain, printf('%.2f', (avg(rating))::DOUBLE)::DOUBLE AS average_rating,
     count(*) AS total_reviews,
     {', '.join(f"count(*) FILTER (sentiment = '{s}') AS {s}_reviews, {_pct(f"sentiment = '{s}'")} AS {s}_percentage, {_pct(f"predicted_sentiment = '{s}'")} AS pred_{s}_percentage" for s in ('positive', 'neutral', 'negative'))}
   FROM item_reviews GROUP BY 1),
 ranked AS (
   SELECT parent_asin, list({{'aspect': aspect, 'display_name': {S.display('aspect')}, 'count': n,
-      'percentage': round_even(n / negative_reviews * 100.0, 1)}} ORDER BY n DESC, aspect) AS top
+      'percentage': printf('%.1f', (n / negative_reviews * 100.0)::DOUBLE)::DOUBLE}} ORDER BY n DESC, aspect) AS top
   FROM neg JOIN totals USING (parent_asin) GROUP BY 1),
 insights AS (
   SELECT t.parent_asin, t.domain, coalesce(m.title, 'Product ' || t.parent_asin) AS title, m.price,
@@ -121,14 +121,14 @@ def stored_product_aspects(spark, sf):
 SELECT parent_asin, 'Product: ' || CASE WHEN length(title) > 80 THEN left(title, 77) || '...'
     ELSE title END
   || chr(10) || 'Domain: ' || domain || ' | ASIN: ' || parent_asin || ' | Rating: '
-  || round_even(average_rating, 1)::VARCHAR || ' / 5.0' || chr(10) || chr(10)
+  || printf('%.1f', (average_rating)::DOUBLE)::DOUBLE::VARCHAR || ' / 5.0' || chr(10) || chr(10)
   || 'Total Reviews: ' || total_reviews || chr(10) || chr(10)
-  || 'Positive: ' || round_even(positive_percentage, 0)::INTEGER || '%' || chr(10)
-  || 'Neutral: ' || round_even(neutral_percentage, 0)::INTEGER || '%' || chr(10)
-  || 'Negative: ' || round_even(negative_percentage, 0)::INTEGER || '%' || chr(10) || chr(10)
+  || 'Positive: ' || printf('%.0f', (positive_percentage)::DOUBLE)::DOUBLE::INTEGER || '%' || chr(10)
+  || 'Neutral: ' || printf('%.0f', (neutral_percentage)::DOUBLE)::DOUBLE::INTEGER || '%' || chr(10)
+  || 'Negative: ' || printf('%.0f', (negative_percentage)::DOUBLE)::DOUBLE::INTEGER || '%' || chr(10) || chr(10)
   || 'Top complaints:' || chr(10)
   || CASE WHEN top IS NOT NULL THEN array_to_string(list_transform(top[1:5], lambda e, i:
-       i || '. ' || e.display_name || ' — ' || round_even(e.percentage, 0)::INTEGER || '%'),
+       i || '. ' || e.display_name || ' — ' || printf('%.0f', (e.percentage)::DOUBLE)::DOUBLE::INTEGER || '%'),
        chr(10)) ELSE 'No significant complaint patterns detected.' END AS summary
 FROM insights LEFT JOIN ranked USING (parent_asin)""")
 def product_summaries(spark, sf):

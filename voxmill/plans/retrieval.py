@@ -86,7 +86,7 @@ def top_matches(spark, sf):
 
 @query(_BASE + """
 SELECT query_id, row_id, rank, preferred, parent_asin, rating, sentiment,
-  round_even(similarity, 4) AS similarity_score FROM best""")
+  printf('%.4f', (similarity)::DOUBLE)::DOUBLE AS similarity_score FROM best""")
 def retrieved_reviews(spark, sf):
     _, rows = _retrieved(spark, sf)
     return rows.drop("aspects")
@@ -102,7 +102,7 @@ def retrieved_sentiments(spark, sf):
 
 @query(_BASE + f"""
 SELECT query_id, aspect, {S.display('aspect')} AS label, n,
-  round_even(n / size * 100.0, 1) AS percentage,
+  printf('%.1f', (n / size * 100.0)::DOUBLE)::DOUBLE AS percentage,
   row_number() OVER (PARTITION BY query_id ORDER BY n DESC, aspect)::INTEGER AS rank
 FROM (SELECT query_id, aspect, count(*) AS n FROM (
     SELECT query_id, unnest(aspects) AS aspect FROM best) GROUP BY 1, 2)

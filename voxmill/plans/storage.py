@@ -101,9 +101,11 @@ def stored_product_report(spark, sf):
 
 _RAW = _INSIGHTS.replace("item_reviews AS (", "all_items AS (", 1).replace("bodies AS (", """
 item_reviews AS (
-  SELECT * REPLACE (sentiment AS predicted_sentiment) FROM all_items
+  SELECT * REPLACE (sentiment AS predicted_sentiment) FROM (
+    SELECT DISTINCT ON (review_key) * FROM all_items)
   WHERE (domain, parent_asin) IN (
-    SELECT (domain, parent_asin) FROM all_items GROUP BY domain, parent_asin HAVING count(*) >= 20)),
+    SELECT (domain, parent_asin) FROM all_items GROUP BY domain, parent_asin
+    HAVING count(DISTINCT review_key) >= 20)),
 bodies AS (""", 1)
 
 
