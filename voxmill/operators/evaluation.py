@@ -134,6 +134,11 @@ def aligned_predictions(predictions: DataFrame, models: list[str], keys: list[st
         F.min(F.when(F.col("model") == m, label)).alias(f"pred_{m}") for m in models])
 
 
+# The kinds of error; {0} and {1} are models.
+NEUTRAL_ERROR, ALL_FAILED, SINGLE_ERROR = "Neutral Misclassification", "All Models Failed", "Single Model Error"
+ONE_FAILED = "{0} Succeeded, {1} Failed"
+
+
 def error_analysis(aligned: DataFrame, baseline: str, tuned: str, other: str) -> DataFrame:
     """Samples at least one model gets wrong, with the kinds of error. A model without a prediction,
     or with a label nobody knows, is wrong."""
@@ -142,13 +147,13 @@ def error_analysis(aligned: DataFrame, baseline: str, tuned: str, other: str) ->
     only_tuned_side = ~all_wrong & wrong[tuned] & ~wrong[other]
     tuned_better = ~all_wrong & ~only_tuned_side & ~wrong[tuned] & wrong[baseline]
     kinds = F.array_compact(F.array(
-        F.when(F.col("y_true") == "neutral", "Neutral Misclassification"),
-        F.when(all_wrong, "All Models Failed")
-        .when(only_tuned_side, f"{other} Succeeded, {tuned} Failed")
-        .when(tuned_better, f"{tuned} Succeeded, {baseline} Failed")))
+        F.when(F.col("y_true") == "neutral", NEUTRAL_ERROR),
+        F.when(all_wrong, ALL_FAILED)
+        .when(only_tuned_side, ONE_FAILED.format(other, tuned))
+        .when(tuned_better, ONE_FAILED.format(tuned, baseline))))
     return aligned.where(wrong[baseline] | wrong[tuned] | wrong[other]).withColumn(
         "error_categories",
-        F.when(F.size(kinds) == 0, "Single Model Error").otherwise(F.array_join(kinds, ", ")))
+        F.when(F.size(kinds) == 0, SINGLE_ERROR).otherwise(F.array_join(kinds, ", ")))
 
 
 def text_snippet(text: Column) -> Column:

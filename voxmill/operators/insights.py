@@ -10,7 +10,9 @@ from voxmill.functions.lexicons import ASPECTS
 from voxmill.operators.products import unique_products
 from voxmill.schemas import COMPLAINT_ASPECTS
 
+# Texts of the insights table and of a product's printed summary.
 NO_COMPLAINTS = "No severe complaint clusters detected."
+NO_PATTERNS = "No significant complaint patterns detected."
 
 
 def with_predictions(reviews: DataFrame) -> DataFrame:
@@ -164,18 +166,21 @@ def quadrants(insights: DataFrame) -> DataFrame:
 
 def find_products(insights: DataFrame, wanted: list[str]) -> DataFrame:
     """The product each wanted string means: an exact id first, ignoring case, else the first
-    product in table order whose title contains it. One scan, whatever the number of strings."""
-    entries = F.array(*[
-        F.struct(F.lit(w).alias("wanted"), F.lit(w.strip().upper()).alias("key"),
-                 F.lit(w.lower()).alias("part")) for w in wanted])
-    pairs = insights.select("*", F.explode(entries).alias("_w"))
-    exact = F.upper("parent_asin") == F.col("_w.key")
-    inside = F.contains(F.lower("title"), F.col("_w.part"))
-    hits = pairs.withColumn("_rank", F.when(exact, 0).when(inside, 1)).where("_rank is not null")
-    place = F.struct("_rank", "domain", -F.col("total_reviews"), "parent_asin")
-    window = Window.partitionBy("_w.wanted").orderBy(place)
-    return hits.withColumn("_n", F.row_number().over(window)).where("_n = 1").withColumn(
-        "wanted", F.col("_w.wanted")).drop("_w", "_rank", "_n")
+    product in table order whose title contains it. Ids are found by an equi-join; only strings that
+    are no id are looked for in titles, and a product is copied for those alone that it contains."""
+    spark = insights.sparkSession
+    asked = spark.createDataFrame([(w, w.strip().upper()) for w in dict.fromkeys(wanted)], "wanted string, _key string")
+    # The wanted strings are the caller's own list.
+    exact = insights.withColumn("_key", F.upper("parent_asin")).join(F.broadcast(asked), "_key").drop("_key")
+    known = {r["wanted"] for r in exact.select("wanted").distinct().collect()}
+    rest = [w for w in dict.fromkeys(wanted) if w not in known]
+    hits = exact
+    if rest:
+        parts = F.array_compact(F.array(*[
+            F.when(F.contains(F.lower("title"), F.lit(w.lower())), F.lit(w)) for w in rest]))
+        hits = exact.unionByName(insights.withColumn("wanted", F.explode(parts)))
+    window = Window.partitionBy("wanted").orderBy("domain", F.desc("total_reviews"), "parent_asin")
+    return hits.withColumn("_n", F.row_number().over(window)).where("_n = 1").drop("_n")
 
 
 class ProductNotFound(ValueError):
@@ -219,7 +224,7 @@ def summary_text() -> Column:
             i.cast("string"), F.lit(". "), e["display_name"], F.lit(" — "),
             whole_percent(e["percentage"]), F.lit("%")))
     complaints = F.when(F.size(ranked) > 0, F.array_join(lines, "\n")).otherwise(
-        "No significant complaint patterns detected.")
+        NO_PATTERNS)
     share = {s: F.concat(F.lit(f"{s.capitalize()}: "), whole_percent(F.col(f"{s}_percentage")),
                          F.lit("%")) for s in ("positive", "neutral", "negative")}
     return F.concat_ws(

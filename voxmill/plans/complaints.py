@@ -61,7 +61,10 @@ def annotation_tags(spark, sf):
 
 @query("""
 SELECT p_partkey, p_name || ' ; ' || upper(p_brand) || ',|' || p_type || ',' AS raw,
-  lower(p_name) || '; ' || lower(p_brand) || '; ' || lower(p_type) AS parsed, 3 AS n FROM part""")
+  array_to_string(items, '; ') AS parsed, len(items)::INTEGER AS n
+FROM (SELECT *, list_filter(list_transform(regexp_split_to_array(
+    p_name || ' ; ' || upper(p_brand) || ',|' || p_type || ',', '[;,|]'),
+  lambda x: lower(trim(x))), lambda x: x <> '') AS items FROM part)""")
 def parsed_aspect_lists(spark, sf):
     raw = F.concat("p_name", F.lit(" ; "), F.upper("p_brand"), F.lit(",|"), "p_type", F.lit(","))
     rows = views.table(spark, sf, "part").select("p_partkey", raw.alias("raw"))
@@ -318,19 +321,16 @@ def question_intents(spark, sf):
 
 
 def _word_share_factory():
-    """A small scorer in Python: the share of a text's words that end like the label says."""
-    import re
+    """A small scorer over whole batches: the share of a text's words that end like the label says."""
+    import pandas as pd
 
     endings = {"ing": "doing", "ed": "done", "s": "many"}
 
     def scorer(texts, _domains):
-        out = []
-        for text in texts:
-            words = re.findall(r"[a-z]+", (text or "").lower())
-            out.append({
-                label: sum(w.endswith(e) for w in words) / max(len(words), 1)
-                for e, label in endings.items()})
-        return out
+        low = pd.Series(texts, dtype=object).fillna("").str.lower()
+        words = low.str.count("[a-z]+").clip(lower=1)
+        shares = pd.DataFrame({label: low.str.count(f"{e}(?![a-z])") / words for e, label in endings.items()})
+        return shares.to_dict("records")
 
     return scorer
 

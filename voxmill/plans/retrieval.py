@@ -112,7 +112,9 @@ def retrieved_aspects(spark, sf):
 
 
 @query(_BASE + """
-SELECT query_id, count(*) AS reviews_retrieved, 0::BIGINT AS foreign_reviews FROM best GROUP BY 1""")
+SELECT query_id, count(*) AS reviews_retrieved,
+  count(*) FILTER (v.parent_asin <> q.parent_asin) AS foreign_reviews
+FROM best b JOIN vec_reviews v USING (row_id) JOIN queries q USING (query_id) GROUP BY 1""")
 def isolation_audit(spark, sf):
     queries, rows = _retrieved(spark, sf)
     return retrieval.isolation_audit(rows, queries)
