@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from voxmill.functions import labels, numbers
-from voxmill.operators import cleaning, evaluation, products, retrieval, sampling, skew
+from voxmill.operators import cleaning, evaluation, models, products, retrieval, sampling, skew
 
 ODD = "row_id long, domain string, sentiment string"
 
@@ -95,6 +95,16 @@ def test_unknown_labels_are_errors(spark):
     assert found == {1: "x" * 120 + "...", 2: None}
 
 
+def test_whole_vocabulary(spark):
+    df = spark.createDataFrame([(1, "good sound good bass"), (2, "bad sound"), (3, "rare word here")],
+                               "row_id long, features_text string")
+    whole = models.tfidf_weights(df, size=None)
+    bounded = models.tfidf_weights(df, size=50)
+    assert rows(whole.withColumn("weight", F.round("weight", 9))) == rows(
+        bounded.withColumn("weight", F.round("weight", 9)))
+    assert models.vocabulary(df, size=None).count() == 13
+
+
 def test_texts_that_part_after_a_thousand_characters_stay(spark):
     raw = spark.createDataFrame([(i, "d", "word " * 250 + end, 5.0) for i, end in enumerate("ab")],
                                 "row_id long, domain string, text string, rating double")

@@ -62,17 +62,22 @@ def row_terms(rows: DataFrame, text: str = "features_text") -> DataFrame:
     return rows.select("row_id", F.inline(term_counts(F.col(text))))
 
 
-def vocabulary(rows: DataFrame, text: str = "features_text", size: int = 5000) -> DataFrame:
-    """The ``size`` most frequent words and word pairs: (term, total, df)."""
-    return row_terms(rows, text).groupBy("term").agg(
-        F.sum("tf").alias("total"), F.count("*").alias("df")).orderBy(
-        F.desc("total"), "term").limit(size)
+#: A vocabulary of up to this many terms is broadcast; a larger or unbounded one is shuffled.
+MAX_BROADCAST_TERMS = 100_000
 
 
-def tfidf_weights(rows: DataFrame, text: str = "features_text", size: int = 5000) -> DataFrame:
+def vocabulary(rows: DataFrame, text: str = "features_text", size: int | None = 5000) -> DataFrame:
+    """The ``size`` most frequent words and word pairs, or all: (term, total, df)."""
+    terms = row_terms(rows, text).groupBy("term").agg(
+        F.sum("tf").alias("total"), F.count("*").alias("df"))
+    return terms if size is None else terms.orderBy(F.desc("total"), "term").limit(size)
+
+
+def tfidf_weights(rows: DataFrame, text: str = "features_text", size: int | None = 5000) -> DataFrame:
     """(row_id, term, weight): sublinear counts, smooth idf, unit length per row."""
-    # The vocabulary has ``size`` rows by definition.
-    vocab = F.broadcast(vocabulary(rows, text, size).select("term", "df"))
+    vocab = vocabulary(rows, text, size).select("term", "df")
+    if size is not None and size <= MAX_BROADCAST_TERMS:
+        vocab = F.broadcast(vocab)  # ``size`` rows by definition
     total = rows.select(F.count("*")).scalar()
     idf = F.log((1.0 + total) / (1.0 + F.col("df"))) + 1.0
     weighted = row_terms(rows, text).join(vocab, "term").select(
