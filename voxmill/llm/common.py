@@ -26,14 +26,6 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def discard(df: DataFrame) -> None:
-    """Delete a table of ``stored`` that no later job reads."""
-    spark = df.sparkSession
-    for file in {f.rpartition("/")[0] for f in df.inputFiles()}:
-        path = spark._jvm.org.apache.hadoop.fs.Path(file)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def salt_count(spark: SparkSession) -> int:
     """Into how many parts a hot key is split: as many as there are reduce tasks."""
     return max(64, int(spark.conf.get("spark.sql.shuffle.partitions")))
