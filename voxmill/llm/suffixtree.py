@@ -109,6 +109,13 @@ class SuffixTree:
         return chance
 
 
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = 4_000) -> Iterator[pa.RecordBatch]:
+    """Smaller batches: what is counted together stays small in memory."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def _counted(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
     """Per block of a batch whose first column marks training texts: the place of its first text, its
     tokens, where texts begin, and which tokens are training tokens."""
@@ -125,7 +132,7 @@ def count_words(rows: DataFrame) -> tuple[DataFrame, np.ndarray]:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["h", "n_train", "n_all", "cells"]
         cells = np.zeros(CELLS, np.int64)
-        for batch in batches:
+        for batch in _slices(batches):
             hashes, trained, total = [], [], []
             for _, tokens, begins, own in _counted(batch, 1):
                 deep = _depths(begins) > 0
@@ -270,7 +277,9 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", train: Colum
     spare = max(once, 1)
     base = lambda c: np.log10((c + 0.1) / (tokens + 0.1 * (kinds + 1)))
     root = lambda c: np.where(c > 0, c, spare) / (tokens + spare)
-    is_hot = F.col("n_all") >= max(1.0, LEAST_SHARE * min(every, max(tokens, 1)))
+    # At most 1 / LEAST_SHARE words for each condition; the second holds all words of the tree.
+    is_hot = (F.col("n_all") >= max(1.0, LEAST_SHARE * every)) | (
+        F.col("n_train") >= max(1.0, LEAST_SHARE * tokens))
     hot = words.where(is_hot).select("h", "n_train").toPandas()
     ends = hot.loc[hot["h"] == END.astype(np.int64), "n_train"]
     texts = int(ends.iloc[0]) if len(ends) else 0
