@@ -132,3 +132,21 @@ def test_odd_rows_empty_table_and_nothing_to_learn(spark):
     none = suffixtree.score(frame(spark), train=F.lit(None).cast("boolean")).collect()
     assert {(r.base_score, r.score, r.n_known) for r in none} == {(0.0, 0.0, 0)}
     assert pd.Series([r.train_tokens for r in none]).eq(0).all()
+
+
+def test_a_phrase_is_modelled_however_large_the_corpus(spark, monkeypatch):
+    """2 occurrences among 600,000 tokens (under 4e-6 of them) make contexts, on the executors alone."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    def refused(self):
+        raise AssertionError("the tree was brought to the driver")
+
+    monkeypatch.setattr(DataFrame, "toPandas", refused)
+    filler = " ".join(f"w{i}" for i in range(1500))
+    phrase = "quick brown foxes jump over lazy dogs"
+    pairs = [(i, filler) for i in range(400)] + [(1000, phrase), (1001, phrase)]
+    pairs += [(2000, phrase), (2001, " ".join(reversed(phrase.split(" "))))]
+    found = {r.doc_id: r for r in suffixtree.score(documents(spark, pairs), train=F.col("doc_id") < 2000).collect()}
+    assert found[1000].train_tokens * 4e-6 > 2
+    assert found[2000].base_score == pytest.approx(found[2001].base_score)
+    assert found[2000].score > found[2001].score + 10

@@ -84,6 +84,14 @@ def release(spark: SparkSession) -> None:
     spark._jvm.System.gc()
 
 
+def discard(table: DataFrame) -> None:
+    """Delete the files of a ``stored`` table that only stored tables were made from."""
+    spark = table.sparkSession
+    for file in table.inputFiles()[:1]:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(file)).getParent()
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def keeping(docs: DataFrame, operator, *named: str) -> DataFrame:
     """``operator(docs)`` with the columns of ``docs`` only, whatever the others are called: columns
     besides ``named`` have other names while the operator runs."""

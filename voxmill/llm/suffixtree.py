@@ -6,23 +6,27 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voxmill.llm.common import quoted, stored
+from voxmill.llm.common import discard, quoted, release, spread_join, stored
 from voxmill.llm.words import blocks, hashed_words, mixed
 
 #: Longest context in words.
 DEPTH = 3
-#: A context and a (context, next word) pair must make up this share of the training tokens, so a
-#: level has at most 1 / LEAST_SHARE of them and the tree's size is bounded whatever the corpus.
-LEAST_SHARE = 4e-6
+#: Occurrences that an n-gram must have to be a context or one of its next words: what occurs once
+#: says nothing about what repeats. All else is decided by the divergence test.
+LEAST_COUNT = 2
+#: The share of the training tokens that an n-gram must make up besides: none.
+LEAST_SHARE = 0.0
 #: Taken off each pair's count and given to the shorter context.
 DISCOUNT = 0.75
 #: Counters that pairs of words are hashed to; a pair can only be frequent if its counter is.
 CELLS, CELL_BLOCK = 1 << 20, 1 << 12
+#: Bits of a hash that choose one of the marks, of which there are 2 ** MARKS.
+MARKS = 27
 #: Tables of counters added up in one step.
 FAN = 256
 
@@ -90,7 +94,7 @@ class HashTable:
 @dataclass
 class SuffixTree:
     """For each context length from 1, the retained contexts with the share they leave to shorter
-    ones, and the shares of their frequent next words."""
+    ones, and the shares of their next words: the part of the model that a block of texts needs."""
 
     contexts: list[HashTable] = field(default_factory=list)
     pairs: list[HashTable] = field(default_factory=list)
@@ -180,73 +184,132 @@ def _add(group: pa.Table) -> pa.Table:
     return pa.table({"block": group.column("block")[:1], "cells": pa.array([_planes(total)], pa.binary())})
 
 
-def _frequent_grams(rows: DataFrame, n: int, least: float, likely) -> pd.DataFrame:
-    """(gram, context, tail, word, n): the n-grams with at least ``least`` training occurrences,
-    with the hashes of all but the last word, of all but the first, and of the last. ``likely``
-    says which n-grams can be that frequent; only these are counted."""
+def _marks(table: DataFrame) -> np.ndarray:
+    """Bits of fixed size that are set for the column ``gram`` of a table. A gram whose bit is not
+    set is not in the table; the others are looked up, so the marks save work and decide nothing."""
+    word = F.shiftrightunsigned("gram", 64 - MARKS + 6).cast("int")
+    bit = F.expr(f"shiftleft(1L, cast(shiftrightunsigned(gram, {64 - MARKS}) & 63 as int))")
+    out = np.zeros(1 << (MARKS - 6), np.int64)
+    found = table.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("bits")).toArrow()
+    out[found.column("word").to_numpy()] = found.column("bits").to_numpy()
+    return out.view(np.uint64)
+
+
+def _marked(marks: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    at = hashes >> np.uint64(64 - MARKS)
+    return (marks[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+
+
+def _frequent_grams(rows: DataFrame, n: int, least: float, likely) -> DataFrame:
+    """(gram, context, tail, n): the n-grams with at least ``least`` training occurrences, with the
+    hashes of all but the last word and of all but the first. ``likely`` says which n-grams can be
+    that frequent, from these three hashes; the others are not counted."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, tokens, begins, own in _counted(batch, 1):
-                own = own & (_depths(begins) >= n - 1)
                 whole, part = grams(tokens, n), grams(tokens, n - 1)
-                places = np.flatnonzero(own)
+                places = np.flatnonzero(own & (_depths(begins) >= n - 1))
                 places = places[likely(whole[places], _before(part)[places], part[places])]
                 values, first, sums = np.unique(whole[places], return_index=True, return_counts=True)
                 at = places[first]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(x.view(np.int64)) for x in (values, _before(part)[at], part[at], tokens[at])]
-                    + [pa.array(sums.astype(np.int64))], ["gram", "context", "tail", "word", "n"])
+                    [pa.array(x.view(np.int64)) for x in (values, _before(part)[at], part[at])]
+                    + [pa.array(sums.astype(np.int64))], ["gram", "context", "tail", "n"])
 
-    found = rows.mapInArrow(count, "gram long, context long, tail long, word long, n long").groupBy(
-        "gram").agg(F.sum("n").alias("n"), *[F.min(c).alias(c) for c in ("context", "tail", "word")]).where(
+    return rows.mapInArrow(count, "gram long, context long, tail long, n long").groupBy("gram").agg(
+        F.sum("n").alias("n"), F.min("context").alias("context"), F.min("tail").alias("tail")).where(
         F.col("n") >= least)
-    return found.select("gram", "context", "tail", "word", "n").toPandas()
 
 
-def grow_tree(rows: DataFrame, cells: np.ndarray, common: pd.DataFrame, texts: int, tokens: int, root) -> SuffixTree:
-    """The tree of the contexts that tell their next words apart from the shorter context's.
+#: Kinds of numbers in the table of the model: a word's count, from 2 on the share of the last word
+#: of an n-gram, and LEAVES + n for what a context of n words leaves to the shorter one.
+WORD, LEAVES = 1, 10
 
-    Level by level: n-grams are counted exactly, but only those that can reach LEAST_SHARE, as
-    their hashed counter (pairs) or both their shorter n-grams (longer ones) do. A context is
-    retained if the divergence of its next words from the shorter context's, times its count,
-    exceeds what its parameters cost. ``common``: (h, n_train) of the frequent words; ``root``:
-    from their counts to chances.
+
+def grow_tree(rows: DataFrame, cells: np.ndarray, words: DataFrame, texts: int, tokens: int, root) -> DataFrame:
+    """(gram, kind, value): the tree of the contexts that tell their next words apart from the
+    shorter context's, and the counts of all training words.
+
+    Level by level, n-grams are counted exactly; a pair whose hashed counter is too low is left out
+    before, and a longer n-gram unless both its shorter ones are marked. A context is retained if the divergence of its next words from the shorter context's,
+    times its count, exceeds what its parameters cost. Its sums combine before the shuffle; next
+    words meet the shorter context's chances and their own context by joins spread by salts. Every
+    level is a stored table, so the tree grows with the input and no process holds it. ``root``:
+    from words' counts to chances, as columns.
     """
-    least, tree = max(2.0, LEAST_SHARE * tokens), SuffixTree()
-    chance = pd.Series(root(common["n_train"].to_numpy(float)), common["h"].to_numpy())
-    size = pd.Series(common["n_train"].to_numpy(float), common["h"].to_numpy())
-    size.loc[START.astype(np.int64)] = float(texts)
-    likely = lambda whole, context, tail: cells[_cell(whole)] >= least
+    least, number = max(float(LEAST_COUNT), LEAST_SHARE * tokens), F.col("n").cast("double")
+    start = rows.sparkSession.range(1).select(
+        F.lit(int(START)).cast("long").alias("gram"), F.lit(texts).cast("long").alias("n"),
+        F.lit(None).cast("double").alias("chance"))
+    known = words.where("n_train > 0").select(F.col("h").alias("gram"), F.col("n_train").alias("n"))
+    model = known.select("gram", F.lit(WORD).alias("kind"), number.alias("value"))
+    known = known.withColumn("chance", root(number)).unionByName(start)
+    enough = cells >= least
+    likely = lambda whole, context, tail: enough[_cell(whole)]
     for n in range(2, DEPTH + 2):
-        level = _frequent_grams(rows, n, least, likely)
-        level = level[level["context"].isin(size.index) & (level["tail"].isin(chance.index))].copy()
-        level["total"] = size.reindex(level["context"]).to_numpy()
-        level["below"] = chance.reindex(level["tail"]).to_numpy()
-        level["own"] = (level["n"] - DISCOUNT) / level["total"]
-        level["gain"] = level["n"] * np.log(level["n"] / level["total"] / level["below"])
-        state = level.groupby("context").agg(total=("total", "first"), n=("n", "sum"), below=("below", "sum"),
-                                             own=("own", "sum"), gain=("gain", "sum"), kinds=("n", "size"))
-        rest, rest_below = (state["total"] - state["n"]).clip(lower=0), (1 - state["below"]).clip(lower=1e-12)
-        gain = state["gain"] + np.where(rest > 0, rest * np.log((rest / state["total"]).clip(lower=1e-12) / rest_below), 0)
-        kept = state[gain > 0.5 * state["kinds"] * np.log(max(tokens, 2)) + 2]
-        retained = level["context"].isin(kept.index)
-        leaves = 1 - kept["own"]
-        level["chance"] = np.where(
-            retained, level["own"] + leaves.reindex(level["context"]).fillna(1).to_numpy() * level["below"], level["below"])
-        own = level[retained]
-        tree.contexts.append(HashTable(kept.index.to_numpy(np.int64).view(np.uint64), leaves.to_numpy(float)))
-        tree.pairs.append(HashTable(own["gram"].to_numpy(np.int64).view(np.uint64), own["own"].to_numpy(float)))
-        chance, size = level.set_index("gram")["chance"], level.set_index("gram")["n"].astype(float)
-        known = HashTable(level["gram"].to_numpy(np.int64).view(np.uint64))
-
-        def likely(whole, context, tail, known=known):
-            out = np.zeros(len(whole), bool)
-            places, _ = known.find(tail)
-            near, _ = known.find(context[places])
-            out[places[near]] = True
-            return out
-
-    return tree
+        found = stored(_frequent_grams(rows, n, least, likely), f"grams-{n}")
+        level = stored(spread_join(found, known.select(
+            F.col("gram").alias("tail"), F.col("chance").alias("below")), ["tail"], "gram"), f"level-{n}")
+        discard(found)
+        release(rows.sparkSession)
+        state = level.groupBy("context").agg(
+            F.sum("n").alias("sum"), F.sum("below").alias("below"), F.count("*").alias("kinds"),
+            F.sum(number * F.log(number / F.col("below"))).alias("gain")).join(
+            known.select(F.col("gram").alias("context"), number.alias("total")), "context")
+        rest = F.greatest(F.col("total") - F.col("sum"), F.lit(0.0))
+        gain = F.col("gain") - F.col("sum") * F.log("total") + F.when(rest > 0, rest * F.log(
+            F.greatest(rest / F.col("total"), F.lit(1e-12)) / F.greatest(1 - F.col("below"), F.lit(1e-12)))).otherwise(0.0)
+        kept = stored(state.where(gain > 0.5 * F.col("kinds") * float(np.log(max(tokens, 2))) + 2).select(
+            "context", "total", (1 - (F.col("sum") - DISCOUNT * F.col("kinds")) / F.col("total")).alias("leaves")),
+            f"contexts-{n}")
+        known = stored(spread_join(level, kept, ["context"], "gram", "left").withColumn(
+            "own", (number - DISCOUNT) / F.col("total")).select("gram", "n", "own", F.coalesce(
+                F.col("own") + F.col("leaves") * F.col("below"), F.col("below")).alias("chance")), f"known-{n}")
+        discard(level)
+        release(rows.sparkSession)
+        if n <= DEPTH:
+            marks = _marks(known)
+            likely = lambda whole, context, tail, m=marks: _marked(m, context) & _marked(m, tail)
+        model = model.unionByName(known.where("own is not null").select(
+            "gram", F.lit(n).alias("kind"), F.col("own").alias("value"))).unionByName(kept.select(
+                F.col("context").alias("gram"), F.lit(LEAVES + n - 1).alias("kind"), F.col("leaves").alias("value")))
+    return model
+
+
+def _in_blocks(rows: DataFrame) -> DataFrame:
+    """``rows`` (train, _id, _text) with the number of a block of about BLOCK bytes."""
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block = TaskContext.get().partitionId() << 32
+        for batch in batches:
+            for at, texts in blocks(batch.column(2)):
+                part = batch.slice(at, len(texts))
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, pa.array(np.full(len(texts), block))], ["train", "_id", "_text", "block"])
+                block += 1
+
+    kind = rows.schema["_id"].dataType.simpleString()
+    return rows.mapInArrow(number, f"train boolean, _id {kind}, _text string, block long")
+
+
+def _wanted(rows: DataFrame, marks: np.ndarray) -> DataFrame:
+    """(block, gram): what each block asks the model for, each n-gram once, however often it occurs;
+    so a common one has a row for each block, not for each place."""
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            block = batch.column(0).to_numpy()
+            cuts = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1], [True]])) if len(block) else []
+            for begin, end in zip(cuts[:-1], cuts[1:]):
+                for _, texts in blocks(batch.column(1).slice(begin, end - begin)):
+                    tokens, begins = token_stream(texts)
+                    depths = _depths(begins)
+                    for n in range(1, DEPTH + 2):
+                        asked = grams(tokens, n)[depths >= n - 1]
+                        asked = np.unique(asked[_marked(marks, asked)])
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(np.full(len(asked), block[begin])), pa.array(asked.view(np.int64))],
+                            ["block", "gram"])
+
+    return rows.select("block", "_text").mapInArrow(ask, "block long, gram long")
 
 
 def score(docs: DataFrame, key: str = "doc_id", text: str = "text", train: Column | None = None) -> DataFrame:
@@ -260,11 +323,10 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", train: Colum
     once; a context's chances are its discounted shares plus what they leave times the shorter
     context's, so at each place the chances add up to 1.
 
-    Frequent words and the tree, both of bounded size, go with the tasks, and a text is scored where
-    it is read. Its rare words, none of which has enough tokens to fill a task and none of which
-    is in the tree, are joined to their counts by a shuffle. A null text counts as empty and has
-    the end alone; repeated rows are scored one by one; without training rows both scores are 0
-    for unseen words; an empty table gives an empty one.
+    Texts are scored in blocks of about BLOCK bytes (a longer one alone): the different n-grams of a
+    block are joined to the stored model, and what is found comes back to the block. A null text
+    counts as empty and has the end alone; repeated rows are scored one by one; without training
+    rows both scores are 0 for unseen words; an empty table gives an empty one.
     """
     train = F.lit(True) if train is None else F.coalesce(train, F.lit(False))
     value = quoted(text).cast("string")
@@ -272,59 +334,40 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", train: Colum
     words, cells = count_words(rows)
     words = stored(words, "words")
     trained = F.col("n_train") > 0
-    tokens, kinds, once, every = words.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in (
-        F.col("n_train"), trained.cast("long"), (F.col("n_train") == 1).cast("long"), F.col("n_all"))]).first()
+    tokens, kinds, once = words.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in (
+        F.col("n_train"), trained.cast("long"), (F.col("n_train") == 1).cast("long"))]).first()
+    end = words.where(F.col("h") == int(END)).select("n_train").first()
     spare = max(once, 1)
-    base = lambda c: np.log10((c + 0.1) / (tokens + 0.1 * (kinds + 1)))
-    root = lambda c: np.where(c > 0, c, spare) / (tokens + spare)
-    # At most 1 / LEAST_SHARE words for each condition; the second holds all words of the tree.
-    is_hot = (F.col("n_all") >= max(1.0, LEAST_SHARE * every)) | (
-        F.col("n_train") >= max(1.0, LEAST_SHARE * tokens))
-    hot = words.where(is_hot).select("h", "n_train").toPandas()
-    ends = hot.loc[hot["h"] == END.astype(np.int64), "n_train"]
-    texts = int(ends.iloc[0]) if len(ends) else 0
-    tree = grow_tree(rows, cells, hot[hot["n_train"] > 0], texts, tokens, root)
-    counts = hot["n_train"].to_numpy(float)
-    frequent = HashTable(hot["h"].to_numpy(np.int64).view(np.uint64), counts > 0, base(counts), root(counts))
-    rows = docs.select(train.alias("train"), quoted(key).alias("_id"), value.alias("_text"))
-
-    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start, tokens, begins, _ in _counted(batch, 2):
-                numbers, chance = np.zeros((len(tokens) + 1, 3)), np.ones(len(tokens))
-                places, at = frequent.find(tokens)
-                numbers[places + 1, 0] = frequent.values[0][at]
-                numbers[places + 1, 1] = frequent.values[1][at]
-                chance[places] = frequent.values[2][at]
-                depths = _depths(begins)
-                numbers[1:, 2] = np.log10(tree.raise_chances(tokens, depths, chance))
-                numbers[1:][depths == 0] = 0
-                sums = np.cumsum(numbers, axis=0)
-                found = sums[begins[1:]] - sums[begins[:-1]]
-                rare = depths > 0
-                rare[places] = False
-                rare_at = np.concatenate([[0], np.cumsum(rare)])[begins]
-                part = batch.slice(start, len(begins) - 1)
-                yield pa.RecordBatch.from_arrays([
-                    part.column(1), part.column(0), pa.array(np.diff(begins) - 1),
-                    pa.array(np.rint(found[:, 0]).astype(np.int64)), pa.array(found[:, 1]), pa.array(found[:, 2]),
-                    pa.ListArray.from_arrays(pa.array(rare_at.astype(np.int32)), pa.array(tokens[rare].view(np.int64)))],
-                    ["_id", "train", "n_tokens", "known", "base", "model", "rare"])
-
-    kind = rows.schema["_id"].dataType.simpleString()
-    seen = stored(rows.mapInArrow(
-        look_up, f"_id {kind}, train boolean, n_tokens long, known long, base double, model double, rare array<long>"
-    ).withColumn("_row", F.monotonically_increasing_id()), "scored")
-    # The same formulas as columns, so that rare words stay on the executors.
-    c = F.col("n_train").cast("double")
-    rated = words.where(~is_hot).select(
-        "h", trained.cast("long").alias("_known"),
-        F.log10((c + 0.1) / (tokens + 0.1 * (kinds + 1))).alias("_base"),
-        F.log10(F.when(trained, c).otherwise(float(spare)) / float(tokens + spare)).alias("_model"))
-    rare = seen.select("_row", F.explode("rare").alias("h")).join(rated, "h").groupBy("_row").agg(
-        *[F.sum(c).alias(c) for c in ("_known", "_base", "_model")])
-    add = lambda a: F.col(a) + F.coalesce(F.col(f"_{a}"), F.lit(0))
-    return seen.drop("rare").join(rare, "_row", "left").select(
-        F.col("_id").alias(key), "train", "n_tokens", add("known").alias("n_known"),
-        F.lit(tokens).cast("long").alias("train_tokens"), add("base").alias("base_score"),
-        add("model").alias("score"))
+    model = grow_tree(rows, cells, words, end["n_train"] if end else 0, tokens, lambda c: c / float(tokens + spare))
+    seen = stored(_in_blocks(docs.select(train.alias("train"), quoted(key).alias("_id"), value.alias("_text"))), "blocks")
+    model = stored(model, "model")
+    release(docs.sparkSession)
+    hits = _wanted(seen, _marks(model)).join(model, "gram")
+
+    def solve(texts: pa.Table, found: pa.Table) -> pa.Table:
+        gram, kind, value = (found.column(c).to_numpy() for c in ("gram", "kind", "value"))
+        pick = lambda k: HashTable(gram[kind == k].view(np.uint64), value[kind == k])
+        counted, levels = pick(WORD), range(2, DEPTH + 2)
+        tree = SuffixTree([pick(LEAVES + n - 1) for n in levels], [pick(n) for n in levels])
+        stream, begins = token_stream([t or b"" for t in texts.column("_text").cast(pa.binary()).to_pylist()])
+        places, at = counted.find(stream)
+        c = np.zeros(len(stream))
+        c[places] = counted.values[0][at]
+        depths, numbers = _depths(begins), np.zeros((len(stream) + 1, 3))
+        numbers[1:, 0] = c > 0
+        numbers[1:, 1] = np.log10((c + 0.1) / (tokens + 0.1 * (kinds + 1)))
+        numbers[1:, 2] = np.log10(tree.raise_chances(stream, depths, np.where(c > 0, c, spare) / (tokens + spare)))
+        numbers[1:][depths == 0] = 0
+        sums = np.cumsum(numbers, axis=0)
+        total = sums[begins[1:]] - sums[begins[:-1]]
+        return pa.table({
+            key: texts.column("_id"), "train": texts.column("train"), "n_tokens": pa.array(np.diff(begins) - 1),
+            "n_known": pa.array(np.rint(total[:, 0]).astype(np.int64)),
+            "train_tokens": pa.array(np.full(len(total), tokens, np.int64)),
+            "base_score": pa.array(total[:, 1]), "score": pa.array(total[:, 2])})
+
+    id_kind = seen.schema["_id"].dataType.simpleString()
+    name = key.replace("`", "``")
+    return seen.groupBy("block").cogroup(hits.groupBy("block")).applyInArrow(
+        solve, f"`{name}` {id_kind}, train boolean, n_tokens long, n_known long, train_tokens long, "
+        "base_score double, score double")
