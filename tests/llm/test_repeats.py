@@ -107,3 +107,20 @@ def test_odd_rows_and_empty_table(spark):
     assert sorted(r.n_removed for r in copies)[0] == 0
     assert sorted(r.n_removed for r in copies)[1] == sorted(r.n_bytes for r in copies)[1]
     assert repeats.repeated_bytes(frame(spark, [])).count() == 0
+
+
+def test_spans_and_texts_are_returned(spark):
+    pairs = numbered() + overlapping() + [(8000, "ab" * 400), (8001, "z" * 199), (8002, "z" * 200)]
+    data, want = {i: (t or "").encode() for i, t in pairs}, brute(pairs)
+    found = repeats.repeated_passages(documents(spark, pairs)).collect()
+    assert {r.doc_id for r in found} == set(data) and len(found) == len(pairs)
+    for r in found:
+        at, left = 0, b""
+        for s in r.spans:
+            assert at <= s.start < s.end
+            left, at = left + data[r.doc_id][at:s.start], s.end
+        left += data[r.doc_id][at:]
+        assert bytes(r.kept) == left
+        assert (r.n_bytes, sum(s.end - s.start for s in r.spans), len(r.spans),
+                hashlib.sha256(left).hexdigest()) == want[r.doc_id]
+    assert any(0 < len(r.kept) < r.n_bytes for r in found)

@@ -323,20 +323,38 @@ def _split_groups(rows: DataFrame, length: int, most: int) -> tuple[list[DataFra
 def repeated_bytes(
     docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = 200, max_group: int = MAX_GROUP,
 ) -> DataFrame:
-    """(key, n_bytes, n_removed, n_spans, kept_sha256) of every row: what is left of its text, as
-    UTF-8, without the bytes covered by a string of ``length`` bytes that starts anywhere else.
+    """(key, n_bytes, n_removed, n_spans, kept_sha256) of every row: the sizes and the digest of what
+    ``repeated_passages`` returns, without moving the texts."""
+    found = _passages(docs, key, text, length, max_group, digest=True)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select(quoted(key), "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+                        F.col("kept").alias("kept_sha256"))
+
+
+def repeated_passages(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = 200, max_group: int = MAX_GROUP,
+) -> DataFrame:
+    """(key, n_bytes, spans, kept) of every row: the maximal runs (start, end) of bytes of its text, as
+    UTF-8, that are covered by a string of ``length`` bytes that starts anywhere else, and what is
+    left without them.
 
     Equal texts are one class; a class of several rows is removed whole, if long enough. The other
     texts are compared at anchors, chosen so that any two equal strings of ``length`` bytes hold a
     common one. Anchors with equal surroundings repeat as a whole, which counting shows. Where
     surroundings differ, one place of each goes, with its bytes, to a sparse suffix array of the
-    anchor (see ``repeat_extents``), and the reach found there goes back to all places.
+    anchor (see ``repeat_extents``), and the reach found there goes back to all places. Which places
+    repeat each other is not returned.
 
     Hot anchors: counts combine before the shuffle, places join them spread by salts, and an anchor
     with over ``max_group`` different surroundings is split by what stands around it; nothing is
     dropped. A null text counts as empty; texts under ``length`` bytes lose nothing; repeated rows
     are copies of each other and lose all. An empty table gives an empty one.
     """
+    return _passages(docs, key, text, length, max_group, digest=False)
+
+
+def _passages(docs: DataFrame, key: str, text: str, length: int, max_group: int, digest: bool) -> DataFrame:
+    """``repeated_passages``, with the SHA-256 of ``kept`` in its place if ``digest``."""
     if length < GRAM + 2:
         raise ValueError(f"repeats must have at least {GRAM + 2} bytes")
     spark, texts = docs.sparkSession, _texts(docs, key, text)
@@ -382,22 +400,22 @@ def repeated_bytes(
         (F.col("pos") - F.col("far_left")).alias("a"), (F.col("pos") + F.col("far_right")).alias("b")).alias("span"))
     spans = spans.groupBy("u").agg(F.collect_list("span").alias("spans"))
     left_over = stored(_without_spans(
-        suspects.where("n = 1").select("u", "r1", "r2", "_text").join(spans, "u"), length), "left-over").dropDuplicates(
+        suspects.where("n = 1").select("u", "r1", "r2", "_text").join(spans, "u"), digest), "left-over").dropDuplicates(
         ["r1", "r2"])
     release(spark)
     rows = texts.select("_id", "r1", "r2", F.octet_length("_text").cast("long").alias("n_bytes"),
-                        F.sha2("_text", 256).alias("_sha")).withColumn("_salt", bit_salt("_id"))
+                        (F.sha2("_text", 256) if digest else F.col("_text")).alias("_own")).withColumn("_salt", bit_salt("_id"))
     copies = classes.where("n > 1").select("r1", "r2", F.col("bits").alias("_bits"), F.lit(True).alias("copied"))
     rows = rows.join(copies.withColumn("_salt", each_salt()).drop("_bits"), ["r1", "r2", "_salt"], "left")
     gone = F.coalesce("copied", F.lit(False)) & (F.col("n_bytes") >= length)
     rows = rows.join(left_over, ["r1", "r2"], "left")
     zero = F.lit(0).cast("long")
+    whole = F.array(F.struct(zero.alias("start"), F.col("n_bytes").alias("end")))
+    nothing = F.lit(hashlib.sha256(b"").hexdigest()) if digest else F.lit(b"")
     return rows.select(
         F.col("_id").alias(key), "n_bytes",
-        F.when(gone, F.col("n_bytes")).otherwise(F.coalesce("n_removed", zero)).alias("n_removed"),
-        F.when(gone, F.lit(1).cast("long")).otherwise(F.coalesce("n_spans", zero)).alias("n_spans"),
-        F.when(gone, F.lit(hashlib.sha256(b"").hexdigest())).otherwise(
-            F.coalesce("kept_sha256", "_sha")).alias("kept_sha256"))
+        F.when(gone, whole).otherwise(F.coalesce("spans", F.slice(whole, 1, 0))).alias("spans"),
+        F.when(gone, nothing).otherwise(F.coalesce("kept", "_own")).alias("kept"))
 
 
 def cut_spans(text: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, list[tuple[int, int]]]:
@@ -415,20 +433,20 @@ def cut_spans(text: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, list[tu
     return b"".join([*kept, text[at:]]), [(a, b) for a, b in runs]
 
 
-def _without_spans(rows: DataFrame, length: int) -> DataFrame:
+def _without_spans(rows: DataFrame, digest: bool) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 500):
                 batch = whole.slice(at, 500)
-                removed, runs, digests = [], [], []
+                runs, left = [], []
                 for text, spans in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
                     kept, found = cut_spans(text, [(s["a"], s["b"]) for s in spans])
-                    removed.append(len(text) - len(kept))
-                    runs.append(len(found))
-                    digests.append(hashlib.sha256(kept).hexdigest())
+                    runs.append([{"start": a, "end": b} for a, b in found])
+                    left.append(hashlib.sha256(kept).hexdigest() if digest else kept)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), batch.column(1), pa.array(removed, pa.int64()), pa.array(runs, pa.int64()),
-                     pa.array(digests, pa.string())], ["r1", "r2", "n_removed", "n_spans", "kept_sha256"])
+                    [batch.column(0), batch.column(1),
+                     pa.array(runs, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
+                     pa.array(left, pa.string() if digest else pa.binary())], ["r1", "r2", "spans", "kept"])
 
     return rows.select("r1", "r2", "_text", "spans").mapInArrow(
-        cut, "r1 long, r2 long, n_removed long, n_spans long, kept_sha256 string")
+        cut, f"r1 long, r2 long, spans array<struct<start:long,end:long>>, kept {'string' if digest else 'binary'}")
