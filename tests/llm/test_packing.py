@@ -106,3 +106,14 @@ def test_fullest_bin_closes_first():
     assert [bins.place(n) for n in (6, 7, 8)] == [(0, 0), (1, 0), (2, 0)]  # closes the bin of 7
     assert bins.place(3) == (0, 6)
     assert bins.place(2) == (2, 8)
+
+
+def test_pieces_with_one_id_are_dealt_out(spark, monkeypatch):
+    monkeypatch.setattr(packing, "PIECES_PER_TASK", 500)
+    pieces = spark.createDataFrame(
+        [(None, 0, 1 + i % 40) for i in range(4000)], "doc_id long, piece int, length long")
+    placed = packing.pack(pieces, 64).collect()
+    tasks = defaultdict(int)
+    for r in placed:
+        tasks[r.sequence_id >> 32] += 1
+    assert len(placed) == 4000 and max(tasks.values()) < 1000

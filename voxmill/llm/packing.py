@@ -158,7 +158,8 @@ def pack(pieces: DataFrame, capacity: int = 2048, open_bins: int = 4096) -> Data
     """``pieces`` with ``sequence_id`` and ``offset``.
 
     ``pieces`` needs a long ``length`` of 1 to ``capacity`` and the columns doc_id and piece. They
-    are dealt to tasks of about PIECES_PER_TASK by a hash, so each task sees a fair draw of lengths;
+    are dealt to tasks of about PIECES_PER_TASK by a hash of id, piece and place in the table, so copies
+    and rows with a null or repeated id are dealt out too, and each task sees a fair draw of lengths;
     a task streams through its share and keeps only the free spaces of its open bins. Pieces come in
     ROUNDS, longest first, in an order that the rows decide, so a repeated task packs alike.
     Pieces are read twice: give a stored table.
@@ -177,9 +178,12 @@ def pack(pieces: DataFrame, capacity: int = 2048, open_bins: int = 4096) -> Data
                 [*names, "sequence_id", "offset"])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.select(*names).schema)
-    deal, turn = F.xxhash64("doc_id", "piece"), F.pmod(F.xxhash64("piece", "doc_id"), F.lit(ROUNDS))
-    return pieces.select(*names).repartition(tasks, deal).sortWithinPartitions(
-        turn, F.desc("length"), "doc_id", "piece").mapInArrow(fill, f"{fields}, sequence_id long, offset long")
+    row = F.struct(*[quoted(c) for c in names]).alias("_row")
+    numbered = pieces.select(row, F.monotonically_increasing_id().alias("_place"))
+    doc, piece = F.col("_row.doc_id"), F.col("_row.piece")
+    deal, turn = F.xxhash64(doc, piece, "_place"), F.pmod(F.xxhash64("_place", piece, doc), F.lit(ROUNDS))
+    return numbered.repartition(tasks, deal).sortWithinPartitions(
+        turn, F.desc("_row.length"), doc, piece, "_place").select("_row.*").mapInArrow(fill, f"{fields}, sequence_id long, offset long")
 
 
 def packed_sequences(placed: DataFrame) -> DataFrame:
