@@ -84,3 +84,11 @@ def test_odd_rows_and_empty_table(spark):
     assert mixing.mix(frame(spark, [])).count() == 0
     blank = spark.createDataFrame([(1, None, None)], "doc_id long, source string, text string")
     assert mixing.mix(blank).count() == 0
+
+
+def test_rows_without_a_key_are_dealt_out(spark):
+    docs = spark.range(4000).select(
+        F.lit(None).cast("long").alias("doc_id"), F.lit("s").alias("source"), F.format_string("%05d", "id").alias("text"))
+    parts = mixing.mix(docs, size=5.0, partitions=8).groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in parts) >= 4000
+    assert max(r["count"] for r in parts) < 0.2 * sum(r["count"] for r in parts)

@@ -67,8 +67,9 @@ def mix(
     seed and the key alone decide: the same seed repeats the mix, also after lost executors. The
     copies are dealt to partitions by a second draw and sorted by it there, which is one global
     shuffle of the chosen rows without a sampling pass. The hot source is never gathered: means
-    are found from pre-aggregated sums, and rows are dealt by key and copy.
-    Null or repeated keys draw alike; null text has no bytes; an empty table stays empty. Columns
+    are found from pre-aggregated sums, and rows are dealt by key, text and copy.
+    Null or repeated keys draw alike, so they all come or all stay away at a low rate, as the checking
+    SQL has it; they are dealt out by their texts. Equal rows stay together. Null text has no bytes; an empty table stays empty. Columns
     of ``docs`` named like a result are replaced.
     """
     spark, others = docs.sparkSession, without(docs.columns, "copy", "mix_rate")
@@ -79,7 +80,7 @@ def mix(
     name = F.coalesce(quoted(key).cast("string"), F.lit(""))
     held = docs.select(
         F.struct(*[quoted(c) for c in others]).alias("_row"), name.alias("_key"),
-        quoted(source).cast("string").alias("_source"))
+        F.xxhash64(quoted(text).cast("string")).alias("_digest"), quoted(source).cast("string").alias("_source"))
     rates = rates.select("_source", "_rate", "_parts", "_steps")
     if rates.limit(MAX_BROADCAST_SOURCES + 1).count() <= MAX_BROADCAST_SOURCES:
         joined = held.join(F.broadcast(rates), held["_source"].eqNullSafe(rates["_source"]))
@@ -96,10 +97,10 @@ def mix(
         return F.size(F.filter("_steps", lambda step: step <= u))
 
     count = F.aggregate(F.sequence(F.lit(1), F.col("_parts")), F.lit(0), lambda n, part: n + draws(part))
-    copies = joined.select("_row", "_key", "_rate", count.alias("_count")).where("_count > 0").select(
-        "_row", "_key", "_rate",
+    copies = joined.select("_row", "_key", "_digest", "_rate", count.alias("_count")).where("_count > 0").select(
+        "_row", "_key", "_digest", "_rate",
         F.explode(F.sequence(F.lit(0), F.col("_count") - 1)).alias("copy"))
-    order = F.xxhash64(F.lit(seed), "_key", "copy")
+    order = F.xxhash64(F.lit(seed), "_key", "copy", "_digest")
     dealt = copies.withColumn("_order", order)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     return dealt.repartition(n, "_order").sortWithinPartitions("_order", "_key").select(
