@@ -173,3 +173,22 @@ def test_labels_round_trip(spark):
     back = df.select("s", labels.decode_label(labels.encode_label(F.col("s"))).alias("b"))
     assert rows(back.where("s <> b")) == []
     assert sampling.seeded_order("s") is not None
+
+
+@pytest.mark.parametrize("name", ["trained_model_metrics", "stored_model_scores", "scored_reviews"])
+def test_queries_fit_until_the_optimiser_stops(spark, monkeypatch, name):
+    import inspect
+
+    from voxmill.plans import QUERIES
+
+    class Reached(Exception):
+        pass
+
+    def fit(*args, _real=inspect.signature(models.fit_classifier), **named):
+        bound = _real.bind(*args, **named)
+        bound.apply_defaults()
+        raise Reached(bound.arguments["max_iter"])
+
+    monkeypatch.setattr(models, "fit_classifier", fit)
+    with pytest.raises(Reached, match="^1000$"):
+        QUERIES[name](spark, "/root/testdata/sf0.001")

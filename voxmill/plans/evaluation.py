@@ -232,7 +232,7 @@ def tfidf_weights(spark, sf):
 def trained_model_metrics(spark, sf):
     """TF-IDF and logistic regression per domain: split, fit, evaluate."""
     reviews = views.doc_reviews(spark, sf)
-    return models.train_and_evaluate(reviews, max_chars=None, max_iter=100)
+    return models.train_and_evaluate(reviews, max_chars=None)
 
 
 @query(S.with_(S.DOC) + """
@@ -241,7 +241,7 @@ WHERE sentiment IS NOT NULL""")
 def stored_model_scores(spark, sf):
     """A model is stored, loaded and used: labels and confidences are in range and as before."""
     rows = cut(_rows(spark, sf).where("sentiment is not null"))
-    model = models.fit_classifier(rows.select("features_text", "label"), max_iter=20)
+    model = models.fit_classifier(rows.select("features_text", "label"))
     folder = new_path(spark, "models")
     models.save_model(model, folder, "Fashion")
     before = models.score(model, rows).select("row_id", F.col("predicted_sentiment").alias("_before"))
@@ -257,6 +257,6 @@ def scored_reviews(spark, sf):
     """Every review scored by a classifier fitted to the training split."""
     split = sampling.stratified_split(_rows(spark, sf), ["domain"])
     model = models.fit_classifier(
-        split.where("split = 'train'").select("features_text", "label"), max_iter=100)
+        split.where("split = 'train'").select("features_text", "label"))
     return models.score(model, split).select(
         "row_id", "domain", "split", "sentiment", "predicted_sentiment", "predicted_confidence")
