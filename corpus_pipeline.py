@@ -1,4 +1,4 @@
-"""The corpus pipeline: from raw documents to packed training sequences, stage by stage.
+"""The corpus pipeline: from raw documents to places in packed training sequences, stage by stage.
 
 Each stage takes what its predecessor kept, written as Parquet and read again. The stages are
 quality rules, exact deduplication, near-deduplication, mixing and packing.
