@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxmill.llm import classifier, exact, minhash, mixing, packing, repeats, rules, secrets, sharding, suffixtree
+from voxmill.llm import classifier, divergence, exact, minhash, mixing, packing, repeats, rules, secrets, sharding, suffixtree
 from voxmill.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -187,3 +187,42 @@ def op10_quality_classifier(spark, sf):
     return scored.select(
         "doc_id", F.coalesce(_fold("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "score",
         (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+@query(rf"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    coalesce(text, '') AS text FROM documents),
+words AS (
+  SELECT row, lang, source, unnest(regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'),
+    '[a-z\x{{80}}-\x{{10FFFF}}]+')) AS term FROM docs),
+kept AS (
+  SELECT lang, term, count(*) AS n FROM words GROUP BY lang, term HAVING count(DISTINCT row) >= 3),
+langs AS (SELECT lang, count(*) AS v, sum(n) AS n FROM kept GROUP BY lang),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+counts AS (SELECT lang, source, term, count(*) AS c FROM words GROUP BY lang, source, term),
+filled AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.c, 0) AS c, k.n AS lang_c, l.v, l.n AS lang_n,
+    sum(coalesce(c.c, 0)) OVER (PARTITION BY g.lang, g.source) AS n
+  FROM groups g JOIN kept k USING (lang) JOIN langs l USING (lang)
+  LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+shares AS (
+  SELECT lang, source, term, c, (1 + 1000000000::HUGEINT * (c + 1) // (n + v))::HUGEINT AS p,
+    (1 + 1000000000::HUGEINT * (lang_c + 1) // (lang_n + v))::HUGEINT AS q FROM filled),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(x.value, 0)::BIGINT AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN (
+    SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+    FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+    GROUP BY ALL) x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source),
+ranked AS (
+  SELECT lang, source, 'pair' AS part, item, value FROM pairs UNION ALL
+  SELECT lang, source, 'term', term, ((p - q) * (p - q) // q)::BIGINT FROM shares WHERE c > 0 AND p > q)
+SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INTEGER AS rank
+FROM ranked QUALIFY part = 'pair' OR rank <= 200""")
+def op13_source_divergence(spark, sf):
+    return divergence.divergence_audit(documents(spark, sf))
