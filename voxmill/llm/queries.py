@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxmill.llm import classifier, divergence, exact, minhash, mixing, packing, repeats, rules, secrets, sharding, suffixtree
-from voxmill.llm.common import documents
+from voxmill.llm import classifier, dialogues, divergence, exact, minhash, mixing, packing, repeats, rules, secrets, sharding, suffixtree
+from voxmill.llm.common import documents, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -189,6 +189,88 @@ def op10_quality_classifier(spark, sf):
         (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+
+@query(f"""
+WITH RECURSIVE bits AS (
+  SELECT b, b AS r, 0 AS k FROM range(256) t(b) UNION ALL
+  SELECT b, CASE WHEN r & 1 = 1 THEN xor(r >> 1, 3988292384) ELSE r >> 1 END, k + 1 FROM bits WHERE k < 8),
+remainders AS (SELECT list(r ORDER BY b) AS steps FROM bits WHERE k = 8),
+named AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS content,
+    coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS text FROM conversations),
+folded AS (SELECT * EXCLUDE (text, steps), {_CRC} % 20 AS fold FROM named, remainders),
+damaged AS (
+  SELECT conv_id, turn, CASE fold WHEN 4 THEN 'user' ELSE role END AS role,
+    CASE fold WHEN 1 THEN '' WHEN 2 THEN regexp_replace(content, '[.!?]', '', 'g') ELSE content END AS text
+  FROM folded, range(2) c(copy) WHERE fold <> 0 AND (copy = 0 OR fold = 3)),
+ordered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id
+    ORDER BY turn NULLS FIRST, role, sha256(length(role) || ':' || role || text)) AS i,
+    rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS trimmed FROM damaged),
+judged AS (
+  SELECT *, left(role, 1) AS initial, left(lag(role) OVER w, 1) || left(role, 1) AS pair,
+    CASE WHEN trimmed = '' THEN 'blank'
+      WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+      WHEN right(trimmed, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault
+  FROM ordered WINDOW w AS (PARTITION BY conv_id ORDER BY i)),
+moves AS (SELECT * FROM (VALUES
+  (0, 's', 1, 0, 'K', '', ''), (0, 'u', 2, 0, 'K', '', ''), (1, 'u', 2, 0, 'K', '', ''), (3, 'u', 2, 0, 'K', '', ''),
+  (2, 'a', 3, 0, 'K', '', ''), (2, 'u', 2, 2, 'IK', 'assistant', ''), (0, 'a', 3, 2, 'IK', 'user', ''),
+  (1, 'a', 3, 2, 'IK', 'user', ''), (3, 'a', 3, 2, 'IK', 'user', ''),
+  (0, '', 2, 2, 'R', '', 'user'), (1, '', 2, 2, 'R', '', 'user'), (3, '', 2, 2, 'R', '', 'user'),
+  (2, '', 3, 2, 'R', '', 'assistant'), (2, '', 2, 4, 'IR', 'assistant', 'user'), (0, '', 3, 4, 'IR', 'user', 'assistant'),
+  (1, '', 3, 4, 'IR', 'user', 'assistant'), (3, '', 3, 4, 'IR', 'user', 'assistant'),
+  (0, '', 0, 3, 'D', '', ''), (1, '', 1, 3, 'D', '', ''), (2, '', 2, 3, 'D', '', ''), (3, '', 3, 3, 'D', '', ''))
+  m(q, needs, to_q, cost, edits, inserted, role)),
+ways AS (
+  SELECT conv_id, 0::BIGINT AS i, 0 AS q, {{'cost': 0::BIGINT, 'edits': '', 'lines': []::VARCHAR[]}} AS way
+  FROM (SELECT DISTINCT conv_id FROM conversations)
+  UNION ALL
+  SELECT w.conv_id, w.i + 1, m.to_q, min({{
+    'cost': w.way.cost + m.cost + (fault = 'truncated' AND edits <> 'D')::BIGINT,
+    'edits': w.way.edits || m.edits,
+    'lines': w.way.lines || CASE WHEN inserted = '' THEN []::VARCHAR[] ELSE [inserted || ':'] END
+      || CASE WHEN edits = 'D' THEN []::VARCHAR[] ELSE [coalesce(nullif(m.role, ''), j.role) || ':' || text] END}})
+  FROM ways w JOIN judged j ON j.conv_id IS NOT DISTINCT FROM w.conv_id AND j.i = w.i + 1
+  JOIN moves m ON m.q = w.q AND (m.needs = '' OR m.needs = j.initial)
+    AND (m.edits = 'D' OR fault NOT IN ('blank', 'duplicate'))
+  GROUP BY w.conv_id, w.i, m.to_q),
+ends AS (
+  SELECT w.conv_id, min({{
+    'cost': way.cost + CASE q WHEN 1 THEN 4 WHEN 2 THEN 2 ELSE 0 END,
+    'edits': way.edits || CASE q WHEN 1 THEN 'II' WHEN 2 THEN 'I' ELSE '' END,
+    'lines': way.lines || CASE q WHEN 1 THEN ['user:', 'assistant:'] WHEN 2 THEN ['assistant:']
+      ELSE []::VARCHAR[] END}}) AS way
+  FROM ways w JOIN (SELECT conv_id, max(i) AS i FROM ways GROUP BY conv_id) l
+    ON l.conv_id IS NOT DISTINCT FROM w.conv_id AND l.i = w.i GROUP BY w.conv_id),
+facts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+    count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM judged GROUP BY conv_id)
+SELECT e.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, way.cost AS cost, way.edits AS audit,
+  sha256(array_to_string(way.lines, chr(10))) AS repaired_sha256
+FROM ends e LEFT JOIN facts f ON e.conv_id IS NOT DISTINCT FROM f.conv_id""")
+def op11_conversation_repair(spark, sf):
+    """Damaged conversations, repaired; also those of which the damage left nothing."""
+    turns = spark.read.parquet(f"{sf}/conversations.parquet")
+    bad = dialogues.damaged(turns)
+    parts = stored(dialogues.repair(bad), "repaired")
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    pieces = [turns.select("conv_id"), dialogues.turn_gaps(bad),
+              parts.select("conv_id", *counts[1:], F.struct("part", "audit").alias("audit")),
+              dialogues.digests(parts)]
+    whole = pieces[0]
+    for piece in pieces[1:]:
+        whole = whole.unionByName(piece, allowMissingColumns=True)
+    edits = F.transform(F.array_sort(F.collect_list("audit")), lambda x: x["audit"])
+    return whole.groupBy("conv_id").agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c) for c in counts],
+        F.array_join(edits, "").alias("audit"),
+        F.coalesce(F.max("sha256"), F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
