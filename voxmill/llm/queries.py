@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxmill.llm import classifier, dialogues, divergence, exact, minhash, mixing, packing, repeats, rules, secrets, sharding, suffixtree
+from voxmill.llm import (
+    classifier, dialogues, divergence, exact, extraction, minhash, mixing, packing, repeats, rules, secrets, sharding,
+    suffixtree,
+)
 from voxmill.llm.common import documents, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -308,3 +311,9 @@ SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DES
 FROM ranked QUALIFY part = 'pair' OR rank <= 200""")
 def op13_source_divergence(spark, sf):
     return divergence.divergence_audit(documents(spark, sf))
+
+
+@query()
+def op12_main_text(spark, sf):
+    found = extraction.extract(spark.read.parquet(f"{sf}/pages.parquet"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
