@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from voxmill.llm.common import quoted, stored
+from voxmill.llm.common import quoted, stored, tasks_for
 
 #: Terms must occur in so many documents of their language.
 LEAST_DOCUMENTS = 3
@@ -177,10 +177,10 @@ def joint_levels(counts: DataFrame, totals: DataFrame) -> DataFrame:
     hold about ROWS_PER_BLOCK counts, and are summed. The zero levels are what the sums leave of each
     source's level counts and of the number of terms.
     """
-    sizes = counts.groupBy("lang").agg(F.ceil(F.count("*") / ROWS_PER_BLOCK).alias("_blocks"))
-    blocked = counts.join(sizes, "lang").select(
-        "lang", "source", "term", "count", F.pmod(F.xxhash64("term"), F.col("_blocks")).alias("_block"))
-    upper = blocked.groupBy("lang", "_block").applyInArrow(_block_products, _JOINT).groupBy(
+    blocks = tasks_for(counts.count(), ROWS_PER_BLOCK)
+    blocked = counts.select(
+        "lang", "source", "term", "count", F.pmod(F.xxhash64("term"), F.lit(blocks)).alias("_block"))
+    upper = blocked.repartition("lang", "_block").groupBy("lang", "_block").applyInArrow(_block_products, _JOINT).groupBy(
         "lang", "source", "level", "other", "other_level").agg(F.sum("n_terms").alias("n_terms"))
     upper = stored(upper, "joint-levels")
     both = upper.unionByName(upper.select(
