@@ -97,7 +97,7 @@ def test_unknown_product(spark):
 def test_positions(spark):
     df = spark.createDataFrame([(10, "A"), (5, "A"), (7, "B"), (300, "A")],
                                "row_id long, parent_asin string")
-    got = rows(retrieval.review_positions(df, bits=3), "row_id", "review_index")
+    got = rows(retrieval.review_positions(df, parts=5), "row_id", "review_index")
     assert got == [(5, 0), (7, 0), (10, 1), (300, 2)]
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from voxmill.config import LABEL_REPORT_ORDER
 from voxmill.functions import numbers, text as tx
+from voxmill.operators.skew import running_sum
 
 # Upper bounds of the right-closed bins. A bin's name states its real bounds.
 REVIEW_TIERS = ((1, 5, 10, 20), ("1", "2-5", "6-10", "11-20", ">20"))
@@ -263,15 +264,14 @@ def box_statistics(df: DataFrame, groups: list[str], value: str) -> DataFrame:
         F.max(F.when(inside, x)).alias("whisker_high"))
 
 
-def cumulative_distribution(df: DataFrame, group: str, value: str) -> DataFrame:
-    """Share of rows at or below each value. The running sum goes over distinct values."""
-    hist = value_histogram(df, [group], value)
-    running = Window.partitionBy(group).orderBy(value).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    return hist.select(
-        group, value,
-        F.round(F.sum("n").over(running) / F.sum("n").over(Window.partitionBy(group)), 6)
-        .alias("cdf"))
+def cumulative_distribution(
+    df: DataFrame, group: str, value: str, parts: int | None = None,
+) -> DataFrame:
+    """Share of rows at or below each value. The running sum goes over distinct values, sorted over
+    ``parts`` ranges, so a value that is different in every row needs no task for all of them."""
+    summed = running_sum(
+        value_histogram(df, [group], value), [group], [F.col(value)], "n", "_upto", "_whole", parts)
+    return summed.select(group, value, F.round(F.col("_upto") / F.col("_whole"), 6).alias("cdf"))
 
 
 def mean_difference(df: DataFrame, value: str, group: str, first: str, second: str) -> DataFrame:

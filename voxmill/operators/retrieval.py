@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from voxmill.functions import aspects as asp, labels, numbers
-from voxmill.operators.skew import broadcast_if_small, rank_in_group, semi_join
+from voxmill.operators.skew import broadcast_if_small, position_in_group, semi_join
 
 REVIEW_BLOCK = 50_000
 QUERY_BLOCK = 2_000
@@ -125,11 +125,12 @@ def retrieved_reviews(matches: DataFrame, reviews: DataFrame, columns: list[str]
     return reviews.select("row_id", *columns).join(wanted, "row_id")
 
 
-def review_positions(reviews: DataFrame, key: str = "parent_asin", bits: int = 16) -> DataFrame:
-    """0-based position of a review within its product, by row id. Runs of 2^bits consecutive
-    ids are numbered apart, so a hot product is shared by many tasks."""
-    return rank_in_group(
-        reviews, [key], [F.col("row_id")], F.shiftright("row_id", bits), out="review_index")
+def review_positions(
+    reviews: DataFrame, key: str = "parent_asin", parts: int | None = None,
+) -> DataFrame:
+    """0-based position of a review within its product, by row id, whatever the ids look like. The
+    reviews are sorted over ``parts`` ranges, so a hot product is shared by many tasks."""
+    return position_in_group(reviews, [key], [F.col("row_id")], out="review_index", parts=parts)
 
 
 def sentiment_breakdown(retrieved: DataFrame) -> DataFrame:

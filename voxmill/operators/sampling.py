@@ -7,6 +7,10 @@ from pyspark.sql import functions as F
 
 from voxmill.config import SEED
 from voxmill.operators.skew import broadcast_if_small, rank_in_group
+from voxmill.session import cut
+
+#: Places of the order: a blank or nothing, and the digits of a digest.
+ORDER_DIGITS = 33
 
 
 def seeded_order(identity: str, seed: int = SEED) -> Column:
@@ -14,16 +18,75 @@ def seeded_order(identity: str, seed: int = SEED) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), F.col(identity).cast("string")))
 
 
+def _boundaries(
+    keyed: DataFrame, n: int, digits: int, rows_at_once: int,
+) -> DataFrame:
+    """(_group, _last): the shortest beginning of the order up to which a group has its n rows; groups
+    of fewer rows have none. ``keyed`` has ``_group`` and ``_order``.
+
+    Each round counts beginnings, combined before the shuffle, and finds the one in which n is
+    reached. While that one alone holds more than ``rows_at_once`` rows in some group, the next round
+    counts longer beginnings inside it.
+    """
+    along = Window.partitionBy("_group").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
+    done, within, depth = None, None, digits
+    while True:
+        rows = keyed
+        if within is not None:
+            near = within.select("_group", "_last", "_before")
+            rows = _beside(keyed, near).where(F.substring("_order", 1, depth - digits) == F.col("_last"))
+        before = F.lit(0) if within is None else F.first("_before")
+        counts = rows.groupBy("_group", F.substring("_order", 1, depth).alias("_start")).agg(
+            F.count("*").alias("_n"), before.alias("_base"))
+        reached = counts.withColumn(
+            "_before", F.col("_base") + F.coalesce(F.sum("_n").over(along), F.lit(0))).where(
+            (F.col("_before") < n) & (F.col("_before") + F.col("_n") >= n)).select(
+            "_group", F.col("_start").alias("_last"), "_before", "_n")
+        reached = cut(reached)
+        small = reached.where(F.col("_n") <= rows_at_once)
+        within = reached.where(F.col("_n") > rows_at_once)
+        if depth >= ORDER_DIGITS or within.isEmpty():
+            last = reached.select("_group", "_last")
+            return last if done is None else done.unionByName(last)
+        found = small.select("_group", "_last")
+        done, depth = found if done is None else done.unionByName(found), depth + digits
+
+
+def _beside(rows: DataFrame, table: DataFrame, how: str = "inner") -> DataFrame:
+    """Rows with what ``table`` says of their group; without a shuffle unless the groups are many."""
+    table = broadcast_if_small(table.withColumnRenamed("_group", "_of"))
+    return rows.join(table, rows["_group"].eqNullSafe(F.col("_of")), how).drop("_of")
+
+
+def candidates_per_group(
+    df: DataFrame, groups: list[str], n: int, seed: int = SEED, identity: str = "row_id",
+    digits: int = 3, rows_at_once: int = 100_000,
+) -> DataFrame:
+    """``df`` with ``_order``, less the rows that can not be among the first n of their group by it:
+    about n rows of a group, and up to ``rows_at_once`` more. The other rows are never shuffled."""
+    # Null ids come first, as the empty text would; a digest of the row tells them apart.
+    order = F.coalesce(seeded_order(identity, seed), F.concat(F.lit(" "), F.md5(F.to_json(F.struct("*")))))
+    keyed = df.withColumns({"_order": order, "_group": F.struct(*groups)})
+    last = _boundaries(keyed.select("_group", "_order"), n, digits, rows_at_once)
+    near = _beside(keyed, last, "left")
+    return near.where(F.col("_last").isNull() | (F.substring(
+        F.col("_order"), F.lit(1), F.length("_last")) <= F.col("_last"))).drop("_last", "_group")
+
+
 def sample_per_group(
     df: DataFrame, groups: list[str], n: int, seed: int = SEED, identity: str = "row_id",
-    position: str | None = None, bucket_digits: int = 3,
+    position: str | None = None, bucket_digits: int = 3, rows_at_once: int = 100_000,
 ) -> DataFrame:
-    """Exactly n rows per group (all of a smaller one), whatever n: rows are ranked in buckets of
-    their digest, so no task holds a group, and rows beyond the bucket that reaches n are never
-    ranked. A null identity counts as the empty text; ties are broken by all other columns."""
-    keyed = df.withColumn("_order", F.coalesce(seeded_order(identity, seed), F.lit("")))
+    """Exactly n rows per group (all of a smaller one), whatever n: the first along a seeded digest.
+
+    The digest's beginnings are counted to find where a group reaches n; only rows up to there are
+    shuffled and ranked, in buckets of their digest, so no task holds a group. A null identity counts
+    as the empty text; rows that tie are ordered by a digest of all columns."""
+    if n < 1:
+        return df.limit(0).withColumn(position, F.lit(0)) if position else df.limit(0)
+    near = cut(candidates_per_group(df, groups, n, seed, identity, bucket_digits, rows_at_once))
     ranked = rank_in_group(
-        keyed, groups, [F.col("_order"), F.col(identity)], F.substring("_order", 1, bucket_digits),
+        near, groups, [F.col("_order"), F.col(identity)], F.substring("_order", 1, bucket_digits),
         out="_rank").where(F.col("_rank") < n).drop("_order")
     ranked = ranked.withColumn("_rank", (F.col("_rank") + 1).cast("int"))
     return ranked.withColumnRenamed("_rank", position) if position else ranked.drop("_rank")

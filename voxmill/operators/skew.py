@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from voxmill.session import cut
+from voxmill.session import cut, shuffle_parts
 
 ROWS_PER_TASK = 2_000_000
 
@@ -115,6 +115,59 @@ def rank_in_group(
         .withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).drop("_n")
     )
     inner = F.row_number().over(Window.partitionBy("_group", "_bucket").orderBy(*order))
-    joined = keyed.withColumn("_inner", inner).join(offsets, ["_group", "_bucket"])
+    # Both sides are dealt and sorted alike. Broadcasting either could leave all rows to one task.
+    joined = keyed.withColumn("_inner", inner).join(offsets.hint("merge"), ["_group", "_bucket"])
     return joined.withColumn(out, F.col("_before") + F.col("_inner") - 1).drop(
         "_before", "_inner", "_bucket", "_group")
+
+
+def _by_ranges(df: DataFrame, groups: list[str], order: list[Column], parts: int | None) -> DataFrame:
+    """``df``, stored once, sorted by groups and order over ranges that Spark draws from a sample: with
+    ``_group``, ``_part`` (the range) and ``_at``, which grows along the order within a range. Rows that
+    tie are told apart by a digest, so many equal keys do not fill one range."""
+    hashed = [F.col(f"`{c}`") for c, t in df.dtypes if "map<" not in t]
+    keys = [*[F.col(g) for g in groups], *order, F.col("_tie")]
+    parts = parts or shuffle_parts(df.sparkSession)
+    ranged = df.withColumn("_tie", F.xxhash64(*hashed)).repartitionByRange(parts, *keys).sortWithinPartitions(
+        *keys).drop("_tie").withColumn("_at", F.monotonically_increasing_id())
+    # The id is the partition's number, then the row's in 33 bits.
+    return cut(ranged).withColumns({"_group": F.struct(*groups), "_part": F.shiftright("_at", 33)})
+
+
+def _range_offsets(ranged: DataFrame, amount: Column) -> DataFrame:
+    """(_group, _part, _first, _before, _whole): the amount that a group has in earlier ranges, and in
+    all. A group has a row per range it reaches into, so the window is over no more than the ranges."""
+    along = Window.partitionBy("_group").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sums = ranged.groupBy("_group", "_part").agg(amount.alias("_amount"), F.min("_at").alias("_first"))
+    return broadcast_if_small(sums.select(
+        "_group", "_part", "_first", F.coalesce(F.sum("_amount").over(along), F.lit(0)).alias("_before"),
+        F.sum("_amount").over(Window.partitionBy("_group")).alias("_whole")))
+
+
+def position_in_group(
+    df: DataFrame, groups: list[str], order: list[Column], out: str = "rank", parts: int | None = None,
+) -> DataFrame:
+    """Exact 0-based position of each row in its group, for any order: prefix sums over ranges.
+
+    The rows are sorted over ranges of (groups, order), stored, and counted per group and range; a
+    row's position is its place in the range plus what earlier ranges hold of its group. No window
+    holds a group, whatever the values of the order are. Null groups are a group; nulls come first.
+    """
+    ranged = _by_ranges(df, groups, order, parts)
+    joined = ranged.join(_range_offsets(ranged, F.count("*")), ["_group", "_part"])
+    return joined.withColumn(out, F.col("_before") + F.col("_at") - F.col("_first")).select(*df.columns, out)
+
+
+def running_sum(
+    df: DataFrame, groups: list[str], order: list[Column], amount: str, out: str, whole: str,
+    parts: int | None = None,
+) -> DataFrame:
+    """Adds the sum of ``amount`` up to and including the row along the order in its group, and over
+    the whole group: sums inside (group, range), and prefix sums over the ranges."""
+    ranged = _by_ranges(df, groups, order, parts)
+    inside = Window.partitionBy("_group", "_part").orderBy("_at").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    joined = ranged.withColumn("_inside", F.sum(amount).over(inside)).join(
+        _range_offsets(ranged, F.sum(amount)), ["_group", "_part"])
+    return joined.withColumns({out: F.col("_before") + F.col("_inside"), whole: F.col("_whole")}).select(
+        *df.columns, out, whole)

@@ -257,7 +257,20 @@ def review_positions(spark, sf):
     from voxmill.operators import retrieval
 
     rows = views.doc_reviews(spark, sf).select("row_id", "parent_asin")
-    return retrieval.review_positions(rows, bits=6)
+    return retrieval.review_positions(rows)
+
+
+@query(S.with_(S.DOC) + """
+SELECT md5(row_id::VARCHAR) AS row_id, parent_asin,
+  row_number() OVER (PARTITION BY parent_asin ORDER BY md5(row_id::VARCHAR)) - 1 AS review_index
+FROM doc_reviews""")
+def digest_positions(spark, sf):
+    """Positions along ids that are digests, as loaders give them."""
+    from voxmill.operators import retrieval
+
+    rows = views.doc_reviews(spark, sf).select(
+        F.md5(F.col("row_id").cast("string")).alias("row_id"), "parent_asin")
+    return retrieval.review_positions(rows)
 
 
 # --- streams -------------------------------------------------------------------------------

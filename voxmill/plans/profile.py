@@ -328,6 +328,16 @@ def rating_cdf(spark, sf):
     return profile.cumulative_distribution(_items(spark, sf), "domain", "rating")
 
 
+@query("""
+SELECT DISTINCT l_returnflag AS flag, l_extendedprice AS price,
+  round(cume_dist() OVER (PARTITION BY l_returnflag ORDER BY l_extendedprice), 6) AS cdf FROM lineitem""")
+def price_cdf(spark, sf):
+    """A continuous value: nearly every row has its own."""
+    lines = views.table(spark, sf, "lineitem").select(
+        F.col("l_returnflag").alias("flag"), F.col("l_extendedprice").alias("price"))
+    return profile.cumulative_distribution(lines, "flag", "price")
+
+
 @query(_DOCS + """
 SELECT round(e, 6) AS mean_first, round(f, 6) AS mean_second, round(e - f, 6) AS difference,
   round((e - f) / f * 100, 6) AS pct

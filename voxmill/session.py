@@ -28,6 +28,10 @@ def build_session(app: str = "voxmill", master: str | None = None, **conf) -> Sp
     return builder.getOrCreate()
 
 
+def shuffle_parts(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def work_folder(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
