@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from voxmill import schemas
 from voxmill.config import MIN_REVIEWS_PER_PRODUCT
+from voxmill.functions import text as tx
 from voxmill.operators import cleaning, insights, products
-from voxmill.sources import tables
+from voxmill.operators.skew import ROWS_PER_TASK
+from voxmill.sources import keyprofile, tables
 
 
 def build_review_tables(
@@ -17,19 +20,23 @@ def build_review_tables(
     """Clean, validate, join and filter; write reviews, products and their reports.
 
     Every stage is stored before the next reads it, as each is used more than once: for the
-    result, for its counters and for finding hot products.
+    result and for its counters. Hot products are known from the sketch taken as the reviews are
+    stored, so the join reads them once.
     """
     spark = raw_reviews.sparkSession
     paths = {name: f"{folder.rstrip('/')}/{name}.parquet" for name in (
         "processed", "joined", "clean_metadata", "reviews", "products", "cleaning_report",
         "join_report", "product_report")}
-    tables.save_by_domain(
-        cleaning.clean_reviews(raw_reviews, max_chars=max_chars), paths["processed"])
+    keyprofile.write_with_key_profile(
+        cleaning.clean_reviews(raw_reviews, max_chars=max_chars), paths["processed"],
+        {"domain": F.col("domain"), "parent_asin": tx.strip(F.col("parent_asin"))}, partition_by=("domain",))
     processed = tables.read_table(spark, paths["processed"])
     wanted = products.sample_metadata(raw_metadata, processed)
     tables.write_table(products.clean_metadata(wanted, max_chars), paths["clean_metadata"])
     meta = tables.read_table(spark, paths["clean_metadata"])
-    joined = products.join_reviews_with_products(processed, meta, identity=["row_id"])
+    hot = keyprofile.hot_from_profile(
+        spark, paths["processed"], "domain string, parent_asin string", ROWS_PER_TASK)
+    joined = products.join_reviews_with_products(processed, meta, identity=["row_id"], hot=hot)
     tables.write_table(joined, paths["joined"])
     joined = tables.read_table(spark, paths["joined"])
     kept_reviews, kept_products = products.filter_by_min_reviews(joined, meta, min_reviews)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from voxmill.config import MIN_REVIEWS_PER_PRODUCT
 from voxmill.functions import labels, text as tx
 from voxmill.operators.cleaning import keep_first
-from voxmill.operators.skew import hot_from_counts, salted_join
+from voxmill.operators.skew import ROWS_PER_TASK, hot_from_counts, salted_join
 from voxmill.session import cut
 
 # Spellings of a missing price.
@@ -99,21 +99,26 @@ def unique_products(meta: DataFrame, keys: list[str] = ("parent_asin",)) -> Data
 
 def join_reviews_with_products(
     reviews: DataFrame, meta: DataFrame, counted: Observation | None = None,
-    identity: list[str] | None = None,
+    identity: list[str] | None = None, hot: DataFrame | None = None,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Reviews of known products. The product side is unique per key, so no review multiplies;
-    hot products are spread over several tasks. ``counted`` receives the joined row count."""
+    hot products are spread over several tasks. ``counted`` receives the joined row count. With
+    ``hot``, as from ``keyprofile.hot_from_profile``, the reviews are read once."""
     left, keys = with_trimmed_key(reviews), shared_keys(reviews, meta)
     right = product_columns(unique_products(meta, keys))
     right = right.drop(*[c for c in KEYS if c not in keys])
-    joined = salted_join(left, right, keys, identity=identity)
+    joined = salted_join(left, right, keys, identity=identity, hot=hot, rows_per_task=rows_per_task)
     return joined.observe(counted, F.count("*").alias("joined")) if counted else joined
 
 
-def unmatched_reviews(reviews: DataFrame, meta: DataFrame) -> DataFrame:
+def unmatched_reviews(
+    reviews: DataFrame, meta: DataFrame, hot: DataFrame | None = None,
+    rows_per_task: int = ROWS_PER_TASK,
+) -> DataFrame:
     keys = shared_keys(reviews, meta)
     known = with_trimmed_key(meta).select(*keys).distinct()
-    return salted_join(with_trimmed_key(reviews), known, keys, "left_anti")
+    return salted_join(with_trimmed_key(reviews), known, keys, "left_anti", hot=hot, rows_per_task=rows_per_task)
 
 
 def unmatched_products(reviews: DataFrame, meta: DataFrame) -> DataFrame:

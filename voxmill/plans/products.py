@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from voxmill.operators import products
 from voxmill.plans import sql as S
 from voxmill.plans.registry import query
-from voxmill.sources import tables, views
+from voxmill.session import new_path
+from voxmill.sources import keyprofile, tables, views
 
 # Metadata with repeated and missing keys: each part listed again under its size group's key.
 _DIRTY = f"""dirty AS (
@@ -76,6 +77,38 @@ def reviews_with_products(spark, sf):
     return joined.select("review_key", "parent_asin", "rating", "domain", "product_title",
                          "price", "average_rating", "store")
 
+_REVIEW_KEYS = {"domain": "domain", "parent_asin": "parent_asin"}
+_REVIEW_KEYS_SCHEMA = "domain string, parent_asin string"
+
+
+def _profiled(spark, sf):
+    """Reviews stored with the profile of their keys."""
+    path = keyprofile.write_with_key_profile(
+        views.item_reviews(spark, sf).select("review_key", "parent_asin", "rating", "domain"),
+        new_path(spark, "profiled") + ".parquet", _REVIEW_KEYS, items=50_000)
+    return path, tables.read_table(spark, path)
+
+
+@query(S.with_(S.ITEM, S.META) + """
+SELECT r.review_key, r.parent_asin, r.rating, r.domain, m.title AS product_title, m.price,
+  m.average_rating, m.store
+FROM item_reviews r JOIN metadata m USING (parent_asin)""")
+def profiled_reviews_with_products(spark, sf):
+    """The hot products come from the sketch taken as the reviews were stored."""
+    path, reviews = _profiled(spark, sf)
+    hot = keyprofile.hot_from_profile(spark, path, _REVIEW_KEYS_SCHEMA, 35)
+    joined = products.join_reviews_with_products(
+        reviews, views.raw_metadata(spark, sf), identity=["review_key"], hot=hot, rows_per_task=35)
+    return joined.select("review_key", "parent_asin", "rating", "domain", "product_title",
+                         "price", "average_rating", "store")
+
+
+@query(S.with_(S.ITEM) + """
+SELECT domain, parent_asin, count(*) AS n FROM item_reviews GROUP BY 1, 2 HAVING count(*) >= 40""")
+def frequent_products(spark, sf):
+    path, reviews = _profiled(spark, sf)
+    return keyprofile.frequent_keys(reviews, path, _REVIEW_KEYS, _REVIEW_KEYS_SCHEMA, 40)
+
 
 @query(S.with_(S.ITEM, S.META) + """
 SELECT domain, count(*) AS reviews, count(*) AS joined FROM item_reviews GROUP BY 1""")
