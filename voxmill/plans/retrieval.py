@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from voxmill.functions import text as tx, vectors
 from voxmill.functions.lexicons import ASPECTS
-from voxmill.operators import answers, insights, retrieval
+from voxmill.operators import answers, insights, pruned, retrieval
 from voxmill.plans import sql as S
 from voxmill.plans.registry import query
 from voxmill.sources import views
@@ -84,6 +84,16 @@ def top_matches(spark, sf):
                           F.round("similarity", 6).alias("similarity"))
 
 
+@query(_BASE + "SELECT query_id, row_id, rank, preferred, parent_asin, "
+       "round(similarity, 6) AS similarity FROM best")
+def pruned_matches(spark, sf):
+    """As top_matches, from the clusters that can hold an answer; small ones, as the products are small."""
+    reviews = retrieval.with_polarity_flags(_tagged_vectors(spark, sf))
+    matches, _ = pruned.pruned_matches(reviews, _mean_queries(reviews), cluster_rows=10)
+    return matches.select("query_id", "row_id", "rank", "preferred", "parent_asin",
+                          F.round("similarity", 6).alias("similarity"))
+
+
 @query(_BASE + """
 SELECT query_id, row_id, rank, preferred, parent_asin, rating, sentiment,
   printf('%.4f', (similarity)::DOUBLE)::DOUBLE AS similarity_score FROM best""")
