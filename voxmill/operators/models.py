@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import math
+from dataclasses import dataclass
+
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import IDF, CountVectorizer, ElementwiseProduct, Normalizer
+from pyspark.ml.feature import IDF, CountVectorizer, CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
@@ -74,19 +77,86 @@ def vocabulary(rows: DataFrame, text: str = "features_text", size: int | None =
 
 
 def tfidf_weights(rows: DataFrame, text: str = "features_text", size: int | None = 5000) -> DataFrame:
-    """(row_id, term, weight): sublinear counts, smooth idf, unit length per row."""
-    vocab = vocabulary(rows, text, size).select("term", "df")
+    """(row_id, term, weight): sublinear counts, smooth idf, unit length per row.
+
+    With a bounded vocabulary a row's weights are found inside the row; only an unbounded one is
+    joined to the rows' terms."""
     if size is not None and size <= MAX_BROADCAST_TERMS:
-        vocab = F.broadcast(vocab)  # ``size`` rows by definition
+        terms, counted = fit_counts(rows, text, size)
+        named = weighed(counted, terms).crossJoin(F.broadcast(  # one row
+            rows.sparkSession.createDataFrame([(terms.names,)], "_names array<string>")))
+        return named.select("row_id", F.inline(F.zip_with("indices", "values", lambda i, v: F.struct(
+            F.get(F.col("_names"), i).alias("term"), v.alias("weight")))))
+    vocab = vocabulary(rows, text, size).select("term", "df")
     total = rows.select(F.count("*")).scalar()
     idf = F.log((1.0 + total) / (1.0 + F.col("df"))) + 1.0
     weighted = row_terms(rows, text).join(vocab, "term").select(
         "row_id", "term", ((1.0 + F.log("tf")) * idf).alias("_raw"))
-    # A window holds one row's terms, at most the vocabulary.
+    # A window holds one row's terms.
     length = F.sqrt(F.sum(F.col("_raw") * F.col("_raw")).over(Window.partitionBy("row_id")))
     return weighted.select("row_id", "term", (F.col("_raw") / length).alias("weight"))
 
 
+@dataclass(frozen=True)
+class Terms:
+    """A bounded vocabulary, the most frequent term first, with the smooth idf of each."""
+
+    names: list[str]
+    idf: list[float]
+
+
+def counted_terms(rows: DataFrame, names: list[str], text: str = "features_text") -> DataFrame:
+    """(row_id, indices, counts): how often each listed term occurs in each row. A term is looked up in
+    a hash table inside the row, so nothing is shuffled."""
+    if not names:
+        return rows.select("row_id", F.array().cast("array<int>").alias("indices"),
+                           F.array().cast("array<double>").alias("counts"))
+    counter = CountVectorizerModel.from_vocabulary(names, inputCol="_grams", outputCol="_tf")
+    counted = counter.transform(_grams(rows, text)).select("row_id", _once(F.unwrap_udt("_tf"), "_tf"))
+    return counted.select("row_id", F.col("_tf.indices").alias("indices"), F.col("_tf.values").alias("counts"))
+
+
+def _grams(rows: DataFrame, text: str) -> DataFrame:
+    found = tx.one_and_two_grams(tx.word_tokens(F.col(text)))
+    return rows.select("row_id", _once(F.coalesce(found, F.array().cast("array<string>")), "_grams"))
+
+
+def fit_counts(rows: DataFrame, text: str = "features_text", size: int = 5000) -> tuple[Terms, DataFrame]:
+    """The ``size`` most frequent terms, and the stored counts of ``rows`` over them. The texts are read
+    once for the totals and once for the counts, from which the document frequencies come; at most
+    ``size`` terms come to the driver."""
+    totals = _grams(rows, text).select(F.explode("_grams").alias("term")).groupBy("term").agg(F.count("*").alias("n"))
+    names = [r["term"] for r in totals.orderBy(F.desc("n"), "term").limit(size).collect()]
+    counted = cut(counted_terms(rows, names, text))
+    found = dict(counted.select(F.explode("indices").alias("i")).groupBy("i").count().collect())
+    total = counted.count()
+    return Terms(names, [math.log((1 + total) / (1 + found.get(i, 0))) + 1 for i in range(len(names))]), counted
+
+
+def fit_terms(rows: DataFrame, text: str = "features_text", size: int = 5000) -> Terms:
+    return fit_counts(rows, text, size)[0]
+
+
+def weighed(counted: DataFrame, terms: Terms) -> DataFrame:
+    """(row_id, indices, values): sublinear counts times idf, of unit length per row."""
+    idf = counted.sparkSession.createDataFrame([(terms.idf,)], "_idf array<double>")
+    raw = F.zip_with("indices", "counts", lambda i, n: (1.0 + F.log(n)) * F.get(F.col("_idf"), i))
+    held = counted.crossJoin(F.broadcast(idf)).select("row_id", "indices", _once(raw, "_raw"))  # one row
+    length = F.sqrt(F.aggregate("_raw", F.lit(0.0), lambda s, x: s + x * x))
+    return held.select("row_id", "indices", "_raw", _once(length, "_length")).select(
+        "row_id", "indices", F.transform("_raw", lambda x: x / F.col("_length")).alias("values"))
+
+
+def tfidf_rows(rows: DataFrame, terms: Terms, text: str = "features_text") -> DataFrame:
+    """The weights of any rows over a fitted vocabulary."""
+    return weighed(counted_terms(rows, terms.names, text), terms)
+
+
+def _once(value: Column, name: str) -> Column:
+    """``value`` under a name, from a generator, so that each use of the name does not compute it again."""
+    return F.inline(F.array(F.struct(value.alias(name))))
+
+
 class WordGrams(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable,
                 DefaultParamsWritable):
     """Words of two or more characters and neighbouring pairs."""

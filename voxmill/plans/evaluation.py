@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from voxmill.config import LABELS
-from voxmill.operators import evaluation, models, sampling
+from voxmill.operators import evaluation, lowrank, models, sampling
 from voxmill.plans import sql as S
 from voxmill.plans.registry import query
 from voxmill.session import cut, new_path
@@ -228,6 +228,28 @@ def tfidf_weights(spark, sf):
     return models.tfidf_weights(_rows(spark, sf)).withColumn("weight", F.round("weight", 6))
 
 
+@query(_TFIDF.replace("WITH ", "WITH RECURSIVE ", 1) + """,
+raw AS (SELECT row_id, term, (1 + ln(tf)) *
+    (ln((1.0 + (SELECT count(*) FROM doc_reviews))::DOUBLE / (1.0 + df)::DOUBLE) + 1) AS w
+  FROM tf JOIN vocab USING (term)),
+weights AS MATERIALIZED (SELECT row_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY row_id)) AS w FROM raw),
+powers AS (
+  SELECT 0 AS k, term, 1.0::DOUBLE AS x FROM vocab
+  UNION ALL
+  SELECT y.k + 1, w.term, sum(w.w * y.y) / 100.0 FROM (
+    SELECT p.k, w.row_id, sum(w.w * p.x) AS y FROM powers p JOIN weights w USING (term) WHERE p.k < 80
+    GROUP BY p.k, w.row_id) y JOIN weights w USING (row_id) GROUP BY y.k, w.term),
+direction AS (SELECT term, x / sqrt(sum(x * x) OVER ()) AS v FROM powers WHERE k = 80)
+SELECT row_id, round(sum(w * v), 4) AS loading FROM weights JOIN direction USING (term) GROUP BY row_id""")
+def leading_factor(spark, sf):
+    """How far each text goes along the strongest direction of all texts (checked by power iteration)."""
+    rows = cut(_rows(spark, sf))
+    factors = lowrank.fit_factors(rows, rank=16, passes=8)
+    along = lowrank.text_factors(rows, factors, unit=False)
+    return along.join(models.tfidf_rows(rows, factors.terms).where("size(indices) > 0").select("row_id"), "row_id").select(
+        "row_id", F.round(F.get("vec", F.lit(0)), 4).alias("loading"))
+
+
 @query()
 def trained_model_metrics(spark, sf):
     """TF-IDF and logistic regression per domain: split, fit, evaluate."""
