@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from voxmill.config import COMBINED, LABELS
 from voxmill.functions import numbers, text as tx
 from voxmill.functions.labels import decode_label, encode_label
+from voxmill.operators.skew import broadcast_if_small
+from voxmill.session import cut
 
 
 def confusion_counts(
@@ -128,10 +130,27 @@ def class_weights(df: DataFrame, groups: list[str], label: str = "sentiment") ->
 
 def aligned_predictions(predictions: DataFrame, models: list[str], keys: list[str]) -> DataFrame:
     """One row per sample with a column per model. A label outside the three is kept as it is; the
-    known ones are written in their normal form."""
-    label = F.coalesce(decode_label(encode_label(F.col("y_pred"))), F.col("y_pred"))
-    return predictions.groupBy(*keys, "y_true").agg(*[
-        F.min(F.when(F.col("model") == m, label)).alias(f"pred_{m}") for m in models])
+    known ones are written in their normal form, and come before others where a model has several.
+
+    Labels are aggregated as numbers of fixed size, unknown ones by their hash, so the aggregation
+    stays a hash table; the distinct unknown labels, if there are any, give their names back."""
+    known = encode_label(F.col("y_pred")).cast("long")
+    # A hash of 63 bits, above the codes of the known labels.
+    other = F.greatest(F.shiftrightunsigned(F.xxhash64("y_pred"), 1), F.lit(len(LABELS)).cast("long"))
+    unknown = cut(predictions.where(known.isNull() & F.col("y_pred").isNotNull()).select("y_pred").distinct().select(
+        other.alias("_hash"), "y_pred"))
+    named = predictions.select(*keys, "y_true", "model", F.when(
+        F.col("y_pred").isNotNull(), F.coalesce(known, other)).alias("_code"))
+    wide = named.groupBy(*keys, "y_true").agg(*[
+        F.min(F.when(F.col("model") == m, F.col("_code"))).alias(f"_code_{m}") for m in models])
+    names = {m: decode_label(F.when(F.col(f"_code_{m}") < len(LABELS), F.col(f"_code_{m}")).cast("int")) for m in models}
+    if unknown.isEmpty():
+        return wide.select(*keys, "y_true", *[names[m].alias(f"pred_{m}") for m in models])
+    unknown = broadcast_if_small(unknown)
+    for m in models:
+        found = unknown.select(F.col("_hash").alias(f"_code_{m}"), F.col("y_pred").alias(f"_other_{m}"))
+        wide = wide.join(found, f"_code_{m}", "left")
+    return wide.select(*keys, "y_true", *[F.coalesce(names[m], F.col(f"_other_{m}")).alias(f"pred_{m}") for m in models])
 
 
 # The kinds of error; {0} and {1} are models.
