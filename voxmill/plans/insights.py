@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from voxmill.operators import insights
+from voxmill.operators import insights, titles
 from voxmill.plans import sql as S
 from voxmill.plans.complaints import _ITEM_TAGS
 from voxmill.plans.registry import query
+from voxmill.session import cut, new_path
 from voxmill.sources import views
 
 
@@ -106,6 +107,26 @@ def find_products(spark, sf):
         "wanted", "parent_asin", "title", "total_reviews")
 
 
+@query(_INSIGHTS + """,
+asked AS (SELECT DISTINCT unnest([p_name, ' p' || p_partkey || ' ', substr(p_name, 3, 5), left(p_brand, 2),
+    p_type || '?']) AS wanted FROM part)
+SELECT wanted, parent_asin, title, total_reviews FROM (
+  SELECT w.wanted, i.*, row_number() OVER (PARTITION BY w.wanted ORDER BY
+      CASE WHEN upper(i.parent_asin) = upper(trim(w.wanted)) THEN 0 ELSE 1 END,
+      i.domain, i.total_reviews DESC, i.parent_asin) AS place
+  FROM insights i JOIN asked w
+    ON upper(i.parent_asin) = upper(trim(w.wanted)) OR contains(lower(i.title), lower(w.wanted)))
+WHERE place = 1""")
+def looked_up_products(spark, sf):
+    """Thousands of strings at once, ids and parts of titles, through a stored index of title grams."""
+    table = cut(_insights(spark, sf))
+    index = titles.write_title_index(table, new_path(spark, "titles"))
+    asked = views.table(spark, sf, "part").select(F.explode(F.array(
+        "p_name", F.concat(F.lit(" p"), F.col("p_partkey"), F.lit(" ")), F.substring("p_name", 3, 5),
+        F.substring("p_brand", 1, 2), F.concat("p_type", F.lit("?")))).alias("wanted"))
+    return titles.lookup_products(table, asked, index).select("wanted", "parent_asin", "title", "total_reviews")
+
+
 @query(_INSIGHTS + """
 SELECT parent_asin, e.aspect, e.display_name, e.count, e.percentage FROM (
   SELECT parent_asin, unnest(top) AS e FROM ranked)""")
