@@ -41,14 +41,11 @@ def _sentiment_counts(prefix: str, column: str) -> list[Column]:
         for name in ("positive", "neutral", "negative")]
 
 
-def product_totals(enriched: DataFrame, order: str = "row_id") -> DataFrame:
-    """Counts, rating sums and aspect counts per product: one pass, one shuffle of sums.
-
-    The aspect list is fixed, so each aspect is one conditional count. Products are first summed
-    per domain; the earliest row's domain then names the product.
-    """
+def product_sums(enriched: DataFrame, order: str = "row_id") -> DataFrame:
+    """Counts, rating sums and aspect counts per (product, domain), and the first ``_order``. The aspect
+    list is fixed, so each aspect is one conditional count."""
     negative = labels.is_negative("label")
-    sums = enriched.groupBy("parent_asin", "domain").agg(
+    return enriched.groupBy("parent_asin", "domain").agg(
         F.count("*").alias("total"),
         F.sum("rating").alias("rating_sum"), F.count("rating").alias("rating_n"),
         *_sentiment_counts("n_", "sentiment"),
@@ -56,11 +53,27 @@ def product_totals(enriched: DataFrame, order: str = "row_id") -> DataFrame:
         *[F.count_if(negative & F.array_contains("aspects", a)).alias(f"a_{a}") for a in ASPECTS],
         F.min(order).alias("_order"),
     )
+
+
+def merged_sums(sums: DataFrame) -> DataFrame:
+    """Sums of several sets of reviews as those of all of them."""
+    added = [c for c in sums.columns if c not in ("parent_asin", "domain", "_order")]
+    return sums.groupBy("parent_asin", "domain").agg(
+        *[F.sum(c).alias(c) for c in added], F.min("_order").alias("_order"))
+
+
+def totals_from_sums(sums: DataFrame) -> DataFrame:
+    """One row per product; the earliest row's domain names it."""
     added = [c for c in sums.columns if c not in ("parent_asin", "domain", "_order")]
     return sums.groupBy("parent_asin").agg(
         F.min_by("domain", "_order").alias("domain"), *[F.sum(c).alias(c) for c in added])
 
 
+def product_totals(enriched: DataFrame, order: str = "row_id") -> DataFrame:
+    """Counts, rating sums and aspect counts per product: one pass, one shuffle of sums."""
+    return totals_from_sums(product_sums(enriched, order))
+
+
 def top_aspects(negatives: Column) -> Column:
     """Ranked (aspect, display_name, count, percentage) list from the aspect counts."""
     entries = F.array(*[
@@ -88,7 +101,10 @@ def insights_from_enriched(
     enriched: DataFrame, products: DataFrame, order: str = "row_id",
 ) -> DataFrame:
     """As :func:`product_insights`, from reviews that already carry predictions and aspects."""
-    totals = product_totals(enriched, order)
+    return insights_from_totals(product_totals(enriched, order), products)
+
+
+def insights_from_totals(totals: DataFrame, products: DataFrame) -> DataFrame:
     meta = unique_products(products).select(
         "parent_asin", F.col("title").alias("_title"), "price",
         F.col("average_rating").alias("meta_average_rating"))

@@ -307,6 +307,22 @@ def stream_unique_texts(spark, sf):
     return spark.read.parquet(path)
 
 
+@query("""
+SELECT doc_id, source, text FROM (
+  SELECT *, row_number() OVER (PARTITION BY source, text ORDER BY doc_id DESC) AS n FROM documents) WHERE n = 1""")
+def stream_first_rows(spark, sf):
+    """The first row per source and text, where the last ids come first: each batch brings earlier rows."""
+    path, files = new_path(spark, "first"), new_path(spark, "shuffled")
+    # Several files, the larger orders in the first ones.
+    docs = views.table(spark, sf, "documents").select((-F.col("doc_id")).alias("row_id"), "source", "text")
+    docs.repartitionByRange(3, F.desc("row_id")).write.parquet(files)
+    stream.arbitrary_state(spark)
+    arriving = stream.read_stream(spark, files, "row_id long, source string, text string", files_per_trigger=1)
+    stream.ingest_changes(stream.first_rows_stream(arriving, ["source", "text"]), path,
+                          new_path(spark, "first-state")).awaitTermination()
+    return stream.read_first_rows(spark, path).select((-F.col("row_id")).alias("doc_id"), "source", "text")
+
+
 @query("SELECT event_type, count(*) AS n FROM events GROUP BY 1")
 def stream_running_counts(spark, sf):
     path = new_path(spark, "counts")

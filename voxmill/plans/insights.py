@@ -10,6 +10,7 @@ from voxmill.plans.complaints import _ITEM_TAGS
 from voxmill.plans.registry import query
 from voxmill.session import cut, new_path
 from voxmill.sources import views
+from voxmill.streaming import reviews as stream
 
 
 def _insights(spark, sf):
@@ -91,6 +92,21 @@ def benchmark_quadrants(spark, sf):
     return insights.quadrants(_insights(spark, sf))
 
 
+@query(_INSIGHTS + "SELECT * FROM insights")
+def stream_product_insights(spark, sf):
+    """Insights from the sums of batches, put together now and then."""
+    path, files = new_path(spark, "sums"), new_path(spark, "arriving")
+    reviews = views.item_reviews(spark, sf)
+    reviews.repartition(5, F.xxhash64("review_key")).write.parquet(files)
+    arriving = stream.read_stream(spark, files, reviews.schema, files_per_trigger=1)
+    stream.ingest_sums(
+        arriving, path, new_path(spark, "sums-state"),
+        lambda batch: insights.product_sums(insights.enrich_reviews(batch)), insights.merged_sums,
+        compact_every=2).awaitTermination()
+    totals = insights.totals_from_sums(stream.read_sums(spark, path))
+    return insights.insights_from_totals(totals, views.raw_metadata(spark, sf)).drop("top_complaint_aspects")
+
+
 _WANTED = ["p17", "P42", "red widget", "BOLT", "nothing like this", "small"]
 
 
