@@ -84,6 +84,31 @@ def test_bound_of_the_sample(spark):
     assert np.isclose(sum(e[3] for e in seen[0] if e[2]) / sum(e[3] for e in seen[0]), 2 / 3)
 
 
+def examples_of(monkeypatch, docs, labels, **bounds):
+    seen, real = [], classifier.train
+    monkeypatch.setattr(classifier, "train", lambda examples, **k: seen.append(examples) or real(examples, epochs=1))
+    classifier.fit(docs, labels, **bounds)
+    return seen[0]
+
+
+def test_repeated_keys_give_one_example_each(spark, monkeypatch):
+    data = [(7, prose(i, 5)) for i in range(3000)] + [(8, "eight"), (9, None), (10, "ten")]
+    labels = spark.createDataFrame([(7, 1), (7, 1), (8, 0), (9, 0), (10, 1), (11, 1)], "doc_id long, quality int")
+    docs = documents(spark, data).repartition(5)
+    found = examples_of(monkeypatch, docs, labels, rows_per_class=2)
+    assert Counter(e[2] for e in found) == {0: 2, 1: 2} or Counter(e[2] for e in found) == {0: 2, 1: 1}
+    again = examples_of(monkeypatch, docs.repartition(2), labels, rows_per_class=2)
+    assert [e[0].tolist() for e in found] == [e[0].tolist() for e in again]
+
+
+def test_bytes_at_the_driver_are_bounded(spark, monkeypatch):
+    texts, labels = corpus()
+    known = spark.createDataFrame(labels, "doc_id long, quality int")
+    found = examples_of(monkeypatch, documents(spark, texts), known, max_bytes=60_000)
+    size = sum(e[0].nbytes + e[1].nbytes for e in found)
+    assert 40_000 < size <= 60_000 and len(found) < len(texts)
+
+
 def test_odd_rows_empty_table_and_no_labels(spark, model):
     found = classifier.score(frame(spark), model).collect()
     assert len(found) == len(rows()) and all(0 <= r.score <= 1 for r in found)

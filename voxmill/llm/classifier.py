@@ -7,10 +7,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from voxmill.llm.common import quoted
+from voxmill.llm.common import quoted, stored
 from voxmill.llm.words import LOWER, blocks, joined, mixed, segment_hashes, word_bounds
 
 #: Vectors; words and character n-grams share them by hash. The first few have fixed meanings.
@@ -120,18 +120,20 @@ def train(
 
 def fit(
     docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality",
-    rows_per_class: int = 2_500,
+    rows_per_class: int = 2_500, max_bytes: int = 400 << 20,
 ) -> SubwordModel:
-    """A model of ``labels`` (key, label 0 or 1), fitted on at most ``rows_per_class`` labelled rows
+    """A model of ``labels`` (key, label 0 or 1), fitted on at most ``rows_per_class`` labelled keys
     of each class, drawn by a hash of the key.
 
     The bound holds whatever the input's size: the drawn keys are broadcast, the texts become
-    feature counts on the executors, and only these (BUCKETS numbers a text at most) come to the
-    driver, where numpy trains. A drawn class is weighted by its share of all labelled rows. Rows
-    without key, label or document are no examples; without any examples all scores are 0.5.
+    feature counts on the executors, one text for each drawn key and label (of several, the one with
+    the smallest hash), and only these come to the driver, where numpy trains. Should their counts
+    exceed ``max_bytes``, the examples drawn last are left out. A drawn class is weighted by its share
+    of all labelled rows. Rows without key, label or document are no examples; without any examples
+    all scores are 0.5. Very long texts count as a whole; other columns are not read.
     """
     known = labels.select(quoted(key).alias("_id"), quoted(label).cast("int").alias("_label")).where(
-        "_id is not null and _label in (0, 1)")
+        "_id is not null and _label in (0, 1)").distinct()
     sizes = {r["_label"]: r["count"] for r in known.groupBy("_label").count().collect()}
     drawn = None
     for value in sizes:
@@ -140,7 +142,8 @@ def fit(
     if drawn is None:
         return SubwordModel(np.zeros((BUCKETS, 1), np.float32), np.zeros((2, 1), np.float32))
     rows = docs.select(quoted(key).alias("_id"), quoted(text).cast("string").alias("_text")).join(
-        F.broadcast(drawn), "_id").select("_id", "_label", "_text")
+        F.broadcast(drawn), "_id").groupBy("_id", "_label").agg(
+        F.min_by("_text", F.xxhash64("_text")).alias("_text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -153,7 +156,14 @@ def fit(
                     ["_id", "_label", "used", "counts"])
 
     kind = rows.schema["_id"].dataType.simpleString()
-    table = rows.mapInArrow(count, f"_id {kind}, _label int, used binary, counts binary").toPandas()
+    counted = stored(rows.mapInArrow(count, f"_id {kind}, _label int, used binary, counts binary"), "examples")
+    # Over the drawn keys alone, without their counts.
+    along = Window.orderBy(F.xxhash64("_id"), "_id", "_label")
+    kept = counted.select(
+        "_id", "_label", (F.octet_length("used") + F.octet_length("counts")).cast("long").alias("_size")).select(
+        "_id", "_label", F.sum("_size").over(along).alias("_bytes")).where(F.col("_bytes") <= max_bytes)
+    table = counted.join(F.broadcast(kept.drop("_bytes")), ["_id", "_label"]).select(
+        "_id", "_label", "used", "counts").toPandas()
     table = table.set_axis(["id", "label", "used", "counts"], axis=1).sort_values(["id", "used"], kind="stable")
     drawn_sizes = table["label"].value_counts()
     weights = {v: sizes[v] / sum(sizes.values()) * len(table) / drawn_sizes[v] for v in drawn_sizes.index}
