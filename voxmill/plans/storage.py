@@ -14,7 +14,8 @@ from voxmill.plans.evaluation import _CLASSES, _TABLE, _counts
 from voxmill.plans.insights import _INSIGHTS
 from voxmill.plans.registry import query
 from voxmill.session import new_path
-from voxmill.sources import tables, views
+from voxmill.sources import lines, tables, views
+from voxmill.streaming import reviews as stream
 
 
 @query(S.with_(S.DOC) + f"""
@@ -53,6 +54,31 @@ def metrics_as_json(spark, sf):
     return tables.read_table(spark, path)
 
 
+_LINES = "doc_id long, lang string, source string, n_chars long"
+
+
+def _lines(spark, sf):
+    path = new_path(spark, "lines")
+    views.table(spark, sf, "documents").select("doc_id", "lang", "source", "n_chars").repartition(3).write.json(path)
+    lines.register(spark)
+    return path
+
+
+@query("SELECT doc_id, lang, source, n_chars FROM documents WHERE lang = 'en' AND n_chars >= 500")
+def filtered_lines(spark, sf):
+    """JSON lines by byte ranges; the filters are tested as the lines are read."""
+    rows = spark.read.format(lines.FORMAT).schema(_LINES).option("splitBytes", 4096).load(_lines(spark, sf))
+    return rows.where("lang = 'en' and n_chars >= 500")
+
+
+@query("SELECT doc_id, lang, source, n_chars FROM documents")
+def streamed_lines(spark, sf):
+    path = new_path(spark, "streamed")
+    arriving = spark.readStream.format(lines.FORMAT).schema(_LINES).option("splitBytes", 16384).load(_lines(spark, sf))
+    stream.ingest(arriving, path, new_path(spark, "streamed-state")).awaitTermination()
+    return spark.read.parquet(path)
+
+
 _FINAL = S.with_(S.DOC, _kept(None), """final AS (
   SELECT * FROM ranked WHERE reason = 'ok' AND place = 1 AND sentiment IS NOT NULL),
 sizes AS (SELECT domain, parent_asin, count(*) AS n FROM final GROUP BY 1, 2),
