@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from voxmill.operators import products, profile
 from voxmill.plans import sql as S
 from voxmill.plans.registry import query
-from voxmill.sources import views
+from voxmill.session import new_path
+from voxmill.sources import sketches, views
 
 _DOCS = S.with_(S.DOC, f"""lens AS (
   SELECT *, length(text)::BIGINT AS char_count, {S.words('text')} AS word_count FROM doc_reviews)""")
@@ -338,6 +339,31 @@ def price_cdf(spark, sf):
     return profile.cumulative_distribution(lines, "flag", "price")
 
 
+@query("""
+SELECT l_returnflag AS flag, point, count(*) AS n, true AS rank_within_bound, true AS distinct_within_bound
+FROM lineitem, (SELECT unnest([10, 50, 90]) AS point) GROUP BY 1, 2""")
+def sketched_quantiles(spark, sf):
+    """Sketches of each file, merged; each estimate's true rank and the true number of keys decide."""
+    points, path, files = (0.1, 0.5, 0.9), new_path(spark, "sketches"), new_path(spark, "files")
+    lines = views.table(spark, sf, "lineitem").select("l_returnflag", "l_extendedprice", "l_partkey")
+    lines.repartition(4).write.parquet(files)
+    stored = spark.read.parquet(files)
+    sketches.sketch_new_files(stored, path, ["l_returnflag"], "l_extendedprice", "l_partkey")
+    found = sketches.sketched_numbers(spark, path, ["l_returnflag"], points).select(
+        F.col("l_returnflag").alias("flag"), "n", "distinct_keys",
+        F.inline(F.zip_with(F.array(F.lit(10), F.lit(50), F.lit(90)), "quantiles", lambda p, q: F.struct(
+            p.alias("point"), q.alias("estimate")))))
+    # One row for each group and point.
+    met = stored.join(F.broadcast(found), F.col("l_returnflag") == F.col("flag"))
+    return met.groupBy("flag", "point", "n").agg(
+        F.avg((F.col("l_extendedprice") < F.col("estimate")).cast("double")).alias("_below"),
+        F.avg((F.col("l_extendedprice") <= F.col("estimate")).cast("double")).alias("_upto"),
+        F.count_distinct("l_partkey").alias("_keys"), F.first("distinct_keys").alias("_found")).select(
+        "flag", "point", "n",
+        ((F.col("_below") * 100 <= F.col("point") + 1) & (F.col("_upto") * 100 >= F.col("point") - 1)).alias("rank_within_bound"),
+        (F.abs(F.col("_found") - F.col("_keys")) <= 0.05 * F.col("_keys")).alias("distinct_within_bound"))
+
+
 @query(_DOCS + """
 SELECT round(e, 6) AS mean_first, round(f, 6) AS mean_second, round(e - f, 6) AS difference,
   round((e - f) / f * 100, 6) AS pct
