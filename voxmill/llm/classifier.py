@@ -176,7 +176,8 @@ def score(docs: DataFrame, model: SubwordModel, key: str = "doc_id", text: str =
     """(key, score): the model's probability of label 1 for every row and its whole text.
 
     The model is a fixed-size table that goes with the tasks; no shuffle. A null text counts as
-    empty and has the end feature alone; repeated rows score alike; an empty table gives an empty one.
+    empty and has the end feature alone; repeated rows score alike, very long texts as a whole; an empty
+    table gives an empty one; other columns are not read, whatever they are called.
     """
     margins = model.margins()
     rows = docs.select(quoted(key).alias("_id"), quoted(text).cast("string").alias("_text"))

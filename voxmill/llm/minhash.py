@@ -265,8 +265,9 @@ def near_duplicates(
     and none is capped: two classes that share a band end up compared or connected.
 
     A null or empty text has no shingles and links with nothing. Rows that share an id are kept or
-    dropped together; a null id never names a component that has another one. An empty table gives
-    an empty one.
+    dropped together; a null id never names a component that has another one. Very long texts give
+    all their shingles. An empty table gives an empty one; other columns are not read, whatever they
+    are called.
     """
     base = stored(features(docs, key, text, size), "features")
     salted = base.where("n > 0").withColumn("_salt", bit_salt("_key"))

@@ -69,8 +69,9 @@ def mix(
     shuffle of the chosen rows without a sampling pass. The hot source is never gathered: means
     are found from pre-aggregated sums, and rows are dealt by key, text and copy.
     Null or repeated keys draw alike, so they all come or all stay away at a low rate, as the checking
-    SQL has it; they are dealt out by their texts. Equal rows stay together. Null text has no bytes; an empty table stays empty. Columns
-    of ``docs`` named like a result are replaced.
+    SQL has it; they are dealt out by their texts. Equal rows stay together. Null text has no bytes; very
+    long texts weigh by their bytes like others; an empty table stays empty. Columns of ``docs`` named
+    like a result are replaced.
     """
     spark, others = docs.sparkSession, without(docs.columns, "copy", "mix_rate")
     rates = source_rates(docs, source, text, weights, size)

@@ -81,8 +81,9 @@ def token_pieces(
 
     ``ids`` holds little-endian unsigned 32-bit integers. All pieces but the first are full, so a
     text has as few pieces as possible and one short one at most. A null text counts as empty and
-    gives the separator alone; repeated rows are tokenised one by one. The vocabulary is installed
-    on every machine; its path is a parameter.
+    gives the separator alone; repeated rows are tokenised one by one; an empty table gives an empty
+    one; other columns are not read, whatever they are called. The vocabulary is installed on every
+    machine; its path is a parameter.
     """
     if ranks_file is None or pattern is None:
         import public_tokenizers

@@ -348,7 +348,8 @@ def repeated_passages(
     Hot anchors: counts combine before the shuffle, places join them spread by salts, and an anchor
     with over ``max_group`` different surroundings is split by what stands around it; nothing is
     dropped. A null text counts as empty; texts under ``length`` bytes lose nothing; repeated rows
-    are copies of each other and lose all. An empty table gives an empty one.
+    are copies of each other and lose all. Very long texts are taken whole. An empty table gives an
+    empty one; other columns are not read, whatever they are called.
     """
     return _passages(docs, key, text, length, max_group, digest=False)
 

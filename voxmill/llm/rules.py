@@ -130,8 +130,9 @@ def quality_rules(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] =
     One projection without shuffles or user functions. Words are runs of other than ASCII white
     space. ``base_failed``: fewer than 20 words, or over 30 % of them in windows of eight words
     found twice or more. ``kept``: not ``base_failed`` and inside the bounds of every rule.
-    A null or empty text has counts of 0 and fails; repeated rows are judged one by one; an empty
-    table gives an empty one. Columns of ``docs`` named like a result are replaced.
+    A null or empty text has counts of 0 and fails; a very long one is judged as a whole; repeated rows
+    are judged one by one; an empty table gives an empty one. Columns of ``docs`` named like a result
+    are replaced.
     """
     results = (*MEASURED, "base_failed", "kept")
     others = without(docs.columns, *results)

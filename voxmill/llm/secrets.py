@@ -151,7 +151,8 @@ def find_secrets(
     do without. A rule's Boolean query intersects them, and the rule's pattern verifies the texts
     left; a rule without mandatory trigrams scans every text. Nothing is shuffled, and memory is
     one block. Matches of a rule do not overlap; those too short are dropped. A null or empty text
-    has no spans; repeated rows are scanned one by one; an empty table gives an empty one.
+    has no spans; repeated rows are scanned one by one, very long texts whole; an empty table gives an
+    empty one; other columns are not read, whatever they are called.
     """
     queries = [trigram_query(r.pattern) for r in rules]
     rows = docs.select(quoted(key).alias("_id"), quoted(text).cast("string").alias("_text"))

@@ -49,7 +49,8 @@ def shard(
     numbers a whole shard: rows are numbered in buckets of the digest, and the counts of earlier
     buckets of the shard are added. Buckets are about ROWS_PER_BUCKET rows, unless one key repeats.
     Null text: size 1, checksum 0. Null keys count as the empty key. Equal rows take neighbouring
-    slots. Columns of ``docs`` named like a result are replaced.
+    slots. Very long texts are measured whole; an empty table gives an empty one. Columns of ``docs``
+    named like a result are replaced.
     """
     weights = list(weights or [1.0] * 16)
     grown = list(grown or [*weights, 1.0])

@@ -326,7 +326,8 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", train: Colum
     Texts are scored in blocks of about BLOCK bytes (a longer one alone): the different n-grams of a
     block are joined to the stored model, and what is found comes back to the block. A null text
     counts as empty and has the end alone; repeated rows are scored one by one; without training
-    rows both scores are 0 for unseen words; an empty table gives an empty one.
+    rows both scores are 0 for unseen words; an empty table gives an empty one; other columns are not
+    read, whatever they are called.
     """
     train = F.lit(True) if train is None else F.coalesce(train, F.lit(False))
     value = quoted(text).cast("string")
