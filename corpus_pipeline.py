@@ -2,6 +2,10 @@
 
 Each stage takes what its predecessor kept, written as Parquet and read again. The stages are
 quality rules, exact deduplication, near-deduplication, mixing and packing.
+
+In every stage null text counts as empty, very long texts are taken whole, null and repeated ids are
+allowed, an empty table gives an empty one, and further columns of the documents are carried along
+under whatever names; see the operators for ties and repeated rows.
 """
 
 from __future__ import annotations
