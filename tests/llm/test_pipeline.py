@@ -82,7 +82,7 @@ def test_stages_take_odd_rows_and_empty_tables(spark):
 
 def test_near_duplicates_are_a_stage():
     assert [n for n, _ in corpus_pipeline.STAGES][2] == "MinHash near-dedup" and len(corpus_pipeline.STAGES) == 5
-    assert {int(re.match(r"op(\d+)_", q)[1]) for q in queries.QUERIES} == set(range(1, 11))
+    assert {int(re.match(r"op(\d+)_", q)[1]) for q in queries.QUERIES} == set(range(1, 14))
 
 
 @needs_data
@@ -100,7 +100,8 @@ TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "D
 def test_query_equals_sql(spark, name):
     duckdb = pytest.importorskip("duckdb")
     con = duckdb.connect()
-    con.execute(f"create view documents as select * from read_parquet('{DATA}/documents.parquet')")
+    for table in ("documents", "conversations"):
+        con.execute(f"create view {table} as select * from read_parquet('{DATA}/{table}.parquet')")
     df = queries.QUERIES[name](spark, str(DATA))
     cursor = con.execute(queries.ORACLES[name])
     assert {f.name: TYPES[f.dataType.simpleString()] for f in df.schema.fields} == {
@@ -110,6 +111,20 @@ def test_query_equals_sql(spark, name):
     assert sorted(tuple(r[c] for c in sorted(names)) for r in df.collect()) == want
 
 
+@needs_data
+@pytest.mark.parametrize("name, columns", [
+    ("op11_conversation_repair", "conv_id gaps blank duplicate truncated illegal cost audit repaired_sha256"),
+    ("op12_main_text", "page_id url text n_chars"), ("op13_source_divergence", "lang source part item value rank")])
+def test_queries_on_other_tables_have_their_columns(spark, name, columns):
+    found = queries.QUERIES[name](spark, str(DATA))
+    assert set(columns.split()) <= set(found.columns)
+    if name != "op13_source_divergence":
+        key, table = ("conv_id", "conversations") if name.startswith("op11") else ("page_id", "pages")
+        ids = {r[key] for r in spark.read.parquet(f"{DATA}/{table}.parquet").collect()}
+        rows = [r[key] for r in found.collect()]
+        assert len(rows) == len(ids) and set(rows) == ids
+
+
 @needs_data
 @pytest.mark.parametrize("name, columns", [
     ("op1_radix_dedup", "doc_id keep_id group_size kept text_sha256"),
