@@ -8,7 +8,7 @@ from voxmill.operators import insights, titles
 from voxmill.plans import sql as S
 from voxmill.plans.complaints import _ITEM_TAGS
 from voxmill.plans.registry import query
-from voxmill.session import cut, new_path
+from voxmill.session import FILE_ROWS, cut, new_path, tasks_for
 from voxmill.sources import views
 from voxmill.streaming import reviews as stream
 
@@ -97,8 +97,10 @@ def stream_product_insights(spark, sf):
     """Insights from the sums of batches, put together now and then."""
     path, files = new_path(spark, "sums"), new_path(spark, "arriving")
     reviews = views.item_reviews(spark, sf)
-    reviews.repartition(5, F.xxhash64("review_key")).write.parquet(files)
-    arriving = stream.read_stream(spark, files, reviews.schema, files_per_trigger=1)
+    # Five batches, each of as many files as its rows need.
+    each = tasks_for(views.table(spark, sf, "lineitem").count(), 5 * FILE_ROWS)
+    reviews.repartition(5 * each, F.xxhash64("review_key")).write.parquet(files)
+    arriving = stream.read_stream(spark, files, reviews.schema, files_per_trigger=each)
     stream.ingest_sums(
         arriving, path, new_path(spark, "sums-state"),
         lambda batch: insights.product_sums(insights.enrich_reviews(batch)), insights.merged_sums,
