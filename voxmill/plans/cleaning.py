@@ -9,7 +9,7 @@ from voxmill.functions import labels, text as tx
 from voxmill.operators import cleaning, sampling
 from voxmill.plans import sql as S
 from voxmill.plans.registry import query
-from voxmill.session import new_path
+from voxmill.session import TEXT_FILE_ROWS, new_path, tasks_for
 from voxmill.sources import tables, views
 from voxmill.streaming import reviews as stream
 
@@ -313,11 +313,12 @@ SELECT doc_id, source, text FROM (
 def stream_first_rows(spark, sf):
     """The first row per source and text, where the last ids come first: each batch brings earlier rows."""
     path, files = new_path(spark, "first"), new_path(spark, "shuffled")
-    # Several files, the larger orders in the first ones.
+    # Three batches of several files, the larger orders in the first ones.
     docs = views.table(spark, sf, "documents").select((-F.col("doc_id")).alias("row_id"), "source", "text")
-    docs.repartitionByRange(3, F.desc("row_id")).write.parquet(files)
+    each = tasks_for(docs.count(), 3 * TEXT_FILE_ROWS)
+    docs.repartitionByRange(3 * each, F.desc("row_id")).write.parquet(files)
     stream.arbitrary_state(spark)
-    arriving = stream.read_stream(spark, files, "row_id long, source string, text string", files_per_trigger=1)
+    arriving = stream.read_stream(spark, files, "row_id long, source string, text string", files_per_trigger=each)
     stream.ingest_changes(stream.first_rows_stream(arriving, ["source", "text"]), path,
                           new_path(spark, "first-state")).awaitTermination()
     return stream.read_first_rows(spark, path).select((-F.col("row_id")).alias("doc_id"), "source", "text")
