@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from voxmill.operators import products, profile
 from voxmill.plans import sql as S
 from voxmill.plans.registry import query
-from voxmill.session import new_path
+from voxmill.session import FILE_ROWS, new_path, tasks_for
 from voxmill.sources import sketches, views
 
 _DOCS = S.with_(S.DOC, f"""lens AS (
@@ -346,7 +346,8 @@ def sketched_quantiles(spark, sf):
     """Sketches of each file, merged; each estimate's true rank and the true number of keys decide."""
     points, path, files = (0.1, 0.5, 0.9), new_path(spark, "sketches"), new_path(spark, "files")
     lines = views.table(spark, sf, "lineitem").select("l_returnflag", "l_extendedprice", "l_partkey")
-    lines.repartition(4).write.parquet(files)
+    parts = max(4, tasks_for(lines.count(), FILE_ROWS))
+    lines.repartition(parts).write.parquet(files)
     stored = spark.read.parquet(files)
     sketches.sketch_new_files(stored, path, ["l_returnflag"], "l_extendedprice", "l_partkey")
     found = sketches.sketched_numbers(spark, path, ["l_returnflag"], points).select(
@@ -354,11 +355,14 @@ def sketched_quantiles(spark, sf):
         F.inline(F.zip_with(F.array(F.lit(10), F.lit(50), F.lit(90)), "quantiles", lambda p, q: F.struct(
             p.alias("point"), q.alias("estimate")))))
     # One row for each group and point.
-    met = stored.join(F.broadcast(found), F.col("l_returnflag") == F.col("flag"))
-    return met.groupBy("flag", "point", "n").agg(
+    met = stored.join(F.broadcast(found), F.col("l_returnflag") == F.col("flag")).groupBy("flag", "point", "n").agg(
         F.avg((F.col("l_extendedprice") < F.col("estimate")).cast("double")).alias("_below"),
         F.avg((F.col("l_extendedprice") <= F.col("estimate")).cast("double")).alias("_upto"),
-        F.count_distinct("l_partkey").alias("_keys"), F.first("distinct_keys").alias("_found")).select(
+        F.first("distinct_keys").alias("_found"))
+    # The different keys are found once, not for each point, each task holding its part of them.
+    keys = stored.select(F.col("l_returnflag").alias("flag"), "l_partkey").repartition(
+        parts, "flag", "l_partkey").distinct().groupBy("flag").agg(F.count("l_partkey").alias("_keys"))
+    return met.join(F.broadcast(keys), "flag").select(
         "flag", "point", "n",
         ((F.col("_below") * 100 <= F.col("point") + 1) & (F.col("_upto") * 100 >= F.col("point") - 1)).alias("rank_within_bound"),
         (F.abs(F.col("_found") - F.col("_keys")) <= 0.05 * F.col("_keys")).alias("distinct_within_bound"))
