@@ -97,7 +97,7 @@ def _visit(reviews: DataFrame, visits: DataFrame, key: str, sizes: DataFrame, re
     by = [*home, "_rb", "_qb"]
     left = dealt(reviews, "_nr", "_nq", "row_id", "_rb", "_qb").groupBy(*by)
     right = dealt(visits, "_nq", "_nr", "query_id", "_qb", "_rb").groupBy(*by)
-    return left.cogroup(right).applyInPandas(_best_in_block, _MATCHES)
+    return left.cogroup(right).applyInArrow(_best_in_block, _MATCHES)
 
 
 def _ranked(found: DataFrame, queries: DataFrame) -> DataFrame:

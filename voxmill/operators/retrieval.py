@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from voxmill.functions import aspects as asp, labels, numbers
 from voxmill.operators.skew import broadcast_if_small, position_in_group, semi_join
@@ -31,12 +34,22 @@ def _block_counts(reviews: DataFrame, queries: DataFrame, key: str,
         blocks(queries, query_block, "_nq"), key, "full").na.fill(1, ["_nr", "_nq"])
 
 
-def _best_in_block(_key, reviews: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
+def _vectors(rows: pa.Table) -> np.ndarray:
+    """The vectors of a block as one array, without an object for each."""
+    column = rows.column("vec")
+    sizes = pc.unique(pc.list_value_length(column)).to_pylist()
+    if len(sizes) > 1 or None in sizes:
+        raise ValueError(f"vectors must have one length: {sizes}")
+    flat = pc.list_flatten(column).to_numpy()
+    return flat.astype(np.float64, copy=False).reshape(rows.num_rows, -1)
+
+
+def _best_in_block(reviews: pa.Table, queries: pa.Table) -> pa.Table:
     """Each query's best ``top_k`` of one block of reviews; ties fall to the lower row id."""
-    if reviews.empty or queries.empty:
-        return pd.DataFrame(columns=[f.name for f in _MATCHES.fields])
-    r = np.array(reviews["vec"].tolist(), dtype=np.float64)
-    q = np.array(queries["vec"].tolist(), dtype=np.float64)
+    if not reviews.num_rows or not queries.num_rows:
+        return to_arrow_schema(_MATCHES).empty_table()
+    r, q = _vectors(reviews), _vectors(queries)
+    reviews, queries = reviews.drop_columns("vec").to_pandas(), queries.drop_columns("vec").to_pandas()
     r_norm, q_norm = np.linalg.norm(r, axis=1), np.linalg.norm(q, axis=1)
     ids = reviews["row_id"].to_numpy()
     flags = {
@@ -65,7 +78,8 @@ def _best_in_block(_key, reviews: pd.DataFrame, queries: pd.DataFrame) -> pd.Dat
             found.append((
                 np.full(len(order), query_ids[i]), ids[order], preferred[order], sim[order]))
     columns = [np.concatenate(parts) for parts in zip(*found)]
-    return pd.DataFrame(dict(zip([f.name for f in _MATCHES.fields], columns)))
+    return pa.Table.from_pandas(
+        pd.DataFrame(dict(zip([f.name for f in _MATCHES.fields], columns))), to_arrow_schema(_MATCHES), preserve_index=False)
 
 
 def top_matches(
@@ -98,7 +112,7 @@ def top_matches(
     left = blocked(reviews, "_nr", "_nq", "row_id", "_rb", "_qb")
     right = blocked(queries, "_nq", "_nr", "query_id", "_qb", "_rb")
     best = left.groupBy(key, "_rb", "_qb").cogroup(
-        right.groupBy(key, "_rb", "_qb")).applyInPandas(_best_in_block, _MATCHES)
+        right.groupBy(key, "_rb", "_qb")).applyInArrow(_best_in_block, _MATCHES)
     ranked = best.withColumn("rank", F.row_number().over(
         Window.partitionBy("query_id").orderBy(
             F.desc("preferred"), F.desc("similarity"), "row_id")))
