@@ -142,13 +142,23 @@ def word_tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(WORD_CHAR + "{2,}"), F.lit(0))
 
 
+def word_runs(text: Column) -> Column:
+    """The runs of word characters in lower case, single ones and empty strings between them: of these
+    ``word_tokens`` gives the ones of two characters or more. Splitting costs a third of matching."""
+    return F.split(F.lower(text), f"[^{WORD_CHAR[1:]}+")
+
+
 def one_and_two_grams(tokens: Column) -> Column:
-    pairs = F.zip_with(
-        F.slice(tokens, 1, F.greatest(F.size(tokens) - 1, F.lit(0))),
-        F.slice(tokens, 2, F.greatest(F.size(tokens) - 1, F.lit(0))),
-        lambda a, b: F.concat(a, F.lit(" "), b),
-    )
-    return F.concat(tokens, pairs)
+    """Tokens and neighbouring pairs; the tokens are found once, however often they are named here."""
+    def grams(t):
+        pairs = F.zip_with(
+            F.slice(t, 1, F.greatest(F.size(t) - 1, F.lit(0))),
+            F.slice(t, 2, F.greatest(F.size(t) - 1, F.lit(0))),
+            lambda a, b: F.concat(a, F.lit(" "), b),
+        )
+        return F.concat(t, pairs)
+
+    return bind(tokens, grams)
 
 
 def first_word(text: Column) -> Column:

@@ -3,11 +3,16 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import IDF, CountVectorizer, CountVectorizerModel, ElementwiseProduct, Normalizer
+from pyspark.ml.feature import IDF, CountVectorizer, ElementwiseProduct, Normalizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
@@ -69,20 +74,120 @@ def row_terms(rows: DataFrame, text: str = "features_text") -> DataFrame:
 MAX_BROADCAST_TERMS = 100_000
 
 
+#: Counters that terms are hashed to: a term can only be as frequent as its counter says.
+COUNTERS = 1 << 20
+
+
 def vocabulary(rows: DataFrame, text: str = "features_text", size: int | None = 5000) -> DataFrame:
-    """The ``size`` most frequent words and word pairs, or all: (term, total, df)."""
-    terms = row_terms(rows, text).groupBy("term").agg(
-        F.sum("tf").alias("total"), F.count("*").alias("df"))
+    """The ``size`` most frequent words and word pairs, or all: (term, total, df).
+
+    Nearly all pairs of a large table are rare, so with a ``size`` only terms that can be among the most
+    frequent are counted and shuffled. The sums of what each task finds to be its most frequent terms
+    give a bound that ``size`` terms reach; what is hashed to a counter below it cannot be one of them.
+    All others are counted exactly, so neither bound nor hash decides anything."""
+    words = rows.select(tx.word_runs(F.col(text)).alias("_words"))
+    likely = None if size is None else _likely_terms(words, size)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _word_slices(batches):
+            terms = _Terms(batch.column(0))
+            keys, row = terms.keys, terms.row
+            if likely is not None:
+                near = likely[terms.cells()]
+                keys, row = keys[near], row[near]
+            found, code, totals = np.unique(keys, return_inverse=True, return_counts=True)
+            # Each term once per row.
+            once = np.unique(row * max(len(found), 1) + code) % max(len(found), 1)
+            yield pa.RecordBatch.from_arrays(
+                [terms.names(found), pa.array(totals), pa.array(np.bincount(once, minlength=len(found)))],
+                ["term", "total", "df"])
+
+    terms = words.mapInArrow(count, "term string, total long, df long").groupBy("term").agg(
+        F.sum("total").alias("total"), F.sum("df").alias("df"))
     return terms if size is None else terms.orderBy(F.desc("total"), "term").limit(size)
 
 
+def _likely_terms(words: DataFrame, size: int) -> np.ndarray:
+    """For each counter, whether a term hashed to it can be among the ``size`` most frequent."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells = np.zeros(COUNTERS, np.int64)
+        for batch in _word_slices(batches):
+            terms = _Terms(batch.column(0))
+            cells += np.bincount(terms.cells(), minlength=COUNTERS)
+            found, totals = np.unique(terms.keys, return_counts=True)
+            first = np.argsort(-totals, kind="stable")[:size]
+            yield pa.RecordBatch.from_arrays(
+                [terms.names(found[first]), pa.nulls(len(first), pa.int32()), pa.array(totals[first])],
+                ["term", "cell", "n"])
+        used = np.flatnonzero(cells)
+        yield pa.RecordBatch.from_arrays(
+            [pa.nulls(len(used), pa.string()), pa.array(used, pa.int32()), pa.array(cells[used])], ["term", "cell", "n"])
+
+    sums = cut(words.mapInArrow(count, "term string, cell int, n long").groupBy("term", "cell").agg(
+        F.sum("n").alias("n")))
+    most = sums.where("term is not null").orderBy(F.desc("n")).limit(size).agg(
+        F.count("*"), F.min("n")).first()
+    least = most[1] if most[0] == size else 1
+    enough = sums.where("cell is not null").where(F.col("n") >= least).select("cell").toArrow()
+    likely = np.zeros(COUNTERS, bool)
+    likely[enough.column("cell").to_numpy()] = True
+    return likely
+
+
+#: Words that a task counts at a time; a longer row is counted alone.
+WORDS_AT_ONCE = 1 << 21
+
+
+def _word_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches cut by rows, so that what is counted at a time is bounded; the last column holds the words."""
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.list_value_length(batch.columns[-1]), 0).to_numpy(zero_copy_only=False))
+        at = 0
+        while at < len(batch):
+            before = ends[at - 1] if at else 0
+            to = max(int(np.searchsorted(ends, before + WORDS_AT_ONCE, "right")), at + 1)
+            yield batch.slice(at, to - at)
+            at = to
+
+
+class _Terms:
+    """All words of two characters or more and neighbouring pairs of some rows: the row of each, and a key
+    that tells them apart, made of the numbers of a pair's words among the different ones."""
+
+    def __init__(self, runs: pa.ListArray):
+        sizes = pc.fill_null(pc.list_value_length(runs), 0).to_numpy(zero_copy_only=False)
+        flat = runs.flatten()
+        long = pc.greater_equal(pc.utf8_length(flat), 2)
+        found = flat.filter(long).dictionary_encode()
+        row = np.repeat(np.arange(len(runs)), sizes)[long.to_numpy(zero_copy_only=False)]
+        together = row[1:] == row[:-1]
+        self.words, self.code = found.dictionary, found.indices.to_numpy().astype(np.int64)
+        self.left, self.right = self.code[:-1][together], self.code[1:][together]
+        self.row = np.concatenate([row, row[1:][together]])
+        self.keys = np.concatenate([self.code, (self.left + 1) * (len(self.words) + 1) + self.right])
+
+    def cells(self) -> np.ndarray:
+        """The counter of each term, alike in every task."""
+        hashes = pd.util.hash_array(self.words.to_numpy(zero_copy_only=False), categorize=False)
+        pairs = hashes[self.left] * np.uint64(0x9E3779B97F4A7C15) + hashes[self.right]
+        pairs = (pairs ^ (pairs >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+        return (np.concatenate([hashes[self.code], pairs]) >> np.uint64(44)).astype(np.int64)
+
+    def names(self, keys: np.ndarray) -> pa.Array:
+        """The terms that some keys stand for."""
+        left, right = np.divmod(keys, len(self.words) + 1)
+        ends = self.words.take(pa.array(right))
+        starts = self.words.take(pa.array(np.maximum(left - 1, 0)))
+        return pc.if_else(pa.array(left > 0), pc.binary_join_element_wise(starts, ends, " "), ends)
+
+
 def tfidf_weights(rows: DataFrame, text: str = "features_text", size: int | None = 5000) -> DataFrame:
     """(row_id, term, weight): sublinear counts, smooth idf, unit length per row.
 
     With a bounded vocabulary a row's weights are found inside the row; only an unbounded one is
     joined to the rows' terms."""
     if size is not None and size <= MAX_BROADCAST_TERMS:
-        terms, counted = fit_counts(rows, text, size)
+        terms, counted = fit_counts(cut(rows.select("row_id", text)), text, size)
         named = weighed(counted, terms).crossJoin(F.broadcast(  # one row
             rows.sparkSession.createDataFrame([(terms.names,)], "_names array<string>")))
         return named.select("row_id", F.inline(F.zip_with("indices", "values", lambda i, v: F.struct(
@@ -107,30 +212,43 @@ class Terms:
 
 def counted_terms(rows: DataFrame, names: list[str], text: str = "features_text") -> DataFrame:
     """(row_id, indices, counts): how often each listed term occurs in each row. A term is looked up in
-    a hash table inside the row, so nothing is shuffled."""
+    a hash table inside the task, so nothing is shuffled."""
     if not names:
         return rows.select("row_id", F.array().cast("array<int>").alias("indices"),
                            F.array().cast("array<double>").alias("counts"))
-    counter = CountVectorizerModel.from_vocabulary(names, inputCol="_grams", outputCol="_tf")
-    counted = counter.transform(_grams(rows, text)).select("row_id", _once(F.unwrap_udt("_tf"), "_tf"))
-    return counted.select("row_id", F.col("_tf.indices").alias("indices"), F.col("_tf.values").alias("counts"))
-
 
-def _grams(rows: DataFrame, text: str) -> DataFrame:
-    found = tx.one_and_two_grams(tx.word_tokens(F.col(text)))
-    return rows.select("row_id", _once(F.coalesce(found, F.array().cast("array<string>")), "_grams"))
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = {name: i for i, name in enumerate(names)}
+        pairs = [(i, *name.split(" ")) for name, i in number.items() if " " in name]
+        for batch in _word_slices(batches):
+            terms = _Terms(batch.column(1))
+            place = {word: i for i, word in enumerate(terms.words.to_pylist())}
+            n = len(place) + 1
+            known = [(place[name], i) for name, i in number.items() if name in place] + [
+                ((place[a] + 1) * n + place[b], i) for i, a, b in pairs if a in place and b in place]
+            known = np.array(sorted(known), np.int64).reshape(-1, 2)
+            at = np.minimum(np.searchsorted(known[:, 0], terms.keys), max(len(known) - 1, 0))
+            hit = known[at, 0] == terms.keys if len(known) else np.zeros(len(at), bool)
+            places, counts = np.unique(
+                terms.row[hit] * len(names) + (known[at[hit], 1] if len(known) else at[hit]), return_counts=True)
+            starts = pa.array(np.searchsorted(places, np.arange(len(batch) + 1) * len(names)), pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.ListArray.from_arrays(starts, pa.array(places % len(names), pa.int32())),
+                 pa.ListArray.from_arrays(starts, pa.array(counts, pa.float64()))], ["row_id", "indices", "counts"])
+
+    words = rows.select("row_id", tx.word_runs(F.col(text)).alias("_words"))
+    kind = words.schema["row_id"].dataType.simpleString()
+    return words.mapInArrow(count, f"row_id {kind}, indices array<int>, counts array<double>")
 
 
 def fit_counts(rows: DataFrame, text: str = "features_text", size: int = 5000) -> tuple[Terms, DataFrame]:
-    """The ``size`` most frequent terms, and the stored counts of ``rows`` over them. The texts are read
-    once for the totals and once for the counts, from which the document frequencies come; at most
-    ``size`` terms come to the driver."""
-    totals = _grams(rows, text).select(F.explode("_grams").alias("term")).groupBy("term").agg(F.count("*").alias("n"))
-    names = [r["term"] for r in totals.orderBy(F.desc("n"), "term").limit(size).collect()]
+    """The ``size`` most frequent terms, and the stored counts of ``rows`` over them. At most ``size``
+    terms come to the driver."""
+    found = vocabulary(rows, text, size).select("term", "df").collect()
+    names = [r["term"] for r in found]
     counted = cut(counted_terms(rows, names, text))
-    found = dict(counted.select(F.explode("indices").alias("i")).groupBy("i").count().collect())
     total = counted.count()
-    return Terms(names, [math.log((1 + total) / (1 + found.get(i, 0))) + 1 for i in range(len(names))]), counted
+    return Terms(names, [math.log((1 + total) / (1 + r["df"])) + 1 for r in found]), counted
 
 
 def fit_terms(rows: DataFrame, text: str = "features_text", size: int = 5000) -> Terms:
