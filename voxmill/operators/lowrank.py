@@ -73,7 +73,16 @@ def fit_factors(
     rows: DataFrame, text: str = "features_text", rank: int = 64, size: int = 5000, passes: int = PASSES,
     oversampling: int = OVERSAMPLING, seed: int = SEED,
 ) -> TextFactors:
-    """The ``rank`` leading right singular vectors of the TF-IDF rows, and their singular values.
+    """The ``rank`` leading right singular vectors of the TF-IDF rows, and their singular values."""
+    return factor_rows(rows, text, rank, size, passes, oversampling, seed)[0]
+
+
+def factor_rows(
+    rows: DataFrame, text: str = "features_text", rank: int = 64, size: int = 5000, passes: int = PASSES,
+    oversampling: int = OVERSAMPLING, seed: int = SEED,
+) -> tuple[TextFactors, DataFrame]:
+    """The factors, and the rows' stored weights (row_id, indices, values), so that the texts need not be
+    read again to place the rows.
 
     A random basis of ``rank`` + ``oversampling`` columns is multiplied by A^T A in ``passes`` passes
     over the rows, made orthonormal in between; then the small matrix in that basis is decomposed.
@@ -81,9 +90,9 @@ def fit_factors(
     """
     terms, counted = models.fit_counts(rows, text, size)
     n = len(terms.names)
-    if not n:
-        return TextFactors(terms, np.zeros((0, rank)), np.zeros(0))
     weights = cut(models.weighed(counted, terms))
+    if not n:
+        return TextFactors(terms, np.zeros((0, rank)), np.zeros(0)), weights
     basis = np.linalg.qr(np.random.default_rng(seed).normal(size=(n, min(n, rank + oversampling))))[0]
     for _ in range(passes - 1):
         basis = np.linalg.qr(_gram_times(weights, basis))[0]
@@ -94,7 +103,7 @@ def fit_factors(
     components = basis @ vectors[:, first]
     # The sign of a direction is free: most of its weight counts up.
     components *= np.where(components.sum(axis=0) < 0, -1.0, 1.0)
-    return TextFactors(terms, components, np.sqrt(np.maximum(values[first], 0)))
+    return TextFactors(terms, components, np.sqrt(np.maximum(values[first], 0))), weights
 
 
 def text_factors(
@@ -102,6 +111,11 @@ def text_factors(
 ) -> DataFrame:
     """(row_id, ``out``): the rows' coordinates along the components, of length one if ``unit``. A text
     without a known term is the zero vector."""
+    return projected(models.tfidf_rows(rows, factors.terms, text), factors, out, unit)
+
+
+def projected(weights: DataFrame, factors: TextFactors, out: str = "vec", unit: bool = True) -> DataFrame:
+    """``text_factors`` from the rows' weights over the terms of the factors."""
     components = factors.components
 
     def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -114,6 +128,5 @@ def text_factors(
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row_id"), pa.array(list(found), pa.list_(pa.float64()))], ["row_id", out])
 
-    weights = models.tfidf_rows(rows, factors.terms, text)
     kind = weights.schema["row_id"].dataType.simpleString()
     return weights.mapInArrow(project, f"row_id {kind}, `{out}` array<double>")

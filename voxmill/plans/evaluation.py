@@ -216,7 +216,7 @@ def _rows(spark, sf):
 
 @query(_TFIDF + "SELECT term, total, df FROM vocab")
 def vocabulary(spark, sf):
-    return models.vocabulary(_rows(spark, sf))
+    return models.vocabulary(cut(_rows(spark, sf).select("features_text")))
 
 
 @query(_TFIDF + """,
@@ -244,9 +244,9 @@ SELECT row_id, round(sum(w * v), 4) AS loading FROM weights JOIN direction USING
 def leading_factor(spark, sf):
     """How far each text goes along the strongest direction of all texts (checked by power iteration)."""
     rows = cut(_rows(spark, sf))
-    factors = lowrank.fit_factors(rows, rank=16, passes=8)
-    along = lowrank.text_factors(rows, factors, unit=False)
-    return along.join(models.tfidf_rows(rows, factors.terms).where("size(indices) > 0").select("row_id"), "row_id").select(
+    factors, weights = lowrank.factor_rows(rows, rank=16, passes=8)
+    along = lowrank.projected(weights, factors, unit=False)
+    return along.join(weights.where("size(indices) > 0").select("row_id"), "row_id").select(
         "row_id", F.round(F.get("vec", F.lit(0)), 4).alias("loading"))
 
 
@@ -277,7 +277,7 @@ def stored_model_scores(spark, sf):
 @query()
 def scored_reviews(spark, sf):
     """Every review scored by a classifier fitted to the training split."""
-    split = sampling.stratified_split(_rows(spark, sf), ["domain"])
+    split = cut(sampling.stratified_split(_rows(spark, sf), ["domain"]))
     model = models.fit_classifier(
         split.where("split = 'train'").select("features_text", "label"))
     return models.score(model, split).select(
