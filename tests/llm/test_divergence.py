@@ -106,3 +106,23 @@ def test_counts_are_passed_on_in_parts(spark, monkeypatch):
 
 def test_empty_table(spark):
     assert divergence.divergence_audit(frame(spark, [])).count() == 0
+
+
+def test_terms_are_told_apart_by_group_and_document():
+    """Counts and documents of a block of texts, with blanks, junk, characters beyond ASCII and no text:
+    one row for each language and term, however many sources have it."""
+    import pyarrow as pa
+
+    texts = ["Ab ab 12ab\ncd", "", "ÄB　x漢字 ab", "&&", "ab", "\x7fAB", "ab", None]
+    langs, sources = ["en", "en", "de", "de", "en", "", "en", "en"], ["a", "b", "a", "a", "a", "", "c", "c"]
+    batch = pa.RecordBatch.from_arrays([pa.array(x, pa.string()) for x in (langs, sources, texts)], ["l", "s", "t"])
+    found = [r for b in divergence._counted(iter([batch])) for r in b.to_pylist()]
+    want, documents = defaultdict(Counter), Counter()
+    for lang, source, text in zip(langs, sources, texts, strict=True):
+        terms = re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", (text or "").translate(UPPER))
+        documents.update((lang, t) for t in set(terms))
+        for t in terms:
+            want[lang, t][source] += 1
+    assert {(r["lang"], r["term"]): r["documents"] for r in found} == documents
+    assert {(r["lang"], r["term"]): {c["source"]: c["count"] for c in r["counts"]} for r in found} == want
+    assert len(found) == len(want)

@@ -3,7 +3,6 @@ tables of their count levels, which are products of one-hot level matrices."""
 
 from __future__ import annotations
 
-from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,13 +11,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voxmill.llm.common import quoted, stored, tasks_for
+from voxmill.llm.words import LOWER, blocks, joined
 
 #: Terms must occur in so many documents of their language.
 LEAST_DOCUMENTS = 3
 #: Shares are whole billionths.
 UNIT = 1_000_000_000
-#: Different terms that a task counts before it passes them on.
-TERMS_HELD = 200_000
+#: Occurrences of terms, and texts, that a task counts before it passes them on; a longer text is
+#: counted alone.
+TERMS_HELD = 4_000_000
+TEXTS_HELD = 1 << 16
 #: Counts (a term in a source) that one block of terms has, about.
 ROWS_PER_BLOCK = 200_000
 #: Columns of a tile of the indicator matrix, and terms that are multiplied at a time. Sums stay far
@@ -26,39 +28,80 @@ ROWS_PER_BLOCK = 200_000
 TILE = 64
 TERMS_AT_ONCE = 8192
 
-#: Bytes of terms: letters, lowered, and all of a character beyond ASCII. Others become blanks.
-_TERM_BYTES = bytes(b + 32 if 0x41 <= b <= 0x5A else b if 0x61 <= b <= 0x7A or b >= 0x80 else 0x20
-                    for b in range(256))
+#: Bytes of terms are letters, lowered, and all of a character beyond ASCII.
+_IN_TERM = np.array([0x41 <= b <= 0x5A or 0x61 <= b <= 0x7A or b >= 0x80 for b in range(256)])
+_PARTIAL = "lang string, term string, documents long, counts array<struct<source: string, count: long>>"
+
+
+def _terms(texts: list[bytes]) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """The terms of the texts, A-Z lowered, one after the other, and how many each text has."""
+    data, at = joined(texts)
+    inside = np.zeros(len(data) + 2, bool)
+    inside[1:-1] = _IN_TERM[data]
+    steps = np.flatnonzero(inside[1:] != inside[:-1])
+    starts, ends = steps[::2], steps[1::2]
+    offsets = np.concatenate([[0], np.cumsum(ends - starts)])
+    letters = LOWER[data[inside[1:-1]]]
+    flat = pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(letters)])
+    return flat.dictionary_encode(), np.diff(np.searchsorted(starts, at))
+
+
+def _summed(keys: pa.Table, found: list[pa.DictionaryArray], sizes: list[np.ndarray]) -> pa.RecordBatch:
+    """_PARTIAL of texts with their (lang, source), the terms of all and how many each has. A term, its
+    group and its text are one number each, packed into one, which is sorted."""
+    langs, sources = (keys.column(c).combine_chunks().dictionary_encode() for c in (0, 1))
+    group = langs.indices.to_numpy().astype(np.int64) * len(sources.dictionary) + sources.indices.to_numpy()
+    groups, group = np.unique(group, return_inverse=True)
+    lang, source = np.divmod(groups, len(sources.dictionary))
+    terms = pa.chunked_array(found).unify_dictionaries()
+    names, texts = terms.chunk(0).dictionary, len(group)
+    owner = np.repeat(np.arange(texts), np.concatenate(sizes))
+    packed = np.concatenate([c.indices.to_numpy() for c in terms.chunks]) * np.int64(len(groups))
+    packed += group[owner]
+    packed *= texts
+    packed += owner
+    packed.sort()
+    new_text = np.diff(packed, prepend=-1) != 0
+    packed //= texts
+    first = np.flatnonzero(np.diff(packed, prepend=-1))  # of each term in each group
+    counts = np.diff(np.append(first, len(packed)))
+    documents = np.add.reduceat(new_text, first, dtype=np.int64) if len(first) else first
+    term, of = np.divmod(packed[first], len(groups))
+    row = np.flatnonzero((np.diff(term, prepend=-1) != 0) | (np.diff(lang[of], prepend=-1) != 0))
+    each = pa.StructArray.from_arrays(
+        [sources.dictionary.take(pa.array(source[of])), pa.array(counts)], ["source", "count"])
+    return pa.RecordBatch.from_arrays([
+        langs.dictionary.take(pa.array(lang[of[row]])),
+        names.take(pa.array(term[row])).cast(pa.binary()).cast(pa.string()),
+        pa.array(np.add.reduceat(documents, row) if len(row) else row),
+        pa.ListArray.from_arrays(pa.array(np.append(row, len(of)).astype(np.int32)), each)],
+        ["lang", "term", "documents", "counts"])
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(lang, source, term, count, documents), summed over as many rows as TERMS_HELD allows."""
-    counts: dict[tuple, Counter] = defaultdict(Counter)
-    documents: dict[tuple, Counter] = defaultdict(Counter)
+    """_PARTIAL of (lang, source, text), summed over as many texts as TERMS_HELD and TEXTS_HELD allow."""
+    keys: list[pa.RecordBatch] = []
+    found: list[pa.DictionaryArray] = []
+    sizes: list[np.ndarray] = []
 
     def emptied() -> Iterator[pa.RecordBatch]:
-        for key, terms in counts.items():
-            names = list(terms)
-            for at in range(0, len(names), 1 << 15):
-                part = names[at:at + (1 << 15)]
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([key[0]] * len(part), pa.string()), pa.array([key[1]] * len(part), pa.string()),
-                    pa.array(part, pa.binary()).cast(pa.string()),
-                    pa.array([terms[t] for t in part], pa.int64()),
-                    pa.array([documents[key][t] for t in part], pa.int64())],
-                    ["lang", "source", "term", "count", "documents"])
-        counts.clear()
-        documents.clear()
+        out = _summed(pa.Table.from_batches(keys), found, sizes)
+        for held in (keys, found, sizes):
+            held.clear()
+        for at in range(0, out.num_rows, 1 << 15):
+            yield out.slice(at, 1 << 15)
 
     for batch in batches:
-        langs, sources = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-        for lang, source, text in zip(langs, sources, batch.column(2).cast(pa.binary()), strict=True):
-            found = text.as_py().translate(_TERM_BYTES).split()
-            counts[lang, source].update(found)
-            documents[lang, source].update(set(found))
-        if sum(map(len, counts.values())) > TERMS_HELD:
-            yield from emptied()
-    yield from emptied()
+        for start, texts in blocks(batch.column(2)):
+            terms, size = _terms(texts)
+            if found and (sum(map(len, found)) + len(terms) > TERMS_HELD or sum(map(len, sizes)) + len(texts) > TEXTS_HELD):
+                yield from emptied()
+            keys.append(batch.select([0, 1]).slice(start, len(texts)))
+            found.append(terms)
+            sizes.append(size)
+    if found:
+        yield from emptied()
 
 
 def term_counts(
@@ -68,20 +111,22 @@ def term_counts(
     """(lang, source, term, count, lang_count, first): how often each kept term occurs in each source
     that has it, and in the whole language; ``first`` is true on one row per (lang, term).
 
-    Counts are summed inside the tasks, then by (lang, source, term); one shuffle by (lang, term)
-    serves both sums, and no task holds a language, a source or the rows of a frequent term.
+    Counts are summed inside the tasks, a row for each term with the sources that have it; after one
+    shuffle by (lang, term), rare terms go before the others' sources become rows. No task holds a
+    language, a source or the rows of a frequent term.
     """
     rows = docs.select(*[F.coalesce(quoted(c).cast("string"), F.lit("")).alias(n)
                          for c, n in ((lang, "lang"), (source, "source"), (text, "text"))])
-    partial = rows.mapInArrow(_counted, "lang string, source string, term string, count long, documents long")
-    summed = partial.repartition("lang", "term").groupBy("lang", "source", "term").agg(
-        F.sum("count").alias("count"), F.sum("documents").alias("documents"))
-    term = Window.partitionBy("lang", "term")
-    return summed.select(
-        "lang", "source", "term", "count", F.sum("count").over(term).alias("lang_count"),
-        F.sum("documents").over(term).alias("_documents"),
-        (F.min("source").over(term) == F.col("source")).alias("first"),
-    ).where(F.col("_documents") >= least_documents).drop("_documents")
+    term = Window.partitionBy("term", "lang")
+    kept = rows.mapInArrow(_counted, _PARTIAL).repartition("lang", "term").select(
+        "lang", "term", "counts", F.sum("documents").over(term).alias("_documents"),
+        F.sum(F.aggregate("counts", F.lit(0).cast("long"), lambda n, c: n + c["count"])).over(term).alias("lang_count"),
+        F.min(F.array_min("counts.source")).over(term).alias("_first"),
+    ).where(F.col("_documents") >= least_documents)
+    return kept.select("lang", "term", "lang_count", "_first", F.inline("counts")).groupBy(
+        "lang", "source", "term").agg(
+        F.sum("count").alias("count"), F.first("lang_count").alias("lang_count"),
+        (F.first("_first") == F.col("source")).alias("first"))
 
 
 def totals(counts: DataFrame, groups: DataFrame) -> DataFrame:
@@ -151,12 +196,13 @@ _JOINT = "lang string, source string, level long, other string, other_level long
 
 def _block_products(table: pa.Table) -> pa.Table:
     """The joint level counts of one block of terms, each pair of sources once."""
-    terms = np.unique(table["term"].to_numpy(), return_inverse=True)[1]
-    sources, source = np.unique(table["source"].to_numpy().astype(object), return_inverse=True)
+    terms, named = (table[c].combine_chunks().dictionary_encode() for c in ("term", "source"))
+    terms = terms.indices.to_numpy()
+    sources, place = np.unique(named.dictionary.to_numpy(zero_copy_only=False).astype(object), return_inverse=True)
     levels = table["count"].to_numpy()
-    column_key = np.empty(len(source), [("s", np.int64), ("c", np.int64)])
-    column_key["s"], column_key["c"] = source, levels
-    columns, column = np.unique(column_key, return_inverse=True)
+    most = int(levels.max()) + 1
+    keys, column = np.unique(place[named.indices.to_numpy()] * most + levels, return_inverse=True)
+    columns = dict(zip("sc", np.divmod(keys, most)))
     i, j, n = one_hot_products(terms.astype(np.int64), column.astype(np.int64))
     pair = columns["s"][i] != columns["s"][j]  # a term has one level in a source
     i, j, n = i[pair], j[pair], n[pair]
