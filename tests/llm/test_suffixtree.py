@@ -150,3 +150,33 @@ def test_a_phrase_is_modelled_however_large_the_corpus(spark, monkeypatch):
     assert found[1000].train_tokens * 4e-6 > 2
     assert found[2000].base_score == pytest.approx(found[2001].base_score)
     assert found[2000].score > found[2001].score + 10
+
+
+def test_tables_are_cut_into_parts_and_texts_scored_in_rounds(spark, monkeypatch, scored):
+    """Many ranges of hashes, blocks and rounds give the scores of one; a part sends each n-gram, and
+    asks for each shorter one, once, so no row of a table is an occurrence."""
+    monkeypatch.setattr(suffixtree, "PART_TOKENS", 300)
+    monkeypatch.setattr(suffixtree, "HELD", 500)
+    monkeypatch.setattr(suffixtree, "SCORED", 2000)
+    docs = documents(spark, corpus())
+    found = {r.doc_id: r for r in suffixtree.score(docs, train=F.col("doc_id") % 5 != 0).collect()}
+    assert found.keys() == scored.keys()
+    for i, r in found.items():
+        assert (r.n_tokens, r.n_known, r.train_tokens) == (scored[i].n_tokens, scored[i].n_known, scored[i].train_tokens)
+        assert math.isclose(r.score, scored[i].score, rel_tol=1e-9)
+        assert math.isclose(r.base_score, scored[i].base_score, rel_tol=1e-9)
+
+
+def test_a_task_passes_on_a_row_for_each_part(spark):
+    rows = documents(spark, corpus()).repartition(2).select(F.lit(True).alias("train"), "text")
+    found = suffixtree._frequent_grams(rows, 2, 2.0, lambda whole, context, tail: np.ones(len(whole), bool), 3).collect()
+    want = Counter()
+    for _, text in corpus():
+        line = [None, *words(text), ""]
+        want.update(zip(line, line[1:]))
+    assert len(found) == 8 and sum(len(r.gram) // 8 for r in found) == sum(n > 1 for n in want.values())
+    assert sum(np.frombuffer(r.n, np.int64).sum() for r in found) == sum(n for n in want.values() if n > 1)
+    for r in found:
+        gram, context, tail = (np.frombuffer(r[c], np.uint64) for c in ("gram", "context", "tail"))
+        assert (gram == suffixtree._gram(context, tail, 2)).all() and (gram[1:] > gram[:-1]).all()
+        assert (gram >> np.uint64(61) == r.part).all()

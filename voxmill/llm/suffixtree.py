@@ -8,11 +8,12 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voxmill.llm.common import discard, quoted, release, spread_join, stored
-from voxmill.llm.words import blocks, hashed_words, mixed
+from voxmill.llm.common import discard, quoted, release, stored
+from voxmill.llm.words import BLOCK, blocks, hashed_words, mixed
 
 #: Longest context in words.
 DEPTH = 3
@@ -25,19 +26,32 @@ LEAST_SHARE = 0.0
 DISCOUNT = 0.75
 #: Counters that pairs of words are hashed to; a pair can only be frequent if its counter is.
 CELLS, CELL_BLOCK = 1 << 20, 1 << 12
-#: Bits of a hash that choose one of the marks, of which there are 2 ** MARKS.
+#: The most bits of a hash that choose one of the marks.
 MARKS = 27
+#: Training tokens for each part of a table of n-grams, about; a part is a range of hashes.
+PART_TOKENS = 400_000
+#: Places that a task counts n-grams of before it passes them on.
+HELD = 1 << 21
+#: Bytes of text that are hashed at a time, about: what this takes stays in the processor's cache.
+HASHED = 1 << 16
+#: Bytes of text that are scored together: the more, the fewer n-grams are looked up twice.
+SCORED = 4 * BLOCK
+#: Rounds in which blocks are scored, so that only one round's lookups are on disk, and blocks that
+#: a round has at least.
+ROUNDS, ROUND_BLOCKS = 8, 4
 #: Tables of counters added up in one step.
 FAN = 256
 
 START, END = np.uint64(0x51AB7), np.uint64(0xE2D)
-_FACTORS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)]
+_FACTORS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)]
 
 
 def token_stream(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Start, words and end of each text as hashes, and where each text begins (and the end)."""
-    words, at = hashed_words(texts)
-    sizes = np.diff(at) + 2
+    cuts = np.flatnonzero(np.diff(np.cumsum([len(t) for t in texts]) // HASHED, prepend=-1)).tolist()
+    found = [hashed_words(texts[i:j]) for i, j in zip(cuts, [*cuts[1:], len(texts)])] or [hashed_words([])]
+    words = np.concatenate([w for w, _ in found])
+    sizes = np.concatenate([np.diff(at) for _, at in found]) + 2
     begins = np.concatenate([[0], np.cumsum(sizes)])
     out = np.empty(begins[-1], np.uint64)
     inside = np.ones(len(out), bool)
@@ -48,16 +62,20 @@ def token_stream(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def grams(tokens: np.ndarray, n: int) -> np.ndarray:
-    """For each place, a hash of the n tokens that end there (0 before there are n)."""
+    """For each place, a hash of the n tokens that end there (0 before there are n), made from the
+    hashes of all but the last and of all but the first."""
     if n == 1:
         return tokens
-    out = np.zeros(len(tokens), np.uint64)
-    if len(tokens) >= n:
-        total = sum((tokens[k:len(tokens) - n + 1 + k] * _FACTORS[k] for k in range(1, n)), tokens[:len(tokens) - n + 1] * _FACTORS[0])
-        out[n - 1:] = mixed(total + np.uint64(n))
+    shorter = grams(tokens, n - 1)
+    out = _gram(_before(shorter), shorter, n)
+    out[:n - 1] = 0
     return out
 
 
+def _gram(context: np.ndarray, tail: np.ndarray, n: int) -> np.ndarray:
+    return mixed(context * _FACTORS[0] + tail * _FACTORS[1] + np.uint64(n))
+
+
 def _before(values: np.ndarray) -> np.ndarray:
     """The value of the place before."""
     return np.concatenate([np.zeros(1, values.dtype), values[:-1]])
@@ -113,11 +131,11 @@ class SuffixTree:
         return chance
 
 
-def _slices(batches: Iterator[pa.RecordBatch], rows: int = 4_000) -> Iterator[pa.RecordBatch]:
-    """Smaller batches: what is counted together stays small in memory."""
-    for batch in batches:
-        for at in range(0, batch.num_rows, rows):
-            yield batch.slice(at, rows)
+def _distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Different values, sorted, and how often each occurs."""
+    values = np.sort(values)
+    first = np.flatnonzero(np.diff(values, prepend=~values[:1]))
+    return values[first], np.diff(np.append(first, len(values)))
 
 
 def _counted(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
@@ -131,25 +149,32 @@ def _counted(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, np.ndarr
 
 def count_words(rows: DataFrame) -> tuple[DataFrame, np.ndarray]:
     """From (train, text): the table (h, n_train, n_all) of all words and ends, and the counters of
-    the training pairs. Words are counted per batch before the shuffle; a task has one set of
+    the training pairs. Words are counted in parts of HELD before the shuffle; a task has one set of
     counters, and sets are added up in groups of FAN."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["h", "n_train", "n_all", "cells"]
         cells = np.zeros(CELLS, np.int64)
-        for batch in _slices(batches):
-            hashes, trained, total = [], [], []
+        held, size = [], 0
+
+        def emptied() -> pa.RecordBatch:
+            values, total = _distinct(np.concatenate([tokens for tokens, _, _ in held]))
+            own, sums = _distinct(np.concatenate([tokens[own] for tokens, own, _ in held]))
+            trained = np.zeros(len(values), np.int64)
+            trained[np.searchsorted(values, own)] = sums
+            np.add(cells, np.bincount(_cell(np.concatenate([pairs for _, _, pairs in held])), minlength=CELLS), out=cells)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(values.view(np.int64)), pa.array(trained), pa.array(total), pa.nulls(len(values), pa.binary())], names)
+
+        for batch in batches:
             for _, tokens, begins, own in _counted(batch, 1):
                 deep = _depths(begins) > 0
-                values, inverse = np.unique(tokens[deep], return_inverse=True)
-                hashes.append(values)
-                trained.append(np.bincount(inverse, own[deep], len(values)))
-                total.append(np.bincount(inverse, minlength=len(values)))
-                cells += np.bincount(_cell(grams(tokens, 2)[deep & own]), minlength=CELLS)
-            if hashes:
-                values, inverse = np.unique(np.concatenate(hashes), return_inverse=True)
-                sums = [np.bincount(inverse, np.concatenate(x)).astype(np.int64) for x in (trained, total)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(values.view(np.int64)), *map(pa.array, sums), pa.nulls(len(values), pa.binary())], names)
+                held.append((tokens[deep], own[deep], grams(tokens, 2)[deep & own]))
+                size += len(tokens)
+                if size > HELD:
+                    yield emptied()
+                    held, size = [], 0
+        if held:
+            yield emptied()
         parts = cells.reshape(-1, CELL_BLOCK)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.arange(len(parts))), pa.nulls(len(parts), pa.int64()), pa.nulls(len(parts), pa.int64()),
@@ -184,104 +209,319 @@ def _add(group: pa.Table) -> pa.Table:
     return pa.table({"block": group.column("block")[:1], "cells": pa.array([_planes(total)], pa.binary())})
 
 
-def _marks(table: DataFrame) -> np.ndarray:
-    """Bits of fixed size that are set for the column ``gram`` of a table. A gram whose bit is not
-    set is not in the table; the others are looked up, so the marks save work and decide nothing."""
-    word = F.shiftrightunsigned("gram", 64 - MARKS + 6).cast("int")
-    bit = F.expr(f"shiftleft(1L, cast(shiftrightunsigned(gram, {64 - MARKS}) & 63 as int))")
-    out = np.zeros(1 << (MARKS - 6), np.int64)
-    found = table.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("bits")).toArrow()
-    out[found.column("word").to_numpy()] = found.column("bits").to_numpy()
-    return out.view(np.uint64)
+def _parts(hashes: np.ndarray, bits: int) -> np.ndarray:
+    """The part of each hash: its upper bits."""
+    return (hashes >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(hashes), np.int64)
+
+
+def _packed(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """The values between the bounds as bytes, one row each."""
+    return pa.BinaryArray.from_buffers(pa.binary(), len(bounds) - 1, [
+        None, pa.py_buffer((bounds * values.itemsize).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def _row(*columns: np.ndarray) -> list[pa.Array]:
+    return [_packed(c, np.array([0, len(c)])) for c in columns]
+
+
+def _read(column: pa.ChunkedArray | pa.Array, kind: type = np.uint64) -> np.ndarray:
+    """The values of all rows, one row after the other."""
+    return np.frombuffer(b"".join(column.to_pylist()), kind)
+
+
+def _lengths(column: pa.ChunkedArray) -> np.ndarray:
+    """How many 8-byte values each row has."""
+    return np.array([len(x) // 8 for x in column.to_pylist()], np.int64)
+
+
+def _dealt(hashes: np.ndarray, bits: int, *columns: np.ndarray) -> list[pa.Array]:
+    """The parts that the hashes fall into, and per part the hashes and the columns' values."""
+    part = _parts(hashes, bits)
+    order = np.argsort(part.astype(np.uint16) if bits <= 16 else part, kind="stable")
+    part = part[order]
+    first = np.flatnonzero(np.diff(part, prepend=-1))
+    bounds = np.append(first, len(part))
+    return [pa.array(part[first]), *[_packed(c[order], bounds) for c in (hashes, *columns)]]
+
+
+def _find(table: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which of ``wanted`` a sorted table holds, and the places there."""
+    if not len(table):
+        return np.zeros(len(wanted), bool), np.zeros(len(wanted), np.int64)
+    at = np.minimum(np.searchsorted(table, wanted), len(table) - 1)
+    return table[at] == wanted, at
+
+
+def _sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
+    return np.add.reduceat(values, first) if len(first) else values[:0]
+
+
+def _each(table: DataFrame, work, schema: str) -> DataFrame:
+    """``work`` on every row (as a batch of one) of a table whose rows are parts."""
+    names = [c.strip().split(" ")[0] for c in schema.split(",")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                if (out := work(batch.slice(i, 1))) is not None:
+                    yield pa.RecordBatch.from_arrays(out, names)
+
+    return table.mapInArrow(run, schema)
+
+
+def _marks(table: DataFrame, bits: int, marks: int) -> np.ndarray:
+    """Bits, 2 ** ``marks`` of them, that are set for the column ``gram`` of a table of parts. A gram
+    whose bit is not set is not in the table; the others are looked up, so the marks save work and
+    decide nothing. A part has its own range of them."""
+    size = 1 << (marks - bits - 3)
+
+    def mark(rows: pa.Table) -> pa.Table:
+        at = (_read(rows.column("gram")) >> np.uint64(64 - marks)).astype(np.int64) & (size * 8 - 1)
+        own = np.zeros(size, np.uint8)
+        np.bitwise_or.at(own, at >> 3, np.left_shift(1, at & 7).astype(np.uint8))
+        return pa.table({"part": rows.column("part")[:1], "marks": pa.array([own.tobytes()], pa.binary())})
+
+    out = np.zeros((1 << bits, size), np.uint8)
+    for row in table.select("part", "gram").groupBy("part").applyInArrow(
+            mark, "part long, marks binary").toLocalIterator():
+        out[row["part"]] = np.frombuffer(row["marks"], np.uint8)
+    return out.reshape(-1)
 
 
 def _marked(marks: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    at = hashes >> np.uint64(64 - MARKS)
-    return (marks[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+    at = (hashes >> np.uint64(64 - (len(marks) * 8).bit_length() + 1)).astype(np.int64)
+    return (marks[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+
 
+def _counted_grams(n: int, context: np.ndarray, tail: np.ndarray, sums: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Different n-grams, sorted, with their context, tail and summed counts."""
+    gram = _gram(context, tail, n)
+    order = np.argsort(gram)
+    gram = gram[order]
+    first = np.flatnonzero(np.diff(gram, prepend=~gram[:1]))
+    at = order[first]
+    return gram[first], context[at], tail[at], _sums(sums[order], first)
 
-def _frequent_grams(rows: DataFrame, n: int, least: float, likely) -> DataFrame:
-    """(gram, context, tail, n): the n-grams with at least ``least`` training occurrences, with the
-    hashes of all but the last word and of all but the first. ``likely`` says which n-grams can be
-    that frequent, from these three hashes; the others are not counted."""
+
+def _frequent_grams(rows: DataFrame, n: int, least: float, likely, bits: int) -> DataFrame:
+    """(part, gram, context, tail, n): the n-grams with at least ``least`` training occurrences, with
+    the hashes of all but the last word and of all but the first, a row of sorted numbers for each
+    part. ``likely`` says which n-grams can be that frequent, from these three hashes; the others are
+    not counted. A task sums its own before the shuffle, so a part gets a frequent one once a task."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def emptied() -> pa.RecordBatch:
+            context, tail = (np.concatenate(x) for x in zip(*held, strict=True))
+            gram, context, tail, sums = _counted_grams(n, context, tail, np.ones(len(tail), np.int64))
+            out = _dealt(gram, bits, context, tail, sums)
+            return pa.RecordBatch.from_arrays([out[0], *out[2:]], ["part", "context", "tail", "n"])
+
         for batch in batches:
             for _, tokens, begins, own in _counted(batch, 1):
                 whole, part = grams(tokens, n), grams(tokens, n - 1)
                 places = np.flatnonzero(own & (_depths(begins) >= n - 1))
                 places = places[likely(whole[places], _before(part)[places], part[places])]
-                values, first, sums = np.unique(whole[places], return_index=True, return_counts=True)
-                at = places[first]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(x.view(np.int64)) for x in (values, _before(part)[at], part[at])]
-                    + [pa.array(sums.astype(np.int64))], ["gram", "context", "tail", "n"])
-
-    return rows.mapInArrow(count, "gram long, context long, tail long, n long").groupBy("gram").agg(
-        F.sum("n").alias("n"), F.min("context").alias("context"), F.min("tail").alias("tail")).where(
-        F.col("n") >= least)
+                held.append((_before(part)[places], part[places]))
+                size += len(places)
+                if size > HELD:
+                    yield emptied()
+                    held, size = [], 0
+        if size:
+            yield emptied()
+
+    def total(found: pa.Table) -> pa.Table:
+        gram, context, tail, sums = _counted_grams(n, *(_read(found.column(c), k) for c, k in (
+            ("context", np.uint64), ("tail", np.uint64), ("n", np.int64))))
+        often = sums >= least
+        return pa.table([found.column("part")[:1], *_row(gram[often], context[often], tail[often], sums[often])],
+                        ["part", "gram", "context", "tail", "n"])
+
+    return rows.mapInArrow(count, "part long, context binary, tail binary, n binary").groupBy("part").applyInArrow(
+        total, "part long, gram binary, context binary, tail binary, n binary")
+
+
+def _with_below(found: DataFrame, known: DataFrame, bits: int) -> DataFrame:
+    """(part, gram, context, n, below): n-grams with the chance of their tail, those whose tail is
+    known. A part asks for each tail once, however many of its n-grams share it."""
+    def ask(row: pa.RecordBatch) -> list[pa.Array]:
+        parts, tails = _dealt(_distinct(_read(row.column("tail")))[0], bits)
+        return [pa.array(np.full(len(parts), row.column("part")[0].as_py())), parts, tails]
+
+    def answer(asked: pa.Table, own: pa.Table) -> pa.Table:
+        wanted, bounds = _read(asked.column("tail")), np.append(0, np.cumsum(_lengths(asked.column("tail"))))
+        there, at = _find(_read(own.column("gram")), wanted)
+        bounds = np.append(0, np.cumsum(there))[bounds]
+        below = _read(own.column("chance"), np.float64)[at[there]]
+        return pa.table([asked.column("unit"), _packed(wanted[there], bounds), _packed(below, bounds)],
+                        ["unit", "tail", "below"])
+
+    def add(row: pa.Table, told: pa.Table) -> pa.Table:
+        tails, below = _read(told.column("tail")), _read(told.column("below"), np.float64)
+        order = np.argsort(tails)
+        there, at = _find(tails[order], _read(row.column("tail")))
+        gram, context, sums = (_read(row.column(c))[there] for c in ("gram", "context", "n"))
+        return pa.table([row.column("part"), *_row(gram, context, sums, below[order][at[there]] if len(at) else below)][:5]
+                        if row.num_rows else [pa.array([], pa.int64())] + [pa.array([], pa.binary())] * 4,
+                        ["part", "gram", "context", "n", "below"])
+
+    told = _each(found.select("part", "tail"), ask, "unit long, part long, tail binary").groupBy("part").cogroup(
+        known.select("part", "gram", "chance").groupBy("part")).applyInArrow(
+        answer, "unit long, tail binary, below binary")
+    return found.groupBy("part").cogroup(told.groupBy("unit")).applyInArrow(
+        add, "part long, gram binary, context binary, n binary, below binary")
+
+
+def _kept_contexts(level: DataFrame, known: DataFrame, tokens: int, bits: int) -> DataFrame:
+    """(unit, part, gram, total, leaves): the contexts that tell their next words apart, for each part
+    ``unit`` of the level that has n-grams after them, and once for the model, with unit -1. Parts of
+    the level send a context's sums, not its next words."""
+    names = ["sum", "below", "kinds", "gain"]
+
+    def ask(row: pa.RecordBatch) -> list[pa.Array]:
+        n, below = _read(row.column("n"), np.int64).astype(float), _read(row.column("below"), np.float64)
+        contexts, inverse = np.unique(_read(row.column("context")), return_inverse=True)
+        sums = [np.bincount(inverse, w, len(contexts)) for w in (n, below, np.ones(len(n)), n * np.log(n / below))]
+        parts, *columns = _dealt(contexts, bits, *sums)
+        return [pa.array(np.full(len(parts), row.column("part")[0].as_py())), parts, *columns]
+
+    def decide(asked: pa.Table, own: pa.Table) -> pa.Table:
+        sent = _read(asked.column("gram"))
+        contexts, inverse = np.unique(sent, return_inverse=True)
+        size, below, kinds, gain = (
+            np.bincount(inverse, _read(asked.column(c), np.float64), len(contexts)) for c in names)
+        there, at = _find(_read(own.column("gram")), contexts)
+        numbers = _read(own.column("n"), np.int64)
+        total = np.where(there, numbers[at], 1).astype(float) if len(numbers) else np.ones(len(contexts))
+        rest = np.maximum(total - size, 0.0)
+        gain = gain - size * np.log(total) + np.where(rest > 0, rest * np.log(
+            np.maximum(rest / total, 1e-12) / np.maximum(1 - below, 1e-12)), 0.0)
+        kept = there & (gain > 0.5 * kinds * float(np.log(max(tokens, 2))) + 2)
+        leaves = 1 - (size - DISCOUNT * kinds) / total
+        bounds = np.append(0, np.cumsum(_lengths(asked.column("gram"))))
+        pick = np.flatnonzero(kept[inverse])
+        bounds = np.append(np.append(0, np.cumsum(kept[inverse]))[bounds], len(pick) + kept.sum())
+        at = np.append(inverse[pick], np.flatnonzero(kept))
+        part = (asked if asked.num_rows else own).column("part")[0].as_py()
+        return pa.table([pa.array([*asked.column("unit").to_pylist(), -1], pa.int64()),
+                         pa.array([part] * (len(bounds) - 1), pa.int64()),
+                         *[_packed(c[at], bounds) for c in (contexts, total, leaves)]],
+                        ["unit", "part", "gram", "total", "leaves"])
+
+    sent = _each(level, ask, "unit long, part long, gram binary, sum binary, below binary, kinds binary, gain binary")
+    return sent.groupBy("part").cogroup(known.select("part", "gram", "n").groupBy("part")).applyInArrow(
+        decide, "unit long, part long, gram binary, total binary, leaves binary")
+
+
+def _known(level: DataFrame, kept: DataFrame) -> DataFrame:
+    """(part, gram, n, own, chance): the n-grams of a level with their share after a kept context (else
+    not a number) and their chance."""
+    def add(row: pa.Table, told: pa.Table) -> pa.Table:
+        if not row.num_rows:
+            return pa.table([pa.array([], pa.int64())] + [pa.array([], pa.binary())] * 4, names)
+        contexts = _read(told.column("gram"))
+        order = np.argsort(contexts)
+        there, at = _find(contexts[order], _read(row.column("context")))
+        n, below = _read(row.column("n"), np.int64), _read(row.column("below"), np.float64)
+        total, leaves = (_read(told.column(c), np.float64)[order][at[there]] for c in ("total", "leaves"))
+        own, chance = np.full(len(n), np.nan), below.copy()
+        own[there] = (n[there] - DISCOUNT) / total
+        chance[there] = own[there] + leaves * below[there]
+        return pa.table([row.column("part"), *_row(_read(row.column("gram")), n, own, chance)], names)
+
+    names = ["part", "gram", "n", "own", "chance"]
+    return level.groupBy("part").cogroup(kept.where("unit >= 0").groupBy("unit")).applyInArrow(
+        add, "part long, gram binary, n binary, own binary, chance binary")
+
+
+def _known_words(words: DataFrame, texts: int, whole: int, bits: int) -> DataFrame:
+    """The same of the training words, with the start as often as there are texts; chances are shares
+    of ``whole``."""
+    shift = F.shiftrightunsigned("gram", 64 - bits) if bits else F.lit(0).cast("long")
+    start = words.sparkSession.range(1).select(
+        F.lit(int(START)).cast("long").alias("gram"), F.lit(texts).cast("long").alias("n"))
+    rows = words.where("n_train > 0").select(F.col("h").alias("gram"), F.col("n_train").alias("n")).unionByName(start)
+
+    def sort(rows: pa.Table) -> pa.Table:
+        gram, n = rows.column("gram").to_numpy().view(np.uint64), rows.column("n").to_numpy()
+        order = np.argsort(gram)
+        n = n[order]
+        return pa.table([rows.column("part")[:1], *_row(gram[order], n, np.full(len(n), np.nan), n / whole)],
+                        ["part", "gram", "n", "own", "chance"])
+
+    return rows.withColumn("part", shift).groupBy("part").applyInArrow(
+        sort, "part long, gram binary, n binary, own binary, chance binary")
 
 
 #: Kinds of numbers in the table of the model: a word's count, from 2 on the share of the last word
 #: of an n-gram, and LEAVES + n for what a context of n words leaves to the shorter one.
 WORD, LEAVES = 1, 10
+_MODEL = "part long, kind long, gram binary, value binary"
 
 
-def grow_tree(rows: DataFrame, cells: np.ndarray, words: DataFrame, texts: int, tokens: int, root) -> DataFrame:
-    """(gram, kind, value): the tree of the contexts that tell their next words apart from the
-    shorter context's, and the counts of all training words.
+def grow_tree(rows: DataFrame, cells: np.ndarray, words: DataFrame, texts: int, tokens: int, whole: int) -> tuple[DataFrame, int, int]:
+    """(part, kind, gram, value): the tree of the contexts that tell their next words apart from the
+    shorter context's, and the counts of all training words; with the bits that number the parts and
+    those that choose marks.
 
     Level by level, n-grams are counted exactly; a pair whose hashed counter is too low is left out
-    before, and a longer n-gram unless both its shorter ones are marked. A context is retained if the divergence of its next words from the shorter context's,
-    times its count, exceeds what its parameters cost. Its sums combine before the shuffle; next
-    words meet the shorter context's chances and their own context by joins spread by salts. Every
-    level is a stored table, so the tree grows with the input and no process holds it. ``root``:
-    from words' counts to chances, as columns.
+    before, and a longer n-gram unless both its shorter ones are marked. A context is retained if the
+    divergence of its next words from the shorter context's, times its count, exceeds what its
+    parameters cost. Every level is a stored table, a row of sorted numbers for each range of hashes;
+    there are as many ranges as the tokens need, so the tree grows with the input and no process holds
+    it. Parts ask each other for the shorter context's chances and for their own contexts, each once,
+    so a frequent word's rows never meet. ``whole``: of which a word's count is its chance.
     """
-    least, number = max(float(LEAST_COUNT), LEAST_SHARE * tokens), F.col("n").cast("double")
-    start = rows.sparkSession.range(1).select(
-        F.lit(int(START)).cast("long").alias("gram"), F.lit(texts).cast("long").alias("n"),
-        F.lit(None).cast("double").alias("chance"))
-    known = words.where("n_train > 0").select(F.col("h").alias("gram"), F.col("n_train").alias("n"))
-    model = known.select("gram", F.lit(WORD).alias("kind"), number.alias("value"))
-    known = known.withColumn("chance", root(number)).unionByName(start)
+    least, spark = max(float(LEAST_COUNT), LEAST_SHARE * tokens), rows.sparkSession
+    bits = max(0, tokens // PART_TOKENS).bit_length()
+    marks = max(bits + 3, min(MARKS, max(16, (2 * tokens).bit_length())))
+    known = stored(_known_words(words, texts, whole, bits), "known-1")
+
+    def counts(row: pa.RecordBatch) -> list[pa.Array]:
+        gram, n = _read(row.column("gram")), _read(row.column("n"), np.int64)
+        return [row.column("part"), pa.array([WORD]), *_row(gram, n.astype(float))]
+
+    model = [stored(_each(known, counts, _MODEL), "model-1")]
     enough = cells >= least
     likely = lambda whole, context, tail: enough[_cell(whole)]
     for n in range(2, DEPTH + 2):
-        found = stored(_frequent_grams(rows, n, least, likely), f"grams-{n}")
-        level = stored(spread_join(found, known.select(
-            F.col("gram").alias("tail"), F.col("chance").alias("below")), ["tail"], "gram"), f"level-{n}")
+        found = stored(_frequent_grams(rows, n, least, likely, bits), f"grams-{n}")
+        if n > 2:
+            bitmap.destroy()
+        release(spark)
+        level = stored(_with_below(found, known, bits), f"level-{n}")
         discard(found)
-        release(rows.sparkSession)
-        state = level.groupBy("context").agg(
-            F.sum("n").alias("sum"), F.sum("below").alias("below"), F.count("*").alias("kinds"),
-            F.sum(number * F.log(number / F.col("below"))).alias("gain")).join(
-            known.select(F.col("gram").alias("context"), number.alias("total")), "context")
-        rest = F.greatest(F.col("total") - F.col("sum"), F.lit(0.0))
-        gain = F.col("gain") - F.col("sum") * F.log("total") + F.when(rest > 0, rest * F.log(
-            F.greatest(rest / F.col("total"), F.lit(1e-12)) / F.greatest(1 - F.col("below"), F.lit(1e-12)))).otherwise(0.0)
-        kept = stored(state.where(gain > 0.5 * F.col("kinds") * float(np.log(max(tokens, 2))) + 2).select(
-            "context", "total", (1 - (F.col("sum") - DISCOUNT * F.col("kinds")) / F.col("total")).alias("leaves")),
-            f"contexts-{n}")
-        known = stored(spread_join(level, kept, ["context"], "gram", "left").withColumn(
-            "own", (number - DISCOUNT) / F.col("total")).select("gram", "n", "own", F.coalesce(
-                F.col("own") + F.col("leaves") * F.col("below"), F.col("below")).alias("chance")), f"known-{n}")
+        release(spark)
+        kept = stored(_kept_contexts(level, known, tokens, bits), f"contexts-{n}")
+        discard(known)
+        known = stored(_known(level, kept), f"known-{n}")
         discard(level)
-        release(rows.sparkSession)
+
+        def shares(row: pa.RecordBatch, n: int = n) -> list[pa.Array]:
+            gram, own = _read(row.column("gram")), _read(row.column("own"), np.float64)
+            return [row.column("part"), pa.array([n]), *_row(gram[own == own], own[own == own])]
+
+        model.append(stored(_each(known, shares, _MODEL).unionByName(kept.where("unit < 0").select(
+            "part", F.lit(LEAVES + n - 1).cast("long").alias("kind"), "gram", F.col("leaves").alias("value"))),
+            f"model-{n}"))
+        discard(kept)
+        release(spark)
         if n <= DEPTH:
-            marks = _marks(known)
-            likely = lambda whole, context, tail, m=marks: _marked(m, context) & _marked(m, tail)
-        model = model.unionByName(known.where("own is not null").select(
-            "gram", F.lit(n).alias("kind"), F.col("own").alias("value"))).unionByName(kept.select(
-                F.col("context").alias("gram"), F.lit(LEAVES + n - 1).alias("kind"), F.col("leaves").alias("value")))
-    return model
+            bitmap = spark.sparkContext.broadcast(_marks(known, bits, marks))
+            likely = lambda whole, context, tail, m=bitmap: _marked(m.value, context) & _marked(m.value, tail)
+    discard(known)
+    out = model[0]
+    for part in model[1:]:
+        out = out.unionByName(part)
+    return out, bits, marks
 
 
 def _in_blocks(rows: DataFrame) -> DataFrame:
-    """``rows`` (train, _id, _text) with the number of a block of about BLOCK bytes."""
+    """``rows`` (train, _id, _text) with the number of a block of about SCORED bytes."""
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId() << 32
         for batch in batches:
-            for at, texts in blocks(batch.column(2)):
+            for at, texts in blocks(batch.column(2), SCORED):
                 part = batch.slice(at, len(texts))
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, pa.array(np.full(len(texts), block))], ["train", "_id", "_text", "block"])
@@ -291,25 +531,52 @@ def _in_blocks(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(number, f"train boolean, _id {kind}, _text string, block long")
 
 
-def _wanted(rows: DataFrame, marks: np.ndarray) -> DataFrame:
-    """(block, gram): what each block asks the model for, each n-gram once, however often it occurs;
-    so a common one has a row for each block, not for each place."""
+def _wanted(rows: DataFrame, marks: Broadcast, bits: int) -> DataFrame:
+    """(block, part, gram): what each block asks the parts of the model for, each n-gram once, however
+    often it occurs: its words, and of longer n-grams those marked as contexts, or as n-grams after
+    what is marked as a context. ``marks``: of n-grams, and of contexts."""
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pairs, contexts = marks.value
         for batch in batches:
             block = batch.column(0).to_numpy()
             cuts = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1], [True]])) if len(block) else []
             for begin, end in zip(cuts[:-1], cuts[1:]):
-                for _, texts in blocks(batch.column(1).slice(begin, end - begin)):
+                for _, texts in blocks(batch.column(1).slice(begin, end - begin), SCORED):
                     tokens, begins = token_stream(texts)
-                    depths = _depths(begins)
-                    for n in range(1, DEPTH + 2):
-                        asked = grams(tokens, n)[depths >= n - 1]
-                        asked = np.unique(asked[_marked(marks, asked)])
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(np.full(len(asked), block[begin])), pa.array(asked.view(np.int64))],
-                            ["block", "gram"])
-
-    return rows.select("block", "_text").mapInArrow(ask, "block long, gram long")
+                    depths, before = _depths(begins), tokens
+                    asked = [tokens]
+                    for n in range(2, DEPTH + 2):
+                        whole = grams(tokens, n)
+                        own = _marked(contexts, whole) | _marked(pairs, whole) & _marked(contexts, _before(before))
+                        asked.append(whole[own & (depths >= n - 1)])
+                        before = whole
+                    parts, keys = _dealt(_distinct(np.concatenate(asked))[0], bits)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(parts), block[begin])), parts, keys], ["block", "part", "gram"])
+
+    return rows.select("block", "_text").mapInArrow(ask, "block long, part long, gram binary")
+
+
+def _answered(wanted: DataFrame, model: DataFrame) -> DataFrame:
+    """(block, gram, kind, value): what the model has of what blocks ask for."""
+    def answer(asked: pa.Table, own: pa.Table) -> pa.Table:
+        keys, lengths = _read(asked.column("gram")), _lengths(asked.column("gram"))
+        owner, found = np.repeat(np.arange(len(lengths)), lengths), []
+        for row in range(own.num_rows):
+            one = own.slice(row, 1)
+            there, at = _find(_read(one.column("gram")), keys)
+            found.append((owner[there], keys[there], np.full(there.sum(), one.column("kind")[0].as_py()),
+                          _read(one.column("value"), np.float64)[at[there]]))
+        if not found:
+            found = [(owner[:0], keys[:0], owner[:0], np.zeros(0))]
+        owner, *columns = (np.concatenate(x) for x in zip(*found, strict=True))
+        order = np.argsort(owner, kind="stable")
+        bounds = np.searchsorted(owner[order], np.arange(len(lengths) + 1))
+        return pa.table([asked.column("block"), *[_packed(c[order], bounds) for c in columns]],
+                        ["block", "gram", "kind", "value"])
+
+    return wanted.groupBy("part").cogroup(model.groupBy("part")).applyInArrow(
+        answer, "block long, gram binary, kind binary, value binary")
 
 
 def score(docs: DataFrame, key: str = "doc_id", text: str = "text", train: Column | None = None) -> DataFrame:
@@ -323,8 +590,8 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", train: Colum
     once; a context's chances are its discounted shares plus what they leave times the shorter
     context's, so at each place the chances add up to 1.
 
-    Texts are scored in blocks of about BLOCK bytes (a longer one alone): the different n-grams of a
-    block are joined to the stored model, and what is found comes back to the block. A null text
+    Texts are scored in blocks of about SCORED bytes (a longer one alone): the different n-grams of a
+    block are looked up in the parts of the stored model, and what is found comes back to the block. A null text
     counts as empty and has the end alone; repeated rows are scored one by one; without training
     rows both scores are 0 for unseen words; an empty table gives an empty one; other columns are not
     read, whatever they are called.
@@ -332,22 +599,27 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", train: Colum
     train = F.lit(True) if train is None else F.coalesce(train, F.lit(False))
     value = quoted(text).cast("string")
     rows = docs.select(train.alias("train"), value.alias("text"))
-    words, cells = count_words(rows)
-    words = stored(words, "words")
+    counted, cells = count_words(rows)
+    words = stored(counted, "words")
+    discard(counted)
     trained = F.col("n_train") > 0
     tokens, kinds, once = words.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in (
         F.col("n_train"), trained.cast("long"), (F.col("n_train") == 1).cast("long"))]).first()
     end = words.where(F.col("h") == int(END)).select("n_train").first()
     spare = max(once, 1)
-    model = grow_tree(rows, cells, words, end["n_train"] if end else 0, tokens, lambda c: c / float(tokens + spare))
+    model, bits, marks = grow_tree(rows, cells, words, end["n_train"] if end else 0, tokens, tokens + spare)
+    discard(words)
     seen = stored(_in_blocks(docs.select(train.alias("train"), quoted(key).alias("_id"), value.alias("_text"))), "blocks")
-    model = stored(model, "model")
     release(docs.sparkSession)
-    hits = _wanted(seen, _marks(model)).join(model, "gram")
+    maps = docs.sparkSession.sparkContext.broadcast([_marks(model.where(w), bits, marks) for w in (
+        F.col("kind").between(2, LEAVES - 1), F.col("kind") > LEAVES)])
+    release(docs.sparkSession)
+    rounds = max(1, min(ROUNDS, seen.select("block").distinct().count() // ROUND_BLOCKS))
 
     def solve(texts: pa.Table, found: pa.Table) -> pa.Table:
-        gram, kind, value = (found.column(c).to_numpy() for c in ("gram", "kind", "value"))
-        pick = lambda k: HashTable(gram[kind == k].view(np.uint64), value[kind == k])
+        gram, kind, value = (_read(found.column(c), t) for c, t in (
+            ("gram", np.uint64), ("kind", np.int64), ("value", np.float64)))
+        pick = lambda k: HashTable(gram[kind == k], value[kind == k])
         counted, levels = pick(WORD), range(2, DEPTH + 2)
         tree = SuffixTree([pick(LEAVES + n - 1) for n in levels], [pick(n) for n in levels])
         stream, begins = token_stream([t or b"" for t in texts.column("_text").cast(pa.binary()).to_pylist()])
@@ -369,6 +641,19 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", train: Colum
 
     id_kind = seen.schema["_id"].dataType.simpleString()
     name = key.replace("`", "``")
-    return seen.groupBy("block").cogroup(hits.groupBy("block")).applyInArrow(
-        solve, f"`{name}` {id_kind}, train boolean, n_tokens long, n_known long, train_tokens long, "
-        "base_score double, score double")
+    done = []
+    for turn in range(rounds):
+        part = seen.where(F.pmod(F.xxhash64("block"), F.lit(rounds)) == turn)
+        hits = _answered(_wanted(part, maps, bits), model)
+        done.append(part.groupBy("block").cogroup(hits.groupBy("block")).applyInArrow(
+            solve, f"`{name}` {id_kind}, train boolean, n_tokens long, n_known long, train_tokens long, "
+            "base_score double, score double"))
+        if rounds > 1:
+            done[-1] = stored(done[-1], f"scores-{turn}")
+            release(docs.sparkSession)
+    if rounds > 1:
+        maps.destroy()
+    out = done[0]
+    for scores in done[1:]:
+        out = out.unionByName(scores)
+    return out
