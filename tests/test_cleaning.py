@@ -154,3 +154,40 @@ def test_prices(spark):
     df = spark.createDataFrame([("$1,299.50",), (" None ",), (None,)], "p string")
     got = df.select(products.price_text(F.col("p")), products.price_number(F.col("p"))).collect()
     assert [tuple(r) for r in got] == [("$1,299.50", 1299.5), ("None", None), ("None", None)]
+
+
+def test_only_rows_that_may_be_duplicates_are_compared(spark):
+    more = FUNNEL + [(7, "A text with an odd rating.", "3.5", "P6"), (8, "A text with an odd rating.", "5", "P6"),
+                     (9, "Another text with an odd rating.", "x", "P6"), (None, "A text without any row id.", "5", "P6"),
+                     (10, " Broke immediately.  Poor quality.", "4", None)]
+    other = raw(spark, more[:5]).withColumn("domain", F.lit("Fashion"))
+    data = raw(spark, more).unionByName(other).unionByName(raw(spark, more[4:5]))
+    repeated = cleaning.repeated_texts(data)
+    assert repeated.count() == 4
+    found, want = cleaning.clean_reviews(data, repeated=repeated), cleaning.clean_reviews(data)
+    key = lambda r: str(r)
+    assert sorted(map(key, found.select(want.columns).collect())) == sorted(map(key, want.collect()))
+    counts = cleaning.cleaning_funnel(data, repeated=repeated)
+    assert rows(counts) == rows(cleaning.cleaning_funnel(data)) and counts.count() == 2
+    assert cleaning.repeated_texts(data, most=3) is None
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("LeftAnti") < plan.index("Window") < plan.index("LeftSemi")
+
+
+def test_join_carries_the_reviews_of_each_product(spark):
+    keys = [("F", " P1")] * 2 + [("F", "P1 ")] * 2 + [("F", "P2"), ("F", None), (None, "P1"), ("F", "P9")]
+    df = spark.createDataFrame([(i, *k) for i, k in enumerate(keys)], "row_id long, domain string, parent_asin string")
+    catalog = spark.createDataFrame([("F", "P1", 1, "a"), ("F", "P2", 2, "b"), ("F", "P3", 3, "c")],
+                                    "domain string, parent_asin string, row_id long, title string")
+    sizes = products.key_counts(df)
+    checked = [products.join_validation(*x).orderBy("domain").collect() for x in ((sizes, catalog, "n_reviews"), (df, catalog))]
+    assert checked[0] == checked[1] and len(checked[0]) == 2
+    joined = products.join_reviews_with_products(df, catalog, sizes=sizes)
+    plain = products.join_reviews_with_products(df, catalog)
+    assert {(r.row_id, r.n_reviews) for r in joined.collect()} == {(0, 4), (1, 4), (2, 4), (3, 4), (4, 1)}
+    for least in (1, 3):
+        kept, some = products.filter_by_min_reviews(joined, catalog, least, "n_reviews")
+        want, same = products.filter_by_min_reviews(plain, catalog, least)
+        assert rows(kept.select(want.columns)) == rows(want) and rows(some) == rows(same)
+    plan = products.reviews_with_min(joined, 3, "n_reviews")._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" not in plan

@@ -207,3 +207,24 @@ def test_stream_dedup_and_counts(spark, tmp_path):
     stream.keep_latest(stream.running_counts(labelled, ["domain", "sentiment"]), counts,
                        str(tmp_path / "s2")).awaitTermination()
     assert stream.read_latest(spark, counts).agg(F.sum("n")).first()[0] == 6
+
+
+def test_raw_files_are_compressed_and_of_bounded_rows(spark, tmp_path, monkeypatch):
+    from voxmill.plans import storage
+
+    monkeypatch.setattr(storage, "new_path", lambda s, name: str(tmp_path / name))
+    monkeypatch.setattr(storage, "FILE_ROWS", 20)
+    spark.range(6).selectExpr(
+        "id as p_partkey", "concat('part number ', id) as p_name", "'Brand#1' as p_brand",
+        "if(id % 2 = 0, 'SMALL', 'PROMO') as p_type", "cast(id as int) as p_size", "1.5D as p_retailprice",
+    ).write.parquet(f"{tmp_path}/part.parquet")
+    spark.range(180).selectExpr(
+        "id as l_orderkey", "1 as l_linenumber", "id % 6 as l_partkey", "7L as l_suppkey", "'R' as l_returnflag",
+        "date'1995-01-01' as l_shipdate", "31.0D as l_quantity", "'F' as l_linestatus",
+    ).coalesce(1).write.parquet(f"{tmp_path}/lineitem.parquet")
+    assert storage.raw_to_insights(spark, str(tmp_path)).count() == 6
+    raw = [p for d in tables.REVIEW_FOLDERS.values() for p in (tmp_path / "raw" / d).glob("part-*")]
+    assert len(raw) > 2 and all(p.name.endswith(".json.gz") for p in raw)
+    assert max(spark.read.text(str(p)).count() for p in raw) == 20
+    stored = next((tmp_path / "raw" / "tables" / "reviews.parquet").glob("part-*"))
+    assert ".zstd." in stored.name

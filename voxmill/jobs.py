@@ -10,6 +10,7 @@ from voxmill.config import MIN_REVIEWS_PER_PRODUCT
 from voxmill.functions import text as tx
 from voxmill.operators import cleaning, insights, products
 from voxmill.operators.skew import ROWS_PER_TASK
+from voxmill.session import cut
 from voxmill.sources import keyprofile, tables
 
 
@@ -21,30 +22,33 @@ def build_review_tables(
 
     Every stage is stored before the next reads it, as each is used more than once: for the
     result and for its counters. Hot products are known from the sketch taken as the reviews are
-    stored, so the join reads them once.
+    stored, so the join reads them once. What one shuffle finds serves all that need it: the texts
+    that may be repeated, for the reviews and their funnel, and the reviews of each product.
     """
     spark = raw_reviews.sparkSession
     paths = {name: f"{folder.rstrip('/')}/{name}.parquet" for name in (
         "processed", "joined", "clean_metadata", "reviews", "products", "cleaning_report",
         "join_report", "product_report")}
+    repeated = cleaning.repeated_texts(raw_reviews, max_chars=max_chars)
     keyprofile.write_with_key_profile(
-        cleaning.clean_reviews(raw_reviews, max_chars=max_chars), paths["processed"],
+        cleaning.clean_reviews(raw_reviews, max_chars=max_chars, repeated=repeated), paths["processed"],
         {"domain": F.col("domain"), "parent_asin": tx.strip(F.col("parent_asin"))}, partition_by=("domain",))
     processed = tables.read_table(spark, paths["processed"])
-    wanted = products.sample_metadata(raw_metadata, processed)
+    sizes = cut(products.key_counts(processed))
+    wanted = products.sample_metadata(raw_metadata, sizes)
     tables.write_table(products.clean_metadata(wanted, max_chars), paths["clean_metadata"])
     meta = tables.read_table(spark, paths["clean_metadata"])
     hot = keyprofile.hot_from_profile(
         spark, paths["processed"], "domain string, parent_asin string", ROWS_PER_TASK)
-    joined = products.join_reviews_with_products(processed, meta, identity=["row_id"], hot=hot)
+    joined = products.join_reviews_with_products(processed, meta, identity=["row_id"], hot=hot, sizes=sizes)
     tables.write_table(joined, paths["joined"])
     joined = tables.read_table(spark, paths["joined"])
-    kept_reviews, kept_products = products.filter_by_min_reviews(joined, meta, min_reviews)
+    kept_reviews, kept_products = products.filter_by_min_reviews(joined, meta, min_reviews, "n_reviews")
     tables.write_table(tables.conform(kept_reviews, schemas.REVIEW), paths["reviews"])
     tables.write_table(tables.conform(kept_products, schemas.PRODUCT), paths["products"])
     reports = {
-        "cleaning_report": cleaning.cleaning_funnel(raw_reviews, max_chars=max_chars),
-        "join_report": products.join_validation(processed, meta),
+        "cleaning_report": cleaning.cleaning_funnel(raw_reviews, max_chars=max_chars, repeated=repeated),
+        "join_report": products.join_validation(sizes, meta, "n_reviews"),
         "product_report": products.product_report(joined, min_reviews),
     }
     for name, report in reports.items():

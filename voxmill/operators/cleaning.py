@@ -7,6 +7,10 @@ from pyspark.sql import functions as F
 
 from voxmill.config import LABELS, MIN_CHARS, MIN_WORDS
 from voxmill.functions import labels, numbers, text as tx
+from voxmill.session import cut
+
+#: Hashes of repeated texts that are copied to every task at most.
+MAX_REPEATED = 1_000_000
 
 
 def keep_first(df: DataFrame, keys: list[Column], order: Column | str) -> DataFrame:
@@ -49,39 +53,74 @@ def checked_reviews(
     return out.withColumn("_reason", reason).drop("_missing")
 
 
+def _hash(subset: tuple[str, ...] = ("text",)) -> Column:
+    return F.xxhash64("domain", *subset).alias("_hash")
+
+
+def repeated_texts(
+    raw: DataFrame, min_words: int = MIN_WORDS, min_chars: int = MIN_CHARS,
+    max_chars: int | None = None, subset: tuple[str, ...] = ("text",), most: int = MAX_REPEATED,
+) -> DataFrame | None:
+    """(_hash): what the usable rows hash to that may be duplicates of another, for ``clean_reviews``
+    and ``cleaning_funnel``; rows that hash alone need no comparison. None when they are more than
+    ``most``: then all rows are compared."""
+    used = raw.select(*dict.fromkeys(["domain", "text", "rating", *subset]))
+    kept = checked_reviews(used, min_words, min_chars, max_chars).where("_reason = 'ok'")
+    found = cut(kept.select(_hash(subset)).groupBy("_hash").agg(F.count("*").alias("_n")).where("_n > 1").select("_hash"))
+    return found if found.count() <= most else None
+
+
 def clean_reviews(
     raw: DataFrame, min_words: int = MIN_WORDS, min_chars: int = MIN_CHARS,
-    max_chars: int | None = None, subset: tuple[str, ...] = ("text",),
+    max_chars: int | None = None, subset: tuple[str, ...] = ("text",), repeated: DataFrame | None = None,
 ) -> DataFrame:
-    """Cleaned, unique, labelled reviews. ``row_id`` decides which duplicate is the first."""
-    kept = checked_reviews(raw, min_words, min_chars, max_chars).where("_reason = 'ok'")
+    """Cleaned, unique, labelled reviews. ``row_id`` decides which duplicate is the first. With
+    ``repeated``, as from ``repeated_texts`` of the same rows, only rows that may be duplicates are
+    shuffled."""
+    kept = checked_reviews(raw, min_words, min_chars, max_chars).where("_reason = 'ok'").drop("_reason")
     keys = [F.col("domain")] + [
         text_key(F.col(c)) if c == "text" else F.col(c) for c in subset]
+    if repeated is None:
+        unique = keep_first(kept, keys, "row_id")
+    else:
+        hashed, listed = kept.select("*", _hash(subset)), F.broadcast(repeated)
+        alone = hashed.join(listed, "_hash", "left_anti").drop("_hash")
+        again = hashed.join(listed, "_hash", "left_semi").drop("_hash")
+        unique = alone.unionByName(keep_first(again, keys, "row_id"))
     return (
-        keep_first(kept.drop("_reason"), keys, "row_id")
-        .withColumn("sentiment", labels.rating_label(F.col("rating")))
+        unique.withColumn("sentiment", labels.rating_label(F.col("rating")))
         .where(F.col("sentiment").isNotNull())
     )
 
 
 def cleaning_funnel(
     raw: DataFrame, min_words: int = MIN_WORDS, min_chars: int = MIN_CHARS,
-    max_chars: int | None = None,
+    max_chars: int | None = None, repeated: DataFrame | None = None,
 ) -> DataFrame:
     """Per domain: rows before, removed for each cause, after, and label counts and shares.
 
-    Only digests, ids and label codes are shuffled, never the texts.
+    Only digests, ids and label codes are shuffled, never the texts; with ``repeated``, as from
+    ``repeated_texts`` of the same rows, those of the rows that may be duplicates, and sums.
     """
     rows = checked_reviews(
         raw.select("domain", "row_id", "text", "rating"), min_words, min_chars, max_chars)
+    ok = F.col("_reason") == "ok"
+    alone = F.lit(False)
+    if repeated is not None:
+        listed = F.broadcast(repeated.withColumn("_again", F.lit(True)))
+        rows = rows.select("*", _hash()).join(listed, "_hash", "left")
+        alone = ok & F.col("_again").isNull()
     rows = rows.select(
-        "domain", "row_id", "_reason",
-        F.when(F.col("_reason") == "ok", text_key(F.col("text"))).alias("_key"),
+        "domain", "row_id", "_reason", alone.alias("_alone"),
+        F.when(ok & ~alone, text_key(F.col("text"))).alias("_key"),
         labels.encode_label(labels.rating_label(F.col("rating"))).alias("_code"),
     )
-    texts = rows.groupBy("domain", "_reason", "_key").agg(
-        F.count("*").alias("_n"), F.min_by("_code", "row_id").alias("_code"))
-    ok = F.col("_reason") == "ok"
+    # Texts that are alone are summed by their code, the others told apart.
+    own = F.when(F.col("_alone") & F.col("row_id").isNotNull(), F.col("_code"))
+    texts = rows.withColumn("_own", own).groupBy("domain", "_reason", "_alone", "_own", "_key").agg(
+        F.count("*").alias("_n"), F.min_by("_code", "row_id").alias("_code")).withColumns({
+            "_code": F.when(F.col("_alone"), F.col("_own")).otherwise(F.col("_code")),
+            "_texts": F.when(F.col("_alone"), F.col("_n")).otherwise(1)})
 
     def total(condition, value=F.col("_n")):
         return F.coalesce(F.sum(F.when(condition, value)), F.lit(0)).cast("long")
@@ -90,10 +129,10 @@ def cleaning_funnel(
         F.sum("_n").alias("reviews_before"),
         total(F.col("_reason") == "missing").alias("missing_removed"),
         total(F.col("_reason") == "short").alias("short_removed"),
-        total(ok, F.col("_n") - 1).alias("duplicates_removed"),
-        total(ok & F.col("_code").isNull(), F.lit(1)).alias("unlabeled_removed"),
-        total(ok & F.col("_code").isNotNull(), F.lit(1)).alias("reviews_after"),
-        *[total(ok & (F.col("_code") == i), F.lit(1)).alias(f"{name}_count")
+        total(ok, F.col("_n") - F.col("_texts")).alias("duplicates_removed"),
+        total(ok & F.col("_code").isNull(), F.col("_texts")).alias("unlabeled_removed"),
+        total(ok & F.col("_code").isNotNull(), F.col("_texts")).alias("reviews_after"),
+        *[total(ok & (F.col("_code") == i), F.col("_texts")).alias(f"{name}_count")
           for i, name in enumerate(LABELS)],
     )
     return counted.withColumns({

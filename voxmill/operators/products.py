@@ -100,14 +100,17 @@ def unique_products(meta: DataFrame, keys: list[str] = ("parent_asin",)) -> Data
 def join_reviews_with_products(
     reviews: DataFrame, meta: DataFrame, counted: Observation | None = None,
     identity: list[str] | None = None, hot: DataFrame | None = None,
-    rows_per_task: int = ROWS_PER_TASK,
+    rows_per_task: int = ROWS_PER_TASK, sizes: DataFrame | None = None,
 ) -> DataFrame:
     """Reviews of known products. The product side is unique per key, so no review multiplies;
     hot products are spread over several tasks. ``counted`` receives the joined row count. With
-    ``hot``, as from ``keyprofile.hot_from_profile``, the reviews are read once."""
+    ``hot``, as from ``keyprofile.hot_from_profile``, the reviews are read once. With ``sizes``, the
+    ``key_counts`` of the reviews, each one carries its product's as ``n_reviews``."""
     left, keys = with_trimmed_key(reviews), shared_keys(reviews, meta)
     right = product_columns(unique_products(meta, keys))
     right = right.drop(*[c for c in KEYS if c not in keys])
+    if sizes is not None:
+        right = right.join(with_trimmed_key(sizes).groupBy(*keys).agg(F.sum("n_reviews").alias("n_reviews")), keys)
     joined = salted_join(left, right, keys, identity=identity, hot=hot, rows_per_task=rows_per_task)
     return joined.observe(counted, F.count("*").alias("joined")) if counted else joined
 
@@ -128,16 +131,18 @@ def unmatched_products(reviews: DataFrame, meta: DataFrame) -> DataFrame:
         with_trimmed_key(meta).select(*keys), keys, "left_anti")
 
 
-def join_validation(reviews: DataFrame, meta: DataFrame) -> DataFrame:
+def join_validation(reviews: DataFrame, meta: DataFrame, counted: str | None = None) -> DataFrame:
     """Nine counters per domain. Both sides are counted per key first; the join then sees at
-    most one row per key from each."""
-    def per_key(df, name):
+    most one row per key from each. A row of ``reviews`` stands for as many as ``counted`` names, as
+    in their ``key_counts``."""
+    def per_key(df, name, n=F.lit(1)):
         return (
-            df.select("domain", F.when(has_key(), tx.strip(F.col("parent_asin"))).alias("_key"))
-            .groupBy("domain", "_key").agg(F.count("*").alias(name))
+            df.select("domain", F.when(has_key(), tx.strip(F.col("parent_asin"))).alias("_key"), n.alias("_n"))
+            .groupBy("domain", "_key").agg(F.sum("_n").alias(name))
         )
 
-    left, right = per_key(reviews, "_reviews"), per_key(meta, "_meta")
+    left = per_key(reviews, "_reviews", F.col(counted) if counted else F.lit(1))
+    right = per_key(meta, "_meta")
     both = left.join(
         right,
         left["domain"].eqNullSafe(right["domain"]) & left["_key"].eqNullSafe(right["_key"]),
@@ -166,11 +171,13 @@ def join_validation(reviews: DataFrame, meta: DataFrame) -> DataFrame:
     )
 
 
+def key_counts(reviews: DataFrame) -> DataFrame:
+    """Rows per key as it stands, null keys too."""
+    return reviews.groupBy("domain", "parent_asin").agg(F.count("*").alias("n_reviews"))
+
+
 def reviews_per_product(reviews: DataFrame) -> DataFrame:
-    return (
-        reviews.where(F.col("parent_asin").isNotNull())
-        .groupBy("domain", "parent_asin").agg(F.count("*").alias("n_reviews"))
-    )
+    return key_counts(reviews.where(F.col("parent_asin").isNotNull()))
 
 
 def products_with_min_reviews(
@@ -180,14 +187,19 @@ def products_with_min_reviews(
 
 
 def filter_by_min_reviews(
-    reviews: DataFrame, meta: DataFrame, min_reviews: int = MIN_REVIEWS_PER_PRODUCT,
+    reviews: DataFrame, meta: DataFrame, min_reviews: int = MIN_REVIEWS_PER_PRODUCT, counted: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Reviews and metadata of the products that have enough reviews."""
-    return reviews_with_min(reviews, min_reviews), metadata_with_min(reviews, meta, min_reviews)
+    return reviews_with_min(reviews, min_reviews, counted), metadata_with_min(reviews, meta, min_reviews)
 
 
-def reviews_with_min(reviews: DataFrame, min_reviews: int = MIN_REVIEWS_PER_PRODUCT) -> DataFrame:
-    """The counts that find the kept products also tell which of them are hot."""
+def reviews_with_min(
+    reviews: DataFrame, min_reviews: int = MIN_REVIEWS_PER_PRODUCT, counted: str | None = None,
+) -> DataFrame:
+    """The counts that find the kept products also tell which of them are hot. Where the reviews carry
+    them, in the column ``counted``, as ``join_reviews_with_products`` adds it, nothing is joined."""
+    if counted:
+        return reviews.where(F.col(counted) >= min_reviews).drop(counted)
     sizes = cut(reviews_per_product(reviews))
     kept = sizes.where(F.col("n_reviews") >= min_reviews).select(*KEYS)
     return salted_join(reviews, kept, list(KEYS), "left_semi",

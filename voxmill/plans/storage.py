@@ -13,7 +13,7 @@ from voxmill.plans.cleaning import _kept
 from voxmill.plans.evaluation import _CLASSES, _TABLE, _counts
 from voxmill.plans.insights import _INSIGHTS
 from voxmill.plans.registry import query
-from voxmill.session import new_path
+from voxmill.session import FILE_ROWS, new_path
 from voxmill.sources import lines, tables, views
 from voxmill.streaming import reviews as stream
 
@@ -137,7 +137,8 @@ bodies AS (""", 1)
 
 @query(_RAW + "SELECT * FROM insights")
 def raw_to_insights(spark, sf):
-    """From raw JSON lines as files hold them, without row ids, to the stored insights table."""
+    """From raw JSON lines as files hold them, without row ids, to the stored insights table. The files
+    are compressed; as one task reads each, they have FILE_ROWS lines at most."""
     base = new_path(spark, "raw")
     fields = [c for c in schemas.RAW_REVIEW.names if c not in ("row_id", "domain")]
     reviews = views.item_reviews(spark, sf).withColumns({
@@ -146,10 +147,10 @@ def raw_to_insights(spark, sf):
     padded = F.concat(F.lit(" "), "parent_asin", F.lit("  "))
     meta = views.raw_metadata(spark, sf).drop("row_id").withColumn("parent_asin", padded)
     for domain in DOMAINS:
-        reviews.where(F.col("domain") == domain).select(*fields).write.json(
-            f"{base}/{tables.source_folder(domain)}")
-        meta.where(F.col("domain") == domain).drop("domain").write.json(
-            f"{base}/{tables.source_folder(domain, 'metadata')}")
+        reviews.where(F.col("domain") == domain).select(*fields).write.option("maxRecordsPerFile", FILE_ROWS).json(
+            f"{base}/{tables.source_folder(domain)}", compression="gzip")
+        meta.where(F.col("domain") == domain).drop("domain").write.option("maxRecordsPerFile", FILE_ROWS).json(
+            f"{base}/{tables.source_folder(domain, 'metadata')}", compression="gzip")
     paths = jobs.build_review_tables(
         tables.union_domains([tables.load_reviews(spark, base, d) for d in DOMAINS]),
         tables.union_domains([tables.load_metadata(spark, base, d) for d in DOMAINS]), f"{base}/tables")

@@ -64,6 +64,8 @@ def write_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) ->
         writer = df.write.format("csv").options(header=True, escape='"', quote='"')
     else:
         writer = df.write.format(fmt)
+        if fmt == "parquet":
+            writer = writer.option("compression", "zstd")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.mode("overwrite").save(path)
