@@ -180,3 +180,11 @@ def test_a_task_passes_on_a_row_for_each_part(spark):
         gram, context, tail = (np.frombuffer(r[c], np.uint64) for c in ("gram", "context", "tail"))
         assert (gram == suffixtree._gram(context, tail, 2)).all() and (gram[1:] > gram[:-1]).all()
         assert (gram >> np.uint64(61) == r.part).all()
+
+
+def test_stored_tables_are_compressed(spark):
+    """Besides their values, which are the plain ones."""
+    docs = documents(spark, corpus()).select(F.lit(True).alias("train"), "text")
+    table = suffixtree.stored(docs, "texts")
+    assert all(".zstd." in f for f in table.inputFiles())
+    assert sorted(str(r.text) for r in table.collect()) == sorted(str(r.text) for r in docs.collect())

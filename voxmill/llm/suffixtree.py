@@ -12,7 +12,8 @@ from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voxmill.llm.common import discard, quoted, release, stored
+from voxmill.llm import common
+from voxmill.llm.common import discard, quoted, release
 from voxmill.llm.words import BLOCK, blocks, hashed_words, mixed
 
 #: Longest context in words.
@@ -46,6 +47,11 @@ START, END = np.uint64(0x51AB7), np.uint64(0xE2D)
 _FACTORS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)]
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """A stored table in few bytes: several are on disk at a time."""
+    return common.stored(df, name, compression="zstd")
+
+
 def token_stream(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Start, words and end of each text as hashes, and where each text begins (and the end)."""
     cuts = np.flatnonzero(np.diff(np.cumsum([len(t) for t in texts]) // HASHED, prepend=-1)).tolist()
