@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from voxmill.llm import common
 from voxmill.llm.common import discard, quoted, release
 from voxmill.llm.words import BLOCK, blocks, hashed_words, mixed
+from voxmill.session import new_path, shuffle_parts
 
 #: Longest context in words.
 DEPTH = 3
@@ -36,10 +37,10 @@ HELD = 1 << 21
 #: Bytes of text that are hashed at a time, about: what this takes stays in the processor's cache.
 HASHED = 1 << 16
 #: Bytes of text that are scored together: the more, the fewer n-grams are looked up twice.
-SCORED = 4 * BLOCK
+SCORED = 8 * BLOCK
 #: Rounds in which blocks are scored, so that only one round's lookups are on disk, and blocks that
 #: a round has at least.
-ROUNDS, ROUND_BLOCKS = 8, 4
+ROUNDS, ROUND_BLOCKS = 4, 4
 #: Tables of counters added up in one step.
 FAN = 256
 
@@ -52,6 +53,25 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return common.stored(df, name, compression="zstd")
 
 
+def bucketed(df: DataFrame, name: str, bits: int) -> DataFrame:
+    """A stored table whose files are dealt by ``part``, as a shuffle would deal them, so that work on
+    its parts reads them where they are. The session's catalog knows its name until ``dropped``."""
+    spark = df.sparkSession
+    path = new_path(spark, name)
+    table = path.rsplit("/", 1)[1].replace("-", "_")
+    df.write.format("parquet").option("path", path).option("compression", "zstd").bucketBy(
+        min(shuffle_parts(spark), 1 << bits), "part").saveAsTable(table)
+    return spark.table(table)
+
+
+def dropped(table: DataFrame) -> None:
+    """Delete a ``bucketed`` table that only stored tables were made from."""
+    files = table.inputFiles()[:1]
+    discard(table)
+    for file in files:
+        table.sparkSession.sql(f"DROP TABLE IF EXISTS `{file.rsplit('/', 2)[1].replace('-', '_')}`")
+
+
 def token_stream(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Start, words and end of each text as hashes, and where each text begins (and the end)."""
     cuts = np.flatnonzero(np.diff(np.cumsum([len(t) for t in texts]) // HASHED, prepend=-1)).tolist()
@@ -130,13 +150,18 @@ class SuffixTree:
             places, at = contexts.find(_before(grams(tokens, n - 1)))
             near = depths[places] >= n - 1
             places, at = places[near], at[near]
-            chance[places] *= contexts.values[0][at]
             both = grams(tokens, n)[places]
             hit, where = pairs.find(both)
-            chance[places[hit]] += pairs.values[0][where]
+            _raise(chance, places, contexts.values[0][at], places[hit], pairs.values[0][where])
         return chance
 
 
+def _raise(chance: np.ndarray, places: np.ndarray, leaves: np.ndarray, hit: np.ndarray, own: np.ndarray) -> None:
+    """One step to a longer context: what it leaves at the places that have one, and shares of words."""
+    chance[places] *= leaves
+    chance[hit] += own
+
+
 def _distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Different values, sorted, and how often each occurs."""
     values = np.sort(values)
@@ -146,7 +171,13 @@ def _distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _counted(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
     """Per block of a batch whose first column marks training texts: the place of its first text, its
-    tokens, where texts begin, and which tokens are training tokens."""
+    tokens, where texts begin, and which tokens are training tokens. A batch of blocks (``_in_blocks``)
+    has its words found already."""
+    if "vocab" in batch.schema.names:
+        for i in range(batch.num_rows):
+            tokens, begins, train = _block(batch.slice(i, 1))
+            yield i, tokens, begins, np.repeat(train, np.diff(begins))
+        return
     train = batch.column(0).to_numpy(zero_copy_only=False).astype(bool)
     for start, texts in blocks(batch.column(column)):
         tokens, begins = token_stream(texts)
@@ -231,13 +262,40 @@ def _row(*columns: np.ndarray) -> list[pa.Array]:
 
 
 def _read(column: pa.ChunkedArray | pa.Array, kind: type = np.uint64) -> np.ndarray:
-    """The values of all rows, one row after the other."""
-    return np.frombuffer(b"".join(column.to_pylist()), kind)
+    """The values of all rows, one row after the other; not copied if they lie together."""
+    found = []
+    for chunk in column.chunks if isinstance(column, pa.ChunkedArray) else [column]:
+        at, data = _offsets(chunk), chunk.buffers()[2] if len(chunk) else None
+        if data is not None:
+            found.append(np.frombuffer(data, np.uint8)[at[0]:at[-1]].view(kind))
+    return found[0] if len(found) == 1 else np.concatenate(found) if found else np.zeros(0, kind)
+
+
+def _offsets(chunk: pa.Array) -> np.ndarray:
+    """Where the bytes of each row begin (and the end)."""
+    if not len(chunk):
+        return np.zeros(1, np.int64)
+    kind = np.int64 if pa.types.is_large_binary(chunk.type) else np.int32
+    return np.frombuffer(chunk.buffers()[1], kind)[chunk.offset:chunk.offset + len(chunk) + 1]
 
 
 def _lengths(column: pa.ChunkedArray) -> np.ndarray:
     """How many 8-byte values each row has."""
-    return np.array([len(x) // 8 for x in column.to_pylist()], np.int64)
+    return np.concatenate([np.zeros(0, np.int64), *[np.diff(_offsets(c)) // 8 for c in column.chunks]])
+
+
+def _short(numbers: np.ndarray, bounds: np.ndarray) -> list[pa.Array]:
+    """Counts between the bounds, mostly small: a byte each, and the larger ones besides."""
+    large = numbers >= 255
+    return [_packed(np.minimum(numbers, 255).astype(np.uint8), bounds),
+            _packed(numbers[large], np.append(0, np.cumsum(large))[bounds])]
+
+
+def _long(short: pa.ChunkedArray, large: pa.ChunkedArray) -> np.ndarray:
+    """The counts that ``_short`` has packed."""
+    out = _read(short, np.uint8).astype(np.int64)
+    out[out == 255] = _read(large, np.int64)
+    return out
 
 
 def _dealt(hashes: np.ndarray, bits: int, *columns: np.ndarray) -> list[pa.Array]:
@@ -275,20 +333,23 @@ def _each(table: DataFrame, work, schema: str) -> DataFrame:
     return table.mapInArrow(run, schema)
 
 
-def _marks(table: DataFrame, bits: int, marks: int) -> np.ndarray:
-    """Bits, 2 ** ``marks`` of them, that are set for the column ``gram`` of a table of parts. A gram
-    whose bit is not set is not in the table; the others are looked up, so the marks save work and
-    decide nothing. A part has its own range of them."""
-    size = 1 << (marks - bits - 3)
+def _marks(table: DataFrame, bits: int, marks: int, only: str | None = None) -> np.ndarray:
+    """Bits, 2 ** ``marks`` of them, that are set for the column ``gram`` of a table of parts, where the
+    numbers in the column ``only`` are above 0. A gram whose bit is not set is not in the table; the
+    others are looked up, so the marks save work and decide nothing. A part has its own range of them."""
+    size = 1 << (marks - bits)
 
     def mark(rows: pa.Table) -> pa.Table:
-        at = (_read(rows.column("gram")) >> np.uint64(64 - marks)).astype(np.int64) & (size * 8 - 1)
-        own = np.zeros(size, np.uint8)
-        np.bitwise_or.at(own, at >> 3, np.left_shift(1, at & 7).astype(np.uint8))
-        return pa.table({"part": rows.column("part")[:1], "marks": pa.array([own.tobytes()], pa.binary())})
-
-    out = np.zeros((1 << bits, size), np.uint8)
-    for row in table.select("part", "gram").groupBy("part").applyInArrow(
+        gram = _read(rows.column("gram"))
+        if only:
+            gram = gram[_read(rows.column(only), np.int64) > 0]
+        own = np.zeros(size, bool)
+        own[(gram >> np.uint64(64 - marks)).astype(np.int64) & (size - 1)] = True
+        return pa.table({"part": rows.column("part")[:1],
+                         "marks": pa.array([np.packbits(own, bitorder="little").tobytes()], pa.binary())})
+
+    out = np.zeros((1 << bits, size >> 3), np.uint8)
+    for row in table.select("part", "gram", *[only] * bool(only)).groupBy("part").applyInArrow(
             mark, "part long, marks binary").toLocalIterator():
         out[row["part"]] = np.frombuffer(row["marks"], np.uint8)
     return out.reshape(-1)
@@ -320,8 +381,13 @@ def _frequent_grams(rows: DataFrame, n: int, least: float, likely, bits: int) ->
         def emptied() -> pa.RecordBatch:
             context, tail = (np.concatenate(x) for x in zip(*held, strict=True))
             gram, context, tail, sums = _counted_grams(n, context, tail, np.ones(len(tail), np.int64))
-            out = _dealt(gram, bits, context, tail, sums)
-            return pa.RecordBatch.from_arrays([out[0], *out[2:]], ["part", "context", "tail", "n"])
+            # They are sorted, so those of a part lie together.
+            part = _parts(gram, bits)
+            first = np.flatnonzero(np.diff(part, prepend=-1))
+            bounds = np.append(first, len(part))
+            return pa.RecordBatch.from_arrays(
+                [pa.array(part[first]), _packed(context, bounds), _packed(tail, bounds), *_short(sums, bounds)],
+                ["part", "context", "tail", "n", "large"])
 
         for batch in batches:
             for _, tokens, begins, own in _counted(batch, 1):
@@ -337,19 +403,26 @@ def _frequent_grams(rows: DataFrame, n: int, least: float, likely, bits: int) ->
             yield emptied()
 
     def total(found: pa.Table) -> pa.Table:
-        gram, context, tail, sums = _counted_grams(n, *(_read(found.column(c), k) for c, k in (
-            ("context", np.uint64), ("tail", np.uint64), ("n", np.int64))))
+        gram, context, tail, sums = _counted_grams(
+            n, _read(found.column("context")), _read(found.column("tail")), _long(found.column("n"), found.column("large")))
         often = sums >= least
         return pa.table([found.column("part")[:1], *_row(gram[often], context[often], tail[often], sums[often])],
                         ["part", "gram", "context", "tail", "n"])
 
-    return rows.mapInArrow(count, "part long, context binary, tail binary, n binary").groupBy("part").applyInArrow(
+    return rows.mapInArrow(
+        count, "part long, context binary, tail binary, n binary, large binary").groupBy("part").applyInArrow(
         total, "part long, gram binary, context binary, tail binary, n binary")
 
 
-def _with_below(found: DataFrame, known: DataFrame, bits: int) -> DataFrame:
+def _in_order(told: pa.Table) -> pa.Table:
+    """What the parts answered, in the order of what they were asked for: sorted hashes."""
+    return told.sort_by("part")
+
+
+def _with_below(found: DataFrame, known: DataFrame, n: int, bits: int) -> DataFrame:
     """(part, gram, context, n, below): n-grams with the chance of their tail, those whose tail is
-    known. A part asks for each tail once, however many of its n-grams share it."""
+    known. A part asks for each tail once, however many of its n-grams share it, and gets a number for
+    each, so no hash comes back."""
     def ask(row: pa.RecordBatch) -> list[pa.Array]:
         parts, tails = _dealt(_distinct(_read(row.column("tail")))[0], bits)
         return [pa.array(np.full(len(parts), row.column("part")[0].as_py())), parts, tails]
@@ -357,31 +430,33 @@ def _with_below(found: DataFrame, known: DataFrame, bits: int) -> DataFrame:
     def answer(asked: pa.Table, own: pa.Table) -> pa.Table:
         wanted, bounds = _read(asked.column("tail")), np.append(0, np.cumsum(_lengths(asked.column("tail"))))
         there, at = _find(_read(own.column("gram")), wanted)
-        bounds = np.append(0, np.cumsum(there))[bounds]
-        below = _read(own.column("chance"), np.float64)[at[there]]
-        return pa.table([asked.column("unit"), _packed(wanted[there], bounds), _packed(below, bounds)],
-                        ["unit", "tail", "below"])
+        below = np.full(len(wanted), np.nan)
+        below[there] = _read(own.column("chance"), np.float64)[at[there]]
+        return pa.table([asked.column("unit"), asked.column("part"), _packed(below, bounds)], ["unit", "part", "below"])
 
     def add(row: pa.Table, told: pa.Table) -> pa.Table:
-        tails, below = _read(told.column("tail")), _read(told.column("below"), np.float64)
-        order = np.argsort(tails)
-        there, at = _find(tails[order], _read(row.column("tail")))
-        gram, context, sums = (_read(row.column(c))[there] for c in ("gram", "context", "n"))
-        return pa.table([row.column("part"), *_row(gram, context, sums, below[order][at[there]] if len(at) else below)][:5]
+        context, tail = _read(row.column("context")), _read(row.column("tail"))
+        below = _read(_in_order(told).column("below"), np.float64)[np.unique(tail, return_inverse=True)[1]]
+        there = below == below
+        context, tail, below = context[there], tail[there], below[there]
+        return pa.table([row.column("part"), *_row(
+            _gram(context, tail, n), context, _read(row.column("n"), np.int64)[there], below)][:5]
                         if row.num_rows else [pa.array([], pa.int64())] + [pa.array([], pa.binary())] * 4,
                         ["part", "gram", "context", "n", "below"])
 
     told = _each(found.select("part", "tail"), ask, "unit long, part long, tail binary").groupBy("part").cogroup(
         known.select("part", "gram", "chance").groupBy("part")).applyInArrow(
-        answer, "unit long, tail binary, below binary")
+        answer, "unit long, part long, below binary")
     return found.groupBy("part").cogroup(told.groupBy("unit")).applyInArrow(
         add, "part long, gram binary, context binary, n binary, below binary")
 
 
 def _kept_contexts(level: DataFrame, known: DataFrame, tokens: int, bits: int) -> DataFrame:
-    """(unit, part, gram, total, leaves): the contexts that tell their next words apart, for each part
-    ``unit`` of the level that has n-grams after them, and once for the model, with unit -1. Parts of
-    the level send a context's sums, not its next words."""
+    """(unit, part, gram, n, size, kinds, leaves): for each part ``unit`` of the level, of all contexts
+    it has n-grams after, in order, the count and what they leave (not a number if they do not tell
+    their next words apart); and with unit -1 what the model has of the part: n-grams that are contexts
+    or are after one, with their counts and those of the next words. Parts of the level send a
+    context's sums, not its next words."""
     names = ["sum", "below", "kinds", "gain"]
 
     def ask(row: pa.RecordBatch) -> list[pa.Array]:
@@ -396,48 +471,54 @@ def _kept_contexts(level: DataFrame, known: DataFrame, tokens: int, bits: int) -
         contexts, inverse = np.unique(sent, return_inverse=True)
         size, below, kinds, gain = (
             np.bincount(inverse, _read(asked.column(c), np.float64), len(contexts)) for c in names)
-        there, at = _find(_read(own.column("gram")), contexts)
-        numbers = _read(own.column("n"), np.int64)
-        total = np.where(there, numbers[at], 1).astype(float) if len(numbers) else np.ones(len(contexts))
+        grams, numbers = _read(own.column("gram")), _read(own.column("n"), np.int64)
+        there, at = _find(grams, contexts)
+        total = np.where(there, numbers[at], 1) if len(numbers) else np.ones(len(contexts), np.int64)
         rest = np.maximum(total - size, 0.0)
         gain = gain - size * np.log(total) + np.where(rest > 0, rest * np.log(
             np.maximum(rest / total, 1e-12) / np.maximum(1 - below, 1e-12)), 0.0)
         kept = there & (gain > 0.5 * kinds * float(np.log(max(tokens, 2))) + 2)
-        leaves = 1 - (size - DISCOUNT * kinds) / total
+        leaves = np.where(kept, _leaves(size, kinds, total), np.nan)
         bounds = np.append(0, np.cumsum(_lengths(asked.column("gram"))))
-        pick = np.flatnonzero(kept[inverse])
-        bounds = np.append(np.append(0, np.cumsum(kept[inverse]))[bounds], len(pick) + kept.sum())
-        at = np.append(inverse[pick], np.flatnonzero(kept))
+        nothing = [_packed(grams[:0], np.zeros(len(bounds), np.int64))] * 3
         part = (asked if asked.num_rows else own).column("part")[0].as_py()
-        return pa.table([pa.array([*asked.column("unit").to_pylist(), -1], pa.int64()),
-                         pa.array([part] * (len(bounds) - 1), pa.int64()),
-                         *[_packed(c[at], bounds) for c in (contexts, total, leaves)]],
-                        ["unit", "part", "gram", "total", "leaves"])
-
+        told = pa.table([asked.column("unit"), asked.column("part"), nothing[0], _packed(total[inverse], bounds),
+                         *nothing[1:], _packed(leaves[inverse], bounds)], columns)
+        sums = np.zeros((2, len(grams)), np.int64)
+        sums[:, at[kept]] = size[kept], kinds[kept]
+        whole = _read(own.column("own"), bool) | (sums[1] > 0)
+        model = pa.table([pa.array([-1], pa.int64()), pa.array([part], pa.int64()),
+                          *_row(grams[whole], numbers[whole], *sums[:, whole], leaves[:0])], columns)
+        return pa.concat_tables([told, model])
+
+    columns = ["unit", "part", "gram", "n", "size", "kinds", "leaves"]
     sent = _each(level, ask, "unit long, part long, gram binary, sum binary, below binary, kinds binary, gain binary")
-    return sent.groupBy("part").cogroup(known.select("part", "gram", "n").groupBy("part")).applyInArrow(
-        decide, "unit long, part long, gram binary, total binary, leaves binary")
+    return sent.groupBy("part").cogroup(known.select("part", "gram", "n", "own").groupBy("part")).applyInArrow(
+        decide, "unit long, part long, gram binary, n binary, size binary, kinds binary, leaves binary")
+
+
+def _leaves(size: np.ndarray, kinds: np.ndarray, total: np.ndarray) -> np.ndarray:
+    """What contexts leave to the shorter ones, from the counts of their next words and how many differ."""
+    return 1 - (size - DISCOUNT * kinds) / total
 
 
 def _known(level: DataFrame, kept: DataFrame) -> DataFrame:
-    """(part, gram, n, own, chance): the n-grams of a level with their share after a kept context (else
-    not a number) and their chance."""
+    """(part, gram, n, own, chance): the n-grams of a level, whether they have a share of their own (are
+    after a kept context), and their chance."""
     def add(row: pa.Table, told: pa.Table) -> pa.Table:
         if not row.num_rows:
             return pa.table([pa.array([], pa.int64())] + [pa.array([], pa.binary())] * 4, names)
-        contexts = _read(told.column("gram"))
-        order = np.argsort(contexts)
-        there, at = _find(contexts[order], _read(row.column("context")))
-        n, below = _read(row.column("n"), np.int64), _read(row.column("below"), np.float64)
-        total, leaves = (_read(told.column(c), np.float64)[order][at[there]] for c in ("total", "leaves"))
-        own, chance = np.full(len(n), np.nan), below.copy()
-        own[there] = (n[there] - DISCOUNT) / total
-        chance[there] = own[there] + leaves * below[there]
+        told, inverse = _in_order(told), np.unique(_read(row.column("context")), return_inverse=True)[1]
+        n, chance = _read(row.column("n"), np.int64), _read(row.column("below"), np.float64).copy()
+        leaves = _read(told.column("leaves"), np.float64)[inverse]
+        own = leaves == leaves
+        total = _read(told.column("n"), np.int64)[inverse][own]
+        chance[own] = (n[own] - DISCOUNT) / total + leaves[own] * chance[own]
         return pa.table([row.column("part"), *_row(_read(row.column("gram")), n, own, chance)], names)
 
     names = ["part", "gram", "n", "own", "chance"]
-    return level.groupBy("part").cogroup(kept.where("unit >= 0").groupBy("unit")).applyInArrow(
-        add, "part long, gram binary, n binary, own binary, chance binary")
+    return level.groupBy("part").cogroup(kept.where("unit >= 0").select("unit", "part", "n", "leaves").groupBy(
+        "unit")).applyInArrow(add, "part long, gram binary, n binary, own binary, chance binary")
 
 
 def _known_words(words: DataFrame, texts: int, whole: int, bits: int) -> DataFrame:
@@ -452,23 +533,31 @@ def _known_words(words: DataFrame, texts: int, whole: int, bits: int) -> DataFra
         gram, n = rows.column("gram").to_numpy().view(np.uint64), rows.column("n").to_numpy()
         order = np.argsort(gram)
         n = n[order]
-        return pa.table([rows.column("part")[:1], *_row(gram[order], n, np.full(len(n), np.nan), n / whole)],
+        return pa.table([rows.column("part")[:1], *_row(gram[order], n, np.ones(len(n), bool), n / whole)],
                         ["part", "gram", "n", "own", "chance"])
 
     return rows.withColumn("part", shift).groupBy("part").applyInArrow(
         sort, "part long, gram binary, n binary, own binary, chance binary")
 
 
-#: Kinds of numbers in the table of the model: a word's count, from 2 on the share of the last word
-#: of an n-gram, and LEAVES + n for what a context of n words leaves to the shorter one.
-WORD, LEAVES = 1, 10
-_MODEL = "part long, kind long, gram binary, value binary"
+_MODEL = "part long, gram binary, n binary, size binary, kinds binary"
+
+
+def _merged(rows: pa.Table) -> pa.Table:
+    """A part of the model in one row, sorted."""
+    gram, *numbers = (_read(rows.column(c), k) for c, k in (
+        ("gram", np.uint64), ("n", np.int64), ("size", np.int64), ("kinds", np.int64)))
+    order = np.argsort(gram)
+    return pa.table([rows.column("part")[:1], *_row(gram[order], *[x[order] for x in numbers])],
+                    ["part", "gram", "n", "size", "kinds"])
 
 
 def grow_tree(rows: DataFrame, cells: np.ndarray, words: DataFrame, texts: int, tokens: int, whole: int) -> tuple[DataFrame, int, int]:
-    """(part, kind, gram, value): the tree of the contexts that tell their next words apart from the
-    shorter context's, and the counts of all training words; with the bits that number the parts and
-    those that choose marks.
+    """(part, gram, n, size, kinds): the tree of the contexts that tell their next words apart from the
+    shorter context's (for them, all occurrences and how many different of the next words that they
+    give shares to), their next words, and all training words, each with its count; with the bits that
+    number the parts and those that choose marks. What a context leaves and a word's share follow from
+    these whole numbers.
 
     Level by level, n-grams are counted exactly; a pair whose hashed counter is too low is left out
     before, and a longer n-gram unless both its shorter ones are marked. A context is retained if the
@@ -481,108 +570,152 @@ def grow_tree(rows: DataFrame, cells: np.ndarray, words: DataFrame, texts: int,
     least, spark = max(float(LEAST_COUNT), LEAST_SHARE * tokens), rows.sparkSession
     bits = max(0, tokens // PART_TOKENS).bit_length()
     marks = max(bits + 3, min(MARKS, max(16, (2 * tokens).bit_length())))
-    known = stored(_known_words(words, texts, whole, bits), "known-1")
+    known = bucketed(_known_words(words, texts, whole, bits), "known-1", bits)
 
-    def counts(row: pa.RecordBatch) -> list[pa.Array]:
-        gram, n = _read(row.column("gram")), _read(row.column("n"), np.int64)
-        return [row.column("part"), pa.array([WORD]), *_row(gram, n.astype(float))]
+    def last(row: pa.RecordBatch) -> list[pa.Array]:
+        own = _read(row.column("own"), bool)
+        gram, n = _read(row.column("gram"))[own], _read(row.column("n"), np.int64)[own]
+        return [row.column("part"), *_row(gram, n, np.zeros_like(n), np.zeros_like(n))]
 
-    model = [stored(_each(known, counts, _MODEL), "model-1")]
+    model = []
     enough = cells >= least
     likely = lambda whole, context, tail: enough[_cell(whole)]
     for n in range(2, DEPTH + 2):
-        found = stored(_frequent_grams(rows, n, least, likely, bits), f"grams-{n}")
+        found = bucketed(_frequent_grams(rows, n, least, likely, bits).drop("gram"), f"grams-{n}", bits)
         if n > 2:
             bitmap.destroy()
         release(spark)
-        level = stored(_with_below(found, known, bits), f"level-{n}")
-        discard(found)
+        level = bucketed(_with_below(found, known, n, bits), f"level-{n}", bits)
+        dropped(found)
         release(spark)
         kept = stored(_kept_contexts(level, known, tokens, bits), f"contexts-{n}")
-        discard(known)
-        known = stored(_known(level, kept), f"known-{n}")
-        discard(level)
-
-        def shares(row: pa.RecordBatch, n: int = n) -> list[pa.Array]:
-            gram, own = _read(row.column("gram")), _read(row.column("own"), np.float64)
-            return [row.column("part"), pa.array([n]), *_row(gram[own == own], own[own == own])]
-
-        model.append(stored(_each(known, shares, _MODEL).unionByName(kept.where("unit < 0").select(
-            "part", F.lit(LEAVES + n - 1).cast("long").alias("kind"), "gram", F.col("leaves").alias("value"))),
-            f"model-{n}"))
+        dropped(known)
+        known = bucketed(_known(level, kept), f"known-{n}", bits)
+        dropped(level)
+        model.append(stored(kept.where("unit < 0").select("part", "gram", "n", "size", "kinds"), f"model-{n - 1}"))
         discard(kept)
         release(spark)
         if n <= DEPTH:
             bitmap = spark.sparkContext.broadcast(_marks(known, bits, marks))
             likely = lambda whole, context, tail, m=bitmap: _marked(m.value, context) & _marked(m.value, tail)
-    discard(known)
-    out = model[0]
+    model.append(stored(_each(known, last, _MODEL), f"model-{DEPTH + 1}"))
+    dropped(known)
+    whole = model[0]
     for part in model[1:]:
-        out = out.unionByName(part)
+        whole = whole.unionByName(part)
+    out = bucketed(whole.groupBy("part").applyInArrow(_merged, _MODEL), "model", bits)
+    for part in model:
+        discard(part)
+    release(spark)
     return out, bits, marks
 
 
 def _in_blocks(rows: DataFrame) -> DataFrame:
-    """``rows`` (train, _id, _text) with the number of a block of about SCORED bytes."""
+    """``rows`` (train, _id, _text) in blocks of about SCORED bytes of text, a row each, dealt to ROUNDS
+    turns: the ids, which texts train, where their tokens begin (and the end), the different tokens'
+    hashes, sorted, and for each token its place there. So texts are read and hashed once."""
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = TaskContext.get().partitionId() << 32
+        task, done = TaskContext.get().partitionId(), 0
         for batch in batches:
             for at, texts in blocks(batch.column(2), SCORED):
                 part = batch.slice(at, len(texts))
+                tokens, begins = token_stream(texts)
+                vocab, places = np.unique(tokens, return_inverse=True)
+                train = part.column(0).to_numpy(zero_copy_only=False).astype(bool)
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array(np.full(len(texts), block))], ["train", "_id", "_text", "block"])
-                block += 1
+                    [pa.array([(task << 32) + done]), pa.array([(task + done) % turns], pa.int32()),
+                     pa.ListArray.from_arrays(pa.array([0, len(texts)], pa.int32()), part.column(1)),
+                     *_row(train, begins, vocab, places.astype(np.int32))],
+                    ["block", "turn", "ids", "train", "begins", "vocab", "places"])
+                done += 1
 
-    kind = rows.schema["_id"].dataType.simpleString()
-    return rows.mapInArrow(number, f"train boolean, _id {kind}, _text string, block long")
+    turns, kind = ROUNDS, rows.schema["_id"].dataType.simpleString()
+    return rows.mapInArrow(number, f"block long, turn int, ids array<{kind}>, train binary, begins binary, "
+                           "vocab binary, places binary")
+
+
+def _block(row: pa.RecordBatch | pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Tokens, where texts begin (and the end), and which texts train, of one block."""
+    return (_read(row.column("vocab"))[_read(row.column("places"), np.int32)], _read(row.column("begins"), np.int64),
+            _read(row.column("train"), bool))
+
+
+def _looked_up(tokens: np.ndarray, depths: np.ndarray, marks: tuple[np.ndarray, np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For n from 2, the places whose n-grams a block asks for, and these: those marked as contexts, or
+    as n-grams after what is marked as a context. ``marks``: of n-grams, and of contexts."""
+    pairs, contexts = marks
+    shorter, context = tokens, _marked(contexts, tokens)
+    for n in range(2, DEPTH + 2):
+        whole = _gram(_before(shorter), shorter, n)
+        after, context = _before(context), _marked(contexts, whole)
+        places = np.flatnonzero((context | after & _marked(pairs, whole)) & (depths >= n - 1))
+        yield places, whole[places]
+        shorter = whole
 
 
 def _wanted(rows: DataFrame, marks: Broadcast, bits: int) -> DataFrame:
     """(block, part, gram): what each block asks the parts of the model for, each n-gram once, however
-    often it occurs: its words, and of longer n-grams those marked as contexts, or as n-grams after
-    what is marked as a context. ``marks``: of n-grams, and of contexts."""
+    often it occurs: its words, and what ``_looked_up`` finds."""
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pairs, contexts = marks.value
         for batch in batches:
-            block = batch.column(0).to_numpy()
-            cuts = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1], [True]])) if len(block) else []
-            for begin, end in zip(cuts[:-1], cuts[1:]):
-                for _, texts in blocks(batch.column(1).slice(begin, end - begin), SCORED):
-                    tokens, begins = token_stream(texts)
-                    depths, before = _depths(begins), tokens
-                    asked = [tokens]
-                    for n in range(2, DEPTH + 2):
-                        whole = grams(tokens, n)
-                        own = _marked(contexts, whole) | _marked(pairs, whole) & _marked(contexts, _before(before))
-                        asked.append(whole[own & (depths >= n - 1)])
-                        before = whole
-                    parts, keys = _dealt(_distinct(np.concatenate(asked))[0], bits)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(parts), block[begin])), parts, keys], ["block", "part", "gram"])
-
-    return rows.select("block", "_text").mapInArrow(ask, "block long, part long, gram binary")
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1)
+                tokens, begins, _ = _block(row)
+                asked = [_distinct(whole)[0] for _, whole in _looked_up(tokens, _depths(begins), marks.value)]
+                parts, keys = _dealt(np.concatenate([_read(row.column("vocab")), *asked]), bits)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(parts), row.column("block")[0].as_py())), parts, keys], ["block", "part", "gram"])
+
+    return rows.select("block", "train", "begins", "vocab", "places").mapInArrow(
+        ask, "block long, part long, gram binary")
 
 
 def _answered(wanted: DataFrame, model: DataFrame) -> DataFrame:
-    """(block, gram, kind, value): what the model has of what blocks ask for."""
+    """(block, part, numbers, large): three counts, as the model has them, for each n-gram that a block
+    asks a part for, zeros if it is not there."""
     def answer(asked: pa.Table, own: pa.Table) -> pa.Table:
-        keys, lengths = _read(asked.column("gram")), _lengths(asked.column("gram"))
-        owner, found = np.repeat(np.arange(len(lengths)), lengths), []
-        for row in range(own.num_rows):
-            one = own.slice(row, 1)
-            there, at = _find(_read(one.column("gram")), keys)
-            found.append((owner[there], keys[there], np.full(there.sum(), one.column("kind")[0].as_py()),
-                          _read(one.column("value"), np.float64)[at[there]]))
-        if not found:
-            found = [(owner[:0], keys[:0], owner[:0], np.zeros(0))]
-        owner, *columns = (np.concatenate(x) for x in zip(*found, strict=True))
-        order = np.argsort(owner, kind="stable")
-        bounds = np.searchsorted(owner[order], np.arange(len(lengths) + 1))
-        return pa.table([asked.column("block"), *[_packed(c[order], bounds) for c in columns]],
-                        ["block", "gram", "kind", "value"])
+        keys, bounds = _read(asked.column("gram")), np.append(0, np.cumsum(_lengths(asked.column("gram"))))
+        there, at = _find(_read(own.column("gram")), keys)
+        at, numbers = at[there], np.zeros((len(keys), 3), np.int64)
+        for i, c in enumerate(("n", "size", "kinds")):
+            numbers[there, i] = _read(own.column(c), np.int64)[at]
+        return pa.table([asked.column("block"), asked.column("part"), *_short(numbers.reshape(-1), bounds * 3)],
+                        ["block", "part", "numbers", "large"])
 
     return wanted.groupBy("part").cogroup(model.groupBy("part")).applyInArrow(
-        answer, "block long, gram binary, kind binary, value binary")
+        answer, "block long, part long, numbers binary, large binary")
+
+
+def _chances(row: pa.Table, told: pa.Table, marks: tuple[np.ndarray, np.ndarray], bits: int, base: float,
+             spare: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The counts and the chances of a block's tokens, and how deep each is in its text, from what the
+    parts answered: without context, then raised level by level as by ``SuffixTree``."""
+    tokens, begins, _ = _block(row)
+    told, depths = _in_order(told), _depths(begins)
+    levels = [(places, *np.unique(whole, return_inverse=True)) for places, whole in _looked_up(tokens, depths, marks)]
+    vocab = _read(row.column("vocab"))
+    keys = _parts(np.concatenate([vocab, *[own for _, own, _ in levels]]), bits)
+    numbers = np.empty((len(keys), 3), np.int64)
+    numbers[np.argsort(keys, kind="stable")] = _long(told.column("numbers"), told.column("large")).reshape(-1, 3)
+    spots = _read(row.column("places"), np.int32)
+    own, at = numbers[:len(vocab)], len(vocab)
+    c = own[:, 0].astype(float)[spots]
+    chance = np.where(c > 0, c, spare) / base
+    context = own[:, 2] > 0
+    # Of the shorter n-gram at each place: where it is among those asked for, if it is a context.
+    before = np.where(context[spots], spots, -1)
+    for n, (places, values, inverse) in enumerate(levels, 2):
+        leaves = np.where(context, _leaves(own[:, 1], own[:, 2], np.maximum(own[:, 0], 1)), np.nan)
+        total, last = own[:, 0], _before(before)
+        raised = np.flatnonzero((last >= 0) & (depths >= n - 1))
+        own = numbers[at:at + len(values)]
+        at += len(values)
+        counts = own[:, 0][inverse]
+        hit = (last[places] >= 0) & (counts > 0)
+        _raise(chance, raised, leaves[last[raised]], places[hit], (counts[hit] - DISCOUNT) / total[last[places[hit]]])
+        context, before = own[:, 2] > 0, np.full(len(tokens), -1)
+        before[places] = np.where(context[inverse], inverse, -1)
+    return c, chance, depths
 
 
 def score(docs: DataFrame, key: str = "doc_id", text: str = "text", train: Column | None = None) -> DataFrame:
@@ -603,8 +736,12 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", train: Colum
     read, whatever they are called.
     """
     train = F.lit(True) if train is None else F.coalesce(train, F.lit(False))
-    value = quoted(text).cast("string")
-    rows = docs.select(train.alias("train"), value.alias("text"))
+    spark = docs.sparkSession
+    cut = _in_blocks(docs.select(train.alias("train"), quoted(key).alias("_id"), quoted(text).cast("string").alias("_text")))
+    path = new_path(spark, "blocks")
+    cut.write.partitionBy("turn").option("compression", "zstd").parquet(path)
+    seen = spark.read.schema(cut.schema).parquet(path)
+    rows = seen.select("train", "begins", "vocab", "places")
     counted, cells = count_words(rows)
     words = stored(counted, "words")
     discard(counted)
@@ -615,50 +752,41 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", train: Colum
     spare = max(once, 1)
     model, bits, marks = grow_tree(rows, cells, words, end["n_train"] if end else 0, tokens, tokens + spare)
     discard(words)
-    seen = stored(_in_blocks(docs.select(train.alias("train"), quoted(key).alias("_id"), value.alias("_text"))), "blocks")
-    release(docs.sparkSession)
-    maps = docs.sparkSession.sparkContext.broadcast([_marks(model.where(w), bits, marks) for w in (
-        F.col("kind").between(2, LEAVES - 1), F.col("kind") > LEAVES)])
-    release(docs.sparkSession)
-    rounds = max(1, min(ROUNDS, seen.select("block").distinct().count() // ROUND_BLOCKS))
+    maps = spark.sparkContext.broadcast((_marks(model, bits, marks), _marks(model, bits, marks, "kinds")))
+    release(spark)
+    rounds = ROUNDS if seen.count() >= ROUNDS * ROUND_BLOCKS else 1
 
     def solve(texts: pa.Table, found: pa.Table) -> pa.Table:
-        gram, kind, value = (_read(found.column(c), t) for c, t in (
-            ("gram", np.uint64), ("kind", np.int64), ("value", np.float64)))
-        pick = lambda k: HashTable(gram[kind == k], value[kind == k])
-        counted, levels = pick(WORD), range(2, DEPTH + 2)
-        tree = SuffixTree([pick(LEAVES + n - 1) for n in levels], [pick(n) for n in levels])
-        stream, begins = token_stream([t or b"" for t in texts.column("_text").cast(pa.binary()).to_pylist()])
-        places, at = counted.find(stream)
-        c = np.zeros(len(stream))
-        c[places] = counted.values[0][at]
-        depths, numbers = _depths(begins), np.zeros((len(stream) + 1, 3))
+        _, begins, train = _block(texts)
+        c, chance, depths = _chances(texts, found, maps.value, bits, tokens + spare, spare)
+        numbers = np.zeros((len(c) + 1, 3))
         numbers[1:, 0] = c > 0
         numbers[1:, 1] = np.log10((c + 0.1) / (tokens + 0.1 * (kinds + 1)))
-        numbers[1:, 2] = np.log10(tree.raise_chances(stream, depths, np.where(c > 0, c, spare) / (tokens + spare)))
+        numbers[1:, 2] = np.log10(chance)
         numbers[1:][depths == 0] = 0
         sums = np.cumsum(numbers, axis=0)
         total = sums[begins[1:]] - sums[begins[:-1]]
         return pa.table({
-            key: texts.column("_id"), "train": texts.column("train"), "n_tokens": pa.array(np.diff(begins) - 1),
+            key: texts.column("ids").combine_chunks().flatten(), "train": pa.array(train), "n_tokens": pa.array(np.diff(begins) - 1),
             "n_known": pa.array(np.rint(total[:, 0]).astype(np.int64)),
             "train_tokens": pa.array(np.full(len(total), tokens, np.int64)),
             "base_score": pa.array(total[:, 1]), "score": pa.array(total[:, 2])})
 
-    id_kind = seen.schema["_id"].dataType.simpleString()
+    id_kind = seen.schema["ids"].dataType.elementType.simpleString()
     name = key.replace("`", "``")
     done = []
     for turn in range(rounds):
-        part = seen.where(F.pmod(F.xxhash64("block"), F.lit(rounds)) == turn)
+        part = seen.where(F.col("turn") == turn) if rounds > 1 else seen
         hits = _answered(_wanted(part, maps, bits), model)
-        done.append(part.groupBy("block").cogroup(hits.groupBy("block")).applyInArrow(
+        done.append(part.drop("turn").groupBy("block").cogroup(hits.groupBy("block")).applyInArrow(
             solve, f"`{name}` {id_kind}, train boolean, n_tokens long, n_known long, train_tokens long, "
             "base_score double, score double"))
         if rounds > 1:
             done[-1] = stored(done[-1], f"scores-{turn}")
-            release(docs.sparkSession)
+            release(spark)
     if rounds > 1:
         maps.destroy()
+        dropped(model)
     out = done[0]
     for scores in done[1:]:
         out = out.unionByName(scores)
