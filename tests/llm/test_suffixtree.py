@@ -188,3 +188,49 @@ def test_stored_tables_are_compressed(spark):
     table = suffixtree.stored(docs, "texts")
     assert all(".zstd." in f for f in table.inputFiles())
     assert sorted(str(r.text) for r in table.collect()) == sorted(str(r.text) for r in docs.collect())
+
+
+def test_texts_are_read_once(spark):
+    """Counting n-grams of each length and scoring take the words that were found in one pass."""
+    reads = spark.sparkContext.accumulator(0)
+
+    def passed(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    docs = documents(spark, corpus())
+    found = suffixtree.score(docs.mapInArrow(passed, docs.schema), train=F.col("doc_id") % 5 != 0).collect()
+    assert len(found) == len(corpus()) == reads.value
+
+
+def test_tables_of_parts_are_read_where_they_are(spark):
+    """Of two tables that meet part by part, only what asks is shuffled."""
+    rows = spark.range(64).select(
+        (F.col("id") % 8).alias("part"), F.col("id").alias("block"), F.lit(b"").alias("gram"))
+    table = suffixtree.bucketed(rows.where("id < 8").select(
+        "part", *[F.lit(b"").alias(c) for c in ("gram", "n", "size", "kinds")]), "model", 3)
+    found = suffixtree._answered(rows, table)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+    assert sorted(r.block for r in found.collect()) == list(range(64))
+    name = suffixtree.bucketed(rows, "gone", 3)
+    files = len(name.inputFiles())
+    suffixtree.dropped(name)
+    assert files and not [t.name for t in spark.catalog.listTables() if t.name.startswith("gone")]
+
+
+def test_hashes_that_differ_in_low_bits_are_told_apart():
+    for hashes in (np.arange(5000, dtype=np.uint64)[::-1] % np.uint64(70), np.array([2**64 - 1, 0, 2**64 - 1], np.uint64),
+                   np.zeros(0, np.uint64), np.arange(9, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)):
+        order, out = suffixtree._order(hashes)
+        assert (out == np.sort(hashes)).all() and (hashes[order] == out).all()
+        values, places = suffixtree._numbered(hashes)
+        assert (values == np.unique(hashes)).all() and (values[places] == hashes).all()
+
+
+def test_counts_of_any_size_are_passed_on():
+    numbers, bounds = np.array([0, 254, 255, 256, 1 << 40, 3]), np.array([0, 2, 2, 6])
+    short, large = suffixtree._short(numbers, bounds)
+    assert (suffixtree._long(short, large) == numbers).all()
+    assert (suffixtree._long(short.slice(2), large.slice(2)) == numbers[2:]).all()

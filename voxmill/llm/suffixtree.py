@@ -44,13 +44,16 @@ ROUNDS, ROUND_BLOCKS = 4, 4
 #: Tables of counters added up in one step.
 FAN = 256
 
+#: How tables of packed numbers are written: hashes do not repeat, so no dictionary is sought.
+PACKED = {"compression": "zstd", "parquet.compression.codec.zstd.level": "1", "parquet.enable.dictionary": "false"}
+
 START, END = np.uint64(0x51AB7), np.uint64(0xE2D)
 _FACTORS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)]
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """A stored table in few bytes: several are on disk at a time."""
-    return common.stored(df, name, compression="zstd")
+    return common.stored(df, name, **(PACKED if "part" in df.columns else {"compression": "zstd"}))
 
 
 def bucketed(df: DataFrame, name: str, bits: int) -> DataFrame:
@@ -59,7 +62,7 @@ def bucketed(df: DataFrame, name: str, bits: int) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, name)
     table = path.rsplit("/", 1)[1].replace("-", "_")
-    df.write.format("parquet").option("path", path).option("compression", "zstd").bucketBy(
+    df.write.format("parquet").options(path=path, **PACKED).bucketBy(
         min(shuffle_parts(spark), 1 << bits), "part").saveAsTable(table)
     return spark.table(table)
 
@@ -162,10 +165,39 @@ def _raise(chance: np.ndarray, places: np.ndarray, leaves: np.ndarray, hit: np.n
     chance[hit] += own
 
 
+def _order(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order that sorts hashes, and the sorted hashes. Their upper bits are sorted with the place in
+    the lower ones, which is faster than an argsort; what only these bits tell apart is put right after."""
+    low = np.uint64((1 << len(hashes).bit_length()) - 1)
+    keys = np.sort((hashes & ~low) | np.arange(len(hashes), dtype=np.uint64))
+    order = (keys & low).astype(np.int64)
+    out = hashes[order]
+    if (out[1:] < out[:-1]).any():
+        order = order[np.argsort(out, kind="stable")]
+        out = hashes[order]
+    return order, out
+
+
+def _first(values: np.ndarray) -> np.ndarray:
+    """Which of sorted values differ from the one before."""
+    out = np.ones(len(values), bool)
+    np.not_equal(values[1:], values[:-1], out=out[1:])
+    return out
+
+
+def _numbered(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Different hashes, sorted, and for each of ``hashes`` its place there."""
+    order, out = _order(hashes)
+    first = _first(out)
+    places = np.empty(len(out), np.int64)
+    places[order] = np.cumsum(first) - 1
+    return out[first], places
+
+
 def _distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Different values, sorted, and how often each occurs."""
     values = np.sort(values)
-    first = np.flatnonzero(np.diff(values, prepend=~values[:1]))
+    first = np.flatnonzero(_first(values))
     return values[first], np.diff(np.append(first, len(values)))
 
 
@@ -360,27 +392,25 @@ def _marked(marks: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return (marks[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
 
 
-def _counted_grams(n: int, context: np.ndarray, tail: np.ndarray, sums: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Different n-grams, sorted, with their context, tail and summed counts."""
-    gram = _gram(context, tail, n)
-    order = np.argsort(gram)
-    gram = gram[order]
-    first = np.flatnonzero(np.diff(gram, prepend=~gram[:1]))
+def _counted_grams(gram: np.ndarray, context: np.ndarray, tail: np.ndarray, sums: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+    """Different n-grams, sorted, with their context, tail and summed counts, or how often they occur."""
+    order, gram = _order(gram)
+    first = np.flatnonzero(_first(gram))
     at = order[first]
-    return gram[first], context[at], tail[at], _sums(sums[order], first)
+    counts = np.diff(np.append(first, len(gram))) if sums is None else _sums(sums[order], first)
+    return gram[first], context[at], tail[at], counts
 
 
 def _frequent_grams(rows: DataFrame, n: int, least: float, likely, bits: int) -> DataFrame:
     """(part, gram, context, tail, n): the n-grams with at least ``least`` training occurrences, with
     the hashes of all but the last word and of all but the first, a row of sorted numbers for each
-    part. ``likely`` says which n-grams can be that frequent, from these three hashes; the others are
-    not counted. A task sums its own before the shuffle, so a part gets a frequent one once a task."""
+    part. ``likely`` says which n-grams can be that frequent, from these three hashes of each place of a
+    block, in order; the others are not counted. A task sums its own before the shuffle, so a part gets a frequent one once a task."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
 
         def emptied() -> pa.RecordBatch:
-            context, tail = (np.concatenate(x) for x in zip(*held, strict=True))
-            gram, context, tail, sums = _counted_grams(n, context, tail, np.ones(len(tail), np.int64))
+            gram, context, tail, sums = _counted_grams(*(np.concatenate(x) for x in zip(*held, strict=True)))
             # They are sorted, so those of a part lie together.
             part = _parts(gram, bits)
             first = np.flatnonzero(np.diff(part, prepend=-1))
@@ -391,10 +421,11 @@ def _frequent_grams(rows: DataFrame, n: int, least: float, likely, bits: int) ->
 
         for batch in batches:
             for _, tokens, begins, own in _counted(batch, 1):
-                whole, part = grams(tokens, n), grams(tokens, n - 1)
-                places = np.flatnonzero(own & (_depths(begins) >= n - 1))
-                places = places[likely(whole[places], _before(part)[places], part[places])]
-                held.append((_before(part)[places], part[places]))
+                tail = grams(tokens, n - 1)
+                context = _before(tail)
+                whole = _gram(context, tail, n)
+                places = np.flatnonzero(own & (_depths(begins) >= n - 1) & likely(whole, context, tail))
+                held.append((whole[places], context[places], tail[places]))
                 size += len(places)
                 if size > HELD:
                     yield emptied()
@@ -403,8 +434,9 @@ def _frequent_grams(rows: DataFrame, n: int, least: float, likely, bits: int) ->
             yield emptied()
 
     def total(found: pa.Table) -> pa.Table:
+        context, tail = _read(found.column("context")), _read(found.column("tail"))
         gram, context, tail, sums = _counted_grams(
-            n, _read(found.column("context")), _read(found.column("tail")), _long(found.column("n"), found.column("large")))
+            _gram(context, tail, n), context, tail, _long(found.column("n"), found.column("large")))
         often = sums >= least
         return pa.table([found.column("part")[:1], *_row(gram[often], context[often], tail[often], sums[often])],
                         ["part", "gram", "context", "tail", "n"])
@@ -436,7 +468,7 @@ def _with_below(found: DataFrame, known: DataFrame, n: int, bits: int) -> DataFr
 
     def add(row: pa.Table, told: pa.Table) -> pa.Table:
         context, tail = _read(row.column("context")), _read(row.column("tail"))
-        below = _read(_in_order(told).column("below"), np.float64)[np.unique(tail, return_inverse=True)[1]]
+        below = _read(_in_order(told).column("below"), np.float64)[_numbered(tail)[1]]
         there = below == below
         context, tail, below = context[there], tail[there], below[there]
         return pa.table([row.column("part"), *_row(
@@ -461,14 +493,14 @@ def _kept_contexts(level: DataFrame, known: DataFrame, tokens: int, bits: int) -
 
     def ask(row: pa.RecordBatch) -> list[pa.Array]:
         n, below = _read(row.column("n"), np.int64).astype(float), _read(row.column("below"), np.float64)
-        contexts, inverse = np.unique(_read(row.column("context")), return_inverse=True)
+        contexts, inverse = _numbered(_read(row.column("context")))
         sums = [np.bincount(inverse, w, len(contexts)) for w in (n, below, np.ones(len(n)), n * np.log(n / below))]
         parts, *columns = _dealt(contexts, bits, *sums)
         return [pa.array(np.full(len(parts), row.column("part")[0].as_py())), parts, *columns]
 
     def decide(asked: pa.Table, own: pa.Table) -> pa.Table:
         sent = _read(asked.column("gram"))
-        contexts, inverse = np.unique(sent, return_inverse=True)
+        contexts, inverse = _numbered(sent)
         size, below, kinds, gain = (
             np.bincount(inverse, _read(asked.column(c), np.float64), len(contexts)) for c in names)
         grams, numbers = _read(own.column("gram")), _read(own.column("n"), np.int64)
@@ -508,7 +540,7 @@ def _known(level: DataFrame, kept: DataFrame) -> DataFrame:
     def add(row: pa.Table, told: pa.Table) -> pa.Table:
         if not row.num_rows:
             return pa.table([pa.array([], pa.int64())] + [pa.array([], pa.binary())] * 4, names)
-        told, inverse = _in_order(told), np.unique(_read(row.column("context")), return_inverse=True)[1]
+        told, inverse = _in_order(told), _numbered(_read(row.column("context")))[1]
         n, chance = _read(row.column("n"), np.int64), _read(row.column("below"), np.float64).copy()
         leaves = _read(told.column("leaves"), np.float64)[inverse]
         own = leaves == leaves
@@ -597,7 +629,11 @@ def grow_tree(rows: DataFrame, cells: np.ndarray, words: DataFrame, texts: int,
         release(spark)
         if n <= DEPTH:
             bitmap = spark.sparkContext.broadcast(_marks(known, bits, marks))
-            likely = lambda whole, context, tail, m=bitmap: _marked(m.value, context) & _marked(m.value, tail)
+
+            def likely(whole: np.ndarray, context: np.ndarray, tail: np.ndarray, m: Broadcast = bitmap) -> np.ndarray:
+                known = _marked(m.value, tail)
+                return known & _before(known)  # a place's context is the tail of the place before
+
     model.append(stored(_each(known, last, _MODEL), f"model-{DEPTH + 1}"))
     dropped(known)
     whole = model[0]
@@ -620,7 +656,7 @@ def _in_blocks(rows: DataFrame) -> DataFrame:
             for at, texts in blocks(batch.column(2), SCORED):
                 part = batch.slice(at, len(texts))
                 tokens, begins = token_stream(texts)
-                vocab, places = np.unique(tokens, return_inverse=True)
+                vocab, places = _numbered(tokens)
                 train = part.column(0).to_numpy(zero_copy_only=False).astype(bool)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([(task << 32) + done]), pa.array([(task + done) % turns], pa.int32()),
@@ -640,16 +676,26 @@ def _block(row: pa.RecordBatch | pa.Table) -> tuple[np.ndarray, np.ndarray, np.n
             _read(row.column("train"), bool))
 
 
-def _looked_up(tokens: np.ndarray, depths: np.ndarray, marks: tuple[np.ndarray, np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _looked_up(tokens: np.ndarray, depths: np.ndarray, context: np.ndarray, marks: tuple[np.ndarray, np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """For n from 2, the places whose n-grams a block asks for, and these: those marked as contexts, or
-    as n-grams after what is marked as a context. ``marks``: of n-grams, and of contexts."""
-    pairs, contexts = marks
-    shorter, context = tokens, _marked(contexts, tokens)
+    as n-grams after what is marked as a context. ``context``: the tokens that are so marked; ``marks``:
+    of all n-grams of the model, and of contexts. The longest n-grams are no contexts."""
+    every, contexts = marks
+    shorter = tokens
     for n in range(2, DEPTH + 2):
         whole = _gram(_before(shorter), shorter, n)
-        after, context = _before(context), _marked(contexts, whole)
-        places = np.flatnonzero((context | after & _marked(pairs, whole)) & (depths >= n - 1))
-        yield places, whole[places]
+        after, deep = _before(context), depths >= n - 1
+        places = np.flatnonzero(deep if n <= DEPTH else deep & after)
+        grams = whole[places]
+        there = _marked(every, grams)
+        places, grams = places[there], grams[there]
+        if n <= DEPTH:
+            marked = _marked(contexts, grams)
+            context = np.zeros(len(tokens), bool)
+            context[places] = marked
+            there = marked | after[places]
+            places, grams = places[there], grams[there]
+        yield places, grams
         shorter = whole
 
 
@@ -661,8 +707,10 @@ def _wanted(rows: DataFrame, marks: Broadcast, bits: int) -> DataFrame:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1)
                 tokens, begins, _ = _block(row)
-                asked = [_distinct(whole)[0] for _, whole in _looked_up(tokens, _depths(begins), marks.value)]
-                parts, keys = _dealt(np.concatenate([_read(row.column("vocab")), *asked]), bits)
+                vocab, spots = _read(row.column("vocab")), _read(row.column("places"), np.int32)
+                context = _marked(marks.value[1], vocab)[spots]
+                asked = [_distinct(whole)[0] for _, whole in _looked_up(tokens, _depths(begins), context, marks.value)]
+                parts, keys = _dealt(np.concatenate([vocab, *asked]), bits)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(parts), row.column("block")[0].as_py())), parts, keys], ["block", "part", "gram"])
 
@@ -692,12 +740,12 @@ def _chances(row: pa.Table, told: pa.Table, marks: tuple[np.ndarray, np.ndarray]
     parts answered: without context, then raised level by level as by ``SuffixTree``."""
     tokens, begins, _ = _block(row)
     told, depths = _in_order(told), _depths(begins)
-    levels = [(places, *np.unique(whole, return_inverse=True)) for places, whole in _looked_up(tokens, depths, marks)]
-    vocab = _read(row.column("vocab"))
+    vocab, spots = _read(row.column("vocab")), _read(row.column("places"), np.int32)
+    levels = [(places, *_numbered(whole)) for places, whole in _looked_up(
+        tokens, depths, _marked(marks[1], vocab)[spots], marks)]
     keys = _parts(np.concatenate([vocab, *[own for _, own, _ in levels]]), bits)
     numbers = np.empty((len(keys), 3), np.int64)
     numbers[np.argsort(keys, kind="stable")] = _long(told.column("numbers"), told.column("large")).reshape(-1, 3)
-    spots = _read(row.column("places"), np.int32)
     own, at = numbers[:len(vocab)], len(vocab)
     c = own[:, 0].astype(float)[spots]
     chance = np.where(c > 0, c, spare) / base
@@ -739,7 +787,8 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", train: Colum
     spark = docs.sparkSession
     cut = _in_blocks(docs.select(train.alias("train"), quoted(key).alias("_id"), quoted(text).cast("string").alias("_text")))
     path = new_path(spark, "blocks")
-    cut.write.partitionBy("turn").option("compression", "zstd").parquet(path)
+    # Places repeat, so here the usual level saves bytes.
+    cut.write.partitionBy("turn").options(**{**PACKED, "parquet.compression.codec.zstd.level": "3"}).parquet(path)
     seen = spark.read.schema(cut.schema).parquet(path)
     rows = seen.select("train", "begins", "vocab", "places")
     counted, cells = count_words(rows)
