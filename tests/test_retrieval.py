@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from voxmill.functions import vectors
 from voxmill.operators import answers, retrieval
+from voxmill.sources import views
 
 
 def make(spark, n=600, dims=8, seed=3):
@@ -177,3 +178,47 @@ def test_generators_by_name(spark):
     assert '"id":"P","title":"Headphones","records":4' in prompt
     assert '{"id":3,"stars":5.0,"sentiment":"positive","aspects":["Performance' in prompt
     assert "x" * 300 in prompt  # whole texts, not snippets
+
+
+def test_many_queries_of_a_product_do_not_copy_its_reviews(spark):
+    keys = spark.range(3).select(F.lit("P").alias("parent_asin"))
+    asked = spark.range(3000).select(F.lit("P").alias("parent_asin"))
+    assert retrieval._block_counts(
+        keys, asked, "parent_asin", retrieval.REVIEW_BLOCK, retrieval.QUERY_BLOCK).isEmpty()
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def without_own_broadcasts(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_texts_are_dealt_out_once(spark, without_own_broadcasts):
+    """By query only: not by the product, which many queries share."""
+    reviews = spark.createDataFrame(
+        [(1, "P", "Nice", "Great sound", 5.0, "positive", None, ["battery"], 1), (1, "P", "Nice", "Great sound", 5.0,
+         "positive", None, ["battery"], 2)], "row_id long, parent_asin string, title string, text string, "
+        "rating double, sentiment string, predicted_sentiment string, aspects array<string>, rank int")
+    queries = spark.createDataFrame([(1, "P", "How is it?", "general"), (2, "GHOST", "How is it?", "general")],
+                                    "query_id long, parent_asin string, question string, intent string")
+    info = spark.createDataFrame([("P", "Phones", 3.2, 5)], "parent_asin string, title string, "
+                                 "average_rating double, total_reviews long")
+    context = answers.contexts(reviews.withColumn("query_id", F.lit(1)), queries, info)
+    assert "hashpartitioning(parent_asin" not in plan_of(context)
+    got = {r.query_id: (r.product_title, r.retrieved_count, len(r.reviews or [])) for r in context.collect()}
+    assert got == {1: ("Phones", 2, 2), 2: ("Unknown Product", 0, 0)}
+
+
+def test_labels_come_to_the_texts(spark, without_own_broadcasts):
+    docs = spark.createDataFrame([(1, "a b", "s", "en"), (2, "c", "s", "de"), (None, "d", "t", "en")],
+                                 "doc_id long, text string, source string, lang string")
+    marks = spark.createDataFrame([(1, 0, 0), (1, 1, 1), (None, 1, 1)], "doc_id long, quality int, toxic int")
+    rated = views.doc_ratings(docs, marks)
+    assert "SortMergeJoin" not in plan_of(rated)
+    assert sorted((r.text, r.rating) for r in rated.collect()) == [("a b", 1.0), ("a b", 2.0), ("c", 3.0), ("d", 3.0)]

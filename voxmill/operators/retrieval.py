@@ -14,8 +14,10 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from voxmill.functions import aspects as asp, labels, numbers
 from voxmill.operators.skew import broadcast_if_small, position_in_group, semi_join
 
+#: Rows of a block. A product's reviews are copied to each block of its queries and the other way round,
+#: so blocks are as large as a task can hold: at 256 numbers a vector 100 and 40 MB.
 REVIEW_BLOCK = 50_000
-QUERY_BLOCK = 2_000
+QUERY_BLOCK = 20_000
 
 _MATCHES = T.StructType([
     T.StructField("query_id", T.LongType()), T.StructField("row_id", T.LongType()),

@@ -6,8 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxmill.functions import labels, text as tx
+from voxmill.operators.skew import broadcast_if_small
 from voxmill.sources.tables import spread_small
 
+#: Labels of documents, a few numbers each, that are copied to the documents; more are joined by a shuffle.
+MAX_BROADCAST_LABELS = 2_000_000
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -22,6 +26,8 @@ def doc_ratings(documents: DataFrame, ratings: DataFrame) -> DataFrame:
     rating = (
         F.when(F.col("toxic") == 1, 1.0).when(F.col("quality") == 0, 2.0)
         .when(F.col("quality") == 1, 5.0).otherwise(3.0))
+    # Labels are narrow: copied to the documents, so that no text is shuffled to find its label.
+    ratings = broadcast_if_small(ratings.select("doc_id", "quality", "toxic"), MAX_BROADCAST_LABELS)
     return documents.join(ratings, "doc_id", "left").select(
         F.col("doc_id").alias("row_id"), rating.alias("rating"),
         tx.first_word(F.col("text")).alias("title"), "text",
