@@ -192,3 +192,31 @@ def test_queries_fit_until_the_optimiser_stops(spark, monkeypatch, name):
     monkeypatch.setattr(models, "fit_classifier", fit)
     with pytest.raises(Reached, match="^1000$"):
         QUERIES[name](spark, "/root/testdata/sf0.001")
+
+
+def test_tied_terms_are_taken_by_name(spark):
+    words = [f"w{(i * 37) % 101:03d}" for i in range(101)]
+    train = spark.createDataFrame([(w, i % 3) for i, w in enumerate(words)], "features_text string, label int")
+    model = models.fit_classifier(train.repartition(4), size=5, max_iter=1)
+    assert model.stages[1].vocabulary == sorted(words)[:5]
+
+
+def test_scores_are_those_of_the_stages(spark):
+    from pyspark.ml.functions import vector_to_array
+
+    prepared = models.training_rows(sentiment_rows(spark))
+    odd = spark.createDataFrame([(100, "d", "", None, None), (101, "d", None, None, None), (102, "d", "x zz", None, None)],
+                                "row_id long, domain string, features_text string, sentiment string, label int")
+    model = models.fit_classifier(prepared.select("features_text", "label"), size=40, max_iter=5)
+    rows_ = prepared.unionByName(odd)
+    got = {r.row_id: (r.predicted_sentiment, r.predicted_confidence) for r in models.score(model, rows_).collect()}
+    staged = model.transform(rows_.fillna("", "features_text")).select("row_id", "_prediction", vector_to_array("_probability").alias("p"))
+    expected = {r.row_id: (LABELS[int(r["_prediction"])], pytest.approx(max(r.p), abs=6e-5)) for r in staged.collect()}
+    assert got == expected and len(got) == 63
+
+
+def test_one_class_alone_is_certain(spark):
+    train = spark.createDataFrame([("good sound", 2), ("good", 2)], "features_text string, label int")
+    model = models.fit_classifier(train, max_iter=3)
+    got = models.score(model, train).select("predicted_sentiment", "predicted_confidence").distinct().collect()
+    assert [tuple(r) for r in got] == [("positive", 1.0)]

@@ -12,8 +12,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import IDF, CountVectorizer, ElementwiseProduct, Normalizer
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
@@ -25,7 +24,7 @@ from voxmill.config import COMBINED, SEED
 from voxmill.functions import labels, numbers, text as tx
 from voxmill.functions.binding import bind
 from voxmill.operators import evaluation, sampling
-from voxmill.session import cut
+from voxmill.session import cut, new_path
 
 
 class UnknownLabel(ValueError):
@@ -134,18 +133,19 @@ def _likely_terms(words: DataFrame, size: int) -> np.ndarray:
     return likely
 
 
-#: Words that a task counts at a time; a longer row is counted alone.
-WORDS_AT_ONCE = 1 << 21
+#: Words that a task counts at a time; a longer row is counted alone. Fewer where rows are looked up, which
+#: gain nothing from more.
+WORDS_AT_ONCE, WORDS_LOOKED_UP = 1 << 19, 1 << 18
 
 
-def _word_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _word_slices(batches: Iterator[pa.RecordBatch], words: int | None = None) -> Iterator[pa.RecordBatch]:
     """Batches cut by rows, so that what is counted at a time is bounded; the last column holds the words."""
     for batch in batches:
         ends = np.cumsum(pc.fill_null(pc.list_value_length(batch.columns[-1]), 0).to_numpy(zero_copy_only=False))
         at = 0
         while at < len(batch):
             before = ends[at - 1] if at else 0
-            to = max(int(np.searchsorted(ends, before + WORDS_AT_ONCE, "right")), at + 1)
+            to = max(int(np.searchsorted(ends, before + (words or WORDS_AT_ONCE), "right")), at + 1)
             yield batch.slice(at, to - at)
             at = to
 
@@ -181,6 +181,28 @@ class _Terms:
         return pc.if_else(pa.array(left > 0), pc.binary_join_element_wise(starts, ends, " "), ends)
 
 
+class _Listed:
+    """The terms of a list, looked up in rows of words."""
+
+    def __init__(self, names: list[str]):
+        self.number = {name: i for i, name in enumerate(names)}
+        self.pairs = [(i, *name.split(" ")) for name, i in self.number.items() if " " in name]
+
+    def counts(self, runs: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where each row's terms start, their numbers in ascending order, and how often they occur."""
+        terms, size = _Terms(runs), len(self.number)
+        place = {word: i for i, word in enumerate(terms.words.to_pylist())}
+        n = len(place) + 1
+        known = [(place[name], i) for name, i in self.number.items() if name in place] + [
+            ((place[a] + 1) * n + place[b], i) for i, a, b in self.pairs if a in place and b in place]
+        known = np.array(sorted(known), np.int64).reshape(-1, 2)
+        at = np.minimum(np.searchsorted(known[:, 0], terms.keys), max(len(known) - 1, 0))
+        hit = known[at, 0] == terms.keys if len(known) else np.zeros(len(at), bool)
+        places, counts = np.unique(
+            terms.row[hit] * size + (known[at[hit], 1] if len(known) else at[hit]), return_counts=True)
+        return np.searchsorted(places, np.arange(len(runs) + 1) * size), places % size, counts
+
+
 def tfidf_weights(rows: DataFrame, text: str = "features_text", size: int | None = 5000) -> DataFrame:
     """(row_id, term, weight): sublinear counts, smooth idf, unit length per row.
 
@@ -218,22 +240,12 @@ def counted_terms(rows: DataFrame, names: list[str], text: str = "features_text"
                            F.array().cast("array<double>").alias("counts"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = {name: i for i, name in enumerate(names)}
-        pairs = [(i, *name.split(" ")) for name, i in number.items() if " " in name]
-        for batch in _word_slices(batches):
-            terms = _Terms(batch.column(1))
-            place = {word: i for i, word in enumerate(terms.words.to_pylist())}
-            n = len(place) + 1
-            known = [(place[name], i) for name, i in number.items() if name in place] + [
-                ((place[a] + 1) * n + place[b], i) for i, a, b in pairs if a in place and b in place]
-            known = np.array(sorted(known), np.int64).reshape(-1, 2)
-            at = np.minimum(np.searchsorted(known[:, 0], terms.keys), max(len(known) - 1, 0))
-            hit = known[at, 0] == terms.keys if len(known) else np.zeros(len(at), bool)
-            places, counts = np.unique(
-                terms.row[hit] * len(names) + (known[at[hit], 1] if len(known) else at[hit]), return_counts=True)
-            starts = pa.array(np.searchsorted(places, np.arange(len(batch) + 1) * len(names)), pa.int32())
+        listed = _Listed(names)
+        for batch in _word_slices(batches, WORDS_LOOKED_UP):
+            starts, places, counts = listed.counts(batch.column(1))
+            starts = pa.array(starts, pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.ListArray.from_arrays(starts, pa.array(places % len(names), pa.int32())),
+                [batch.column(0), pa.ListArray.from_arrays(starts, pa.array(places, pa.int32())),
                  pa.ListArray.from_arrays(starts, pa.array(counts, pa.float64()))], ["row_id", "indices", "counts"])
 
     words = rows.select("row_id", tx.word_runs(F.col(text)).alias("_words"))
@@ -315,16 +327,18 @@ def fit_classifier(
 
     train: features_text, label (0, 1, 2).
     """
+    terms = vocabulary(train, "features_text", size).select("term", "df").collect()
+    if not terms:
+        raise ValueError("the training texts have no words")
+    names = [r["term"] for r in terms]
     grams = WordGrams(inputCol="features_text", outputCol="_grams")
-    counted = grams.transform(train.select("features_text", "label"))
-    counts = CountVectorizer(inputCol="_grams", outputCol="_tf", vocabSize=size, minDF=1.0).fit(
-        counted)
+    counts = CountVectorizerModel.from_vocabulary(names, inputCol="_grams", outputCol="_tf")
     sublinear = SublinearCounts(inputCol="_tf", outputCol="_sub")
     # Later passes read the counted rows instead of tokenising again.
-    tf = cut(sublinear.transform(counts.transform(counted)).select("_sub", "label"))
-    idf = IDF(inputCol="_sub", outputCol="_idf").fit(tf).idf
+    tf = _stored_counts(train, names)
+    idf = np.log((tf.count() + 1.0) / (np.array([r["df"] for r in terms]) + 1.0))
     weigh = ElementwiseProduct(
-        scalingVec=Vectors.dense(idf.toArray() + 1.0), inputCol="_sub", outputCol="_weighted")
+        scalingVec=Vectors.dense(idf + 1.0), inputCol="_sub", outputCol="_weighted")
     unit = Normalizer(p=2.0, inputCol="_weighted", outputCol="_features")
     rows = unit.transform(weigh.transform(tf)).select("_features", "label")
     sizes = rows.groupBy("label").count()
@@ -343,14 +357,55 @@ def fit_classifier(
     return PipelineModel([grams, counts, sublinear, weigh, unit, fitted])
 
 
+def _stored_counts(train: DataFrame, names: list[str]) -> DataFrame:
+    """(_sub, label), stored: what the stages up to ``SublinearCounts`` give, counted without making a
+    row's terms. Few different numbers occur in it, so it is small."""
+    counted = counted_terms(train.select(F.col("label").alias("row_id"), "features_text"), names)
+    # The layout of a sparse vector: the table is read back as vectors.
+    sparse = F.struct(
+        F.lit(0).cast("tinyint").alias("type"), F.lit(len(names)).alias("size"), "indices",
+        F.transform("counts", lambda n: 1.0 + F.log(n)).alias("values"))
+    rows = counted.select(sparse.alias("_sub"), F.col("row_id").alias("label"))
+    path = new_path(train.sparkSession, "counts")
+    rows.write.parquet(path)
+    schema = T.StructType([T.StructField("_sub", VectorUDT()), rows.schema["label"]])
+    return train.sparkSession.read.schema(schema).parquet(path)
+
+
 def score(model: PipelineModel, rows: DataFrame) -> DataFrame:
-    """Adds predicted_sentiment and predicted_confidence (four places)."""
-    scored = model.transform(rows)
-    confidence = F.array_max(vector_to_array("_probability"))
-    return scored.withColumns({
-        "predicted_sentiment": labels.decode_label(F.col("_prediction").cast("int")),
-        "predicted_confidence": numbers.rounded(confidence, 4),
-    }).select(*rows.columns, "predicted_sentiment", "predicted_confidence")
+    """Adds predicted_sentiment and predicted_confidence (four places): the stages of ``fit_classifier``
+    applied to many rows at a time."""
+    _, counts, _, weigh, _, fitted = model.stages
+    names, weights = counts.vocabulary, weigh.getScalingVec().toArray()
+    coefficients, intercepts = fitted.coefficientMatrix.toArray(), fitted.interceptVector.toArray()
+
+    def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        listed = _Listed(names)
+        for batch in batches:
+            parts = []
+            for part in _word_slices([pa.RecordBatch.from_arrays([batch], ["_words"])], WORDS_LOOKED_UP):
+                starts, places, n = listed.counts(part.column(0))
+                row, size = np.repeat(np.arange(len(part)), np.diff(starts)), len(part)
+                values = (1.0 + np.log(n)) * weights[places]
+                values /= np.sqrt(np.bincount(row, values * values, size))[row]
+                raw = np.stack([
+                    np.bincount(row, values * c[places], size) + b for c, b in zip(coefficients, intercepts)])
+                parts.append((raw.argmax(0), _highest_chance(raw)))
+            best, chance = (np.concatenate(x) for x in zip(*parts)) if parts else ([], [])
+            yield pa.StructArray.from_arrays(
+                [pa.array(best, pa.int32()), pa.array(chance, pa.float64())], ["code", "chance"])
+
+    found = F.arrow_udf(scored, "code int, chance double")(tx.word_runs(F.col("features_text")))
+    return rows.withColumn("_scored", found).select(
+        *rows.columns, labels.decode_label(F.col("_scored.code")).alias("predicted_sentiment"),
+        numbers.rounded(F.col("_scored.chance"), 4).alias("predicted_confidence"))
+
+
+def _highest_chance(raw: np.ndarray) -> np.ndarray:
+    """The largest softmax of each column; certain where a class alone was learned from."""
+    top = raw.max(0)
+    certain = np.isposinf(top)
+    return np.where(certain, 1.0, 1.0 / np.exp(raw - np.where(certain, 0.0, top)).sum(0))
 
 
 def save_model(model: PipelineModel, folder: str, domain: str) -> str:
