@@ -115,3 +115,32 @@ def test_sample_per_group(spark):
     df = labelled(spark, {"positive": 60, "negative": 4})
     got = sampling.sample_per_group(df, ["sentiment"], 10)
     assert dict(got.groupBy("sentiment").count().collect()) == {"positive": 10, "negative": 4}
+
+
+@pytest.mark.parametrize("ids", ["single", "repeated", "null"])
+def test_split_is_the_rank_along_the_digest(spark, ids):
+    import hashlib
+
+    def identity(i):
+        return i if ids == "single" else i // 40 if ids == "repeated" else None if i % 3 else i
+
+    data = [("ab"[i % 5 == 0], identity(i), ("positive", "negative", None)[i % 7 % 3], f"text {i}") for i in range(400)]
+    df = spark.createDataFrame(data, "domain string, row_id long, sentiment string, text string").repartition(6)
+    split = sampling.stratified_split(df, ["domain"])
+    assert split.columns == [*df.columns, "split"]
+    sizes = {(r.domain, r.sentiment): r for r in sampling.split_sizes(df, ["domain"], "sentiment").collect()}
+    groups = {}
+    for r in split.collect():
+        order = "" if r.row_id is None else hashlib.md5(f"{sampling.SEED}:{r.row_id}".encode()).hexdigest()
+        groups.setdefault((r.domain, r.sentiment), []).append((order, ("train", "validation", "test").index(r.split)))
+    assert sum(map(len, groups.values())) == 400
+    for key, found in groups.items():
+        n = sizes[key]
+        assert [p for _, p in sorted(found)] == [0] * n.n_train + [1] * n.n_val + [2] * n.n_test
+
+
+def test_split_does_not_shuffle_the_rows(spark):
+    df = spark.createDataFrame([("a", i, "positive", "t") for i in range(50)],
+                               "domain string, row_id long, sentiment string, text string")
+    plan = sampling.stratified_split(df, ["domain"])._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan

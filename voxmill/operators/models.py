@@ -24,7 +24,7 @@ from voxmill.config import COMBINED, SEED
 from voxmill.functions import labels, numbers, text as tx
 from voxmill.functions.binding import bind
 from voxmill.operators import evaluation, sampling
-from voxmill.session import cut, new_path
+from voxmill.session import cut, new_path, stored
 
 
 class UnknownLabel(ValueError):
@@ -429,10 +429,11 @@ def train_and_evaluate(
     """
     prepared = training_rows(reviews, max_chars)
     check_labels(prepared)
+    prepared = stored(prepared, "prepared")
     results = []
     for domain in domains:
         rows = prepared.where(labels.in_domain(domain)).withColumn("domain", F.lit(domain))
-        split = cut(sampling.stratified_split(rows, ["domain"], "sentiment", seed))
+        split = sampling.stratified_split(rows, ["domain"], "sentiment", seed)
         sizes = dict(split.groupBy("split").count().collect())
         if not sizes:
             raise ValueError(f"No records found for domain '{domain}'.")

@@ -139,23 +139,63 @@ def stratified_split(
 
     Rows are ranked within (stratum, label) along a digest. The first digits of the digest are
     the rank's buckets, so even a label that holds most rows is spread over thousands of tasks.
+    Only digests are ranked, to find where a split ends; the rows themselves are not shuffled.
     """
+    keys = strata + [label]
     keyed = df.withColumn("_order", F.coalesce(seeded_order(identity, seed), F.lit("")))
-    ranked = rank_in_group(
-        keyed, strata + [label], [F.col("_order"), F.col(identity)],
-        F.substring("_order", 1, bucket_digits), out="_rank")
+    edges = _split_edges(
+        keyed.select(*keys, "_order"), split_sizes(df, strata, label, test_size, val_size), keys, bucket_digits)
     # One row per stratum and label. Joined by shuffle, the rows of a label would meet in one task.
-    sizes = broadcast_if_small(split_sizes(df, strata, label, test_size, val_size))
-    keys = strata + [label]
-    sizes = sizes.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "n_train", "n_val")
-    same = [ranked[k].eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
-    joined = ranked.join(sizes, same).drop(*[f"_k{i}" for i in range(len(keys))])
-    split = (
-        F.when(F.col("_rank") < F.col("n_train"), "train")
-        .when(F.col("_rank") < F.col("n_train") + F.col("n_val"), "validation")
-        .otherwise("test"))
-    return joined.withColumn("split", split).drop(
-        "_order", "_rank", "n_train", "n_val")
+    joined = keyed.join(broadcast_if_small(edges), _same(keyed, keys))
+    # Rows that tie where a split ends, as those of one id, are numbered; no others are.
+    tied = F.coalesce((F.col("_order") == F.col("_end1")) & (F.col("_tied1") > 0), F.lit(False)) | F.coalesce(
+        (F.col("_order") == F.col("_end2")) & (F.col("_tied2") > 0), F.lit(False))
+    place = F.lit(0)
+    if not edges.where("_tied1 > 0 or _tied2 > 0").isEmpty():
+        hashed = [F.col(f"`{c}`") for c, t in df.dtypes if "map<" not in t]
+        inner = F.row_number().over(Window.partitionBy(*keys, "_order").orderBy(F.xxhash64(*hashed)))
+        joined = joined.where(~tied).withColumn("_place", F.lit(0)).unionByName(
+            joined.where(tied).withColumn("_place", inner - 1))
+        place = F.col("_place")
+
+    def before(end, ties):
+        return F.col(end).isNull() | (F.col("_order") < F.col(end)) | (
+            (F.col("_order") == F.col(end)) & (place < F.col(ties)))
+
+    split = F.when(before("_end1", "_tied1"), "train").when(
+        before("_end2", "_tied2"), "validation").otherwise("test")
+    return joined.select(*[f"`{c}`" for c in df.columns if c != "split"], split.alias("split"))
+
+
+def _same(rows: DataFrame, keys: list[str]) -> list[Column]:
+    return [rows[k].eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
+
+
+def _split_edges(
+    keyed: DataFrame, sizes: DataFrame, keys: list[str], bucket_digits: int,
+) -> DataFrame:
+    """Stored, per stratum and label (_k0, _k1, ...): the place in the order at which validation begins
+    (_end1) and test begins (_end2), null where there is no such row, and how many rows of that very
+    place come before (_tied1, _tied2)."""
+    named = [F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]
+    sizes = broadcast_if_small(sizes.select(*named, "n_train", (F.col("n_train") + F.col("n_val")).alias("n_both")))
+    ranked = rank_in_group(keyed, keys, [F.col("_order")], F.substring("_order", 1, bucket_digits), out="_rank")
+    # A place is that of one id, so there is a row for nearly each row here; two are kept.
+    places = ranked.groupBy(*keys, "_order").agg(F.min("_rank").alias("_first"), F.max("_rank").alias("_last"))
+    held = places.join(sizes, _same(places, keys))
+
+    def reached(n):
+        return F.col(n).between(F.col("_first"), F.col("_last"))
+
+    ends = held.where(reached("n_train") | reached("n_both")).groupBy(*[f"_k{i}" for i in range(len(keys))]).agg(
+        *[f(F.when(reached(n), value)).alias(f"{name}{i}") for i, n in ((1, "n_train"), (2, "n_both"))
+          for f, name, value in ((F.max, "_end", F.col("_order")), (F.max, "_tied", F.col(n) - F.col("_first")))])
+    # Labels that lie in the training split as a whole have no end.
+    names = [f"_k{i}" for i in range(len(keys))]
+    every = sizes.select(*[F.col(c).alias(f"_of{c}") for c in names])
+    same = [F.col(f"_of{c}").eqNullSafe(F.col(c)) for c in names]
+    return cut(every.join(broadcast_if_small(ends), same, "left").select(
+        *[F.col(f"_of{c}").alias(c) for c in names], "_end1", "_tied1", "_end2", "_tied2"))
 
 
 def split_summary(split: DataFrame, strata: list[str]) -> DataFrame:
